@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chordgrid.llm import exact_dedup
+from chordgrid.llm import exact_dedup, mixing, quality_rules
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,9 +16,47 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("n_chunks")
 
 
-QUERIES = {"op10_exact_dedup": op10_exact_dedup}
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules.quality_rules(documents(spark, sf_dir)).drop("n_left", "th")
+
+
+def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.mix_words(documents(spark, sf_dir))
+
+
+QUERIES = {"op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLES = {
+    "op6_quality_rules": r"""
+WITH t AS (
+  SELECT doc_id, coalesce(source, chr(0)) AS host, coalesce(text, '') AS x FROM documents
+), w AS (
+  SELECT *, regexp_extract_all(x, '[^\x20\x09-\x0D]+') AS ws FROM t
+), win AS (
+  SELECT doc_id, i, ws[i:i+7] AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 6)) AS i FROM w WHERE len(ws) >= 8)
+), twice AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM win) WHERE c > 1
+), rep AS (
+  SELECT doc_id, sum(least(8, i - prev)) AS n FROM (SELECT doc_id, i, lag(i, 1, -8) OVER (PARTITION BY doc_id ORDER BY i) AS prev FROM twice) GROUP BY doc_id
+), ln AS (
+  SELECT doc_id, host, x, line, lower(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13))) AS k, len(regexp_extract_all(line, '[^\x20\x09-\x0D]+')) AS c
+  FROM (SELECT doc_id, host, x, unnest(string_split(x, chr(10))) AS line FROM t) WHERE regexp_matches(line, '[^\x20\x09-\x0D]')
+), dup AS (
+  SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM ln GROUP BY doc_id
+), freq AS (
+  SELECT host, k, min(doc_id) AS keeper FROM ln GROUP BY host, k HAVING count(DISTINCT x) > 100
+), lost AS (
+  SELECT ln.doc_id, sum(c) AS n FROM ln JOIN freq USING (host, k) WHERE ln.doc_id <> keeper GROUP BY ln.doc_id
+), b AS (
+  SELECT w.doc_id, len(ws) AS n_words, length(array_to_string(ws, '')) AS word_chars,
+         len(regexp_extract_all(x, '[#*$%&|<>]')) AS n_symbols, coalesce(dup.n, 0) AS n_dup_lines,
+         CAST(coalesce(rep.n, 0) AS BIGINT) AS n_repeat_words, coalesce(lost.n, 0) AS lost
+  FROM w LEFT JOIN dup USING (doc_id) LEFT JOIN rep USING (doc_id) LEFT JOIN lost USING (doc_id)
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words,
+       n_words < 20 OR 100 * n_repeat_words > 30 * n_words AS base_failed,
+       NOT (n_words < 20 OR 100 * n_repeat_words > 30 * n_words) AND 100 * (n_words - lost) >= 30 * n_words AS kept
+FROM b""",
     "op10_exact_dedup": r"""
 WITH t AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS x FROM documents)
 SELECT doc_id, min(doc_id) OVER (PARTITION BY x) AS keep_id, count(*) OVER (PARTITION BY x) AS group_size,
