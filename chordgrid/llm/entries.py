@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chordgrid.llm import exact_dedup, mixing, quality_rules
+from chordgrid.llm import exact_dedup, line_dedup, mixing, quality_rules
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -16,6 +16,10 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(documents(spark, sf_dir)).drop("n_chunks")
 
 
+def op3_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_dedup.dedup_lines(documents(spark, sf_dir))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.quality_rules(documents(spark, sf_dir)).drop("n_left", "th")
 
@@ -24,9 +28,19 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(documents(spark, sf_dir))
 
 
-QUERIES = {"op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
+QUERIES = {"op3_line_dedup": op3_line_dedup, "op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLES = {
+    "op3_line_dedup": r"""
+WITH ln AS (
+  SELECT doc_id, i, l, translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k
+  FROM (SELECT doc_id, generate_subscripts(a, 1) AS i, unnest(a) AS l FROM (SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS a FROM documents))
+), rep AS (
+  SELECT k, max(doc_id) AS last_doc FROM ln WHERE length(k) >= 20 GROUP BY k HAVING count(DISTINCT doc_id) >= 3
+)
+SELECT doc_id, count(*) AS n_lines, count(*) FILTER (WHERE last_doc IS NOT NULL AND last_doc <> doc_id) AS n_dropped,
+       sha256(coalesce(string_agg(l, chr(10) ORDER BY i) FILTER (WHERE last_doc IS NULL OR last_doc = doc_id), '')) AS kept_sha256
+FROM ln LEFT JOIN rep USING (k) GROUP BY doc_id""",
     "op6_quality_rules": r"""
 WITH t AS (
   SELECT doc_id, coalesce(source, chr(0)) AS host, coalesce(text, '') AS x FROM documents
