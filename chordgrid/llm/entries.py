@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chordgrid.llm import exact_dedup, line_dedup, mixing, quality_rules
+from chordgrid.llm import exact_dedup, line_dedup, mixing, quality_rules, substring_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -28,9 +28,28 @@ def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix_words(documents(spark, sf_dir))
 
 
-QUERIES = {"op3_line_dedup": op3_line_dedup, "op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
+def op9_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.removed_words(documents(spark, sf_dir))
+
+
+QUERIES = {"op9_substring_dedup": op9_substring_dedup, "op3_line_dedup": op3_line_dedup, "op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLES = {
+    "op9_substring_dedup": r"""
+WITH w AS (
+  SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS ws FROM documents
+), win AS (
+  SELECT doc_id, i, md5(array_to_string(ws[i:i+49], ' ')) AS g FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 48)) AS i FROM w WHERE len(ws) >= 50)
+), hit AS (
+  SELECT doc_id, i FROM (SELECT doc_id, i, min(doc_id) OVER (PARTITION BY g) AS f FROM win) WHERE f < doc_id
+), gone AS (
+  SELECT DISTINCT doc_id, unnest(range(i, i + 50)) AS i FROM hit
+), word AS (
+  SELECT doc_id, generate_subscripts(ws, 1) AS i, unnest(ws) AS x FROM w
+), kept AS (
+  SELECT word.doc_id, count(*) AS n, string_agg(x, ' ' ORDER BY word.i) AS t FROM word ANTI JOIN gone USING (doc_id, i) GROUP BY word.doc_id
+)
+SELECT w.doc_id, len(ws) AS n_words, len(ws) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256 FROM w LEFT JOIN kept USING (doc_id)""",
     "op3_line_dedup": r"""
 WITH ln AS (
   SELECT doc_id, i, l, translate(trim(l, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k

@@ -58,3 +58,13 @@ def words_of(text: Column) -> Column:
 
 def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+#: Key tables up to this many rows (some tens of MB at most) may be broadcast.
+BROADCAST_ROWS = 400_000
+
+
+def sized_hint(keys: DataFrame) -> str:
+    """The join hint for a small side that has been written out: its rows are counted; above the bound
+    the join shuffles."""
+    return "broadcast" if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else "shuffle_hash"

@@ -117,7 +117,7 @@ def windows(words: np.ndarray, n: int, lane: int = 0) -> np.ndarray:
         if size <= n:
             half = size // 2
             level = mix(level[:-half] * step + level[half:])
-    return mix(out[: len(words) - n + 1] + np.uint64(n) * _STEP[1 - lane])
+    return mix(out[: len(words) - n + 1] + np.uint64(n * int(_STEP[1 - lane]) % 2**64))
 
 
 def whole(first: np.ndarray, n: int, total: int) -> np.ndarray:
