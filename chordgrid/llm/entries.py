@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from chordgrid.llm import exact_dedup, line_dedup, mixing, ngram_join, quality_rules, substring_dedup
+from chordgrid.llm import exact_dedup, line_dedup, mixing, ngram_join, quality_rules, sentencepiece_codec, substring_dedup
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -36,7 +36,11 @@ def op7_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_join.near_groups(documents(spark, sf_dir))
 
 
-QUERIES = {"op7_ngram_join": op7_ngram_join, "op9_substring_dedup": op9_substring_dedup, "op3_line_dedup": op3_line_dedup, "op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
+def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sentencepiece_codec.encoded(documents(spark, sf_dir))
+
+
+QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op7_ngram_join": op7_ngram_join, "op9_substring_dedup": op9_substring_dedup, "op3_line_dedup": op3_line_dedup, "op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLES = {
     "op7_ngram_join": r"""
