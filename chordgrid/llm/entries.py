@@ -3,9 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
-from chordgrid.llm import exact_dedup, line_dedup, mixing, ngram_join, quality_rules, sentencepiece_codec, substring_dedup
+from chordgrid.llm import (exact_dedup, license_scan, line_dedup, mixing, ngram_join, pii_surrogates, quality_classifier,
+                           quality_rules, sentencepiece_codec, substring_dedup)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -40,7 +40,19 @@ def op1_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sentencepiece_codec.encoded(documents(spark, sf_dir))
 
 
-QUERIES = {"op1_sentencepiece": op1_sentencepiece, "op7_ngram_join": op7_ngram_join, "op9_substring_dedup": op9_substring_dedup, "op3_line_dedup": op3_line_dedup, "op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
+def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan.licenses(documents(spark, sf_dir))
+
+
+def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii_surrogates.surrogate_texts(documents(spark, sf_dir))
+
+
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_classifier.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+QUERIES = {"op2_license_scan": op2_license_scan, "op4_pii_surrogates": op4_pii_surrogates, "op5_quality_classifier": op5_quality_classifier, "op1_sentencepiece": op1_sentencepiece, "op7_ngram_join": op7_ngram_join, "op9_substring_dedup": op9_substring_dedup, "op3_line_dedup": op3_line_dedup, "op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLES = {
     "op7_ngram_join": r"""
