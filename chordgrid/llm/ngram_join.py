@@ -81,8 +81,8 @@ class Sets:
 
 
 def parity_bits(tokens: np.ndarray) -> bytes:
-    """A bit map of about a bit a token: each token flips one bit."""
-    size = 1 << int(np.clip(np.ceil(np.log2(max(1, len(tokens)))), 8, 15))
+    """A bit map of four to eight bits a token: each token flips one bit."""
+    size = 1 << int(np.clip(np.ceil(np.log2(max(1, 4 * len(tokens)))), 8, 17))
     return np.packbits(np.bincount((mix(tokens) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
 
 
@@ -170,6 +170,41 @@ def class_pairs(sorted_rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatc
         yield pa.record_batch([pa.array(x[keep]) for x in (key, node, centers)], ["key", "node", "center"])
 
 
+def spread_pairs(sorted_rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (key, node, comp) rows sorted by key: for each key's largest component (two nodes at least) and
+    each other one, a pair (a, b) of a node of both. Keys choose different nodes."""
+
+    def pick(key: int, nodes: list[int], comps: list[int]) -> list[tuple[int, int]]:
+        groups: dict[int, list[int]] = {}
+        for node, comp in zip(nodes, comps):
+            groups.setdefault(comp, []).append(node)
+        main = max(groups, key=lambda c: (len(groups[c]), c))
+        most = groups.pop(main)
+        if len(most) < 2:
+            return []
+        spread = [(most[hash((key, c)) % len(most)], some[key % len(some)]) for c, some in groups.items()]
+        return [(min(x), max(x)) for x in spread]
+
+    last, nodes, comps = None, [], []
+    for batch in sorted_rows:
+        out: list[tuple[int, int]] = []
+        for key, node, comp in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "comp"))):
+            if key != last:
+                if nodes:
+                    out += pick(last, nodes, comps)
+                last, nodes, comps = key, [], []
+            nodes.append(node)
+            comps.append(comp)
+        yield pairs_batch(out)
+    if nodes:
+        yield pairs_batch(pick(last, nodes, comps))
+
+
+def pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*pairs) if pairs else ((), ())
+    return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+
+
 def bucket_pairs(sorted_rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (key, i, j, node, comp, n, bits, side) rows sorted by key, i, j: pairs of nodes of two
     components that may link; of a block pair i <> j only pairs across the two blocks."""
@@ -208,6 +243,16 @@ def bucket_pairs(sorted_rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                         b_out.append(max(node[k], node[m]))
         return a_out, b_out
 
+    seen: set[tuple[int, int]] = set()
+
+    def once(a: list[int], b: list[int]) -> list[tuple[int, int]]:
+        """Pairs that this task has not given yet (it forgets when it has given very many)."""
+        new = set(zip(a, b)) - seen
+        if len(seen) > 500_000:
+            seen.clear()
+        seen.update(new)
+        return list(new)
+
     held, last = [], None
     for batch in sorted_rows:
         out_a, out_b = [], []
@@ -219,10 +264,9 @@ def bucket_pairs(sorted_rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
                     out_b += b
                 held, last = [], (key, i, j)
             held.append(tuple(row))
-        yield pa.record_batch([pa.array(out_a, pa.int64()), pa.array(out_b, pa.int64())], ["a", "b"])
+        yield pairs_batch(once(out_a, out_b))
     if held:
-        a, b = compare(held)
-        yield pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+        yield pairs_batch(once(*compare(held)))
 
 
 def check_pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -257,10 +301,16 @@ class NgramJoin:
         self.stars = written(by_key.mapInArrow(class_pairs, "key long, node long, center long"), self.folder, "stars")
         pairs = self.stars.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
         first = self._verified(self._checked(pairs, "star"), "star")
-        label = components(first, self.folder, "star_cc")
-        more = self._across(label)
-        second = self._verified(more.join(first.hint("merge"), ["a", "b"], "left_anti"), "across")
-        self.links = first.union(second)
+        # what the first comparison left apart meets other nodes of its keys' largest components
+        tested = self.stars.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")).distinct()
+        rows, _ = self._mixed(components(first, self.folder, "star_cc"), "spread")
+        spread = rows.repartition(self.width, "key").sortWithinPartitions("key").mapInArrow(spread_pairs, "a long, b long").distinct()
+        spread = written(spread.join(tested.hint("merge"), ["a", "b"], "left_anti"), self.folder, "spread_new")
+        second = self._verified(self._checked(spread, "spread"), "spread")
+        # and what is still apart is compared all with all
+        label = components(first.union(second), self.folder, "spread_cc")
+        third = self._verified(self._across(label).join(tested.union(spread).hint("merge"), ["a", "b"], "left_anti"), "across")
+        self.links = first.union(second).union(third)
         self.labels = components(self.links, self.folder, "cc")
 
     def _members(self) -> DataFrame:
@@ -311,22 +361,25 @@ class NgramJoin:
             pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("set").alias(f"set_{side}")).hint("merge"), side)
         return written(pairs.mapInArrow(verify_pairs, "a long, b long"), self.folder, f"{name}_links")
 
-    def _across(self, label: DataFrame) -> DataFrame:
-        """Pairs of nodes that share a key but no component yet, and that may link."""
+    def _mixed(self, label: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
+        """(key, node, comp) of the keys that several components share, and those keys with their rows."""
         member = self.stars.select("key", "node").union(self.stars.select("key", F.col("center").alias("node")).distinct())
         member = member.join(label.hint("merge"), "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        member = written(member, self.folder, "bucket_members")
+        member = written(member, self.folder, f"{name}_members")
         mixed = member.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high")
-        mixed = written(mixed.select("key", F.ceil(F.col("size") / BUCKET).alias("blocks")), self.folder, "mixed_keys")
-        rows = member.join(mixed.hint("merge"), "key").join(self.nodes.select("node", "n", "bits").hint("merge"), "node")
+        mixed = written(mixed.select("key", "size"), self.folder, f"{name}_keys")
+        return member.join(mixed.hint("merge"), "key", "left_semi"), mixed
+
+    def _across(self, label: DataFrame) -> DataFrame:
+        """Pairs of nodes that share a key but no component yet, and that may link."""
+        rows, mixed = self._mixed(label, "across")
+        rows = rows.join(mixed.hint("merge"), "key").join(self.nodes.select("node", "n", "bits").hint("merge"), "node")
         # a large bucket meets itself block by block: each member goes to the pairs its block is in
-        rows = rows.withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        rows = rows.withColumn("blocks", F.ceil(F.col("size") / BUCKET)).withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")))
         rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         rows = rows.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "comp", "n", "bits", "side")
         by_key = rows.repartition(self.width, "key", "i", "j").sortWithinPartitions("key", "i", "j")
-        pairs = by_key.mapInArrow(bucket_pairs, "a long, b long").distinct()
-        tested = self.stars.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")).distinct()
-        return pairs.join(tested.hint("merge"), ["a", "b"], "left_anti")
+        return by_key.mapInArrow(bucket_pairs, "a long, b long").distinct()
 
     def components(self) -> DataFrame:
         """(id, th, n, component) of each row: the smallest id that links lead to."""
