@@ -1 +1,255 @@
-"""Queries."""
+"""MIDI tables, feature frames, wide rows, shard reports and drift."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from chordgrid.functions import scalars as S
+from chordgrid.operators import dataset as D, drift, frames as FR, midi as M, notes as N, quality as Q
+from chordgrid.plans.catalog import query
+from chordgrid.plans.core_queries import grid_of, notes_of, sequences_of
+from chordgrid.plans.views import Views
+
+_r = lambda c, n=6: F.round(c, n).alias(c)
+
+
+def midi_events(v: Views) -> DataFrame:
+    """Driver events as a MIDI event table: a file for each user."""
+    rows = v.table("events").select(F.col("user_id").alias("file"), (F.col("event_id") % 3).cast("int").alias("track_no"), F.col("event_id").alias("msg_no"), F.floor("value").cast("int").alias("delta"), "event_type")
+    return rows.withColumn("is_on", F.col("event_type").isin("click", "view"))
+
+
+_MIDI = "mev AS (SELECT user_id AS file, CAST(event_id % 3 AS INT) AS track_no, event_id AS msg_no, CAST(floor(value) AS INT) AS delta, event_type, event_type IN ('click', 'view') AS is_on FROM events), mabs AS (SELECT *, CAST(sum(delta) OVER (PARTITION BY file, track_no ORDER BY msg_no) AS BIGINT) AS abs_tick FROM mev)"
+
+
+@query("w6_absolute_ticks", f"WITH {_MIDI} SELECT file, track_no, msg_no, abs_tick FROM mabs")
+def _(v):
+    return M.absolute_ticks(midi_events(v)).select("file", "track_no", "msg_no", "abs_tick")
+
+
+@query("w7_note_pairs", f"""WITH RECURSIVE {_MIDI}, r AS (SELECT *, row_number() OVER (PARTITION BY file, track_no ORDER BY msg_no) AS k FROM mabs),
+walk AS (SELECT file, track_no, 0 AS k, CAST([] AS STRUCT(m BIGINT, t BIGINT)[]) AS st, CAST(NULL AS BIGINT) AS on_msg, CAST(NULL AS BIGINT) AS on_t, CAST(NULL AS BIGINT) AS off_t FROM (SELECT DISTINCT file, track_no FROM mabs)
+UNION ALL SELECT w.file, w.track_no, r.k, CASE WHEN r.is_on THEN list_append(st, {{'m': r.msg_no, 't': r.abs_tick}}) ELSE st[1:len(st) - 1] END, CASE WHEN NOT r.is_on AND len(st) > 0 THEN st[len(st)].m END, CASE WHEN NOT r.is_on AND len(st) > 0 THEN st[len(st)].t END, CASE WHEN NOT r.is_on AND len(st) > 0 THEN r.abs_tick END
+FROM walk w JOIN r ON r.file = w.file AND r.track_no = w.track_no AND r.k = w.k + 1)
+SELECT m.file, m.track_no, m.msg_no, m.abs_tick AS on_tick, coalesce(w.off_t - w.on_t, 0) AS sustain FROM mabs m LEFT JOIN (SELECT * FROM walk WHERE on_msg IS NOT NULL) w ON w.file = m.file AND w.track_no = m.track_no AND w.on_msg = m.msg_no WHERE m.is_on""")
+def _(v):
+    return M.pair_notes(M.absolute_ticks(midi_events(v)), ["file", "track_no"], "abs_tick", "msg_no", "is_on")
+
+
+@query("w8_phrases", f"WITH {_MIDI} SELECT file, track_no, msg_no, s AS start, abs_tick - s AS length FROM (SELECT *, lag(is_on) OVER w AS p, lag(abs_tick) OVER w AS s FROM mabs WINDOW w AS (PARTITION BY file, track_no ORDER BY msg_no)) WHERE NOT is_on AND p")
+def _(v):
+    return M.pair_phrases(M.absolute_ticks(midi_events(v)), ["file", "track_no"], "abs_tick", "msg_no", "is_on")
+
+
+@query("f8_midi_scalars", "SELECT l_orderkey, l_linenumber, l_partkey, CAST(round_even(l_partkey * 192 / 480.0, 0) AS INT) AS tick, round_even(60000000 / CAST(300000 + l_partkey AS DOUBLE), 6) AS bpm FROM lineitem")
+def _(v):
+    return v.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", S.midi_tick(F.col("l_partkey"), F.lit(480.0)).alias("tick"), S.bpm_of_micros((300000 + F.col("l_partkey")).cast("double")).alias("bpm"))
+
+
+@query("f9_tempo_fallback", "SELECT song_id, tick, bpm FROM tempo UNION ALL SELECT DISTINCT song_id, 0, 120.0 FROM raw WHERE song_id NOT IN (SELECT song_id FROM tempo)", "raw", "tempo")
+def _(v):
+    return M.with_tempo_fallback(v.raw, v.tempo)
+
+
+def pooled_beats(v: Views) -> DataFrame:
+    """Ten-frame beats at 100 frames a second over the frame songs."""
+    top = v.frames.groupBy("song_id").agg(F.max("frame").alias("last"))
+    beats = top.select("song_id", F.explode(F.sequence(F.lit(0), F.floor(F.col("last") / 10).cast("int") + 1)).alias("beat"))
+    return beats.select("song_id", "beat", (F.col("beat") / 10.0).alias("time_s"), F.lit(0.1).alias("duration_s"))
+
+
+_BEATS = "pb AS (SELECT song_id, CAST(unnest(range(0, m // 10 + 2)) AS INT) AS beat FROM (SELECT song_id, max(frame) AS m FROM frames GROUP BY 1)), pw AS (SELECT song_id, beat, beat / 10.0::DOUBLE AS t, CAST(trunc(beat / 10.0::DOUBLE * 100) AS INT) AS a, CAST(trunc((beat / 10.0::DOUBLE + 0.1::DOUBLE) * 100) AS INT) + 1 AS b FROM pb)"
+
+
+@query("j4_frames_of_beats", _BEATS + " SELECT pw.song_id, beat, frame FROM pw JOIN frames f ON f.song_id = pw.song_id AND frame >= a AND frame < b", "frames")
+def _(v):
+    return FR.beat_frames(pooled_beats(v), v.frames, 100.0).select("song_id", "beat", "frame")
+
+
+@query("j5_exclusive_frames", _BEATS + " SELECT pw.song_id, beat, frame FROM pw JOIN frames f ON f.song_id = pw.song_id AND frame >= a AND frame < greatest(b - 1, a + 1)", "frames")
+def _(v):
+    return FR.beat_frames(pooled_beats(v), v.frames, 100.0, FR.exclusive_window).select("song_id", "beat", "frame")
+
+
+@query("a10_pooled_beats", _BEATS + ", fx AS (SELECT song_id, frame, CAST(generate_subscripts(vec, 1) - 1 AS INT) AS dim, CAST(unnest(vec) AS DOUBLE) AS x FROM frames) SELECT pw.song_id, beat, d.dim, round(coalesce(avg(x), 0), 6) AS m FROM pw, (SELECT CAST(unnest(range(64)) AS INT) AS dim) d LEFT JOIN fx ON fx.song_id = pw.song_id AND fx.dim = d.dim AND frame >= a AND frame < b GROUP BY ALL", "frames")
+def _(v):
+    return FR.pool_beats(pooled_beats(v), v.frames, 100.0, 64).select("song_id", "beat", F.posexplode("vec").alias("dim", "m")).withColumn("m", F.round("m", 6))
+
+
+@query("w12_resampled_beats", _BEATS + """, n AS (SELECT pw.song_id, beat, min(frame) AS f0, count(*) AS n FROM pw JOIN frames f ON f.song_id = pw.song_id AND frame >= a AND frame < b GROUP BY ALL),
+pt AS (SELECT *, j * (n - 1) / 3.0::DOUBLE AS x FROM n, (SELECT CAST(unnest(range(4)) AS INT) AS j))
+SELECT p.song_id, p.beat, p.j AS point, round(CAST(l.vec[1] AS DOUBLE) * (1 - (x - floor(x))) + CAST(h.vec[1] AS DOUBLE) * (x - floor(x)), 6) AS first_value FROM pt p JOIN frames l ON l.song_id = p.song_id AND l.frame = f0 + CAST(floor(x) AS INT) JOIN frames h ON h.song_id = p.song_id AND h.frame = f0 + least(CAST(floor(x) AS INT) + 1, n - 1)
+UNION ALL SELECT pw.song_id, pw.beat, CAST(unnest(range(4)) AS INT), 0.0 FROM pw ANTI JOIN n ON n.song_id = pw.song_id AND n.beat = pw.beat""", "frames")
+def _(v):
+    out = FR.resample_beats(pooled_beats(v), v.frames, 100.0, 4, 64)
+    return out.select("song_id", "beat", F.posexplode("grid").alias("point", "row")).select("song_id", "beat", "point", F.round(F.col("row")[0], 6).alias("first_value"))
+
+
+@query("a23_decibels", "p AS (SELECT song_id, frame, CAST(vec[1] AS DOUBLE) * CAST(vec[1] AS DOUBLE) AS x FROM frames) SELECT song_id, frame, round(greatest(10 * log10(greatest(x, 1e-10)) - 10 * log10(greatest(max(x) OVER (PARTITION BY song_id), 1e-10)), -80), 5) AS db FROM p", "frames")
+def _(v):
+    x = F.col("vec")[0].cast("double")
+    return FR.power_to_db(v.frames.select("song_id", "frame", (x * x).alias("x")), "song_id", "x").select("song_id", "frame", F.round("db", 5).alias("db"))
+
+
+def wide(v: Views) -> DataFrame:
+    n, grid = notes_of(v), grid_of(v)
+    meta = v.table("supplier").select(F.col("s_suppkey").alias("song_id"), F.col("s_name").alias("song_name"), F.concat(F.lit("Artist "), "s_nationkey").alias("artist"))
+    return D.build_rows(sequences_of(v), N.track_stats(n, grid), grid, v.specials, meta)
+
+
+@query("g8_wide_rows", """SELECT CAST(s.song_id AS VARCHAR) AS song_id, s.instrument, 'chart' AS source_format, CAST(len(tokens) AS INT) AS num_tokens, CAST(coalesce(nb, 0) AS INT) AS num_beats, CAST(nn AS INT) AS num_notes, s_name AS song_name, CAST(NULL AS VARCHAR) AS genre, 192 AS resolution
+FROM seqs s JOIN (SELECT song_id, instrument, count(*) AS nn FROM notes GROUP BY ALL) USING (song_id, instrument) LEFT JOIN (SELECT song_id, count(*) AS nb FROM bt GROUP BY ALL) USING (song_id) LEFT JOIN supplier ON s_suppkey = s.song_id""", "seqs", "bt")
+def _(v):
+    return wide(v).select("song_id", "instrument", "source_format", "num_tokens", "num_beats", "num_notes", "song_name", "genre", "resolution")
+
+
+@query("c4_conform", "SELECT CAST(p_partkey AS VARCHAR) AS song_id, p_name AS song_name, TRY_CAST(p_type AS INT) AS year, p_size AS difficulty, CAST(NULL AS VARCHAR) AS artist FROM part")
+def _(v):
+    part = v.table("part").select(F.col("p_partkey").alias("song_id"), F.col("p_name").alias("song_name"), F.col("p_type").alias("year"), F.col("p_size").alias("difficulty"))
+    return D.conform(part).select("song_id", "song_name", "year", "difficulty", "artist")
+
+
+@query("k2_shards", "SELECT l_suppkey, l_orderkey, l_linenumber, CAST(floor(coalesce(sum(l_linenumber * (3072 + 16384) + l_partkey * 4 + 512) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 1000000) AS INT) AS shard FROM lineitem")
+def _(v):
+    rows = v.table("lineitem").withColumn("size", S.row_bytes(F.col("l_linenumber"), F.col("l_partkey"))).withColumn("at", F.struct("l_orderkey", "l_linenumber", "l_partkey"))
+    return D.with_shards(rows, "size", 1_000_000, "l_suppkey", "at").select("l_suppkey", "l_orderkey", "l_linenumber", "shard")
+
+
+@query("a7_dataset_stats", "SELECT instrument, count(*) AS rows, CAST(floor(avg(len(tokens))) AS BIGINT) AS mean_tokens FROM seqs GROUP BY 1", "seqs")
+def _(v):
+    return sequences_of(v).groupBy("instrument").agg(F.count("*").alias("rows"), F.floor(F.avg("num_tokens")).alias("mean_tokens"))
+
+
+@query("a8_run_counters", "x AS (SELECT CASE WHEN o_orderkey % 7 = 0 THEN 'ParseError: line ' || o_orderkey WHEN o_orderkey % 11 = 0 THEN 'IOError : disk' END AS error, o_custkey % 5 AS num_rows FROM orders) SELECT CASE WHEN error IS NOT NULL THEN 'failed' WHEN num_rows = 0 THEN 'skipped' ELSE 'ok' END AS status, trim(split_part(error, ':', 1)) AS bucket, count(*) AS songs, CAST(sum(num_rows) AS BIGINT) AS rows FROM x GROUP BY ALL".replace("x AS (", "WITH x AS (", 1))
+def _(v):
+    k = F.col("o_orderkey")
+    error = F.when(k % 7 == 0, F.concat(F.lit("ParseError: line "), k)).when(k % 11 == 0, F.lit("IOError : disk"))
+    rows = v.table("orders").select(error.alias("error"), (F.col("o_custkey") % 5).alias("num_rows"))
+    return D.status_of(rows).groupBy("status", "bucket").agg(F.count("*").alias("songs"), F.sum("num_rows").alias("rows"))
+
+
+@query("j6_preferred_files", "WITH f AS (SELECT l_suppkey AS song_id, ['guitar', 'song', 'drums', 'bass'][CAST(l_partkey % 4 + 1 AS INT)] AS base, ['ogg', 'mp3', 'wav'][CAST(l_orderkey % 3 + 1 AS INT)] AS ext FROM lineitem WHERE l_linenumber = 7), p AS (SELECT 'guitar' AS instrument, 'guitar' AS base, 0 AS br UNION ALL SELECT 'guitar', 'song', 1 UNION ALL SELECT 'bass', 'bass', 0 UNION ALL SELECT 'bass', 'song', 1), e AS (SELECT 'ogg' AS ext, 0 AS er UNION ALL SELECT 'wav', 1) SELECT song_id, instrument, min_by(base || '.' || ext, br * 10 + er) AS path FROM (SELECT s_suppkey AS song_id, i AS instrument FROM supplier, (SELECT unnest(['guitar', 'bass']) AS i)) LEFT JOIN (SELECT * FROM f JOIN p USING (base) JOIN e USING (ext)) USING (song_id, instrument) GROUP BY ALL")
+def _(v):
+    pick = lambda names, i: F.element_at(F.array(*[F.lit(n) for n in names]), (i + 1).cast("int"))
+    files = v.table("lineitem").where("l_linenumber = 7").select(F.col("l_suppkey").alias("song_id"), pick(["guitar", "song", "drums", "bass"], F.col("l_partkey") % 4).alias("base"), pick(["ogg", "mp3", "wav"], F.col("l_orderkey") % 3).alias("ext"))
+    files = files.withColumn("path", F.concat_ws(".", "base", "ext"))
+    pref = v.spark.createDataFrame([(i, b, r, x, y) for i in ("guitar", "bass") for b, r in ((i, 0), ("song", 1)) for x, y in (("ogg", 0), ("wav", 1))], "instrument string, base string, base_rank int, ext string, ext_rank int")
+    wanted = v.table("supplier").select(F.col("s_suppkey").alias("song_id"), F.explode(F.array(F.lit("guitar"), F.lit("bass"))).alias("instrument"))
+    return D.preferred_files(wanted, files, pref)
+
+
+@query("j7_dedicated_stems", "SELECT s_suppkey AS song_id, s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_linenumber = 7 AND l_partkey % 4 = 0) AS has_stem FROM supplier")
+def _(v):
+    stems = v.table("lineitem").where("l_linenumber = 7 and l_partkey % 4 = 0").select(F.col("l_suppkey").alias("s_suppkey")).distinct().withColumn("x", F.lit(True))
+    return v.table("supplier").join(stems, "s_suppkey", "left").select(F.col("s_suppkey").alias("song_id"), F.coalesce("x", F.lit(False)).alias("has_stem"))
+
+
+@query("j8_pending", "SELECT o_orderkey AS path FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'A')")
+def _(v):
+    done = v.table("lineitem").where("l_returnflag = 'A'").select(F.col("l_orderkey").alias("path"))
+    return D.pending(v.table("orders").select(F.col("o_orderkey").alias("path")), done)
+
+
+@query("p5_prefer_chart", "SELECT l_suppkey AS song_id, CASE l_returnflag WHEN 'A' THEN 'chart' ELSE 'midi' END AS format, l_orderkey AS path FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey ORDER BY CASE l_returnflag WHEN 'A' THEN 0 ELSE 1 END, l_orderkey) = 1")
+def _(v):
+    rows = v.table("lineitem").select(F.col("l_suppkey").alias("song_id"), F.when(F.col("l_returnflag") == "A", "chart").otherwise("midi").alias("format"), F.col("l_orderkey").alias("path"))
+    return D.prefer_formats(rows, {"chart": 0, "midi": 1})
+
+
+@query("p10_difficulty_pick", "SELECT c_custkey, i AS instrument, CAST(CASE i WHEN 'guitar' THEN c_custkey % 7 ELSE c_nationkey % 7 END AS INT) AS difficulty FROM customer, (SELECT unnest(['guitar', 'bass']) AS i)")
+def _(v):
+    rows = v.table("customer").withColumn("diffs", F.create_map(F.lit("guitar"), (F.col("c_custkey") % 7).cast("int"), F.lit("bass"), (F.col("c_nationkey") % 7).cast("int")))
+    return rows.select("c_custkey", F.explode("diffs").alias("instrument", "difficulty"))
+
+
+@query("p9_metadata_fallback", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '' WHEN c_custkey % 3 = 0 THEN c_name ELSE 'Unknown' END AS song_name FROM customer")
+def _(v):
+    k = F.col("c_custkey")
+    has_ini, ini, chart = k % 2 == 0, F.lit(""), F.when(k % 3 == 0, F.col("c_name"))
+    return v.table("customer").select("c_custkey", F.when(has_ini, ini).otherwise(F.coalesce(chart, F.lit("Unknown"))).alias("song_name"))
+
+
+@query("j10_schema_diff", "SELECT * FROM (VALUES ('n_chars', 'EXTRA', 'bigint', CAST(NULL AS VARCHAR)), ('lang', 'EXTRA', 'string', NULL), ('source', 'TYPE', 'string', 'int'), ('url', 'MISSING', NULL, 'string')) t(\"column\", issue, found, wanted)")
+def _(v):
+    wanted = v.spark.createDataFrame([("doc_id", "bigint"), ("text", "string"), ("source", "int"), ("url", "string")], "column string, type string")
+    return Q.schema_diff(Q.schema_rows(v.table("documents"), "documents"), wanted).select("column", "issue", "found", "wanted")
+
+
+@query("a9_schema_census")
+def _(v):
+    return Q.schema_census(Q.footer_schemas(v.spark, v.dir))
+
+
+@query("a20_null_census", "SELECT 'a' AS \"column\", count(*) FILTER (WHERE l_quantity < 10) AS nulls, count(*) FILTER (WHERE l_quantity < 10) / count(*) AS ratio FROM lineitem UNION ALL SELECT 'b', count(*) FILTER (WHERE l_discount > 0.05), count(*) FILTER (WHERE l_discount > 0.05) / count(*) FROM lineitem")
+def _(v):
+    rows = v.table("lineitem").select(F.when(F.col("l_quantity") >= 10, 1).alias("a"), F.when(F.col("l_discount") <= 0.05, 1).alias("b"))
+    return Q.null_census(rows, ["a", "b"])
+
+
+def nested(v: Views) -> DataFrame:
+    """Frames in beats of three, some of them damaged."""
+    vec = F.when(F.col("frame") % 7 == 3, F.slice("vec", 1, 5)).when(F.col("frame") % 11 == 5, F.lit(None)).otherwise(F.col("vec"))
+    return v.frames.groupBy("song_id", (F.col("frame") % 40).alias("row_id")).agg(F.transform(F.array_sort(F.collect_list(F.struct("frame", vec.alias("x")))), lambda e: e["x"]).alias("grid"))
+
+
+@query("f16_shape_issues", "d AS (SELECT song_id, frame % 40 AS row_id, CAST(row_number() OVER (PARTITION BY song_id, frame % 40 ORDER BY frame) - 1 AS INT) AS beat, frame FROM frames) SELECT song_id, row_id, beat, CASE WHEN frame % 7 = 3 THEN 'width 5' ELSE 'null row' END AS issue FROM d WHERE frame % 7 = 3 OR frame % 11 = 5", "frames")
+def _(v):
+    return Q.shape_issues(nested(v), ["song_id", "row_id"], "grid", 64)
+
+
+@query("w16_first_issues", "d AS (SELECT song_id, frame % 40 AS row_id, CAST(row_number() OVER (PARTITION BY song_id, frame % 40 ORDER BY frame) - 1 AS INT) AS beat, frame FROM frames), i AS (SELECT song_id, row_id, beat FROM d WHERE frame % 7 = 3 OR frame % 11 = 5) SELECT song_id, row_id, beat, CAST(row_number() OVER (PARTITION BY song_id ORDER BY row_id, beat) AS INT) AS rn FROM i QUALIFY rn <= 5", "frames")
+def _(v):
+    return Q.first_issues(Q.shape_issues(nested(v), ["song_id", "row_id"], "grid", 64), ["song_id"], ["row_id", "beat"], 5).select("song_id", "row_id", "beat", "rn")
+
+
+_NORM = "nx AS (SELECT label, vec_id, sqrt(list_sum(list_transform(embedding, lambda x: CAST(x AS DOUBLE) * CAST(x AS DOUBLE)))) AS x FROM embeddings)"
+
+
+@query("a11_norm_stats", f"WITH {_NORM} SELECT label, count(*) AS n, round(avg(x), 6) AS mean, round(stddev_pop(x), 6) AS std, round(quantile_cont(x, 0.05), 6) AS p5, round(quantile_cont(x, 0.95), 6) AS p95 FROM nx GROUP BY label")
+def _(v):
+    return drift.norm_stats(v.table("embeddings"), "label", "embedding").select("label", "n", *[_r(c) for c in ("mean", "std", "p5", "p95")])
+
+
+@query("f17_norms", f"WITH {_NORM} SELECT vec_id, round(x, 6) AS norm FROM nx")
+def _(v):
+    return v.table("embeddings").select("vec_id", F.round(S.l2_norm(F.col("embedding")), 6).alias("norm"))
+
+
+@query("a12_centroid_cosine", "WITH e AS (SELECT label, generate_subscripts(embedding, 1) AS d, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings), c AS (SELECT d, avg(x) FILTER (WHERE label = 0) AS a, avg(x) FILTER (WHERE label = 1) AS b FROM e GROUP BY d) SELECT round(sum(a * b) / (sqrt(sum(a * a)) * sqrt(sum(b * b)) + 1e-8), 6) AS cosine FROM c")
+def _(v):
+    return drift.centroid_cosine(v.table("embeddings"), "label", 0, 1, "embedding").select(_r("cosine"))
+
+
+@query("a13_ks_statistic", f"WITH {_NORM}, c AS (SELECT x, count(*) FILTER (WHERE label = 0) AS ca, count(*) FILTER (WHERE label = 1) AS cb FROM nx GROUP BY x), r AS (SELECT sum(ca) OVER () AS na, sum(cb) OVER () AS nb, sum(ca) OVER (ORDER BY x) AS ra, sum(cb) OVER (ORDER BY x) AS rb FROM c) SELECT CAST(na AS BIGINT) AS n_a, CAST(nb AS BIGINT) AS n_b, round(max(abs(ra / na - rb / nb)), 6) AS d FROM r GROUP BY ALL")
+def _(v):
+    norms = v.table("embeddings").select("label", S.l2_norm(F.col("embedding")).alias("x"))
+    return drift.ks_statistic(norms, "label", "x", 0, 1).select("n_a", "n_b", _r("d"))
+
+
+@query("a14_verdicts", "WITH c AS (SELECT l_orderkey, l_linenumber, l_partkey, 0.8 + l_discount * 2 AS cos, l_tax * 30 AS sh, l_quantity / 5000 AS p FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN cos >= 0.97 AND sh < 0.5 THEN 'compatible' WHEN p < 0.001 AND cos < 0.92 THEN 'incompatible' WHEN cos >= 0.90 AND sh < 1.5 THEN 'minor drift' WHEN cos >= 0.85 AND sh < 2.0 THEN 'major drift' ELSE 'incompatible' END AS verdict FROM c")
+def _(v):
+    found = drift.verdict(0.8 + F.col("l_discount") * 2, F.col("l_tax") * 30, F.col("l_quantity") / 5000)
+    return v.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", found.alias("verdict"))
+
+
+@query("j13_random_pairs")
+def _(v):
+    return drift.random_pairs(v.table("embeddings"), "label", "vec_id", 0, 1, 40, "embedding")
+
+
+@query("l7_sample_by_group", "SELECT label, least(count(*), 20) AS n FROM embeddings GROUP BY label")
+def _(v):
+    return drift.sample_by_group(v.table("embeddings"), "label", "vec_id", 20).groupBy("label").agg(F.count("*").alias("n"))
+
+
+@query("s14_shard_stats")
+def _(v):
+    return v.table("lineitem").groupBy(F.regexp_extract(F.col("_metadata.file_path"), "([^/]*)$", 1).alias("file")).agg(F.count("*").alias("rows"))
+
+
+@query("a22_size_label", "SELECT l_suppkey, CASE WHEN n < 100 THEN 'n<100' WHEN n < 500 THEN '100<n<500' WHEN n < 1000 THEN '500<n<1K' ELSE '1K<n' END AS size FROM (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1)")
+def _(v):
+    n = F.col("n")
+    label = F.when(n < 100, "n<100").when(n < 500, "100<n<500").when(n < 1000, "500<n<1K").otherwise("1K<n")
+    return v.table("lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n")).select("l_suppkey", label.alias("size"))

@@ -1 +1,188 @@
-"""Queries."""
+"""Splits, samples, batches and scores."""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from chordgrid.functions import scalars as S
+from chordgrid.operators import batching as B, codec, notes as N, scoring as SC
+from chordgrid.plans.catalog import query
+from chordgrid.plans.core_queries import grid_of, notes_of, sequences_of
+from chordgrid.plans.views import Views
+
+_r = lambda c, n=6: F.round(c, n).alias(c)
+
+
+@query("l4_stratified_split", "WITH s AS (SELECT l_returnflag AS instrument, count(*) AS n FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY 1) SELECT instrument, 'test' AS split, CAST(ceil(n * 0.2) AS BIGINT) AS n FROM s UNION ALL SELECT instrument, 'train', n - CAST(ceil(n * 0.2) AS BIGINT) FROM s")
+def _(v):
+    rows = v.table("lineitem").withColumnRenamed("l_returnflag", "instrument")
+    return B.stratified_split(rows, ["l_orderkey", "l_linenumber", "l_partkey"], strata=["A", "N"]).groupBy("instrument", "split").agg(F.count("*").alias("n"))
+
+
+@query("l5_hold_out_shards", "SELECT CAST(10 AS BIGINT) AS held, count(DISTINCT l_suppkey) - 10 AS kept, count(*) AS rows FROM lineitem")
+def _(v):
+    rows = B.hold_out_shards(v.table("lineitem"), "l_suppkey", 10)
+    return rows.agg(F.count_distinct(F.when(F.col("split") == "validation", F.col("l_suppkey"))).alias("held"), F.count_distinct(F.when(F.col("split") == "train", F.col("l_suppkey"))).alias("kept"), F.count("*").alias("rows"))
+
+
+@query("l6_equal_sample", "SELECT l_returnflag, least(count(*), 900 // (SELECT count(DISTINCT l_returnflag) FROM lineitem)) AS n FROM lineitem GROUP BY 1")
+def _(v):
+    return B.equal_sample(v.table("lineitem"), "l_returnflag", 900, ["l_orderkey", "l_linenumber", "l_partkey"]).groupBy("l_returnflag").agg(F.count("*").alias("n"))
+
+
+@query("l2_first_songs", "SELECT song_id FROM (SELECT DISTINCT l_suppkey AS song_id FROM lineitem) ORDER BY song_id LIMIT 20")
+def _(v):
+    return v.raw.select("song_id").distinct().orderBy("song_id").limit(20)
+
+
+@query("l3_shuffled", "SELECT o_orderkey, o_custkey FROM orders")
+def _(v):
+    return B.shuffled(v.table("orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], seed=7, shard="o_custkey")
+
+
+@query("l8_counts_descending", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL ORDER BY n DESC")
+def _(v):
+    return v.table("lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n")).orderBy(F.desc("n"))
+
+
+@query("u1_concatenation", "SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")
+def _(v):
+    a = v.table("customer").select(F.col("c_custkey").alias("id"), F.col("c_name").alias("name"), F.col("c_acctbal").alias("balance"))
+    return a.unionByName(v.table("supplier").select(F.col("s_suppkey").alias("id"), F.col("s_name").alias("name")), allowMissingColumns=True)
+
+
+@query("u3_first_occurrence", "SELECT l_partkey, l_suppkey, l_orderkey FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_partkey ORDER BY l_orderkey, l_linenumber, l_suppkey) = 1")
+def _(v):
+    rows = v.table("lineitem").withColumn("at", F.struct("l_orderkey", "l_linenumber", "l_suppkey"))
+    return B.first_occurrence(rows, ["l_partkey"], "at").select("l_partkey", "l_suppkey", "l_orderkey")
+
+
+@query("u4_intersection", "SELECT song_id, tick FROM notes WHERE instrument = 'guitar' INTERSECT SELECT song_id, tick FROM notes WHERE instrument = 'bass'", "notes")
+def _(v):
+    of = lambda i: notes_of(v).where(F.col("instrument") == i).select("song_id", "tick")
+    return of("guitar").intersect(of("bass"))
+
+
+@query("u5_difference", "SELECT o_custkey FROM orders EXCEPT SELECT o_custkey FROM orders WHERE o_orderstatus = 'F'")
+def _(v):
+    orders = v.table("orders")
+    return orders.select("o_custkey").subtract(orders.where("o_orderstatus = 'F'").select("o_custkey"))
+
+
+@query("p6_sane_rows", "SELECT song_id, instrument FROM (SELECT song_id, instrument, len(tokens) AS nt FROM seqs) JOIN (SELECT song_id, stddev_pop(CAST(bpm AS FLOAT)) AS sd, count(*) AS nb FROM grid GROUP BY 1) USING (song_id) WHERE sd < 45 AND nt < 420 AND nt >= 10 AND nb <= 1024", "seqs", "grid")
+def _(v):
+    stats = N.track_stats(notes_of(v), grid_of(v))
+    return B.sane(sequences_of(v).join(stats, ["song_id", "instrument"]), max_std=45.0, max_tokens=420).select("song_id", "instrument")
+
+
+@query("p7_truncated", "SELECT song_id, instrument, array_to_string(tokens[1:64], ',') AS tokens FROM seqs", "seqs")
+def _(v):
+    return sequences_of(v).select("song_id", "instrument", F.array_join(F.transform(F.slice("tokens", 1, 64), lambda x: x.cast("string")), ",").alias("tokens"))
+
+
+@query("f18_padded_batches", "b AS (SELECT song_id, instrument, tokens[1:300] AS t, (row_number() OVER (PARTITION BY instrument ORDER BY song_id) - 1) // 8 AS batch_id FROM seqs), m AS (SELECT *, max(len(t)) OVER (PARTITION BY instrument, batch_id) AS m FROM b) SELECT song_id, instrument, batch_id, CAST(m AS INT) AS width, CAST(len(t) AS BIGINT) AS real, CAST(t[len(t)] AS INT) AS last_real FROM m", "seqs")
+def _(v):
+    rows = B.padded_batches(sequences_of(v).select("song_id", "instrument", "tokens"), 8, "instrument", ["song_id"], longest=300)
+    real = F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x)
+    return rows.select("song_id", "instrument", "batch_id", F.size("tokens").alias("width"), real.alias("real"), F.element_at("tokens", real.cast("int")).alias("last_real"))
+
+
+@query("f11_conditioning", "SELECT song_id, beat, round(ln(greatest(bpm, 1) / 120), 6) AS log_bpm, round(ln(greatest(duration_s, 0.000001)), 6) AS log_duration, greatest(1, least(16, ts_num)) AS sig_num, CAST(greatest(0, least(4, floor(log2(ts_den)))) AS INT) AS sig_den FROM grid", "grid")
+def _(v):
+    cond = B.conditioning(F.col("bpm"), F.col("duration_s"), F.col("ts_num"), F.col("ts_den"))
+    return grid_of(v).select("song_id", "beat", F.round(cond["log_bpm"], 6).alias("log_bpm"), F.round(cond["log_duration"], 6).alias("log_duration"), cond["sig_num"].alias("sig_num"), cond["sig_den"].alias("sig_den"))
+
+
+@query("w14_top_k", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem QUALIFY rank() OVER (PARTITION BY l_orderkey ORDER BY l_quantity DESC) <= 2")
+def _(v):
+    return B.top_k(v.table("lineitem"), ["l_orderkey"], "l_quantity", 2).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@query("w15_top_p", "WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity / 10 AS x FROM lineitem), p AS (SELECT *, exp(x - max(x) OVER w) / sum(exp(x)) OVER w * exp(max(x) OVER w) AS q FROM l WINDOW w AS (PARTITION BY l_orderkey)), c AS (SELECT *, coalesce(sum(q) OVER (PARTITION BY l_orderkey ORDER BY q DESC, l_linenumber, l_partkey, l_suppkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS before FROM p) SELECT l_orderkey, l_linenumber, l_partkey FROM c WHERE before <= 0.85432")
+def _(v):
+    rows = v.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_quantity") / 10).alias("x"), F.struct("l_linenumber", "l_partkey", "l_suppkey").alias("at"))
+    return B.top_p(rows, ["l_orderkey"], "x", "at", 0.85432).select("l_orderkey", "l_linenumber", "l_partkey")
+
+
+@query("w13_best_target", "SELECT o_custkey, o_orderkey, d AS difficulty FROM (SELECT *, CAST(o_orderkey % 7 AS INT) AS d FROM orders) QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY CASE WHEN d >= 3 THEN 0 ELSE 3 - d END, o_orderkey) = 1")
+def _(v):
+    d = F.col("difficulty")
+    rows = v.table("orders").withColumn("difficulty", (F.col("o_orderkey") % 7).cast("int"))
+    rows = rows.withColumn("at", F.struct(F.when(d >= 3, 0).otherwise(3 - d).alias("prio"), "o_orderkey"))
+    return B.first_occurrence(rows, ["o_custkey"], "at").select("o_custkey", "o_orderkey", "difficulty")
+
+
+_SHIFT = "sh AS (SELECT seq_id, pos, pred, lead(label) OVER (PARTITION BY seq_id ORDER BY pos) AS label, logp, instrument, difficulty FROM preds), ok AS (SELECT * FROM sh WHERE label IS NOT NULL AND label <> 0)"
+
+
+@query("a17_token_metrics", _SHIFT + " SELECT instrument, count(*) AS n, round(avg(CASE WHEN pred = label THEN 1 ELSE 0 END), 6) AS accuracy, round(exp(avg(-logp)), 6) AS perplexity FROM ok GROUP BY 1", "preds")
+def _(v):
+    return SC.token_metrics(SC.shifted(v.preds), ["instrument"]).select("instrument", "n", _r("accuracy"), _r("perplexity"))
+
+
+@query("a18_breakdown", "k AS (SELECT *, CASE difficulty WHEN 0 THEN 'easy' WHEN 1 THEN 'medium' WHEN 2 THEN 'hard' ELSE 'expert' END AS level FROM preds WHERE label <> 0) SELECT CASE WHEN grouping(instrument) = 1 AND grouping(level) = 1 THEN 'total' WHEN grouping(level) = 1 THEN 'instrument' ELSE 'difficulty' END AS kind, coalesce(instrument, level, 'all') AS name, count(*) AS n, round(avg(CASE WHEN pred = label THEN 1 ELSE 0 END), 6) AS accuracy, round(exp(avg(-logp)), 6) AS perplexity FROM k GROUP BY GROUPING SETS ((), (instrument), (level))", "preds")
+def _(v):
+    return SC.breakdown(SC.shifted(v.preds, 0)).select("kind", "name", "n", _r("accuracy"), _r("perplexity"))
+
+
+def damaged(v: Views) -> DataFrame:
+    """A model's notes: every seventh tick moved to another lane, every eleventh missing."""
+    rows = notes_of(v).where("tick % 11 <> 3")
+    return rows.withColumn("lane_mask", F.when(F.col("tick") % 7 == 2, F.col("lane_mask") % 31 + 1).otherwise(F.col("lane_mask")))
+
+
+_DMG = "dm AS (SELECT song_id, instrument, tick, CASE WHEN tick % 7 = 2 THEN lane_mask % 31 + 1 ELSE lane_mask END AS lane_mask FROM notes WHERE tick % 11 <> 3)"
+
+
+@query("a15_note_f1", _DMG + ", s AS (SELECT n.song_id, n.instrument, count(d.tick) AS tp, count(*) AS n_target FROM notes n LEFT JOIN dm d USING (song_id, instrument, tick, lane_mask) GROUP BY ALL), p AS (SELECT song_id, instrument, count(*) AS n_pred FROM dm GROUP BY ALL), r AS (SELECT *, tp / n_pred AS precision, tp / n_target AS recall FROM s JOIN p USING (song_id, instrument)) SELECT song_id, instrument, tp, n_pred, n_target, round(precision, 6) AS precision, round(recall, 6) AS recall, round(CASE WHEN tp = 0 THEN 0 ELSE 2 * precision * recall / (precision + recall) END, 6) AS f1 FROM r", "notes")
+def _(v):
+    out = SC.note_f1(damaged(v), notes_of(v), ["song_id", "instrument"])
+    return out.select("song_id", "instrument", *[F.col(c).cast("long").alias(c) for c in ("tp", "n_pred", "n_target")], *[_r(c) for c in ("precision", "recall", "f1")])
+
+
+@query("a16_beat_accuracy", """sp AS (SELECT *, sum(CASE WHEN tok = 4 THEN 1 ELSE 0 END) OVER (PARTITION BY song_id, instrument ORDER BY pos) AS span FROM tok),
+a AS (SELECT song_id, instrument, span, list_sort(list(DISTINCT tok) FILTER (WHERE tok BETWEEN 57 AND 87 OR tok BETWEEN 92 AND 122)) AS s FROM sp GROUP BY ALL), b AS (SELECT song_id, instrument, span, list_sort(list(DISTINCT CASE WHEN tok = 60 THEN 61 ELSE tok END) FILTER (WHERE tok BETWEEN 57 AND 87 OR tok BETWEEN 92 AND 122)) AS s FROM sp GROUP BY ALL)
+SELECT song_id, instrument, count(*) AS spans, count(*) FILTER (WHERE coalesce(a.s, []) = coalesce(b.s, [])) AS equal, round(count(*) FILTER (WHERE coalesce(a.s, []) = coalesce(b.s, [])) / count(*), 6) AS accuracy FROM a JOIN b USING (song_id, instrument, span) GROUP BY ALL""", "tok")
+def _(v):
+    tokens = codec.exploded(sequences_of(v))
+    other = tokens.withColumn("tok", F.when(F.col("tok") == 60, 61).otherwise(F.col("tok")))
+    return SC.beat_accuracy(other, tokens, ["song_id", "instrument"]).select("song_id", "instrument", "spans", "equal", _r("accuracy"))
+
+
+@query("j12_first_difference", "SELECT song_id, instrument, CAST(count(*) AS BIGINT) AS n_a, CAST(count(*) AS BIGINT) AS n_b, count(*) FILTER (WHERE tok <> 60) AS common, min(pos) FILTER (WHERE tok = 60) AS first_diff FROM tok GROUP BY ALL", "tok")
+def _(v):
+    tokens = codec.exploded(sequences_of(v))
+    other = tokens.withColumn("tok", F.when(F.col("tok") == 60, 61).otherwise(F.col("tok")))
+    return SC.first_difference(other, tokens, ["song_id", "instrument"])
+
+
+@query("j11_count_comparison", "WITH a AS (SELECT CAST(floor(l_quantity) AS INT) % 8 AS pitch, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1), b AS (SELECT CAST(floor(l_quantity) AS INT) % 9 AS pitch, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1), f AS (SELECT pitch, coalesce(a.n, 0) AS n_a, coalesce(b.n, 0) AS n_b FROM a FULL JOIN b USING (pitch)) SELECT pitch, CAST(sum(n_a) AS BIGINT) AS n_a, CAST(sum(n_b) AS BIGINT) AS n_b FROM f GROUP BY ROLLUP (pitch)")
+def _(v):
+    of = lambda flag, m: v.table("lineitem").where(F.col("l_returnflag") == flag).select((F.floor("l_quantity").cast("int") % m).alias("pitch"))
+    return SC.compare_counts(of("A", 8), of("R", 9), "pitch")
+
+
+@query("x2_span_overlap", """WITH s AS (SELECT l_suppkey, l_orderkey * 40 AS a, l_orderkey * 40 + 10 + l_partkey % 25 AS b, l_orderkey * 40 + 5 AS c, l_orderkey * 40 + 8 + l_partkey % 30 AS d FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_orderkey ORDER BY l_linenumber, l_partkey) = 1)
+SELECT l_suppkey, CAST(sum(greatest(0, least(b, d) - greatest(a, c))) AS BIGINT) AS overlap, CAST(sum(b - a) AS BIGINT) AS total_a, CAST(sum(d - c) AS BIGINT) AS total_b, round(sum(greatest(0, least(b, d) - greatest(a, c))) / (sum(b - a) + sum(d - c) - sum(greatest(0, least(b, d) - greatest(a, c)))), 6) AS iou FROM s GROUP BY 1""")
+def _(v):
+    rows = B.first_occurrence(v.table("lineitem").withColumn("at", F.struct("l_linenumber", "l_partkey")), ["l_suppkey", "l_orderkey"], "at")
+    base = F.col("l_orderkey") * 40
+    a = rows.select("l_suppkey", base.alias("start"), (base + 10 + F.col("l_partkey") % 25).alias("stop"))
+    b = rows.select("l_suppkey", (base + 5).alias("start"), (base + 8 + F.col("l_partkey") % 30).alias("stop"))
+    return SC.span_overlap(a, b, ["l_suppkey"]).select("l_suppkey", "overlap", "total_a", "total_b", _r("iou"))
+
+
+@query("x5_curriculum", "SELECT song_id, instrument, CAST(ntile(4) OVER (PARTITION BY instrument ORDER BY sd, cr, song_id) AS INT) AS stage FROM (SELECT song_id, instrument, round(avg(CASE WHEN bit_count(lane_mask) > 1 THEN 1 ELSE 0 END), 6) AS cr FROM notes GROUP BY ALL) JOIN (SELECT song_id, round(stddev_pop(CAST(bpm AS FLOAT)), 4) AS sd FROM grid GROUP BY 1) USING (song_id)", "notes", "grid")
+def _(v):
+    from pyspark.sql import Window
+
+    stats = N.track_stats(notes_of(v), grid_of(v)).where("bpm_std is not null")
+    order = Window.partitionBy("instrument").orderBy(F.round("bpm_std", 4), F.round("chord_ratio", 6), "song_id")
+    return stats.select("song_id", "instrument", F.ntile(4).over(order).alias("stage"))
+
+
+@query("f12_ids", "SELECT l_orderkey, l_linenumber, l_partkey, CASE l_returnflag WHEN 'A' THEN 6 WHEN 'N' THEN 7 ELSE 6 END AS header, CASE CAST(l_partkey % 5 AS INT) WHEN 0 THEN 'easy' WHEN 1 THEN 'medium' WHEN 2 THEN 'hard' ELSE 'expert' END AS level FROM lineitem")
+def _(v):
+    name = F.when(F.col("l_returnflag") == "A", "guitar_hard").when(F.col("l_returnflag") == "N", "bass_ghl").otherwise("rhythm_easy")
+    return v.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", S.header_token(name).alias("header"), S.difficulty_label((F.col("l_partkey") % 5).cast("int")).alias("level"))
