@@ -140,7 +140,7 @@ class Mix:
         got = written(got, folder, "last_documents")
         mine = self.items.select("id", "source", "size", "m", "sno", "block").join(draws.hint("merge"), ["sno", "block"])
         mine = mine.join(got.withColumn("fits", F.lit(True)).hint("merge"), mine["id"].eqNullSafe(got["got_id"]) & (mine["sno"] == got["sno"]) & (mine["block"] == got["block"]) & (mine["size"] == got["got_size"]), "left")
-        mine = mine.where(~F.col("partial") | F.col("fits"))
+        mine = mine.where((F.col("size") > 0) & (~F.col("partial") | F.col("fits")))
         self.drawn = mine.select("id", "source", "size", "m", "shard", "pass", F.xxhash64(F.lit(seed), "shard", "pass", "id").alias("order"))
         self.draws = draws
 
