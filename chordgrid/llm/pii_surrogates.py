@@ -40,8 +40,8 @@ _ASSIGNED = re.compile(r"""(?i)\b(?:token|secret|password|passwd|api[_-]?key)\s*
 _IP = re.compile(r"(?<![\d.])(?:25[0-5]|2[0-4]\d|1?\d?\d)(?:\.(?:25[0-5]|2[0-4]\d|1?\d?\d)){3}(?![\d]|\.\d)")
 _IBAN = re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-9A-Z]{1,3})?(?![0-9A-Za-z])")
 _SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
-_CARD = re.compile(r"(?<![\d.+-])\d(?:[ -]?\d){12,18}(?![\d.-]?\d)")
-_PHONE = re.compile(r"(?<![\w.+])(?:\+\d{1,3}[ .-]?)?(?:\(\d{2,4}\)|\d{2,4})[ .-]\d{3,4}[ .-]?\d{3,4}(?:[ .-]?\d{2,4})?(?![\w-]|\.\d)|(?<!\w)\+\d{8,15}(?!\d)")
+_CARD = re.compile(r"(?<![\d.+-])\d(?:[ -]{0,2}\d){12,18}(?![\d.-]?\d)")
+_PHONE = re.compile(r"(?<![\w.+])(?:\+\d{1,3}[ .-]{0,3})?(?:\(\d{2,4}\)|\d{2,4})[ .-]{1,3}\d{3,4}[ .-]{0,3}\d{3,4}(?:[ .-]{1,3}\d{2,4})?(?![\w-]|\.\d)|(?<!\w)\+\d{8,15}(?!\d)")
 _NAME = re.compile(r"\b(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.?[  ]((?:[A-ZÀ-ÖØ-ÞА-Я][\w'-]+)(?:[  ][A-ZÀ-ÖØ-ÞА-Я][\w'-]+)?)")
 _DIGIT = re.compile(r"\d")
 
