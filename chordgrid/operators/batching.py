@@ -8,15 +8,37 @@ from pyspark.sql import functions as F
 STRATA = ["guitar", "bass", "drums"]
 
 
+#: Hash buckets of a group: only the bucket that holds the cut is ranked row by row.
+BUCKETS = 4096
+
+
+def first_by_hash(rows: DataFrame, group: list[str], key: list[str], quota: Column, seed: int = 0) -> DataFrame:
+    """rows with ``_first``: is the row among its group's first ``quota`` by a hash of its key? ``quota`` may
+    use ``_n``, the group's size.
+
+    Rows are counted by (group, hash bucket); running sums over the buckets tell which of them lie before
+    the cut. A bucket is small however large its group is, so no group is ranked in one task.
+    """
+    h = F.xxhash64(F.lit(seed), *key)
+    own = rows.withColumn("_h", h).withColumn("_b", F.pmod(F.shiftrightunsigned("_h", 40), F.lit(BUCKETS)))
+    sizes = own.groupBy(*group, "_b").agg(F.count("*").alias("_c"))
+    every = Window.partitionBy(*group)
+    sizes = sizes.withColumn("_n", F.sum("_c").over(every)).withColumn("_before", F.coalesce(F.sum("_c").over(every.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    plan = sizes.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_b").alias("_pb"), (quota - F.col("_before")).alias("_need"))
+    same = own["_b"] == plan["_pb"]
+    for i, g in enumerate(group):
+        same &= own[g].eqNullSafe(plan[f"_g{i}"])
+    rank = F.row_number().over(Window.partitionBy(*group, "_b").orderBy("_h", *key))
+    ranked = own.join(plan, same).withColumn("_first", rank <= F.col("_need"))
+    return ranked.select(*rows.columns, "_first")
+
+
 def stratified_split(rows: DataFrame, key: list[str], stratum: str = "instrument", share: float = 0.2, seed: int = 42, strata: list[str] = STRATA) -> DataFrame:
     """rows with ``split``: of each stratum the first share by hash is test, a group of one is train; rows
     of no stratum go."""
     own = rows.where(F.col(stratum).isin(*strata))
-    order = Window.partitionBy(stratum).orderBy(F.xxhash64(F.lit(seed), *key), *key)
-    size = own.groupBy(stratum).agg(F.count("*").alias("_n"))
-    ranked = own.withColumn("_rn", F.row_number().over(order)).join(F.broadcast(size), stratum)
-    test = (F.col("_n") > 1) & (F.col("_rn") <= F.ceil(F.col("_n") * share))
-    return ranked.withColumn("split", F.when(test, "test").otherwise("train")).drop("_rn", "_n")
+    quota = F.when(F.col("_n") > 1, F.ceil(F.col("_n") * share)).otherwise(0)
+    return first_by_hash(own, [stratum], key, quota, seed).withColumn("split", F.when(F.col("_first"), "test").otherwise("train")).drop("_first")
 
 
 def hold_out_shards(rows: DataFrame, shard: str, n: int, seed: int = 42) -> DataFrame:
@@ -28,10 +50,8 @@ def hold_out_shards(rows: DataFrame, shard: str, n: int, seed: int = 42) -> Data
 
 def equal_sample(rows: DataFrame, stratum: str, total: int, key: list[str], seed: int = 0) -> DataFrame:
     """total // strata rows of each stratum, or all it has."""
-    groups = rows.agg(F.count_distinct(stratum).alias("_g"))
-    order = Window.partitionBy(stratum).orderBy(F.xxhash64(F.lit(seed), *key), *key)
-    ranked = rows.withColumn("_rn", F.row_number().over(order)).withColumn("_k", F.lit(1)).join(F.broadcast(groups.withColumn("_k", F.lit(1))), "_k")
-    return ranked.where(F.col("_rn") <= F.floor(F.lit(total) / F.col("_g"))).drop("_rn", "_g", "_k")
+    strata = rows.select(stratum).distinct().count()
+    return first_by_hash(rows, [stratum], key, F.lit(total // max(strata, 1)), seed).where("_first").drop("_first")
 
 
 def shuffled(rows: DataFrame, key: list[str], seed: int, epoch: int = 0, shard: str | None = None) -> DataFrame:
@@ -49,10 +69,13 @@ def sane(rows: DataFrame, max_std: float = 5.0, max_tokens: int = 4096, min_toke
     return rows.where((F.col("bpm_std") < max_std) & (F.col("num_tokens") < max_tokens) & (F.col("num_tokens") >= min_tokens) & (F.col("num_beats") <= max_beats))
 
 
-def padded_batches(rows: DataFrame, batch: int, by: str, order: list[str], tokens: str = "tokens", longest: int = 1 << 20, pad: int = 0) -> DataFrame:
-    """rows with batch_id, tokens padded on the right to the batch's longest, and mask (1 token, 0 pad)."""
-    own = rows.withColumn(tokens, F.slice(tokens, 1, longest)).withColumn("batch_id", F.floor((F.row_number().over(Window.partitionBy(by).orderBy(*order)) - 1) / batch))
-    size = F.max(F.size(tokens)).over(Window.partitionBy(by, "batch_id"))
+def padded_batches(rows: DataFrame, batch: int, by: list[str], order: list[str], tokens: str = "tokens", longest: int = 1 << 20, pad: int = 0) -> DataFrame:
+    """rows with batch_id, tokens padded on the right to the batch's longest, and mask (1 token, 0 pad).
+
+    Batches are numbered within ``by``; name a shard there, so that no task numbers a whole dataset.
+    """
+    own = rows.withColumn(tokens, F.slice(tokens, 1, longest)).withColumn("batch_id", F.floor((F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1) / batch))
+    size = F.max(F.size(tokens)).over(Window.partitionBy(*by, "batch_id"))
     wide = own.withColumn("_m", size).withColumn("_n", F.size(tokens))
     return wide.withColumn("mask", F.concat(F.array_repeat(F.lit(1), F.col("_n")), F.array_repeat(F.lit(0), F.col("_m") - F.col("_n")))).withColumn(tokens, F.concat(tokens, F.array_repeat(F.lit(pad), F.col("_m") - F.col("_n")))).drop("_m", "_n")
 

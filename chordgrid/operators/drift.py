@@ -8,13 +8,13 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chordgrid.functions.scalars import cosine, l2_norm
+from chordgrid.operators.batching import first_by_hash
 from chordgrid.operators.frames import mean_vectors
 
 
 def sample_by_group(rows: DataFrame, group: str, key: str, n: int, seed: int = 0) -> DataFrame:
     """Up to n rows of each group, the first by a hash of their key."""
-    order = Window.partitionBy(group).orderBy(F.xxhash64(F.lit(seed), key), key)
-    return rows.withColumn("rn", F.row_number().over(order)).where(F.col("rn") <= n)
+    return first_by_hash(rows, [group], [key], F.lit(n), seed).where("_first").drop("_first")
 
 
 def norm_stats(rows: DataFrame, group: str, vec: str = "vec") -> DataFrame:

@@ -36,7 +36,7 @@ def schema_diff(found: DataFrame, wanted: DataFrame) -> DataFrame:
     """file, column, issue (MISSING / EXTRA / TYPE), found and wanted type; names of list items do not count."""
     plain = lambda c: F.regexp_replace(c, "element", "item")
     files = found.select("file").distinct()
-    want = files.withColumn("w", F.lit(1)).join(wanted.select(F.lit(1).alias("w"), "column", plain(F.col("type")).alias("wanted")), "w").drop("w")
+    want = files.withColumn("w", F.lit(1)).join(F.broadcast(wanted.select(F.lit(1).alias("w"), "column", plain(F.col("type")).alias("wanted"))), "w").drop("w")
     both = found.select("file", "column", plain(F.col("type")).alias("found")).join(want, ["file", "column"], "full")
     issue = F.when(F.col("found").isNull(), "MISSING").when(F.col("wanted").isNull(), "EXTRA").when(F.col("found") != F.col("wanted"), "TYPE")
     return both.withColumn("issue", issue).where("issue is not null")

@@ -83,7 +83,7 @@ def _(v):
 
 @query("f18_padded_batches", "b AS (SELECT song_id, instrument, tokens[1:300] AS t, (row_number() OVER (PARTITION BY instrument ORDER BY song_id) - 1) // 8 AS batch_id FROM seqs), m AS (SELECT *, max(len(t)) OVER (PARTITION BY instrument, batch_id) AS m FROM b) SELECT song_id, instrument, batch_id, CAST(m AS INT) AS width, CAST(len(t) AS BIGINT) AS real, CAST(t[len(t)] AS INT) AS last_real FROM m", "seqs")
 def _(v):
-    rows = B.padded_batches(sequences_of(v).select("song_id", "instrument", "tokens"), 8, "instrument", ["song_id"], longest=300)
+    rows = B.padded_batches(sequences_of(v).select("song_id", "instrument", "tokens"), 8, ["instrument"], ["song_id"], longest=300)
     real = F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x)
     return rows.select("song_id", "instrument", "batch_id", F.size("tokens").alias("width"), real.alias("real"), F.element_at("tokens", real.cast("int")).alias("last_real"))
 
