@@ -31,7 +31,7 @@ from pyspark.sql import types as T
 
 from chordgrid.llm import countmin
 from chordgrid.llm.components import components
-from chordgrid.llm.shared import fresh, shuffle_width, sized_hint, work_folder, written
+from chordgrid.llm.shared import files_for, fresh, shuffle_width, sized_hint, work_folder, written
 from chordgrid.llm.words import LOWER, NOT_SPACE, Words, mix, pieces, text_bytes, whole, windows
 
 SHINGLE = 5
@@ -303,15 +303,17 @@ class NgramJoin:
         first = self._verified(self._checked(pairs, "star"), "star")
         # what the first comparison left apart meets other nodes of its keys' largest components
         tested = self.stars.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")).distinct()
-        rows, _ = self._mixed(components(first, self.folder, "star_cc"), "spread")
+        label = components(first, self.folder, "star_cc")
+        rows, _ = self._mixed(label, "spread")
         spread = rows.repartition(self.width, "key").sortWithinPartitions("key").mapInArrow(spread_pairs, "a long, b long").distinct()
         spread = written(spread.join(tested.hint("merge"), ["a", "b"], "left_anti"), self.folder, "spread_new")
         second = self._verified(self._checked(spread, "spread"), "spread")
         # and what is still apart is compared all with all
-        label = components(first.union(second), self.folder, "spread_cc")
+        if not second.isEmpty():
+            label = components(first.union(second), self.folder, "spread_cc")
         third = self._verified(self._across(label).join(tested.union(spread).hint("merge"), ["a", "b"], "left_anti"), "across")
         self.links = first.union(second).union(third)
-        self.labels = components(self.links, self.folder, "cc")
+        self.labels = label if third.isEmpty() else components(self.links, self.folder, "cc")
 
     def _members(self) -> DataFrame:
         size = self.texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -346,8 +348,9 @@ class NgramJoin:
     def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs that link, by their whole sets."""
         pairs = written(pairs.select("a", "b"), self.folder, f"{name}_pairs")
+        files = files_for(2 * pairs.count())
         needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
-        needed = written(self.nodes.join(needed.hint("merge"), "node", "left_semi").select("node", F.col("id").alias("n_id"), F.col("th").alias("n_th")), self.folder, f"{name}_needed")
+        needed = written(self.nodes.join(needed.hint("merge"), "node", "left_semi").select("node", F.col("id").alias("n_id"), F.col("th").alias("n_th")), self.folder, f"{name}_needed", files)
         same = self.texts["id"].eqNullSafe(needed["n_id"]) & (self.texts["th"] == needed["n_th"])
         texts = self.texts.join(needed.hint(sized_hint(needed)), same).select("node", "text")
 

@@ -23,11 +23,20 @@ def work_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame, folder: str, name: str) -> DataFrame:
+#: Rows of two numbers for one file.
+FILE_ROWS = 1_000_000
+
+
+def files_for(rows: int) -> int:
+    """How many files and tasks a narrow table of so many rows is worth."""
+    return max(8, -(-rows // FILE_ROWS))
+
+
+def written(df: DataFrame, folder: str, name: str, files: int | None = None) -> DataFrame:
     """``df`` written as Parquet in the shared folder and read back: cuts the lineage, survives lost
-    executors, and gives later joins true sizes."""
+    executors, and gives later joins true sizes. ``files``: at most so many, for tables known to be small."""
     path = f"{folder}/{name}"
-    df.write.parquet(path)
+    (df.coalesce(files) if files else df).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
