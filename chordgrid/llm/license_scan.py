@@ -155,7 +155,7 @@ class LicenseScan:
         spans = merged.where(F.col("votes") >= MIN_VOTES * F.col("grams")).groupBy("id", "th").agg(F.collect_list(F.struct("template", "start", "stop", "t_start", "t_stop")).alias("spans"))
         spans = written(spans.withColumnsRenamed({"id": "s_id", "th": "s_th"}), folder, "spans")
         same = texts["id"].eqNullSafe(spans["s_id"]) & (texts["th"] == spans["s_th"])
-        found = texts.join(spans.hint(sized_hint(spans)), same).select("id", "th", "text", "spans")
+        found = texts.join(spans.hint(sized_hint(spans, "spans")), same).select("id", "th", "text", "spans")
         made = T.StructType([field, T.StructField("th", long), T.StructField("label", T.StringType()), T.StructField("start", int_), T.StructField("stop", int_), T.StructField("match", T.DoubleType())])
         self.spans = written(found.mapInArrow(verify_spans, made), folder, "verified")
 

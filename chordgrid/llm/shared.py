@@ -69,11 +69,12 @@ def ascii_lower(text: Column) -> Column:
     return F.translate(text, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
-#: Key tables up to this many rows (some tens of MB at most) may be broadcast.
-BROADCAST_ROWS = 400_000
+#: Key tables up to this many rows, list items included, may be broadcast (some tens of MB at most).
+BROADCAST_ROWS = 1_000_000
 
 
-def sized_hint(keys: DataFrame) -> str:
-    """The join hint for a small side that has been written out: its rows are counted; above the bound
-    the join shuffles."""
-    return "broadcast" if keys.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else "shuffle_hash"
+def sized_hint(keys: DataFrame, lists: str | None = None) -> str:
+    """The join hint for a small side that has been written out: its rows, and the items of its list
+    column, are counted; above the bound the join shuffles."""
+    size = F.sum(F.size(lists) + 1) if lists else F.count("*")
+    return "broadcast" if (keys.agg(size).first()[0] or 0) <= BROADCAST_ROWS else "shuffle_hash"

@@ -159,7 +159,7 @@ def covered_spans(texts: DataFrame, folder: str) -> DataFrame:
 
     keys = open_runs.withColumnsRenamed({"id": "o_id", "th": "o_th"})
     same = texts["id"].eqNullSafe(keys["o_id"]) & (texts["th"] == keys["o_th"])
-    needed = texts.join(keys.hint(sized_hint(keys)), same).select("id", "th", "text", "runs")
+    needed = texts.join(keys.hint(sized_hint(keys, "runs")), same).select("id", "th", "text", "runs")
     made = T.StructType([field, T.StructField("th", long), T.StructField("start", int_), T.StructField("w1", long), T.StructField("w2", long)])
     seen = written(needed.mapInArrow(window_rows, made), folder, "windows")
     earliest = written(seen.groupBy("w1", "w2").agg(F.min("id").alias("f_id"), F.count("*").alias("n")).where("n > 1").select("w1", "w2", "f_id"), folder, "first_windows")
