@@ -120,7 +120,10 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     base = written(base.select("id", "host", "path", *[c.cast("double").alias(n) for n, c in own.items()]), folder, "measures")
 
     marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("l_id")).agg(F.avg(label_col).alias("target"))
-    train = base.join(marks.hint("merge"), base["id"] == marks["l_id"]).orderBy(F.xxhash64("id"), *names).limit(max_train).select("target", *names).toPandas()
+    marked = written(base.join(marks.hint("merge"), base["id"] == marks["l_id"]).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("h"), "target", *names), folder, "labelled")
+    # a cut on the hash first: then no task sends the driver more than its share of the sample
+    cut = int((1 << 40) * min(1.0, 1.2 * max_train / max(marked.count(), 1)))
+    train = marked.where(F.col("h") < cut).orderBy("h", *names).limit(max_train).select("target", *names).toPandas()
     model = Regression.fit(train[names].to_numpy(float), train["target"].to_numpy(float), names)
 
     scored = written(base.select("id", "host", "path", F.round(sigmoid(model.logit()), 9).alias("e")), folder, "evidence")
