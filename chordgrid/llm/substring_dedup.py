@@ -8,7 +8,8 @@ anchor it puts below 2 is unique. Pass 2 emits only runs estimated repeated and
 * equal runs (128-bit hash of all their windows) are grouped first; each but the earliest document's
   copy is covered as a whole;
 * where different runs share an anchor, the windows of each distinct run's earliest copy are grouped
-  by their own 128-bit hashes.
+  by their own 128-bit hashes; what the earliest copy loses, all copies that are not covered as a whole
+  lose at the same places.
 
 The sketch has a bounded size; a fuller one lets more runs through and loses none.
 """
@@ -134,37 +135,40 @@ def covered_spans(texts: DataFrame, folder: str) -> DataFrame:
     # equal runs: the earliest copy, by id, then place; a null id comes last
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "start")
     first = written(runs.groupBy("r1", "r2", "anchor", "size").agg(F.min(place).alias("f")).select("r1", "r2", "anchor", "size", "f.id", "f.th", "f.start"), folder, "first_runs")
-    copies = runs.join(first.select("r1", "r2", F.col("id").alias("f_id")).hint("merge"), ["r1", "r2"])
     later = F.col("f_id").isNotNull() & (F.col("id").isNull() | (F.col("f_id") < F.col("id")))
-    whole_runs = copies.where(later).select("id", "th", "start", "size")
 
     # anchors that different runs share: compare the windows of their earliest copies
     shared = first.groupBy("anchor").agg(F.count("*").alias("n")).where("n > 1").select("anchor")
-    open_runs = written(first.join(shared.hint("merge"), "anchor", "left_semi").groupBy("id", "th").agg(F.collect_list(F.struct("start", "size")).alias("runs")), folder, "open_runs")
+    open_runs = first.join(shared.hint("merge"), "anchor", "left_semi").groupBy("id", "th").agg(F.collect_list(F.struct("start", "size", "r1", "r2")).alias("runs"))
+    open_runs = written(open_runs, folder, "open_runs")
 
     def window_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for piece in pieces(batches, "text"):
             runs = Runs(piece.column("text"))
-            rows, places = [], []
-            for i, some in enumerate(piece.column("runs").to_pylist()):
-                for r in some:
-                    places.append(np.arange(r["start"], r["start"] + r["size"]))
-                    rows.append(np.full(r["size"], i))
-            at, row = np.concatenate(places), np.concatenate(rows)
-            index = at + runs.words.first[row]
-            row = pa.array(row)
+            of = piece.column("runs")
+            held = of.flatten()
+            start, size, r1, r2 = (np.asarray(held.field(c)) for c in ("start", "size", "r1", "r2"))
+            row = np.repeat(np.arange(len(of)), np.asarray(of.value_lengths()))
+            run = np.repeat(np.arange(len(size)), size)
+            place = np.arange(len(run)) - np.repeat(np.cumsum(size) - size, size)
+            index = runs.words.first[row[run]] + start[run] + place
             yield pa.record_batch(
-                [piece.column("id").take(row), piece.column("th").take(row), pa.array(at.astype(np.int32)), *(pa.array(runs.window_hashes(lane)[index].view(np.int64)) for lane in (0, 1))],
-                ["id", "th", "start", "w1", "w2"])
+                [piece.column("id").take(pa.array(row[run])), *(pa.array(x[run]) for x in (r1, r2)), pa.array(place.astype(np.int32)), *(pa.array(runs.window_hashes(lane)[index].view(np.int64)) for lane in (0, 1))],
+                ["id", "r1", "r2", "place", "w1", "w2"])
 
     keys = open_runs.withColumnsRenamed({"id": "o_id", "th": "o_th"})
     same = texts["id"].eqNullSafe(keys["o_id"]) & (texts["th"] == keys["o_th"])
-    needed = texts.join(keys.hint(sized_hint(keys, "runs")), same).select("id", "th", "text", "runs")
-    made = T.StructType([field, T.StructField("th", long), T.StructField("start", int_), T.StructField("w1", long), T.StructField("w2", long)])
+    needed = texts.join(keys.hint(sized_hint(keys, "runs")), same).select("id", "text", "runs")
+    made = T.StructType([field, T.StructField("r1", long), T.StructField("r2", long), T.StructField("place", int_), T.StructField("w1", long), T.StructField("w2", long)])
     seen = written(needed.mapInArrow(window_rows, made), folder, "windows")
     earliest = written(seen.groupBy("w1", "w2").agg(F.min("id").alias("f_id"), F.count("*").alias("n")).where("n > 1").select("w1", "w2", "f_id"), folder, "first_windows")
-    single = seen.join(earliest.hint("merge"), ["w1", "w2"]).where(later).select("id", "th", "start", F.lit(1).alias("size"))
-    return whole_runs.unionByName(single)
+    hits = seen.join(earliest.hint("merge"), ["w1", "w2"]).where(later).groupBy("r1", "r2").agg(F.collect_set("place").alias("hits"))
+
+    # each copy of a run goes as a whole, or loses the windows that its earliest copy loses: its id is the same
+    known = written(first.select("r1", "r2", F.col("id").alias("f_id")).join(hits.hint("merge"), ["r1", "r2"], "left"), folder, "known_runs")
+    copies = runs.join(known.hint("merge"), ["r1", "r2"])
+    spans = F.when(later, F.array(F.struct("start", "size"))).otherwise(F.transform("hits", lambda x: F.struct((F.col("start") + x).alias("start"), F.lit(1).alias("size"))))
+    return copies.select("id", "th", F.explode(spans).alias("s")).select("id", "th", "s.start", "s.size")
 
 
 def cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -300,6 +300,20 @@ def test_substrings_with_a_full_sketch(spark, data, monkeypatch):
     assert table(substring_dedup.removed_words(corpus.frame(spark, data)), "doc_id", "n_words", "n_removed", "kept_sha256") == plain_substrings(data)
 
 
+def test_all_copies_of_a_run_lose_windows(spark):
+    rng = random.Random(4)
+    some = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    t, passage, around, left, right = some(60), some(60), some(40), some(70), some(70)
+    last = 10**6  # stands for a null id: rows without an id take nothing from each other
+    data = [(5, t), (10, " ".join([t] * 4)), (11, " ".join([around, passage, around])), (12, " ".join([left, passage, right, left, passage, right]))]
+    data += [(20, some(60) + " " + t + " " + some(60)), (last, f"{left} {t} {right} {some(9)}"), (last, f"{some(9)} {left} {t} {right}"), (last, f"{left} {t} {right}")]
+    data = [(i, x, "en", "s", 0) for i, x in data]
+    want = plain_substrings(data)
+    assert {k[0]: k[2] for k in want}[10] == 240 and {k[0]: k[2] for k in want}[12] > 100
+    docs = corpus.frame(spark, [(None if r[0] == last else r[0], *r[1:]) for r in data])
+    assert table(substring_dedup.removed_words(docs), "doc_id", "n_words", "n_removed", "kept_sha256") == Counter({(None if k[0] == last else k[0], *k[1:]): n for k, n in want.items()})
+
+
 # -- 8 mixing
 
 def test_targets_share_all_words(spark):
