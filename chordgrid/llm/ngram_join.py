@@ -384,14 +384,25 @@ class NgramJoin:
         by_key = rows.repartition(self.width, "key", "i", "j").sortWithinPartitions("key", "i", "j")
         return by_key.mapInArrow(bucket_pairs, "a long, b long").distinct()
 
+    def class_components(self) -> DataFrame:
+        """(node, id, th, comp) of each class: its first row, and the node that names its component."""
+        of = self.classes.select("node", "id", "th").join(self.labels.hint("merge"), "node", "left")
+        return written(of.select("node", "id", "th", F.coalesce("comp", "node").alias("comp")), self.folder, "class_comp")
+
     def components(self) -> DataFrame:
         """(id, th, n, component) of each row: the smallest id that links lead to."""
-        of = self.classes.select("node", "id").join(self.labels.hint("merge"), "node", "left").select("node", "id", F.coalesce("comp", "node").alias("comp"))
-        of = written(of, self.folder, "class_comp")
+        of = self.class_components()
         least = of.groupBy("comp").agg(F.min("id").alias("component"))
         of = written(of.join(least.hint("merge"), "comp").select(F.col("node").alias("k1"), "component"), self.folder, "class_component")
         return self.members.join(of.hint("merge"), "k1", "left").select("id", "th", "n", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component"))
 
+    def first_rows(self) -> DataFrame:
+        """(id, th) of the row with the smallest id of each component, a null id last, and of all rows
+        without a shingle."""
+        first = self.class_components().groupBy("comp").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("r"))
+        bare = self.members.where("n = 0").select("id", "th").distinct()
+        return written(first.select("r.id", "r.th").unionByName(bare), self.folder, "stay")
+
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id.
@@ -405,12 +416,11 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 
 
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that stay, unchanged: of each component the row with the smallest id, and all rows
-    without a shingle."""
+    """The rows of docs that stay, unchanged: of each component the row with the smallest id (a null id
+    is larger than any other), and all rows without a shingle. Rows with one id and one text stay or go
+    together; rows that only repeat an id, or lack one, stay or go each with its own component."""
     a, b, own = fresh(docs, "_near_id", "_near_th", "_own_th")
-    found = NgramJoin(docs, id_col, text_col)
-    one = found.components().where(F.col("id").eqNullSafe(F.col("component"))).groupBy("id", "component").agg(F.min("th").alias("th"), F.collect_set(F.when(F.col("n") == 0, F.col("th"))).alias("bare"))
-    keep = written(one.select(F.col("id").alias(a), F.explode(F.array_union(F.array("th"), "bare")).alias(b)), found.folder, "stay")
+    keep = NgramJoin(docs, id_col, text_col).first_rows().select(F.col("id").alias(a), F.col("th").alias(b))
     rows = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     same = rows[id_col].eqNullSafe(keep[a]) & (rows[own] == keep[b])
     return rows.join(keep.hint("shuffle_hash"), same, "left_semi").select(*docs.columns)

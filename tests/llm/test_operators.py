@@ -273,6 +273,18 @@ def test_dropping_near_copies(docs, data):
     assert {r["doc_id"] for r in out.collect()} == want
 
 
+def test_unlinked_rows_under_one_id_all_stay(spark):
+    rng = random.Random(8)
+    some = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
+    near = some(100)
+    linked = [(4, near), (9, near + " tail"), (None, near + " other tail")]
+    lone = [(None, some(30)), (None, some(40)), (None, some(50)), (7, some(30)), (7, some(40)), (None, ""), (7, None), (7, " ")]
+    nameless = [(None, x) for x in ("a b c d e " + some(80),)]
+    docs = corpus.frame(spark, [(i, x, "en", "s", 0) for i, x in linked + lone + nameless])
+    out = table(ngram_join.drop_near_copies(docs), "doc_id", "text")
+    assert out == Counter([linked[0], *lone, *nameless])
+
+
 # -- 9 substring dedup
 
 def plain_substrings(data):
