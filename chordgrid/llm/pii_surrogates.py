@@ -116,28 +116,37 @@ def alike(text: str, draw: Stream, hexadecimal: bool = False) -> str:
 
 
 def surrogate(kind: str, value: str, attempt: int) -> str:
-    """The surrogate's normal form."""
-    draw = Stream(kind, value, attempt)
+    """The surrogate's normal form. Every third attempt widens the space that it is drawn from (a longer
+    value; for addresses another range, then IPv6), so that any number of entities find one."""
+    draw, more = Stream(kind, value, attempt), attempt // 3
     if kind == "email":
         local, _, domain = value.partition("@")
         host, _, top = domain.rpartition(".")
-        return f"{alike(local, draw)}@{alike(host, draw)}.{top}"
+        return f"{alike(local + 'x' * more, draw)}@{alike(host, draw)}.{top}"
     if kind == "ip":
         private = re.match(r"10\.|127\.|192\.168\.|172\.(1[6-9]|2\d|3[01])\.", value)
+        if more > 1:
+            # unique local addresses for private ones, the documentation range for others
+            groups = ["fd00" if private else "2001", *([] if private else ["db8"])]
+            return ":".join([*groups, *(f"{draw.below(65536):x}" for _ in range(8 - len(groups)))])
         head = private[0].rstrip(".").split(".") if private else [str(1 + draw.below(223))]
+        if private and more:
+            head = ["10"]
         return ".".join([*head, *(str(1 + draw.below(254)) for _ in range(4 - len(head)))])
     if kind in ("phone", "ssn"):
         keep = 1 if kind == "phone" else 0
-        return value[:keep] + alike(value[keep:], draw)
+        return value[:keep] + alike(value[keep:] + "0" * more, draw)
     if kind == "card":
-        made = value[0] + alike(value[1:], draw)
+        made = value[0] + alike(value[1:] + "0" * more, draw)
         if luhn(value):
             made = next(x for x in (made[:-1] + d for d in "0123456789") if luhn(x))
         return made
     if kind == "account":
-        return value[:2] + alike(value[2:], draw)
+        return value[:2] + alike(value[2:] + "0" * more, draw)
     if kind == "secret":
-        return alike(value, draw, hexadecimal=bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value)))
+        if not any(c.isdigit() or c.isalpha() for c in value):
+            value = "x" * len(value)  # marks alone, as in a masked value: nothing that alike changes
+        return alike(value + "0" * more, draw, hexadecimal=bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value)))
     script = "cyrillic" if re.search(r"[а-яё]", value) else "latin"
     gender = kind[-1] if kind.startswith("given_") else "n"
     syllables, ends = SYLLABLES[script], ENDINGS[script, gender]
@@ -146,13 +155,14 @@ def surrogate(kind: str, value: str, attempt: int) -> str:
 
 
 def in_layout(kind: str, made: str, mention: str) -> str:
-    """The surrogate written as the mention is: its separators, its case."""
+    """The surrogate written as the mention is: its separators, its case. What a longer surrogate has
+    beyond the mention follows at its end."""
     if kind in ("phone", "card", "ssn"):
         digits = iter(made)
-        return "".join(next(digits) if c.isdigit() else c for c in mention)
+        return "".join([*(next(digits) if c.isdigit() else c for c in mention), *digits])
     if kind == "account":
         marks = iter(made)
-        return "".join(c if c == " " else next(marks) for c in mention)
+        return "".join([*(c if c == " " else next(marks) for c in mention), *marks])
     if kind == "email":
         return made.upper() if mention.isupper() else made
     if kind.startswith("given_") or kind == "family":
@@ -181,7 +191,8 @@ def draws(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def assign(entities: DataFrame, folder: str, rounds: int = 64) -> DataFrame:
     """(kind, value, made) of distinct (kind, value): surrogates that are distinct within a kind and equal
-    no entity of it. Given names of all genders share one space."""
+    no entity of it. Given names of all genders share one space. As attempts widen the spaces, all entities
+    settle long before the rounds end; only a generator that ignores the attempt gets there."""
     space = lambda kind: F.when(F.col(kind).startswith("given_"), F.lit("given")).otherwise(F.col(kind))
     real = entities.select(space("kind").alias("space"), F.col("value").alias("made")).distinct()
     settled, open_ = None, entities.select("kind", "value", F.lit(0).alias("attempt"))

@@ -534,6 +534,31 @@ def test_collisions_are_settled(spark, tmp_path, monkeypatch):
 
 # -- 5 classifier
 
+def test_masked_secrets_settle(spark):
+    text = 'password = "********" then token: "--------"'
+    out = pii_surrogates.surrogate_texts(corpus.frame(spark, [(1, text, "", "", 0)])).first()
+    m = re.fullmatch(r'password = "([a-z]{8})" then token: "([a-z]{8})"', out["text"])
+    assert out["n_entities"] == 2 and m and m[1] != m[2]
+
+
+def test_more_entities_than_half_their_space(spark, tmp_path):
+    letters = "abcdefghijklmnopqrstuvwxyz"
+    rows = [("email", f"{a}@{b}.com") for a in letters for b in letters]
+    rows += [("ip", f"192.168.{a}.{b}") for a in range(1, 161) for b in range(1, 255)]
+    rows += [("secret", f"*****{a}") for a in letters] + [("ssn", f"{a:02d}") for a in range(100)]
+    entities = spark.createDataFrame(rows, "kind string, value string")
+    out = [(r["kind"], r["made"]) for r in pii_surrogates.assign(entities, str(tmp_path), rounds=20).collect()]
+    assert len(out) == len(rows) == len(set(out)) and not set(out) & set(rows)
+
+
+def test_longer_surrogates_in_their_layout():
+    for kind, mention, value in (("phone", "(201) 555-7788", "2015557788"), ("card", "4111 1111 1111 1111", "4111111111111111"), ("account", "DE44 5001 0517 54", "DE445001051754")):
+        made = pii_surrogates.surrogate(kind, value, 7)
+        assert len(made) == len(value) + 2 and re.sub(r"[^0-9A-Z]", "", pii_surrogates.in_layout(kind, made, mention)) == made
+    assert pii_surrogates.luhn(pii_surrogates.surrogate("card", "4111111111111111", 7))
+    assert pii_surrogates.surrogate("ip", "192.168.1.1", 3).startswith("10.") and pii_surrogates.surrogate("ip", "192.168.1.1", 6).startswith("fd00:")
+
+
 def graded(n=600, seed=3):
     rng = random.Random(seed)
     data, labels = [], []
