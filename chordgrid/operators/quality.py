@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import io
+import re
 from collections.abc import Iterator
+from urllib.parse import quote
 
 import pyarrow as pa
 import pyarrow.parquet as pq
+from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
@@ -15,21 +19,85 @@ def schema_rows(df: DataFrame, file: str = "table") -> DataFrame:
     return df.sparkSession.createDataFrame([(file, f.name, f.dataType.simpleString()) for f in df.schema.fields], "file string, column string, type string")
 
 
+def open_seekable(name: str) -> pa.NativeFile:
+    """A file by its Hadoop path, for reads with seeks, by pyarrow's file systems."""
+    if name.startswith("file:"):
+        return pa.OSFile(re.sub("^file:/*", "/", name))
+    system, path = FileSystem.from_uri(quote(name, safe=":/@?&=+,~"))
+    return system.open_input_file(path)
+
+
+class HadoopFile(io.RawIOBase):
+    """A file that only the JVM's file systems open, for reads with seeks on the driver."""
+
+    def __init__(self, spark: SparkSession, name: str, length: int):
+        self.jvm, self.length, self.at = spark.sparkContext._jvm, length, 0
+        path = self.jvm.org.apache.hadoop.fs.Path(name)
+        self.stream = path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).open(path)
+
+    def readable(self) -> bool:
+        return True
+
+    def seekable(self) -> bool:
+        return True
+
+    def tell(self) -> int:
+        return self.at
+
+    def seek(self, offset: int, whence: int = 0) -> int:
+        self.at = offset + (0, self.at, self.length)[whence]
+        return self.at
+
+    def read(self, n: int = -1) -> bytes:
+        left = max(0, self.length - self.at)
+        n = left if n is None or n < 0 else min(n, left)
+        self.stream.seek(self.at)
+        self.at += n
+        return bytes(self.jvm.org.apache.commons.io.IOUtils.toByteArray(self.stream, n)) if n else b""
+
+    def close(self) -> None:
+        if not self.closed:
+            self.stream.close()
+        super().close()
+
+
+def footer_rows(name: str, file: pa.NativeFile) -> list[tuple]:
+    """(file, column, type) of an open Parquet file: only its footer is read."""
+    with file:
+        try:
+            return [(name, f.name, str(f.type)) for f in pq.read_schema(file)]
+        except pa.ArrowInvalid:
+            return [(name, None, "unreadable")]
+
+
 def footer_schemas(spark: SparkSession, path: str) -> DataFrame:
-    """file, column, type as each Parquet file's own footer has them: files are read by Spark in parallel."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path", "content")
+    """file, column, type as each Parquet file's own footer has them.
+
+    Tasks open the files and read the footers alone, whatever the files' size. On a file system that
+    pyarrow cannot open, the driver reads them through Hadoop, one small read after the other.
+    """
+    made = "file string, column string, type string"
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    files = files.withColumn("scheme", F.substring_index("path", ":", 1))
+    foreign = []
+    for r in files.groupBy("scheme").agg(F.min("path").alias("path")).collect():
+        try:
+            open_seekable(r["path"]).close()
+        except (OSError, pa.ArrowException):
+            foreign.append(r["scheme"])
 
     def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for name, content in zip(batch.column("path").to_pylist(), batch.column("content")):
-                try:
-                    schema = pq.read_schema(pa.BufferReader(content.as_buffer()))
-                    rows = [(name, f.name, str(f.type)) for f in schema]
-                except pa.ArrowInvalid:
-                    rows = [(name, None, "unreadable")]
-                yield pa.record_batch([pa.array(c, pa.string()) for c in zip(*rows)], ["file", "column", "type"])
-
-    return files.mapInArrow(footers, "file string, column string, type string")
+            rows = [x for name in batch.column("path").to_pylist() for x in footer_rows(name, open_seekable(name))]
+            yield pa.record_batch([pa.array([x[k] for x in rows], pa.string()) for k in range(3)], ["file", "column", "type"])
+
+    mine = files.where(~F.col("scheme").isin(foreign)).select("path")
+    out = mine.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path").mapInArrow(footers, made)
+    if foreign:
+        others = files.where(F.col("scheme").isin(foreign)).toLocalIterator()
+        rows = [x for r in others for x in footer_rows(r["path"], pa.PythonFile(HadoopFile(spark, r["path"], r["length"]), "r"))]
+        out = out.unionByName(spark.createDataFrame(rows, made))
+    return out
 
 
 def schema_diff(found: DataFrame, wanted: DataFrame) -> DataFrame:

@@ -2,6 +2,8 @@
 
 import json
 
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -45,6 +47,23 @@ def test_unreadable_shards_are_reported(spark, wide, tmp_path):
     assert kinds.where("type = 'unreadable'").count() == 1 and kinds.where("column = 'song_id'").count() == 1
 
 
+@pytest.mark.parametrize("jvm_only", [False, True])
+def test_footers_of_files_beyond_what_a_row_holds(spark, tmp_path, monkeypatch, jvm_only):
+    small, big = tmp_path / "a b.parquet", tmp_path / "big.parquet"
+    pq.write_table(pa.table({"x": [1], "y": ["z"]}), small)
+    with open(big, "wb") as f:  # a hole of 2.2 GB, then a footer: above the limit of one binaryFile row
+        f.truncate(2_200_000_000)
+        f.seek(0, 2)
+        f.write(small.read_bytes())
+    if jvm_only:
+        def closed(name):
+            raise OSError(name)
+
+        monkeypatch.setattr(Q, "open_seekable", closed)
+    got = {(r["file"].rpartition("/")[2], r["column"], r["type"]) for r in Q.footer_schemas(spark, str(tmp_path)).collect()}
+    assert got == {(n, *c) for n in ("a b.parquet", "big.parquet") for c in (("x", "int64"), ("y", "string"))}
+
+
 def test_json_lines_and_dispatch(spark, tmp_path):
     p = tmp_path / "x.jsonl"
     p.write_text("\n".join(json.dumps({"song_id": str(i), "tokens": [i]}) for i in range(3)))
