@@ -15,10 +15,13 @@ SPACE = r"\x20\x09-\x0D"
 def work_folder(spark: SparkSession) -> str:
     """A new folder under ``spark.checkpoint.dir``, which driver and executors share.
 
-    Where the session sets no such folder (tests on one machine) a temporary one serves.
+    Where the session sets none, a temporary folder serves on one machine; on a cluster that is an
+    error, as each executor would write to a disk of its own.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="spark-")
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
@@ -40,6 +43,12 @@ def written(df: DataFrame, folder: str, name: str, files: int | None = None) ->
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def removed(spark: SparkSession, path: str) -> None:
+    """Deletes a table of the shared folder that nothing reads any more."""
+    place = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    place.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(place, True)
+
+
 def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
@@ -75,6 +84,6 @@ BROADCAST_ROWS = 1_000_000
 
 def sized_hint(keys: DataFrame, lists: str | None = None) -> str:
     """The join hint for a small side that has been written out: its rows, and the items of its list
-    column, are counted; above the bound the join shuffles."""
+    column, are counted; above the bound both sides are shuffled and sorted, which spills and is split."""
     size = F.sum(F.size(lists) + 1) if lists else F.count("*")
-    return "broadcast" if (keys.agg(size).first()[0] or 0) <= BROADCAST_ROWS else "shuffle_hash"
+    return "broadcast" if (keys.agg(size).first()[0] or 0) <= BROADCAST_ROWS else "merge"

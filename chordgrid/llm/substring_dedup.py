@@ -11,7 +11,9 @@ anchor it puts below 2 is unique. Pass 2 emits only runs estimated repeated and
   by their own 128-bit hashes; what the earliest copy loses, all copies that are not covered as a whole
   lose at the same places.
 
-The sketch has a bounded size; a fuller one lets more runs through and loses none.
+The sketch's width follows the number of anchors. Up to ``countmin.BROADCAST_CELLS`` cells its bits go to
+all tasks; beyond, all runs meet the table of repeated cells in a join, and no machine holds the sketch.
+A fuller sketch lets more runs through and loses none.
 """
 
 from __future__ import annotations
@@ -31,8 +33,8 @@ from chordgrid.llm.words import NOT_SPACE, Words, mix, pieces, text_bytes, whole
 WINDOW = 50
 GRAM = 25
 ROWS = 2
-#: log2 of the cells of a sketch row: at least, at most (two rows of 2**28 bits are 64 MB).
-WIDTH_BITS = (16, 28)
+#: log2 of the cells of a sketch row, at least.
+LEAST_BITS = 16
 #: Text bytes for each anchor, about, and sketch cells for each anchor.
 ANCHOR_BYTES, CELLS_PER_ANCHOR = 80, 4
 FLUSH = 2_000_000
@@ -94,43 +96,51 @@ def partition_sketch(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[p
             yield countmin.partial(np.concatenate(held), r, bits)
 
 
-def merged_sketch(texts: DataFrame) -> tuple[int, np.ndarray]:
-    """(log2 of the width, bits of the cells that were counted twice or more)."""
+def sketch_parts(texts: DataFrame) -> tuple[int, DataFrame]:
+    """(log2 of a row's width, the partitions' sketches of anchors)."""
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = countmin.width_bits(size / ANCHOR_BYTES * CELLS_PER_ANCHOR, *WIDTH_BITS)
-    parts = texts.select("text").mapInArrow(lambda b: partition_sketch(b, bits), countmin.SCHEMA)
-    return bits, countmin.merged(parts, ROWS << bits, (1,))[0]
+    bits = countmin.width_bits(size / ANCHOR_BYTES * CELLS_PER_ANCHOR, LEAST_BITS, countmin.HIGHEST_BITS)
+    return bits, texts.select("text").mapInArrow(lambda b: partition_sketch(b, bits), countmin.SCHEMA)
 
 
-def covered_spans(texts: DataFrame, folder: str) -> DataFrame:
-    """(id, th, start, size): windows start..start+size-1 of the document also start in a smaller id.
-
-    ``texts`` has id, text and th, a hash of the text that tells rows with one id apart.
-    """
-    spark = texts.sparkSession
-    bits, sketch = merged_sketch(texts)
-    held = spark.sparkContext.broadcast(sketch)
-    id_type = texts.schema["id"].dataType
+def repeated_runs(texts: DataFrame, folder: str) -> DataFrame:
+    """(id, th, start, size, anchor, r1, r2) of the runs that the sketch estimates repeated."""
+    bits, parts = sketch_parts(texts)
+    held = None
+    if ROWS << bits <= countmin.BROADCAST_CELLS:
+        held = texts.sparkSession.sparkContext.broadcast(countmin.merged(parts, ROWS << bits, (1,))[0])
 
     def candidates(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        estimate = held.value
         for piece in pieces(batches, "text"):
             runs = Runs(piece.column("text"))
-            hit = np.ones(len(runs.anchor), bool)
-            for row in range(ROWS):
-                hit &= countmin.bit(estimate, countmin.cells_of(runs.anchor, row, bits))
-            for name in ("start", "size", "anchor", "row"):
-                setattr(runs, name, getattr(runs, name)[hit])
+            if held:
+                hit = np.ones(len(runs.anchor), bool)
+                for row in range(ROWS):
+                    hit &= countmin.bit(held.value, countmin.cells_of(runs.anchor, row, bits))
+                for name in ("start", "size", "anchor", "row"):
+                    setattr(runs, name, getattr(runs, name)[hit])
             row = pa.array(runs.row)
             yield pa.record_batch(
                 [piece.column("id").take(row), piece.column("th").take(row), pa.array((runs.start - runs.words.first[runs.row]).astype(np.int32)), pa.array(runs.size.astype(np.int32)),
-                 *(pa.array(x.view(np.int64)) for x in (runs.anchor, runs.keys(0), runs.keys(1)))],
-                ["id", "th", "start", "size", "anchor", "r1", "r2"])
+                 *(pa.array(x.view(np.int64)) for x in (runs.anchor, runs.keys(0), runs.keys(1))), pa.array(countmin.cells_of(runs.anchor, 0, bits))],
+                ["id", "th", "start", "size", "anchor", "r1", "r2", "cell"])
 
-    field = T.StructField("id", id_type)
     long, int_ = T.LongType(), T.IntegerType()
-    made = T.StructType([field, T.StructField("th", long), T.StructField("start", int_), T.StructField("size", int_), *(T.StructField(c, long) for c in ("anchor", "r1", "r2"))])
-    runs = written(texts.mapInArrow(candidates, made), folder, "runs")
+    made = T.StructType([texts.schema["id"], T.StructField("th", long), T.StructField("start", int_), T.StructField("size", int_), *(T.StructField(c, long) for c in ("anchor", "r1", "r2", "cell"))])
+    runs = texts.mapInArrow(candidates, made)
+    if not held:
+        again = written(countmin.flagged(parts.where(F.col("block") < (1 << bits) // countmin.BLOCK), (1,)), folder, "cells")
+        runs = runs.join(again.hint("merge"), "cell", "left_semi")
+    return written(runs.drop("cell"), folder, "runs")
+
+
+def covered_spans(texts: DataFrame, folder: str) -> DataFrame:
+    """(id, th, start, size): windows start..start+size-1 of the document also start in a smaller id.
+
+    ``texts`` has id, text and th, a hash of the text that tells rows with one id apart.
+    """
+    runs = repeated_runs(texts, folder)
+    field, long, int_ = texts.schema["id"], T.LongType(), T.IntegerType()
 
     # equal runs: the earliest copy, by id, then place; a null id comes last
     place = F.struct(F.col("id").isNull().alias("no_id"), "id", "th", "start")
@@ -195,17 +205,23 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
 
     A null text has no words. Rows that repeat an id are one document to each other: neither loses words
     to the other. A null id is larger than any other, and two null ids take nothing from each other.
+    Texts of any length are processed whole, one slice of a batch at a time. All other columns, whatever
+    their names, are in the struct ``row``. An empty table gives an empty result.
     """
     folder = folder or work_folder(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     spans = covered_spans(texts, folder).groupBy("id", "th").agg(F.collect_list(F.struct("start", "size")).alias("spans")).withColumnsRenamed({"id": "s_id", "th": "s_th"})
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    both = rows.join(spans.hint("shuffle_hash"), rows["id"].eqNullSafe(spans["s_id"]) & (rows["th"] == spans["s_th"]), "left").select("row", "text", "spans")
+    both = rows.join(spans.hint("merge"), rows["id"].eqNullSafe(spans["s_id"]) & (rows["th"] == spans["s_th"]), "left").select("row", "text", "spans")
     made = T.StructType([rows.schema["row"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("text", T.StringType())])
     return both.mapInArrow(cut_words, made)
 
 
 def removed_words(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """One row per row of docs: doc_id, n_words, n_removed, kept_sha256."""
+    """One row per row of docs: doc_id, n_words, n_removed, kept_sha256 (of the kept words joined by one space).
+
+    Null, empty, repeated and very long rows and empty tables as in :func:`dedup_substrings`; other
+    columns are not read.
+    """
     only = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return dedup_substrings(only).select("row.doc_id", "n_words", "n_removed", F.sha2("text", 256).alias("kept_sha256"))
