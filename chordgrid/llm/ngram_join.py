@@ -14,9 +14,13 @@ A document's set is its distinct five-word shingles; two documents link at a Jac
   tokens of either that the other lacks, so two neighbouring tokens of one are neighbours in the other
   too. These 2-token combinations are indexed, L - 1 instead of all pairs. (Sets below 8 tokens may be
   too small for that; sets up to 20 tokens, which may meet such, index frequent tokens singly too.)
-* *Verification.* Classes that share a key are first compared with one of them, then, across the
-  components that this gives, all with all, behind an exact bound: the bits in which two parity bit
-  maps differ cannot outnumber the tokens in which the sets differ. What passes is verified on the sets.
+* *Verification.* Classes that share a key are first compared with one of them, then with members of the
+  key's largest component, and what is still in different components all with all within a bucket,
+  behind an exact bound: the bits in which two parity bit maps differ cannot outnumber the tokens in
+  which the sets differ. What passes is verified on the sets.
+* *Large buckets.* A bucket above ``BUCKET`` members is not compared all with all. Its members get keys of
+  many tokens instead: the tokens are dealt by hash to m segments, m one more than the tokens in which
+  two linked sets of such sizes can differ, so linked sets agree in one whole segment.
 """
 
 from __future__ import annotations
@@ -39,13 +43,17 @@ SHINGLE = 5
 PERCENT = 80
 #: A token that more documents hold is frequent.
 RARE = 24
-#: log2 of the sketch's cells: at least, at most (two bit maps of 2**28 bits are 64 MB).
-WIDTH_BITS = (16, 28)
+#: log2 of the sketch's cells, at least.
+LEAST_BITS = 16
 #: Text bytes for each token, about.
 TOKEN_BYTES = 7
 FLUSH = 3_000_000
-#: A bucket with more members is compared in blocks of about so many.
+#: A bucket with more members is compared by segments, and a segment's bucket in blocks of about so many.
 BUCKET = 4096
+#: Sizes of one band differ by this factor at most; a link spans two neighbouring bands.
+BAND = 1.25
+#: Members of a key's largest component that others of the key are compared with.
+SPREAD = 64
 _COMBINE = np.uint64(0xC2B2AE3D27D4EB4F)
 
 
@@ -132,6 +140,16 @@ def index_keys(tokens: np.ndarray, kind: np.ndarray, percent: int = PERCENT) ->
     return np.concatenate(out)
 
 
+def row_kinds(cells: np.ndarray, levels: list[dict] | None) -> np.ndarray:
+    """The level of each cell by a list of (cell, level); 0 for cells that are not in it."""
+    out = np.zeros(len(cells), np.int8)
+    if levels:
+        at, level = np.array(sorted((x["cell"], x["level"]) for x in levels)).T
+        place = np.minimum(np.searchsorted(at, cells), len(at) - 1)
+        out[:] = np.where(at[place] == cells, level[place], 0)
+    return out
+
+
 def sketch_tokens(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.RecordBatch]:
     held, n, seen = [], 0, set()
     for piece in pieces(batches, "text"):
@@ -148,56 +166,32 @@ def sketch_tokens(batches: Iterator[pa.RecordBatch], bits: int) -> Iterator[pa.R
         yield countmin.partial(np.concatenate(held), 0, bits)
 
 
-def class_pairs(sorted_rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (key, node) rows sorted by both: (key, node, center) of keys with two nodes or more; the center
-    is the key's first node."""
-    last_key = last_node = center = None
-    for batch in sorted_rows:
-        key, node = (np.asarray(batch.column(c)) for c in ("key", "node"))
-        if not len(key):
-            continue
-        new = np.ones(len(key), bool)
-        new[1:] = (key[1:] != key[:-1]) | (node[1:] != node[:-1])
-        new[0] = (key[0], node[0]) != (last_key, last_node)
-        head = np.ones(len(key), bool)
-        head[1:] = key[1:] != key[:-1]
-        at = np.maximum.accumulate(np.where(head, np.arange(len(key)), 0))
-        centers = node[at]
-        if key[0] == last_key:
-            centers[: np.argmax(head[1:]) + 1 if head[1:].any() else len(key)] = center
-        last_key, last_node, center = key[-1], node[-1], centers[-1]
-        keep = new & (centers != node)
-        yield pa.record_batch([pa.array(x[keep]) for x in (key, node, centers)], ["key", "node", "center"])
-
-
-def spread_pairs(sorted_rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Of (key, node, comp) rows sorted by key: for each key's largest component (two nodes at least) and
-    each other one, a pair (a, b) of a node of both. Keys choose different nodes."""
-
-    def pick(key: int, nodes: list[int], comps: list[int]) -> list[tuple[int, int]]:
-        groups: dict[int, list[int]] = {}
-        for node, comp in zip(nodes, comps):
-            groups.setdefault(comp, []).append(node)
-        main = max(groups, key=lambda c: (len(groups[c]), c))
-        most = groups.pop(main)
-        if len(most) < 2:
-            return []
-        spread = [(most[hash((key, c)) % len(most)], some[key % len(some)]) for c, some in groups.items()]
-        return [(min(x), max(x)) for x in spread]
-
-    last, nodes, comps = None, [], []
-    for batch in sorted_rows:
-        out: list[tuple[int, int]] = []
-        for key, node, comp in zip(*(batch.column(c).to_pylist() for c in ("key", "node", "comp"))):
-            if key != last:
-                if nodes:
-                    out += pick(last, nodes, comps)
-                last, nodes, comps = key, [], []
-            nodes.append(node)
-            comps.append(comp)
-        yield pairs_batch(out)
-    if nodes:
-        yield pairs_batch(pick(last, nodes, comps))
+def band_of(n: int) -> int:
+    return int(np.floor(np.log(n) / np.log(BAND) + 1e-9))
+
+
+def segment_keys(tokens: np.ndarray, percent: int = PERCENT) -> np.ndarray:
+    """Keys of a set at the two levels that its size is in: level b holds the sizes of bands b and b + 1, so two
+    sets that link share a level. At it their sizes are at most u, they differ in at most
+    d = 2u (100 - p) / (100 + p) tokens, and each of these spoils one segment of half as many again.
+
+    Where more than d segments of a set hold tokens, one of those is whole in any partner. Where fewer do (few
+    sets, by chance), the empty segments are keys too: two such sets share one segment of all.
+    """
+    out, band = [], band_of(len(tokens))
+    for level in (band - 1, band):
+        most = int(np.floor(BAND ** (level + 2) + 1e-6)) + 1
+        d = 2 * most * (100 - percent) // (100 + percent)
+        m = d + d // 2 + 1
+        segment = (mix(tokens ^ np.uint64(0x5E67A3)) % np.uint64(m)).astype(np.int64)
+        total = np.zeros(m, np.uint64)
+        np.add.at(total, segment, mix(tokens))
+        place = mix(np.arange(m, dtype=np.uint64) * _COMBINE + np.uint64(level + 2))
+        full = np.unique(segment)
+        if len(full) <= d:
+            full = np.arange(m)
+        out.append(mix(total[full] ^ place[full]))
+    return np.concatenate(out)
 
 
 def pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
@@ -290,23 +284,22 @@ class NgramJoin:
         self.folder = folder or work_folder(docs.sparkSession)
         self.width = shuffle_width(docs.sparkSession)
         self.texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-        self.members = self._members()
-        classes = self.members.groupBy("k1", "k2", "n").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("r"), F.max("keys").alias("keys"), F.max("bits").alias("bits"))
-        classes = classes.where("n > 0").select(F.col("k1").alias("node"), "n", "r.id", "r.th", "keys", "bits")
+        self.members = self._named(self._members())
+        classes = self.members.groupBy("node", "k2", "n").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("r"), F.max("keys").alias("keys"), F.max("bits").alias("bits"))
+        classes = classes.where("n > 0").select("node", "n", "r.id", "r.th", "keys", "bits")
         self.classes = written(classes, self.folder, "classes")
         keyed = self.classes.where(F.size("keys") > 0)
         self.nodes = keyed.select("node", "n", "id", "th", "bits")
-        rows = keyed.select("node", F.explode("keys").alias("key"))
-        by_key = rows.repartition(self.width, "key").sortWithinPartitions("key", "node")
-        self.stars = written(by_key.mapInArrow(class_pairs, "key long, node long, center long"), self.folder, "stars")
-        pairs = self.stars.select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
-        first = self._verified(self._checked(pairs, "star"), "star")
+        # a hot key's rows are reduced by partial aggregation and meet their center in a join that AQE splits
+        rows = keyed.select("node", F.explode(F.array_distinct("keys")).alias("key"))
+        least = rows.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("most")).where("center < most").select("key", "center")
+        least = written(least, self.folder, "centers")
+        self.rows = written(rows.join(least.hint("merge"), "key").select("key", "node", "center"), self.folder, "stars")
+        tested = self.rows.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
+        first = self._verified(self._checked(tested, "star"), "star")
         # what the first comparison left apart meets other nodes of its keys' largest components
-        tested = self.stars.select(F.least("center", "node").alias("a"), F.greatest("center", "node").alias("b")).distinct()
         label = components(first, self.folder, "star_cc")
-        rows, _ = self._mixed(label, "spread")
-        spread = rows.repartition(self.width, "key").sortWithinPartitions("key").mapInArrow(spread_pairs, "a long, b long").distinct()
-        spread = written(spread.join(tested.hint("merge"), ["a", "b"], "left_anti"), self.folder, "spread_new")
+        spread = written(self._spread(label).join(tested.hint("merge"), ["a", "b"], "left_anti"), self.folder, "spread_new")
         second = self._verified(self._checked(spread, "spread"), "spread")
         # and what is still apart is compared all with all
         if not second.isEmpty():
@@ -317,16 +310,22 @@ class NgramJoin:
 
     def _members(self) -> DataFrame:
         size = self.texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-        bits = countmin.width_bits(size / TOKEN_BYTES, *WIDTH_BITS)
+        bits = countmin.width_bits(size / TOKEN_BYTES, LEAST_BITS, countmin.HIGHEST_BITS)
         parts = self.texts.select("text").mapInArrow(lambda b: sketch_tokens(b, bits), countmin.SCHEMA)
-        held = self.texts.sparkSession.sparkContext.broadcast(countmin.merged(parts, 1 << bits, (1, RARE)))
+        texts, held = self.texts, None
+        if 1 << bits <= countmin.BROADCAST_CELLS:
+            held = texts.sparkSession.sparkContext.broadcast(countmin.merged(parts, 1 << bits, (1, RARE)))
+        else:
+            texts = self._with_levels(parts, bits)
 
         def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            twice, often = held.value
             for piece in pieces(batches, "text"):
                 sets = Sets(piece.column("text"))
                 cell = countmin.cells_of(sets.tokens, 0, bits)
-                kind = countmin.bit(twice, cell).astype(np.int8) + countmin.bit(often, cell)
+                if held:
+                    kind = sum(countmin.bit(bitmap, cell).astype(np.int8) for bitmap in held.value)
+                else:
+                    kind = np.concatenate([row_kinds(cell[a:b], x) for a, b, x in zip(sets.first, sets.first[1:], piece.column("levels").to_pylist())] or [np.zeros(0, np.int8)])
                 keys = [index_keys(sets.row(i), kind[sets.first[i] : sets.first[i + 1]]) if sets.size[i] else sets.tokens[:0] for i in range(len(sets.size))]
                 maps = [parity_bits(sets.row(i)) if len(k) else None for i, k in enumerate(keys)]
                 bounds = np.concatenate([[0], np.cumsum([len(k) for k in keys])]).astype(np.int32)
@@ -337,7 +336,33 @@ class NgramJoin:
 
         long = T.LongType()
         made = T.StructType([self.texts.schema["id"], *(T.StructField(c, long) for c in ("th", "n", "k1", "k2")), T.StructField("keys", T.ArrayType(long)), T.StructField("bits", T.BinaryType())])
-        return written(self.texts.mapInArrow(keyed, made), self.folder, "members")
+        return written(texts.mapInArrow(keyed, made), self.folder, "members")
+
+    def _named(self, members: DataFrame) -> DataFrame:
+        """The members with ``node``, the number of their class: k1, or another hash where several sets share it."""
+        twice = members.groupBy("k1", "k2", "n").agg(F.lit(1).alias("one")).groupBy("k1").agg(F.count("*").alias("sets")).where("sets > 1")
+        twice = written(twice, self.folder, "shared_k1")
+        if twice.isEmpty():
+            return members.withColumn("node", F.col("k1"))
+        own = members.join(twice.hint(sized_hint(twice)), "k1", "left")
+        return own.withColumn("node", F.when(F.col("sets").isNull(), F.col("k1")).otherwise(F.xxhash64("k1", "k2", "n"))).drop("sets")
+
+    def _with_levels(self, parts: DataFrame, bits: int) -> DataFrame:
+        """The texts with ``levels``, a list of (cell, level) of their tokens that are not unique: tokens meet
+        the sketch's cells in a join, as the sketch is too large to be held."""
+        cells = written(countmin.flagged(parts, (1, RARE)), self.folder, "cells")
+
+        def token_cells(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for piece in pieces(batches, "text"):
+                sets = Sets(piece.column("text"))
+                row = pa.array(np.repeat(np.arange(len(sets.size)), sets.size))
+                yield pa.record_batch([piece.column("id").take(row), piece.column("th").take(row), pa.array(countmin.cells_of(sets.tokens, 0, bits))], ["id", "th", "cell"])
+
+        made = T.StructType([self.texts.schema["id"], T.StructField("th", T.LongType()), T.StructField("cell", T.LongType())])
+        found = self.texts.mapInArrow(token_cells, made).join(cells.hint("merge"), "cell").groupBy("id", "th").agg(F.collect_set(F.struct("cell", "level")).alias("levels"))
+        found = written(found.withColumnsRenamed({"id": "l_id", "th": "l_th"}), self.folder, "levels")
+        same = self.texts["id"].eqNullSafe(found["l_id"]) & (self.texts["th"] == found["l_th"])
+        return self.texts.join(found.hint("merge"), same, "left").select("id", "text", "th", "levels")
 
     def _checked(self, pairs: DataFrame, name: str) -> DataFrame:
         for side in "ab":
@@ -348,8 +373,13 @@ class NgramJoin:
     def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs that link, by their whole sets."""
         pairs = written(pairs.select("a", "b"), self.folder, f"{name}_pairs")
-        files = files_for(2 * pairs.count())
-        needed = pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct()
+        sets = self._sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), name, files_for(2 * pairs.count()))
+        for side in "ab":
+            pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("set").alias(f"set_{side}")).hint("merge"), side)
+        return written(pairs.mapInArrow(verify_pairs, "a long, b long"), self.folder, f"{name}_links")
+
+    def _sets(self, needed: DataFrame, name: str, files: int | None = None) -> DataFrame:
+        """(node, set) of some nodes: their sets as bytes, made anew from the texts."""
         needed = written(self.nodes.join(needed.hint("merge"), "node", "left_semi").select("node", F.col("id").alias("n_id"), F.col("th").alias("n_th")), self.folder, f"{name}_needed", files)
         same = self.texts["id"].eqNullSafe(needed["n_id"]) & (self.texts["th"] == needed["n_th"])
         texts = self.texts.join(needed.hint(sized_hint(needed)), same).select("node", "text")
@@ -359,31 +389,59 @@ class NgramJoin:
                 sets = Sets(piece.column("text"))
                 yield pa.record_batch([piece.column("node"), pa.array([sets.row(i).tobytes() for i in range(len(sets.size))], pa.binary())], ["node", "set"])
 
-        sets = written(texts.mapInArrow(whole_sets, "node long, set binary").dropDuplicates(["node"]), self.folder, f"{name}_sets")
-        for side in "ab":
-            pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("set").alias(f"set_{side}")).hint("merge"), side)
-        return written(pairs.mapInArrow(verify_pairs, "a long, b long"), self.folder, f"{name}_links")
+        return written(texts.mapInArrow(whole_sets, "node long, set binary").dropDuplicates(["node"]), self.folder, f"{name}_sets")
 
     def _mixed(self, label: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
         """(key, node, comp) of the keys that several components share, and those keys with their rows."""
-        member = self.stars.select("key", "node").union(self.stars.select("key", F.col("center").alias("node")).distinct())
-        member = member.join(label.hint("merge"), "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+        member = self.rows.select("key", "node").join(label.hint("merge"), "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
         member = written(member, self.folder, f"{name}_members")
         mixed = member.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high")
         mixed = written(mixed.select("key", "size"), self.folder, f"{name}_keys")
         return member.join(mixed.hint("merge"), "key", "left_semi"), mixed
 
+    def _spread(self, label: DataFrame) -> DataFrame:
+        """Pairs (a, b): for each key's largest component (two nodes at least) and each other component of the
+        key, a node of both. Up to SPREAD members, one for each hash, stand for the largest one."""
+        rows, _ = self._mixed(label, "spread")
+        groups = written(rows.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min("node").alias("node")), self.folder, "spread_groups")
+        main = groups.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m")).where("m.n > 1").select("key", F.col("m.comp").alias("main"))
+        main = written(main, self.folder, "spread_main")
+        turn = lambda c: F.pmod(F.xxhash64("key", c), F.lit(SPREAD))
+        stand = rows.join(main.hint("merge"), "key").where("comp = main").groupBy("key", turn("node").alias("turn")).agg(F.min("node").alias("stand"))
+        others = groups.join(main.hint("merge"), "key").where("comp <> main").select("key", "node", turn("comp").alias("turn"))
+        both = others.join(written(stand, self.folder, "spread_stand").hint("merge"), ["key", "turn"])
+        return both.select(F.least("node", "stand").alias("a"), F.greatest("node", "stand").alias("b")).distinct()
+
     def _across(self, label: DataFrame) -> DataFrame:
         """Pairs of nodes that share a key but no component yet, and that may link."""
         rows, mixed = self._mixed(label, "across")
-        rows = rows.join(mixed.hint("merge"), "key").join(self.nodes.select("node", "n", "bits").hint("merge"), "node")
-        # a large bucket meets itself block by block: each member goes to the pairs its block is in
-        rows = rows.withColumn("blocks", F.ceil(F.col("size") / BUCKET)).withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")))
-        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-        rows = rows.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "comp", "n", "bits", "side")
+        small = rows.join(mixed.where(F.col("size") <= BUCKET).hint("merge"), "key").select("key", F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"), "node", "comp", F.lit(0).cast("long").alias("side"))
+        hot = rows.join(mixed.where(F.col("size") > BUCKET).hint("merge"), "key", "left_semi").select("node", "comp").distinct()
+        hot = written(hot, self.folder, "hot_nodes")
+        if not hot.isEmpty():
+            small = small.unionByName(self._segments(hot))
+        rows = small.join(self.nodes.select("node", "n", "bits").hint("merge"), "node").select("key", "i", "j", "node", "comp", "n", "bits", "side")
         by_key = rows.repartition(self.width, "key", "i", "j").sortWithinPartitions("key", "i", "j")
         return by_key.mapInArrow(bucket_pairs, "a long, b long").distinct()
 
+    def _segments(self, hot: DataFrame) -> DataFrame:
+        """(key, i, j, node, comp, side) of the nodes of large buckets by their segment keys. A segment that still
+        holds very many nodes of several components meets itself block by block: each member goes to the
+        pairs its block is in."""
+        keys = hot.join(self._sets(hot.select("node"), "hot").hint("merge"), "node")
+
+        def segments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                for node, comp, data in zip(*(batch.column(c).to_pylist() for c in ("node", "comp", "set"))):
+                    key = segment_keys(np.frombuffer(data, np.uint64))
+                    yield pa.record_batch([pa.array(key.view(np.int64)), pa.array(np.full(len(key), node)), pa.array(np.full(len(key), comp))], ["key", "node", "comp"])
+
+        rows = written(keys.mapInArrow(segments, "key long, node long, comp long"), self.folder, "segments")
+        mixed = rows.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high").select("key", F.ceil(F.col("size") / BUCKET).alias("blocks"))
+        rows = rows.join(written(mixed, self.folder, "segment_keys").hint("merge"), "key").withColumn("side", F.pmod(F.xxhash64("node"), F.col("blocks")))
+        rows = rows.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        return rows.select("key", F.least("side", "other").alias("i"), F.greatest("side", "other").alias("j"), "node", "comp", "side")
+
     def class_components(self) -> DataFrame:
         """(node, id, th, comp) of each class: its first row, and the node that names its component."""
         of = self.classes.select("node", "id", "th").join(self.labels.hint("merge"), "node", "left")
@@ -393,8 +451,8 @@ class NgramJoin:
         """(id, th, n, component) of each row: the smallest id that links lead to."""
         of = self.class_components()
         least = of.groupBy("comp").agg(F.min("id").alias("component"))
-        of = written(of.join(least.hint("merge"), "comp").select(F.col("node").alias("k1"), "component"), self.folder, "class_component")
-        return self.members.join(of.hint("merge"), "k1", "left").select("id", "th", "n", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component"))
+        of = written(of.join(least.hint("merge"), "comp").select("node", "component"), self.folder, "class_component")
+        return self.members.join(of.hint("merge"), "node", "left").select("id", "th", "n", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component"))
 
     def first_rows(self) -> DataFrame:
         """(id, th) of the row with the smallest id of each component, a null id last, and of all rows
@@ -407,9 +465,10 @@ class NgramJoin:
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of docs: doc_id, n_shingles, component_id.
 
-    Texts below five words are one shingle; null and empty ones have none and link with nothing. Rows
-    that repeat an id take part each with its own text. A null id takes part in links but names no
-    component unless all its members lack an id. Other columns are not read.
+    Texts below five words are one shingle; null and empty ones have none and link with nothing. Texts of
+    any length count whole. Rows that repeat an id take part each with its own text. A null id takes part
+    in links but names no component unless all its members lack an id. Other columns are not read. An
+    empty table gives an empty result.
     """
     found = NgramJoin(docs, id_col, text_col).components()
     return found.select(F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.col("component").alias("component_id"))
@@ -418,9 +477,10 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
 def drop_near_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that stay, unchanged: of each component the row with the smallest id (a null id
     is larger than any other), and all rows without a shingle. Rows with one id and one text stay or go
-    together; rows that only repeat an id, or lack one, stay or go each with its own component."""
+    together; rows that only repeat an id, or lack one, stay or go each with its own component. Extra columns
+    keep their names and values; texts of any length count whole; an empty table stays empty."""
     a, b, own = fresh(docs, "_near_id", "_near_th", "_own_th")
     keep = NgramJoin(docs, id_col, text_col).first_rows().select(F.col("id").alias(a), F.col("th").alias(b))
     rows = docs.withColumn(own, F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))))
     same = rows[id_col].eqNullSafe(keep[a]) & (rows[own] == keep[b])
-    return rows.join(keep.hint("shuffle_hash"), same, "left_semi").select(*docs.columns)
+    return rows.join(keep.hint("merge"), same, "left_semi").select(*docs.columns)

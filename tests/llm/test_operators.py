@@ -266,6 +266,47 @@ def test_index_keys_of_any_linked_pair_meet():
     assert tried > 500
 
 
+def clouds(seed, n=150):
+    """Texts made of few words in many orders: they share two-token combinations without linking."""
+    rng = random.Random(seed)
+    out = []
+    for i in range(n):
+        blocks = [f"p{b} q{b} r{b} s{b} t{b} u{b}" for b in range(12)]
+        rng.shuffle(blocks)
+        t = " ".join(blocks[: rng.randrange(5, 12)])
+        out.append((i, t, "en", "s", 0))
+        if rng.random() < 0.4:
+            out.append((1000 + i, t + f" x{i}", "en", "s", 0))
+    return out
+
+
+@pytest.mark.parametrize("bucket", [4, 20])
+def test_buckets_beyond_the_bound_are_compared_by_segments(spark, monkeypatch, bucket):
+    monkeypatch.setattr(ngram_join, "BUCKET", bucket)  # keys with many times as many members
+    monkeypatch.setattr(ngram_join, "RARE", 2)
+    for data in (clouds(3), family(5)):
+        assert table(ngram_join.near_groups(corpus.frame(spark, data)), "doc_id", "n_shingles", "component_id") == plain_components(data)
+
+
+def test_linked_sets_share_a_segment():
+    rng = np.random.default_rng(11)
+    tried = 0
+    for _ in range(8000):
+        n = int(rng.integers(1, 90))
+        picked = np.unique(rng.integers(0, 2**63, n + 30, dtype=np.uint64))
+        drop = int(rng.integers(0, 1 + n // 4))
+        a, b = np.sort(picked[:n]), np.sort(np.concatenate([picked[drop:n], picked[n : n + int(rng.integers(0, 1 + n // 4))]]))
+        if len(b) and ngram_join.linked(a, b):
+            tried += 1
+            assert set(ngram_join.segment_keys(a).tolist()) & set(ngram_join.segment_keys(b).tolist())
+    assert tried > 2000
+
+
+def test_near_groups_with_a_sketch_that_is_joined(spark, docs, data, monkeypatch):
+    monkeypatch.setattr(ngram_join.countmin, "BROADCAST_CELLS", 0)
+    assert table(ngram_join.near_groups(docs), "doc_id", "n_shingles", "component_id") == plain_components(data)
+
+
 def test_dropping_near_copies(docs, data):
     out = ngram_join.drop_near_copies(docs)
     assert out.columns == docs.columns
@@ -312,6 +353,11 @@ def test_substrings_with_a_full_sketch(spark, data, monkeypatch):
     assert table(substring_dedup.removed_words(corpus.frame(spark, data)), "doc_id", "n_words", "n_removed", "kept_sha256") == plain_substrings(data)
 
 
+def test_substrings_with_a_sketch_that_is_joined(spark, data, monkeypatch):
+    monkeypatch.setattr(substring_dedup.countmin, "BROADCAST_CELLS", 0)
+    assert table(substring_dedup.removed_words(corpus.frame(spark, data)), "doc_id", "n_words", "n_removed", "kept_sha256") == plain_substrings(data)
+
+
 def test_all_copies_of_a_run_lose_windows(spark):
     rng = random.Random(4)
     some = lambda n: " ".join(f"w{rng.randrange(10**6)}" for _ in range(n))
