@@ -1,15 +1,21 @@
 """Line dedup with sharded cuckoo filters backed by exact reference-count tables.
 
-State, all Parquet, split into shards by line hash:
-
-* ``postings`` (k1, k2, shard, doc_id): which document holds which line key, once per document;
-* ``counts`` (k1, k2, shard, n_docs, last_doc): exact reference counts;
-* ``filters`` (shard, cells): a cuckoo filter of the keys that at least ``min_docs`` documents hold.
-
-Inserting and deleting documents changes counts exactly; a key enters its shard's filter when its
-count reaches the limit and leaves it (cuckoo filters can delete) when the count falls below, so a
-deletion restores the lines it had cost others. A filter has no false negatives: lines that miss it
-stay without a look at the tables, and lines that hit it are confirmed against the exact counts.
+State, all Parquet, kept as a log of small parts in one folder:
+
+* ``postings`` (id, k1, k2): which document holds which line key, once per document;
+* ``counts`` (k1, k2, n_docs, last_doc): exact reference counts;
+* ``filters`` (shard, cells): for each shard of the line hashes, a cuckoo filter of the keys that at least
+  ``min_docs`` documents hold.
+
+An insertion adds its postings, and for the keys that it touches new counts; a deletion adds the ids that
+are gone, and subtracts. Only where the document that keeps a line goes is its key looked up in the
+postings again. A key enters its shard's filter when its count reaches the limit and leaves it (cuckoo
+filters can delete) when the count falls below, so a deletion restores the lines it had cost others.
+Of a key or a shard the newest part holds; :meth:`LineDedup.compact` folds the parts into one.
+
+Lookups are co-partitioned: postings and filters are dealt by shard, a shard with very many postings in
+several splits, and every task reads a filter, then the postings that belong to it. A filter has no false
+negatives: lines that miss it stay without a look at the counts, and lines that hit it are confirmed.
 """
 
 from __future__ import annotations
@@ -25,16 +31,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chordgrid.llm.shared import work_folder, written
+from chordgrid.llm.shared import removed, shuffle_width, sized_hint, work_folder, written
 from chordgrid.llm.words import mix, pieces
 
 MIN_CHARS = 20
 MIN_DOCS = 3
-#: Keys of one shard at most, about; the number of shards follows the number of keys.
+#: Keys of one shard's filter, about; the number of shards follows the number of repeated keys.
 SHARD_KEYS = 1 << 16
+LEAST_SHARDS = 32
+#: A shard with more postings is looked up in several splits.
+SPLIT_ROWS = 1 << 16
+#: Parts of a table before they are folded into one.
+MOST_PARTS = 8
 SLOTS = 4
-#: Filters of this many bytes in all go to every task; larger ones are passed over for the exact join.
-FILTER_BYTES = 64 << 20
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
 _STRIP = b" \t\n\x0b\f\r"
 _PAIR = struct.Struct("<qq")
@@ -75,16 +84,26 @@ class CuckooFilter:
 
     def add(self, keys: np.ndarray) -> bool:
         """False if the filter is too full; it must then be built anew, larger."""
-        for print_, a, b in zip(*self.places(keys)):
-            at = a if 0 in self.cells[a] else b
+        print_, a, b = self.places(keys)
+        left = np.arange(len(keys))
+        for bucket in (a, b):  # what finds a free cell at once
+            left = left[np.argsort(bucket[left], kind="stable")]
+            at = bucket[left]
+            rank = np.arange(len(at)) - np.searchsorted(at, at)
+            free = self.cells[at] == 0
+            fits = rank < free.sum(1)
+            slot = np.argsort(~free, axis=1, kind="stable")[np.arange(len(at)), np.minimum(rank, SLOTS - 1)]
+            self.cells[at[fits], slot[fits]] = print_[left[fits]]
+            left = left[~fits]
+        for p, at in zip(print_[left], a[left]):  # the rest makes room for itself
             for turn in range(500):
-                free = np.flatnonzero(self.cells[at] == 0)
-                if len(free):
-                    self.cells[at, free[0]] = print_
+                slots = np.flatnonzero(self.cells[at] == 0)
+                if len(slots):
+                    self.cells[at, slots[0]] = p
                     break
                 slot = turn % SLOTS
-                print_, self.cells[at, slot] = self.cells[at, slot], print_
-                at = at ^ int(self.jump(np.array([print_]))[0])
+                p, self.cells[at, slot] = self.cells[at, slot], p
+                at = at ^ int(self.jump(np.array([p]))[0])
             else:
                 return False
         return True
@@ -151,14 +170,37 @@ def without_lines(batches: Iterator[pa.RecordBatch], min_chars: int) -> Iterator
         yield pa.record_batch([*(piece.column(n) for n in names), pa.array(lines_, pa.int64()), pa.array(dropped, pa.int64()), pa.array(texts, pa.binary()).cast(pa.string())], [*names, "n_lines", "n_dropped", "text"])
 
 
+def filter_hits(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Of (shard, split, cells, id, k1, k2) rows sorted by shard and split, filters (cells not null) first: the
+    (id, k1, k2) rows that their filter may hold."""
+    place, made = None, None
+    for batch in batches:
+        shard, split = (np.asarray(batch.column(c)) for c in ("shard", "split"))
+        cells = batch.column("cells")
+        head = np.asarray(cells.is_valid())
+        k2 = np.asarray(batch.column("k2").fill_null(0)).view(np.uint64)
+        cut = head.copy()
+        cut[1:] |= (shard[1:] != shard[:-1]) | (split[1:] != split[:-1])
+        cut[:1] = True
+        hit, bounds = np.zeros(len(shard), bool), [*np.flatnonzero(cut).tolist(), len(shard)]
+        for a, b in zip(bounds, bounds[1:]):
+            if head[a]:
+                place, made = (shard[a], split[a]), CuckooFilter.load(cells[a].as_py())
+            elif place == (shard[a], split[a]):
+                hit[a:b] = made.contains(k2[a:b])
+            if head[a] and b > a + 1:
+                hit[a + 1 : b] = made.contains(k2[a + 1 : b])
+        yield batch.filter(pa.array(hit)).select(["id", "k1", "k2"])
+
+
 class LineDedup:
     """An incremental line dedup over one folder of state tables."""
 
     def __init__(self, spark, min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None):
         self.spark, self.min_docs, self.min_chars = spark, min_docs, min_chars
         self.id_col, self.text_col, self.folder = id_col, text_col, folder or work_folder(spark)
-        self.version, self.shards = 0, 0
-        self.postings = self.counts = self.filters = None
+        self.version = self.shards = self.n_over = 0
+        self.parts: dict[str, list[tuple[str, DataFrame]]] = {n: [] for n in ("postings", "gone", "counts", "filters")}
 
     def _keys(self, docs: DataFrame) -> DataFrame:
         rows = docs.select(F.col(self.id_col).alias("id"), F.col(self.text_col).alias("text"))
@@ -168,81 +210,163 @@ class LineDedup:
     def _save(self, df: DataFrame, name: str) -> DataFrame:
         return written(df, self.folder, f"v{self.version}/{name}")
 
+    def _add(self, df: DataFrame, table: str) -> DataFrame:
+        """A new part of a table, with the version it came with."""
+        part = self._save(df.withColumn("v", F.lit(self.version)), table)
+        self.parts[table].append((f"{self.folder}/v{self.version}/{table}", part))
+        return part
+
+    def _all(self, table: str) -> DataFrame:
+        out = None
+        for _, part in self.parts[table]:
+            out = part if out is None else out.unionByName(part)
+        return out
+
+    def _newest(self, table: str, key: list[str], only: DataFrame | None = None) -> DataFrame:
+        """Of each key the row of its newest part; ``only``: of these keys."""
+        rows = self._all(table)
+        if only is not None:
+            rows = rows.join(only.select(*key).hint(sized_hint(only)), key, "left_semi")
+        if len(self.parts[table]) == 1:
+            return rows.drop("v")
+        rest = [c for c in rows.columns if c not in (*key, "v")]
+        return rows.groupBy(*key).agg(F.max_by(F.struct(*rest), "v").alias("r")).select(*key, *[F.col(f"r.{c}") for c in rest])
+
+    @property
+    def counts(self) -> DataFrame:
+        """(k1, k2, n_docs, last_doc) of all keys that a document holds."""
+        return self._newest("counts", ["k1", "k2"]).where("n_docs > 0")
+
+    @property
+    def filters(self) -> DataFrame:
+        return self._newest("filters", ["shard"])
+
+    def postings(self) -> DataFrame:
+        """(id, k1, k2) of the documents that are there."""
+        rows = self._all("postings")
+        if self.parts["gone"]:
+            gone = self._all("gone").groupBy(F.col("id").alias("g_id")).agg(F.max("v").alias("gv"))
+            rows = rows.join(gone.hint("merge"), F.col("id").eqNullSafe(F.col("g_id")), "left").where("gv is null or gv < v")
+        return rows.select("id", "k1", "k2")
+
     def insert(self, docs: DataFrame) -> "LineDedup":
-        """Count in documents that are not there yet (rows that repeat an id count as one document)."""
+        """Count in documents. Rows that repeat an id count as one document, also one that is there already."""
         self.version += 1
-        new = self._keys(docs)
-        every = new if self.postings is None else self.postings.union(new)
-        self.postings = self._save(every.distinct(), "postings")
-        wanted = 1 << max(0, int(np.ceil(np.log2(max(1, self.postings.count()) / SHARD_KEYS))))
-        if wanted > 2 * self.shards:  # the filters are built anew over more shards
-            self.shards, self.filters = wanted, None
-        return self._recount()
+        new = self._keys(docs).distinct()
+        if self.parts["postings"]:
+            new = self._save(new, "new")
+            ids = self._save(new.select(F.col("id").alias("n_id")).distinct(), "ids")
+            here = self.postings().join(ids.hint(sized_hint(ids)), F.col("id").eqNullSafe(F.col("n_id")), "left_semi").withColumnsRenamed({"id": "h_id", "k1": "h1", "k2": "h2"})
+            new = new.join(here.hint("merge"), F.col("id").eqNullSafe(F.col("h_id")) & (F.col("k1") == F.col("h1")) & (F.col("k2") == F.col("h2")), "left_anti")
+        new = self._add(new, "postings")
+        change = new.groupBy("k1", "k2").agg(F.count("*").alias("dn"), F.max("id").alias("top"))
+        if not self.parts["counts"]:
+            self._add(change.select("k1", "k2", F.col("dn").alias("n_docs"), F.col("top").alias("last_doc")), "counts")
+            self.n_over = self.counts.where(F.col("n_docs") >= self.min_docs).count()
+            return self._build_filters()
+        change = self._save(change, "change")
+        old = self._newest("counts", ["k1", "k2"], change)
+        both = change.join(old.hint("merge"), ["k1", "k2"], "left").select("k1", "k2", F.coalesce("n_docs", F.lit(0)).alias("was"), (F.coalesce("n_docs", F.lit(0)) + F.col("dn")).alias("n_docs"), F.greatest("last_doc", "top").alias("last_doc"))
+        return self._counted(both)
 
     def delete(self, ids: DataFrame) -> "LineDedup":
         """Take documents out again: ``ids`` has their ids in its first column."""
         self.version += 1
-        gone = ids.select(F.col(ids.columns[0]).alias("id")).distinct()
-        self.postings = self._save(self.postings.join(gone.hint("merge"), "id", "left_anti").select("id", "k1", "k2"), "postings")
-        return self._recount()
-
-    def _recount(self) -> "LineDedup":
-        """Exact counts from the postings, and the filters brought in line with them: keys that reached
-        the limit are added, keys that fell below are removed."""
-        before, shards, least = self.counts, self.shards, self.min_docs
-        counts = self.postings.groupBy("k1", "k2").agg(F.count("*").alias("n_docs"), F.max("id").alias("last_doc"))
-        self.counts = self._save(counts.withColumn("shard", F.pmod("k1", F.lit(shards)).cast("int")), "counts")
-        over = self.counts.where(F.col("n_docs") >= least).select("shard", "k2", F.lit(1).alias("now"))
-        old = self.filters
-        if old is None:
-            build = lambda pdf: pd.DataFrame({"shard": pdf["shard"][:1], "cells": [build_filter(pdf["k2"].to_numpy(np.int64).view(np.uint64)).dump()]})
-            self.filters = self._save(over.groupBy("shard").applyInPandas(build, "shard int, cells binary"), "filters")
-            return self
-        was = before.where(F.col("n_docs") >= least).select("shard", "k1", "k2", F.lit(1).alias("was"))
-        now = self.counts.where(F.col("n_docs") >= least).select("shard", "k1", "k2", F.lit(1).alias("now"))
-        both = now.join(was.hint("merge"), ["shard", "k1", "k2"], "full")
+        gone = self._save(ids.select(F.col(ids.columns[0]).alias("g_id")).distinct(), "ids")
+        mine = self.postings().join(gone.hint(sized_hint(gone)), F.col("id").eqNullSafe(F.col("g_id")), "left_semi")
+        change = self._save(mine.groupBy("k1", "k2").agg(F.count("*").alias("dn"), F.max("id").alias("top")), "change")
+        self._add(gone.select(F.col("g_id").alias("id")), "gone")
+        old = self._newest("counts", ["k1", "k2"], change)
+        both = self._save(change.join(old.hint("merge"), ["k1", "k2"]).select("k1", "k2", F.col("n_docs").alias("was"), (F.col("n_docs") - F.col("dn")).alias("n_docs"), "last_doc", F.col("last_doc").eqNullSafe(F.col("top")).alias("lost")), "both")
+        # only keys whose last holder went look for another one
+        lost = self._save(both.where("lost and n_docs > 0").select("k1", "k2"), "lost")
+        next_ = self.postings().join(lost.hint(sized_hint(lost)), ["k1", "k2"], "left_semi").groupBy("k1", "k2").agg(F.max("id").alias("next"))
+        both = both.join(next_.hint("merge"), ["k1", "k2"], "left").select("k1", "k2", "was", "n_docs", F.when(F.col("lost"), F.col("next")).otherwise(F.col("last_doc")).alias("last_doc"))
+        return self._counted(both)
+
+    def _counted(self, both: DataFrame) -> "LineDedup":
+        """Counts and filters brought in line with (k1, k2, was, n_docs, last_doc) of the keys that changed."""
+        both = self._save(both, "changed")
+        self._add(both.drop("was"), "counts")
+        least = self.min_docs
+        flips = both.where((F.col("was") >= least) != (F.col("n_docs") >= least)).select(self._shard(), "k2", (F.col("n_docs") >= least).alias("now"))
+        flips = self._save(flips, "flips")
+        more = flips.agg(F.sum(F.when(F.col("now"), 1).otherwise(-1))).first()[0]
+        self.n_over += more or 0
+        if self.n_over > 2 * self.shards * SHARD_KEYS:
+            return self._build_filters()
+        if more is not None:
+            self._update_filters(flips)
+        if max(map(len, self.parts.values())) > MOST_PARTS:
+            self.compact()
+        return self
 
-        def update(filters: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
-            shard = int((keys if len(keys) else filters)["shard"].iloc[0])
-            here = keys["now"].notna()
-            fresh, stale = here & keys["was"].isna(), ~here
-            key = keys["k2"].to_numpy(np.int64).view(np.uint64) if len(keys) else np.zeros(0, np.uint64)
-            made = CuckooFilter.load(filters["cells"].iloc[0]) if len(filters) else CuckooFilter.sized(len(keys))
-            made.remove(key[stale.to_numpy(bool)])
-            if not made.add(key[fresh.to_numpy(bool)]):
-                made = build_filter(key[here.to_numpy(bool)])
-            return pd.DataFrame({"shard": [shard], "cells": [made.dump()]})
+    def _shard(self):
+        return F.pmod("k1", F.lit(self.shards)).cast("int").alias("shard")
 
-        merged = old.groupBy("shard").cogroup(both.groupBy("shard")).applyInPandas(update, "shard int, cells binary")
-        self.filters = self._save(merged, "filters")
+    def _build_filters(self) -> "LineDedup":
+        self.shards = max(LEAST_SHARDS, 1 << int(np.ceil(np.log2(max(1, self.n_over) / SHARD_KEYS))) if self.n_over > SHARD_KEYS else 1)
+        self._fold_filters()
         return self
 
+    def _fold_filters(self) -> None:
+        over = self.counts.where(F.col("n_docs") >= self.min_docs).select(self._shard(), "k2")
+        build = lambda pdf: pd.DataFrame({"shard": pdf["shard"][:1], "cells": [build_filter(pdf["k2"].to_numpy(np.int64).view(np.uint64)).dump()]})
+        self.parts["filters"] = []
+        self._add(over.groupBy("shard").applyInPandas(build, "shard int, cells binary"), "filters")
+
+    def _update_filters(self, flips: DataFrame) -> None:
+        """Keys that reached the limit are added, keys that fell below are removed, in their shards alone."""
+        touched = flips.select("shard").distinct()
+        old = self._newest("filters", ["shard"], self._save(touched, "shards"))
+
+        def update(filters: pd.DataFrame, keys: pd.DataFrame) -> pd.DataFrame:
+            key, now = keys["k2"].to_numpy(np.int64).view(np.uint64), keys["now"].to_numpy(bool)
+            made = CuckooFilter.load(filters["cells"].iloc[0]) if len(filters) else CuckooFilter.sized(len(keys))
+            made.remove(key[~now])
+            full = not made.add(key[now])
+            return pd.DataFrame({"shard": keys["shard"][:1], "cells": [None if full else made.dump()]})
+
+        made = self._save(old.groupBy("shard").cogroup(flips.groupBy("shard")).applyInPandas(update, "shard int, cells binary"), "made")
+        if made.where("cells is null").isEmpty():
+            self._add(made, "filters")
+        else:  # a filter is full: all are built anew for their keys
+            self._fold_filters()
+
+    def compact(self) -> None:
+        """Folds the parts of each table into one and deletes the old ones. Tables read before must not be
+        used any more."""
+        self.version += 1
+        old = [path for parts in self.parts.values() for path, _ in parts]
+        postings, counts, filters = self.postings(), self.counts, self.filters
+        made = {name: self._save(df.withColumn("v", F.lit(self.version)), name) for name, df in (("postings", postings), ("counts", counts), ("filters", filters))}
+        self.parts = {"gone": []} | {name: [(f"{self.folder}/v{self.version}/{name}", df)] for name, df in made.items()}
+        for path in old:
+            removed(self.spark, path)
+
     def repeated(self) -> DataFrame:
         """(id, k1, k2): the lines that documents lose: keys of at least min_docs documents, in all of
         them but the one with the largest id. Filters drop most postings before the exact join."""
-        shards, candidates = self.shards, self.postings
-        if (self.filters.agg(F.sum(F.length("cells"))).first()[0] or 0) <= FILTER_BYTES:
-            cells = self.spark.sparkContext.broadcast({r["shard"]: bytes(r["cells"]) for r in self.filters.collect()})
-
-            def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-                filters = {s: CuckooFilter.load(c) for s, c in cells.value.items()}
-                for batch in batches:
-                    k1, k2 = (np.asarray(batch.column(c)).astype(np.int64) for c in ("k1", "k2"))
-                    shard, hit = k1 & (shards - 1), np.zeros(len(k1), bool)
-                    for s in np.intersect1d(np.unique(shard), list(filters)):
-                        mine = np.flatnonzero(shard == s)
-                        hit[mine] = filters[int(s)].contains(k2[mine].view(np.uint64))
-                    yield batch.filter(pa.array(hit))
-
-            candidates = candidates.mapInArrow(look, candidates.schema)
+        rows = self.postings().withColumn("shard", self._shard())
+        # shards with very many postings, as one line of a third of all documents makes them, are split
+        hot = self.counts.groupBy(self._shard()).agg(F.ceil(F.sum("n_docs") / SPLIT_ROWS).alias("splits")).where("splits > 1")
+        hot = written(hot, work_folder(self.spark), "hot_shards")
+        hint = sized_hint(hot)
+        rows = rows.join(hot.hint(hint), "shard", "left").withColumn("split", F.pmod(F.xxhash64("id", "k2"), F.coalesce("splits", F.lit(1))))
+        filters = self.filters.join(hot.hint(hint), "shard", "left").withColumn("split", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("splits", F.lit(1)) - 1)))
+        both = filters.select("shard", "split", "cells").unionByName(rows.select("shard", "split", "id", "k1", "k2"), allowMissingColumns=True)
+        both = both.withColumn("kind", F.col("cells").isNull()).repartition(shuffle_width(self.spark), "shard", "split").sortWithinPartitions("shard", "split", "kind")
+        id_type = rows.schema["id"].dataType.simpleString()
+        candidates = both.mapInArrow(filter_hits, f"id {id_type}, k1 long, k2 long")
         exact = self.counts.where(F.col("n_docs") >= self.min_docs).select("k1", "k2", "last_doc")
         return candidates.join(exact.hint("merge"), ["k1", "k2"]).where(~F.col("id").eqNullSafe(F.col("last_doc"))).select("id", "k1", "k2")
 
     def apply(self, docs: DataFrame) -> DataFrame:
-        """The rows of docs with n_lines, n_dropped and the text that is left (a null text becomes "")."""
+        """(row, n_lines, n_dropped, text): the other columns of docs, whatever their names, in ``row``, and the
+        text that is left (a null text becomes ""), of any length. A row that stands twice comes twice."""
         gone = self.repeated().groupBy("id").agg(F.collect_list(F.struct("k1", "k2")).alias("gone")).withColumnRenamed("id", "gone_id")
         rows = docs.select(F.col(self.id_col).alias("id"), F.struct(*[F.col(c) for c in docs.columns if c != self.text_col]).alias("row"), F.col(self.text_col).alias("text"))
-        both = rows.join(gone.hint("shuffle_hash"), rows["id"].eqNullSafe(gone["gone_id"]), "left").select("row", "text", "gone")
+        both = rows.join(gone.hint("merge"), rows["id"].eqNullSafe(gone["gone_id"]), "left").select("row", "text", "gone")
         limit = self.min_chars
         made = T.StructType([rows.schema["row"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("text", T.StringType())])
         return both.mapInArrow(lambda batches: without_lines(batches, limit), made)
@@ -251,9 +375,9 @@ class LineDedup:
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
     """One row per row of docs: doc_id, n_lines, n_dropped, kept_sha256.
 
-    A null or empty text is one empty line. Rows that repeat an id, and all rows without one, count as
-    one document; a null id is smaller than any other. Other columns are not read. An empty table gives
-    an empty result.
+    A null or empty text is one empty line; texts of any length are processed whole. Rows that repeat an
+    id, and all rows without one, count as one document; a null id is smaller than any other. Other
+    columns are not read. An empty table gives an empty result.
     """
     only = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     state = LineDedup(docs.sparkSession, min_docs, min_chars).insert(only)
