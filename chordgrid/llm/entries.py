@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import secrets
+
 from pyspark.sql import DataFrame, SparkSession
 
 from chordgrid.llm import (exact_dedup, license_scan, line_dedup, mixing, ngram_join, pii_surrogates, quality_classifier,
@@ -45,7 +47,9 @@ def op2_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op4_pii_surrogates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii_surrogates.surrogate_texts(documents(spark, sf_dir))
+    """With the session's key; where it has none, with a key that is forgotten after this run."""
+    key = spark.conf.get(pii_surrogates.KEY_SETTING, None) or secrets.token_hex(16)
+    return pii_surrogates.surrogate_texts(documents(spark, sf_dir), key=key)
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -114,7 +118,8 @@ WITH t AS (
 ), dup AS (
   SELECT doc_id, count(*) - count(DISTINCT line) AS n FROM ln GROUP BY doc_id
 ), freq AS (
-  SELECT host, k, min(doc_id) AS keeper FROM ln GROUP BY host, k HAVING count(DISTINCT x) > 100
+  SELECT host, k, min(doc_id) AS keeper FROM ln JOIN (SELECT host, count(DISTINCT doc_id) AS docs FROM t GROUP BY host) USING (host)
+  GROUP BY host, k, docs HAVING count(DISTINCT doc_id) > 10 AND 100 * count(DISTINCT doc_id) > 10 * docs
 ), lost AS (
   SELECT ln.doc_id, sum(c) AS n FROM ln JOIN freq USING (host, k) WHERE ln.doc_id <> keeper GROUP BY ln.doc_id
 ), b AS (

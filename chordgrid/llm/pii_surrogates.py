@@ -5,7 +5,11 @@ names. Every distinct entity of the corpus (its normal form, so that spellings o
 one surrogate from a keyed hash, of its own type, script, gender and format. Surrogates are checked
 across the corpus: two entities never share one and none equals a real entity of its type; whoever
 loses a collision draws again. Mentions then take their entity's surrogate in their own layout, so one
-entity stays one and two stay two.
+entity stays one and two stay two. A name that a title gave away is also found where the same document
+repeats it without one.
+
+The key is the caller's or the session's (``chordgrid.surrogates.key``): who has it can draw the same
+surrogates again, and nobody else.
 """
 
 from __future__ import annotations
@@ -20,10 +24,11 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chordgrid.llm.shared import work_folder, written
+from chordgrid.llm.shared import fresh, work_folder, written
 from chordgrid.llm.words import pieces
 
-KEY = b"surrogates, first edition"
+#: The session setting that holds the key.
+KEY_SETTING = "chordgrid.surrogates.key"
 
 #: Titles that tell a name's gender, and neutral ones.
 TITLES = {"Mr": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Señora": "f", "Sra": "f", "Dr": "n", "Prof": "n", "Г-н": "m", "Г-жа": "f"}
@@ -43,6 +48,7 @@ _SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
 _CARD = re.compile(r"(?<![\d.+-])\d(?:[ -]{0,2}\d){12,18}(?![\d.-]?\d)")
 _PHONE = re.compile(r"(?<![\w.+])(?:\+\d{1,3}[ .-]{0,3})?(?:\(\d{2,4}\)|\d{2,4})[ .-]{1,3}\d{3,4}[ .-]{0,3}\d{3,4}(?:[ .-]{1,3}\d{2,4})?(?![\w-]|\.\d)|(?<!\w)\+\d{8,15}(?!\d)")
 _NAME = re.compile(r"\b(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.?[  ]((?:[A-ZÀ-ÖØ-ÞА-Я][\w'-]+)(?:[  ][A-ZÀ-ÖØ-ÞА-Я][\w'-]+)?)")
+_CAPITAL = re.compile(r"(?<![\w'-])[A-ZÀ-ÖØ-ÞА-Я][\w'-]+")
 _DIGIT = re.compile(r"\d")
 
 
@@ -60,6 +66,7 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             found += [(m.start(), m.end(), kind, re.sub(r"\D", "", m[0])) for m in pattern.finditer(text)]
     if "=" in text or ":" in text:
         found += [(m.start(1), m.end(1), "secret", m[1]) for m in _ASSIGNED.finditer(text)]
+    names: dict[str, str] = {}
     for m in _NAME.finditer(text):
         parts = [(p.start() + m.start(2), p.end() + m.start(2), p[0]) for p in re.finditer(r"\S+", m[2])]
         if len(parts) == 2:
@@ -68,8 +75,17 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
             if gender == "n":
                 gender = "f" if given in FEMALE else "m" if given in MALE else "n"
             found.append((a, b, f"given_{gender}", given.casefold()))
+            if names.get(given, "given_n") == "given_n":
+                names[given] = f"given_{gender}"
         a, b, family = parts[-1]
         found.append((a, b, "family", family.casefold()))
+        names.setdefault(family, "family")
+    if names:
+        # the same names without a title, as written there or in capitals
+        spelled = {x: n for n in names if len(n) > 2 for x in (n, n.upper())}
+        for m in _CAPITAL.finditer(text):
+            if m[0] in spelled:
+                found.append((m.start(), m.end(), names[spelled[m[0]]], m[0].casefold()))
     found.sort(key=lambda e: (e[0], -e[1]))
     out, end = [], 0
     for e in found:
@@ -82,9 +98,9 @@ def detect(text: str) -> list[tuple[int, int, str, str]]:
 class Stream:
     """Numbers that a key, a type, a value and an attempt decide."""
 
-    def __init__(self, *parts):
+    def __init__(self, key: str, *parts):
         seed = "\0".join(map(str, parts)).encode("utf-8", "surrogatepass")
-        self.data, self.n, self.seed = b"", 0, hmac.new(KEY, seed, hashlib.sha256).digest()
+        self.data, self.n, self.seed = b"", 0, hmac.new(key.encode(), seed, hashlib.sha256).digest()
 
     def below(self, n: int) -> int:
         if len(self.data) < 4:
@@ -115,10 +131,10 @@ def alike(text: str, draw: Stream, hexadecimal: bool = False) -> str:
     return "".join(out)
 
 
-def surrogate(kind: str, value: str, attempt: int) -> str:
+def surrogate(kind: str, value: str, attempt: int, key: str) -> str:
     """The surrogate's normal form. Every third attempt widens the space that it is drawn from (a longer
     value; for addresses another range, then IPv6), so that any number of entities find one."""
-    draw, more = Stream(kind, value, attempt), attempt // 3
+    draw, more = Stream(key, kind, value, attempt), attempt // 3
     if kind == "email":
         local, _, domain = value.partition("@")
         host, _, top = domain.rpartition(".")
@@ -183,31 +199,32 @@ def mention_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
         yield pa.record_batch([piece.column("id").take(at), piece.column("th").take(at), pa.array(start, pa.int32()), pa.array(stop, pa.int32()), pa.array(kind, pa.string()), pa.array(value, pa.string())], ["id", "th", "start", "stop", "kind", "value"])
 
 
-def draws(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def draws(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        made = [surrogate(*x) for x in zip(*(batch.column(c).to_pylist() for c in ("kind", "value", "attempt")))]
+        made = [surrogate(*x, key) for x in zip(*(batch.column(c).to_pylist() for c in ("kind", "value", "attempt")))]
         yield pa.record_batch([*(batch.column(c) for c in ("kind", "value", "attempt")), pa.array(made, pa.string())], ["kind", "value", "attempt", "made"])
 
 
-def assign(entities: DataFrame, folder: str, rounds: int = 64) -> DataFrame:
+def assign(entities: DataFrame, folder: str, key: str, rounds: int = 64) -> DataFrame:
     """(kind, value, made) of distinct (kind, value): surrogates that are distinct within a kind and equal
-    no entity of it. Given names of all genders share one space. As attempts widen the spaces, all entities
-    settle long before the rounds end; only a generator that ignores the attempt gets there."""
+    no entity of it. Given names of all genders share one space.
+
+    A round draws for the entities that are still open and adds those that settle; earlier rounds' parts are
+    read and not written again. As attempts widen the spaces, all entities settle long before the rounds
+    end; only a generator that ignores the attempt gets there.
+    """
     space = lambda kind: F.when(F.col(kind).startswith("given_"), F.lit("given")).otherwise(F.col(kind))
     real = entities.select(space("kind").alias("space"), F.col("value").alias("made")).distinct()
     settled, open_ = None, entities.select("kind", "value", F.lit(0).alias("attempt"))
     for turn in range(rounds):
-        drawn = written(open_.mapInArrow(draws, "kind string, value string, attempt int, made string").withColumn("space", space("kind")), folder, f"drawn/{turn}")
-        # first come those settled before, then by the entity's own hash
-        field = drawn.withColumn("old", F.lit(False))
-        if settled is not None:
-            field = field.unionByName(settled.withColumn("old", F.lit(True)))
-        best = field.groupBy("space", "made").agg(F.min(F.struct((~F.col("old")).alias("new"), F.xxhash64("kind", "value").alias("h"), "kind", "value")).alias("best"))
-        won = best.where("best.new").select("space", "made", F.col("best.kind").alias("kind"), F.col("best.value").alias("value")).join(real.hint("merge"), ["space", "made"], "left_anti")
-        won = won.withColumn("attempt", F.lit(turn)).select("kind", "value", "attempt", "made", "space")
+        drawn = written(open_.mapInArrow(lambda b: draws(b, key), "kind string, value string, attempt int, made string").withColumn("space", space("kind")), folder, f"drawn/{turn}")
+        taken = real if settled is None else real.unionByName(settled.select("space", "made"))
+        # of those that drew one surrogate the first by its own hash has it, unless it is taken
+        best = drawn.groupBy("space", "made").agg(F.min(F.struct(F.xxhash64("kind", "value").alias("h"), "kind", "value")).alias("best"))
+        won = best.select("space", "made", "best.kind", "best.value").join(taken.hint("merge"), ["space", "made"], "left_anti")
+        won = written(won.select("kind", "value", "made", "space"), folder, f"settled/{turn}")
         settled = won if settled is None else settled.unionByName(won)
-        settled = written(settled, folder, f"settled/{turn}")
-        open_ = written(drawn.join(settled.select("kind", "value").hint("merge"), ["kind", "value"], "left_anti").select("kind", "value", F.lit(turn + 1).alias("attempt")), folder, f"open/{turn}")
+        open_ = written(drawn.join(won.select("kind", "value").hint("merge"), ["kind", "value"], "left_anti").select("kind", "value", F.lit(turn + 1).alias("attempt")), folder, f"open/{turn}")
         if open_.isEmpty():
             return settled.select("kind", "value", "made")
     raise RuntimeError("surrogates keep colliding")
@@ -228,33 +245,39 @@ def replace_mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 class Surrogates:
-    """``mentions`` (id, th, start, stop, kind, value), ``mapping`` (kind, value, made), and :meth:`apply`."""
+    """``mentions`` (id, th, start, stop, kind, value), ``mapping`` (kind, value, made), and :meth:`apply`.
+    ``key``: else the session's."""
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None):
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None, key: str | None = None):
+        key = key or docs.sparkSession.conf.get(KEY_SETTING, None)
+        if not key:
+            raise ValueError(f"surrogates need a key: pass one or set {KEY_SETTING}")
         self.docs, self.id_col, self.text_col = docs, id_col, text_col
         folder = folder or work_folder(docs.sparkSession)
         texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
         made = T.StructType([texts.schema["id"], T.StructField("th", T.LongType()), *(T.StructField(c, T.IntegerType()) for c in ("start", "stop")), *(T.StructField(c, T.StringType()) for c in ("kind", "value"))])
         self.mentions = written(texts.mapInArrow(mention_lists, made), folder, "mentions")
         entities = written(self.mentions.groupBy("kind", "value").agg(F.count("*").alias("n")), folder, "entities")
-        self.mapping = assign(entities, folder)
+        self.mapping = assign(entities, folder, key)
 
     def apply(self) -> DataFrame:
-        """The rows of docs with their text replaced, all columns in place, and n_entities."""
+        """The rows of docs with their text replaced, all columns in place, and a last column n_entities (with a
+        leading underscore where docs has one)."""
         named = self.mentions.distinct().join(self.mapping.hint("merge"), ["kind", "value"])
         found = named.groupBy("id", "th").agg(F.collect_list(F.struct("start", "stop", "kind", "made")).alias("found")).withColumnsRenamed({"id": "f_id", "th": "f_th"})
         docs = self.docs
         rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != self.text_col]).alias("row"), F.col(self.id_col).alias("id"), F.coalesce(F.col(self.text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-        both = rows.join(found.hint("shuffle_hash"), rows["id"].eqNullSafe(found["f_id"]) & (rows["th"] == found["f_th"]), "left").select("row", "text", "found")
+        both = rows.join(found.hint("merge"), rows["id"].eqNullSafe(found["f_id"]) & (rows["th"] == found["f_th"]), "left").select("row", "text", "found")
         out = both.mapInArrow(replace_mentions, T.StructType([rows.schema["row"], T.StructField("n_entities", T.LongType()), T.StructField("text", T.StringType())]))
-        return out.select(*[F.col("text").alias(c) if c == self.text_col else F.col("row")[c].alias(c) for c in docs.columns], "n_entities")
+        return out.select(*[F.col("text").alias(c) if c == self.text_col else F.col("row")[c].alias(c) for c in docs.columns], F.col("n_entities").alias(fresh(docs, "n_entities")[0]))
 
 
-def surrogate_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def surrogate_texts(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key: str | None = None) -> DataFrame:
     """One row per row of docs: doc_id, n_entities, text with surrogates.
 
-    A null text becomes an empty one. Rows that repeat an id are treated each by its own text. Other
-    columns are not read. An empty table gives an empty result.
+    A null text becomes an empty one; texts of any length are processed whole. Rows that repeat an id are
+    treated each by its own text, and equal rows alike. Other columns are not read. An empty table gives
+    an empty result.
     """
     only = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return Surrogates(only).apply().select("doc_id", "n_entities", "text")
+    return Surrogates(only, key=key).apply().select("doc_id", "n_entities", "text")
