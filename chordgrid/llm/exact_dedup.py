@@ -3,8 +3,8 @@
 Every text (white space normalised, null as empty) is cut at places its own bytes choose, so equal
 passages give equal chunks wherever they stand. Chunks are deduplicated to identifiers that are
 verified against the chunk bytes; a document is then its ordered identifier list, and only those
-short lists are shuffled to find equal documents. Chunk bytes move once: distinct ones of each
-partition, for the verification.
+short lists are shuffled to find equal documents. Texts are chunked once; chunk bytes move once: distinct
+ones of each partition, for the verification.
 """
 
 from __future__ import annotations
@@ -13,7 +13,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from chordgrid.llm.shared import fresh, normal_space, work_folder, written
@@ -71,12 +71,12 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     """One row per row of ``docs``: doc_id, keep_id (smallest id with an equal text), group_size, kept,
     text_sha256 (of the normalised text), n_chunks.
 
-    Null and empty texts are equal to each other. Rows that repeat both id and text are documents of
-    their own, of which one is kept; a null id yields to any other. Other columns are not read. An
-    empty table gives an empty result.
+    Null and empty texts are equal to each other; texts of any length are compared whole. Rows that repeat
+    both id and text are documents of their own, of which one is kept; a null id yields to any other.
+    Other columns are not read. An empty table gives an empty result.
     """
     folder = folder or work_folder(docs.sparkSession)
-    chunks = chunked(docs, id_col, text_col)
+    chunks = written(chunked(docs, id_col, text_col), folder, "chunks")
     seed = verified_seed(chunks)
     lists = chunks.select(
         "id", "sha",
@@ -97,13 +97,16 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, all their columns unchanged; of rows that repeat id and text, one."""
-    from pyspark.sql import Window
-
-    key, sha, n = fresh(docs, "_keep_id", "_keep_sha", "_copy_no")
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias(key), F.col("text_sha256").alias(sha)).withColumn(n, F.lit(1))
-    own = docs.withColumn(sha + "2", F.sha2(normal_space(F.col(text_col)), 256))
-    same = own[id_col].eqNullSafe(kept[key]) & (own[sha + "2"] == kept[sha])
-    left = own.join(kept.hint("merge"), same, "left_semi")
-    first = Window.partitionBy(id_col, sha + "2").orderBy(F.lit(1))
+    """The rows of ``docs`` that stay, all their columns unchanged, whatever their names.
+
+    Of rows that repeat id and text one stays: the first by their other columns (maps aside), then by the
+    text itself; so reruns agree. Nulls and very long texts as in :func:`exact_groups`; an empty table
+    stays empty.
+    """
+    key, sha, own, n = fresh(docs, "_keep_id", "_keep_sha", "_own_sha", "_copy_no")
+    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias(key), F.col("text_sha256").alias(sha))
+    rows = docs.withColumn(own, F.sha2(normal_space(F.col(text_col)), 256))
+    left = rows.join(kept.hint("merge"), rows[id_col].eqNullSafe(kept[key]) & (rows[own] == kept[sha]), "left_semi")
+    others = [f.name for f in docs.schema.fields if f.name not in (id_col, text_col) and "map<" not in f.dataType.simpleString()]
+    first = Window.partitionBy(id_col, own).orderBy(*others, text_col)
     return left.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).select(*docs.columns)
