@@ -7,6 +7,9 @@ prefix of a permutation of the blocks, then some documents of one more block. A
 quotas among output shards: each node hands its left child half of its draws, with a composition
 drawn from the multivariate hypergeometric law. Every shard then takes the next draws of each
 source's permuted blocks, so shards are disjoint, and shuffles its documents locally.
+
+Blocks have about 512 documents at every size, so their number follows the source. A node of the tree is
+one row with a number for each source: sources may be tens of thousands, not as many as documents.
 """
 
 from __future__ import annotations
@@ -19,7 +22,6 @@ from chordgrid.llm.shared import fresh, work_folder, written
 
 MAX_TIMES = 3
 DOCS_PER_BLOCK = 512
-MAX_BLOCKS = 1 << 16
 SHARD_LEVELS = 4
 #: Up to so many sources (a few MB) the source table is broadcast; beyond, joins shuffle.
 BROADCAST_SOURCES = 1 << 15
@@ -105,7 +107,7 @@ class Mix:
         sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.size(split_words(F.coalesce(F.col(text_col), F.lit("")))).cast("long").alias("size"))
         sized = written(sized.groupBy("id", "source", "size").agg(F.count("*").alias("m")), folder, "sized")
         sources = written(sized.groupBy("source").agg(F.sum(F.col("size") * F.col("m")).alias("size"), F.sum("m").alias("docs")), folder, "source_sizes")
-        plan = targets(sources, max_times).withColumn("blocks", F.least(F.ceil(F.col("docs") / DOCS_PER_BLOCK), F.lit(MAX_BLOCKS)))
+        plan = targets(sources, max_times).withColumn("blocks", F.ceil(F.col("docs") / DOCS_PER_BLOCK))
         passes = F.when(F.col("size") > 0, F.floor(F.col("target") / F.col("size"))).otherwise(0)
         plan = plan.withColumn("passes", passes).withColumn("rest", F.col("target") - F.col("passes") * F.col("size"))
         plan = written(plan.withColumnRenamed("size", "source_size").withColumnRenamed("source", "of"), folder, "plan")
@@ -148,8 +150,9 @@ class Mix:
 def mix_words(docs: DataFrame, **options) -> DataFrame:
     """One row per row of docs: doc_id, size, source_size, target (of its source), taken.
 
-    Null texts have size 0 and are never taken; a null source is a source of its own, last in order.
-    Rows that repeat id, source and size are taken together. An empty table gives an empty result.
+    Null texts have size 0 and are never taken; a text of any length is one document, taken whole or not;
+    a null source is a source of its own, last in order. Rows that repeat id, source and size are taken
+    together. Other columns are not read. An empty table gives an empty result.
     """
     mix = Mix(docs, **options)
     taken = mix.drawn.groupBy("id", "source", "size").agg(F.count("*").alias("times"))
@@ -160,12 +163,14 @@ def mix_words(docs: DataFrame, **options) -> DataFrame:
 
 
 def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The rows of docs as often as the mix takes them, columns unchanged, in locally shuffled order."""
-    a, b, c, d = fresh(docs, "_mix_id", "_mix_source", "_mix_size", "_own_size")
+    """The rows of docs as often as the mix takes them, in locally shuffled order. All columns keep their names
+    and values; rows that repeat id, source and size are taken together; rows without words are never
+    taken; an empty table stays empty."""
+    a, b, c, d, e, f = fresh(docs, "_mix_id", "_mix_source", "_mix_size", "_own_size", "_draws", "_draw")
     drawn = Mix(docs, id_col, text_col, source_col, **options).drawn
-    times = drawn.groupBy("id", "source", "size").agg(F.array_sort(F.collect_list(F.struct("shard", "order"))).alias("_draws"))
-    times = times.select(F.col("id").alias(a), F.col("source").alias(b), F.col("size").alias(c), "_draws")
+    times = drawn.groupBy("id", "source", "size").agg(F.array_sort(F.collect_list(F.struct("shard", "order"))).alias(e))
+    times = times.select(F.col("id").alias(a), F.col("source").alias(b), F.col("size").alias(c), e)
     rows = docs.withColumn(d, F.size(split_words(F.coalesce(F.col(text_col), F.lit("")))).cast("long"))
     same = rows[id_col].eqNullSafe(times[a]) & rows[source_col].cast("string").eqNullSafe(times[b]) & (rows[d] == times[c])
-    out = rows.join(times.hint("shuffle_hash"), same).withColumn("_draw", F.explode("_draws"))
-    return out.sortWithinPartitions("_draw.shard", "_draw.order").select(*[F.col(x) for x in docs.columns])
+    out = rows.join(times.hint("merge"), same).withColumn(f, F.explode(e))
+    return out.sortWithinPartitions(f"{f}.shard", f"{f}.order").select(*[F.col(x) for x in docs.columns])
