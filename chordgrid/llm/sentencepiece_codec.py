@@ -6,13 +6,16 @@ the vocabulary and go to the tasks as a broadcast. Texts are encoded batch by ba
 * White space: a marker (U+2581) stands for each space, and one more precedes the text. Where no piece
   holds a marker behind another character, the best path of a text is that of its marker-led segments
   one by one, and each distinct segment is segmented once for a task.
+* Long segments (Chinese or Japanese text, data without spaces) are cut between two characters that stand
+  side by side in no piece, which no path can cross.
 * Viterbi: all new segments of a batch advance together, byte by byte, through the trie.
 * Byte fallback: a character that no piece covers costs the lowest score less 10 and becomes one byte
   piece for each of its UTF-8 bytes. A marker character in the text itself is always written so, which
   makes decoding exact for every text.
 
 A model whose scores are merge ranks (BPE) has no log scores; its pieces then get those of Zipf's law,
-ln p(r) = -ln(r + 1) - ln(sum over all pieces).
+ln p(r) = -ln(r + 1) - ln(sum over all pieces). They are a rule, not fitted to any text: tokenizers are
+given, and none is trained here.
 """
 
 from __future__ import annotations
@@ -26,6 +29,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chordgrid.llm.shared import fresh
 from chordgrid.llm.words import pieces as slices
 
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
@@ -36,8 +40,11 @@ _MARK = MARK.encode()
 FALLBACK_PENALTY = 10.0
 #: A stored score that low bars a piece.
 NEVER = -1e8
-#: Segments kept in a task's cache; then it starts anew.
-CACHE = 400_000
+#: Bytes that a task's cache of segments may hold beside those of one slice of a batch; then it starts anew.
+CACHE_BYTES = 64 << 20
+#: What an entry costs besides its segment and its pieces.
+ENTRY_BYTES = 200
+#: Segments with more bytes are never kept, and are segmented one by one.
 LONG_SEGMENT = 96
 
 
@@ -148,11 +155,13 @@ class Codec:
             if byte not in _LITERAL:
                 texts[vocabulary.byte_ids[byte]] = bytes([byte])
         self.texts = texts
+        spelled = [vocabulary.pieces[i].decode() for i in known]
+        self.neighbours = {p[k : k + 2] for p in spelled for k in range(len(p) - 1)}
         self.is_byte = np.zeros(len(texts), bool)
         self.is_byte[vocabulary.byte_ids] = True
 
     def __getstate__(self):
-        return self.__dict__ | {"cache": {}}
+        return self.__dict__ | {"cache": {}, "cached": 0}
 
     # -- encoding
 
@@ -179,9 +188,25 @@ class Codec:
     def raw(self, segment: str) -> bytes:
         return _MARK + segment.replace(" ", MARK).encode("utf-8", "surrogateescape")
 
-    def encode_segments(self, segments: list[str]) -> list[bytes]:
+    def units(self, text: str) -> list[str | bytes]:
+        """What is segmented by itself: short segments as they are, long ones in their parts, as bytes."""
+        out: list[str | bytes] = []
+        for segment in self.segments(text):
+            if 4 * len(segment) > LONG_SEGMENT:
+                whole = MARK + segment.replace(" ", MARK)
+                held, start = self.neighbours, 0
+                for k in range(1, len(whole)):
+                    if whole[k - 1 : k + 1] not in held:
+                        out.append(whole[start:k].encode("utf-8", "surrogateescape"))
+                        start = k
+                out.append(whole[start:].encode("utf-8", "surrogateescape"))
+            else:
+                out.append(segment)
+        return out
+
+    def encode_segments(self, segments: list[str | bytes]) -> list[bytes]:
         """Piece ids of each segment as int32 bytes."""
-        raw = [self.raw(s) for s in segments]
+        raw = [s if isinstance(s, bytes) else self.raw(s) for s in segments]
         short = [i for i, r in enumerate(raw) if len(r) <= LONG_SEGMENT]
         out: list[bytes] = [b""] * len(raw)
         for i, ids in zip(short, self._together([raw[i] for i in short])):
@@ -289,16 +314,22 @@ class Codec:
     def encode(self, texts: list[str | None]) -> list[bytes]:
         """Piece ids of each text as int32 bytes; none for a null or empty text."""
         cache = self.__dict__.setdefault("cache", {})
-        split = [self.segments(t or "") for t in texts]
+        split = [self.units(t or "") for t in texts]
         new = {s for parts in split for s in parts if s not in cache}
-        if len(cache) + len(new) > CACHE:
+        if self.__dict__.get("cached", 0) > CACHE_BYTES:
             cache.clear()
-            new = {s for parts in split for s in parts}
-        listed = list(new)
+            self.cached, new = 0, {s for parts in split for s in parts}
+        listed, long_ = list(new), []
         for a in range(0, len(listed), 50_000):
             some = listed[a : a + 50_000]
-            cache.update(zip(some, self.encode_segments(some)))
-        return [b"".join([cache[s] for s in parts]) for parts in split]
+            made = self.encode_segments(some)
+            cache.update(zip(some, made))
+            self.cached = self.__dict__.get("cached", 0) + sum(ENTRY_BYTES + len(s) + len(m) for s, m in zip(some, made))
+            long_ += [s for s in some if len(s) > LONG_SEGMENT]
+        out = [b"".join([cache[s] for s in parts]) for parts in split]
+        for s in long_:  # long segments are hardly ever met again
+            self.cached -= ENTRY_BYTES + len(s) + len(cache.pop(s))
+        return out
 
     # -- decoding
 
@@ -309,8 +340,8 @@ class Codec:
 
 
 def encode_table(docs: DataFrame, codec: Codec, text_col: str = "text", check: bool = True) -> DataFrame:
-    """The rows of docs with ``piece_ids`` array<int>, ``n_byte_pieces`` and, decoded from the pieces
-    again, ``decoded``."""
+    """(row, piece_ids array<int>, n_byte_pieces, decoded): all columns of docs in ``row``, and the text that the
+    pieces give again (null without ``check``)."""
     held = docs.sparkSession.sparkContext.broadcast(codec)
     rows = docs.select(F.struct(*docs.columns).alias("row"), F.col(text_col).alias("text"))
 
@@ -348,7 +379,8 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
     """One row per row of docs: doc_id, n_pieces, n_byte_pieces, piece_ids, text_sha256 (of the text that
     the pieces decode to) and same (it is the text).
 
-    A null text is taken as empty and has no pieces; other columns are not read.
+    A null text is taken as empty and has no pieces; texts of any length are encoded whole; rows that repeat
+    are encoded alike. Other columns are not read. An empty table gives an empty result.
     """
     only = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
     out = encode_table(only, Codec(Vocabulary.read(model)))
@@ -358,6 +390,7 @@ def encoded(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", mod
 
 
 def with_pieces(docs: DataFrame, text_col: str = "text", ids_col: str = "piece_ids", model: str = MODEL) -> DataFrame:
-    """The rows of docs, unchanged, with their piece ids in a new last column."""
+    """The rows of docs, unchanged, with their piece ids in a new last column (with a leading underscore where
+    docs has one of that name). Nulls, long texts, repeats and empty tables as in :func:`encoded`."""
     out = encode_table(docs, Codec(Vocabulary.read(model)), text_col, check=False)
-    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns], F.col("piece_ids").alias(ids_col))
+    return out.select(*[F.col("row")[c].alias(c) for c in docs.columns], F.col("piece_ids").alias(fresh(docs, ids_col)[0]))
