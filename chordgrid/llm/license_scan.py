@@ -3,7 +3,9 @@
 All rolling word k-gram hashes of all documents meet the template positions in a Spark join. A match at
 document word i and template word j votes for the diagonal i - j; votes are counted by document,
 template and diagonal, diagonals that lie close together (words were put in or left out) are merged,
-and every merged span with enough votes is verified word by word against its template.
+and every merged span with enough votes is verified word by word against its template. A vote counts once
+for each place of the template, and merging stays within bands twice as wide as the template: each
+diagonal is in one band of two overlapping rows of them, so what one occurrence spans is in one band.
 
 Phrases are looked for word by word in the same pass.
 """
@@ -98,15 +100,15 @@ def scan_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def in_order(a: list, b: list) -> int:
-    """Length of the longest common subsequence."""
-    row = [0] * (len(b) + 1)
-    for x in a:
-        diagonal = 0
-        for j, y in enumerate(b, 1):
-            up = row[j]
-            row[j] = diagonal + 1 if x == y else max(up, row[j - 1])
-            diagonal = up
-    return row[-1]
+    """Length of the longest common subsequence; a row of its table is the bits of one number."""
+    places: dict = {}
+    for i, x in enumerate(a):
+        places[x] = places.get(x, 0) | 1 << i
+    full = row = (1 << len(a)) - 1
+    for y in b:
+        hit = row & places.get(y, 0)
+        row = (row + hit | row - hit) & full
+    return len(a) - row.bit_count()
 
 
 def verify_spans(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,13 +148,17 @@ class LicenseScan:
         rows = written(grams, folder, "matches")
         self.documents = rows.where("template < 0").select("id", "th", "n_words", "n_base", "first_word", "last_word", "base")
 
-        votes = rows.where("template >= 0").groupBy("id", "th", "template", (F.col("pos") - F.col("t_pos")).alias("diagonal")).agg(
-            F.count("*").alias("votes"), F.min("pos").alias("start"), F.max("pos").alias("stop"), F.min("t_pos").alias("t_start"), F.max("t_pos").alias("t_stop"), F.first("grams").alias("grams"))
-        along = Window.partitionBy("id", "th", "template").orderBy("diagonal")
+        key = ["id", "th", "template"]
+        votes = rows.where("template >= 0").groupBy(*key, (F.col("pos") - F.col("t_pos")).alias("diagonal")).agg(
+            F.collect_set("t_pos").alias("places"), F.min("pos").alias("start"), F.max("pos").alias("stop"), F.min("t_pos").alias("t_start"), F.max("t_pos").alias("t_stop"), F.first("grams").alias("grams"))
+        wide = F.col("grams") + (K - 1 + GAP)  # words of the template, and a gap
+        bands = votes.withColumn("row", F.explode(F.array(F.lit(0), F.lit(1)))).withColumn("band", F.floor((F.col("diagonal") + F.col("row") * wide) / (2 * wide)))
+        along = Window.partitionBy(*key, "row", "band").orderBy("diagonal")
         new = (F.col("diagonal") - F.lag("diagonal", 1).over(along) > GAP).cast("int")
-        merged = votes.withColumn("band", F.sum(F.coalesce(new, F.lit(0))).over(along)).groupBy("id", "th", "template", "band").agg(
-            F.sum("votes").alias("votes"), F.min("start").alias("start"), (F.max("stop") + K).alias("stop"), F.min("t_start").alias("t_start"), (F.max("t_stop") + K).alias("t_stop"), F.first("grams").alias("grams"))
-        spans = merged.where(F.col("votes") >= MIN_VOTES * F.col("grams")).groupBy("id", "th").agg(F.collect_list(F.struct("template", "start", "stop", "t_start", "t_stop")).alias("spans"))
+        merged = bands.withColumn("part", F.sum(F.coalesce(new, F.lit(0))).over(along)).groupBy(*key, "row", "band", "part").agg(
+            F.size(F.array_distinct(F.flatten(F.collect_list("places")))).alias("votes"), F.min("start").alias("start"), (F.max("stop") + K).alias("stop"),
+            F.min("t_start").alias("t_start"), (F.max("t_stop") + K).alias("t_stop"), F.first("grams").alias("grams"))
+        spans = merged.where(F.col("votes") >= MIN_VOTES * F.col("grams")).groupBy("id", "th").agg(F.collect_set(F.struct("template", "start", "stop", "t_start", "t_stop")).alias("spans"))
         spans = written(spans.withColumnsRenamed({"id": "s_id", "th": "s_th"}), folder, "spans")
         same = texts["id"].eqNullSafe(spans["s_id"]) & (texts["th"] == spans["s_th"])
         found = texts.join(spans.hint(sized_hint(spans, "spans")), same).select("id", "th", "text", "spans")
@@ -164,7 +170,9 @@ def licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row per row of docs: doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score
     (the best share of a template's words that the text holds in order; 0 without a verified span).
 
-    A null or empty text has no words and no labels (an empty string). Other columns are not read.
+    A null or empty text has no words and no labels (an empty string); texts of any length are scanned
+    whole. Rows that repeat an id are scanned each by its own text. Other columns are not read. An empty
+    table gives an empty result.
     """
     scan = LicenseScan(docs, id_col, text_col)
     base = F.filter(F.array(*[F.when(F.col("base").bitwiseAND(1 << i) > 0, F.lit(label)) for i, label in enumerate(PHRASES.values())]), lambda x: x.isNotNull())
