@@ -1,10 +1,14 @@
 """Quality classifier: hierarchical empirical Bayes over document, path and host evidence.
 
-A logistic regression on text measures gives each document's evidence. Hosts and their paths are then
-estimated by grouped aggregation: a host's rate of good documents is shrunk toward the global rate, a
-path's rate toward its host's, with prior weights that the spread between groups decides (method of
-moments), so sparse sites fall back on what is known above them. The score of a document combines its
-own evidence with the rate of its path, which leaves its own vote out.
+A logistic regression on text measures and on hashed words and word pairs gives each document's evidence.
+Hosts and their paths are then estimated by grouped aggregation: a document's vote is its label where it
+has one, else its evidence; a host's rate of good documents is shrunk toward the global rate, a path's
+toward its host's, with prior weights that the spread between groups decides against the spread within
+them (method of moments), so sparse sites fall back on what is known above them. The score of a document
+combines its own evidence with the rate of its path, which leaves its own vote out.
+
+The model is fitted on a bounded sample of labelled rows: the weights of the words on one half of it, the
+regression, which has their mean as one of its measures, on the other.
 """
 
 from __future__ import annotations
@@ -16,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chordgrid.llm.quality_rules import split_words
-from chordgrid.llm.shared import SPACE, work_folder, written
+from chordgrid.llm.shared import SPACE, ascii_lower, work_folder, written
 
 #: The regression is fitted on at most so many labelled rows, the first by a hash of the id.
 MAX_TRAIN = 20_000
@@ -25,6 +29,8 @@ ROUNDS, RIDGE = 25, 1e-2
 #: A document is kept at this score; the classifier drops what is very likely bad, not what is in doubt.
 MIN_SCORE = 0.25
 PRIOR = (2.0, 500.0)
+#: Words and word pairs are hashed to so many weights.
+BUCKETS = 4096
 
 
 def measures(text: Column) -> dict[str, Column]:
@@ -47,6 +53,32 @@ def measures(text: Column) -> dict[str, Column]:
     }
 
 
+def word_buckets(text: Column) -> Column:
+    """The hash buckets of a text's words and pairs of neighbouring words."""
+    words = split_words(ascii_lower(text))
+    return F.flatten(F.transform(words, lambda w, i: F.array(F.pmod(F.xxhash64(w), F.lit(BUCKETS)), F.pmod(F.xxhash64(F.get(words, i + 1), w), F.lit(BUCKETS)))))
+
+
+def bucket_weights(rows: DataFrame) -> list[float]:
+    """For each bucket how much likelier good documents hold it than bad ones (log odds, smoothed), from rows
+    (text, target)."""
+    one = rows.select("target", F.explode(F.array_distinct(word_buckets(F.col("text")))).alias("bucket"))
+    totals = rows.agg(F.sum("target").alias("good"), F.sum(1 - F.col("target")).alias("bad")).first()
+    good, bad = totals["good"] or 0.0, totals["bad"] or 0.0
+    out = [0.0] * BUCKETS
+    for r in one.groupBy("bucket").agg(F.sum("target").alias("good"), F.sum(1 - F.col("target")).alias("bad")).collect():
+        out[r["bucket"]] = round(float(np.log((r["good"] + 1) / (good + 2)) - np.log((r["bad"] + 1) / (bad + 2))), 6)
+    return out
+
+
+def word_evidence(text: Column, weights: list[float]) -> Column:
+    """The mean weight of a text's words and word pairs; 0 without a word."""
+    table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<double>")  # folded to a constant
+    buckets = word_buckets(text)
+    total = F.aggregate(buckets, F.lit(0.0), lambda a, b: a + F.get(table, b.cast("int")))
+    return F.when(F.size(buckets) > 0, total / F.size(buckets)).otherwise(0.0)
+
+
 @dataclass
 class Regression:
     names: list[str]
@@ -91,15 +123,40 @@ def logit(p: Column) -> Column:
 
 
 def prior_weight(groups: DataFrame, rate: str) -> float:
-    """How many documents the rate above a group is worth, from groups of (n, s, rate above): large if the
-    groups' rates spread no more than chance would make them."""
-    p = F.col(rate)
+    """How many documents the rate above a group is worth, from groups of (n, s, q, rate above), s and q being
+    the sums of votes and of their squares: the variance within groups over that between them. It is large
+    if the groups' means spread no more than votes of that variance make them."""
+    mean = F.col("s") / F.col("n")
+    within = F.greatest(F.lit(0.0), F.col("q") / F.col("n") - mean * mean) * F.col("n") / (F.col("n") - 1)
     r = groups.where("n > 1").agg(
-        F.sum(F.col("n") * F.pow(F.col("s") / F.col("n") - p, 2)).alias("spread"), F.sum(p * (1 - p)).alias("chance"), F.sum("n").alias("n"), F.sum(F.col("n") * p * (1 - p)).alias("most")).first()
-    if not r["n"] or not r["most"]:
+        F.sum(F.col("n") * F.pow(mean - F.col(rate), 2)).alias("spread"), F.sum(within).alias("chance"), F.sum(F.col("n") * within).alias("within"), F.sum("n").alias("n")).first()
+    if not r["n"]:
         return PRIOR[1]
     between = max((r["spread"] - r["chance"]) / r["n"], 1e-9)
-    return float(np.clip(r["most"] / r["n"] / between - 1, *PRIOR))
+    return float(np.clip(r["within"] / r["n"] / between, *PRIOR))
+
+
+def _key(*columns: str) -> Column:
+    return F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in columns])
+
+
+def fitted(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str, max_train: int, folder: str) -> tuple[Regression, list[float]]:
+    """The regression and the words' weights, from at most ``max_train`` ids of ``marks`` (l_id, target): the
+    first by a hash."""
+    ids = docs.select(F.col(id_col).alias("id")).distinct()
+    marked = ids.join(marks.hint("merge"), F.col("id") == F.col("l_id")).select("id", "target", F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("h"))
+    marked = written(marked, folder, "marked")
+    # a cut on the hash first: then no task sends the driver more than its share of the sample
+    cut = int((1 << 40) * min(1.0, 1.2 * max_train / max(marked.count(), 1)))
+    sample = written(marked.where(F.col("h") < cut).orderBy("h", "id").limit(max_train).withColumnRenamed("id", "s_id"), folder, "sample")
+    rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    # the sample has at most max_train rows
+    rows = written(rows.join(F.broadcast(sample), F.col("id") == F.col("s_id")).select("h", "target", "text"), folder, "train")
+    weights = bucket_weights(rows.where("h % 2 = 0"))
+    own = measures(F.col("text")) | {"words": word_evidence(F.col("text"), weights)}
+    names = list(own)
+    train = rows.where("h % 2 = 1").select("h", "target", *[c.cast("double").alias(n) for n, c in own.items()]).orderBy("h", *names).toPandas()
+    return Regression.fit(train[names].to_numpy(float), train["target"].to_numpy(float), names), weights
 
 
 def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", path_cols: tuple[str, ...] = ("lang",),
@@ -108,29 +165,29 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
     score, kept.
 
     ``labels`` has id_col and label_col (1 good, 0 bad; null is ignored, and of an id with both the mean
-    counts). Null texts are empty; null hosts and paths are groups of their own. Without labels every
-    evidence is a half. An empty table gives an empty result.
+    counts). Null texts are empty; texts of any length are measured whole; null hosts and paths are groups
+    of their own. Rows that repeat an id are documents of their own. Without labels every evidence is a
+    half. Other columns are not read. An empty table gives an empty result.
     """
     folder = folder or work_folder(docs.sparkSession)
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    path = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("\0")) for c in (host_col, *path_cols)])
-    own = measures(F.col("text"))
-    names = list(own)
-    base = docs.select(F.col(id_col).alias("id"), text.alias("text"), F.xxhash64(F.coalesce(F.col(host_col).cast("string"), F.lit("\0"))).alias("host"), path.alias("path"))
-    base = written(base.select("id", "host", "path", *[c.cast("double").alias(n) for n, c in own.items()]), folder, "measures")
-
-    marks = labels.where(F.col(label_col).isNotNull()).groupBy(F.col(id_col).alias("l_id")).agg(F.avg(label_col).alias("target"))
-    marked = written(base.join(marks.hint("merge"), base["id"] == marks["l_id"]).select(F.pmod(F.xxhash64("id"), F.lit(1 << 40)).alias("h"), "target", *names), folder, "labelled")
-    # a cut on the hash first: then no task sends the driver more than its share of the sample
-    cut = int((1 << 40) * min(1.0, 1.2 * max_train / max(marked.count(), 1)))
-    train = marked.where(F.col("h") < cut).orderBy("h", *names).limit(max_train).select("target", *names).toPandas()
-    model = Regression.fit(train[names].to_numpy(float), train["target"].to_numpy(float), names)
-
-    scored = written(base.select("id", "host", "path", F.round(sigmoid(model.logit()), 9).alias("e")), folder, "evidence")
-    paths = written(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("e").alias("s")), folder, "paths")
-    total = paths.agg(F.sum("n").alias("n"), F.sum("s").alias("s")).first()
+    marks = written(labels.where(F.col(label_col).isNotNull() & F.col(id_col).isNotNull()).groupBy(F.col(id_col).alias("l_id")).agg(F.avg(label_col).alias("target")), folder, "labels")
+    model, weights = fitted(docs, marks, id_col, text_col, max_train, folder)
+
+    own = measures(F.col("text")) | {"words": word_evidence(F.col("text"), weights)}
+    base = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), _key(host_col).alias("host"), _key(host_col, *path_cols).alias("path"))
+    measured = base.select("id", "host", "path", *[c.cast("double").alias(n) for n, c in own.items()])
+    scored = written(measured.select("id", "host", "path", F.round(sigmoid(model.logit()), 9).alias("e")), folder, "evidence")
+    scored = scored.join(marks.hint("merge"), F.col("id") == F.col("l_id"), "left").select("id", "host", "path", "e", F.coalesce("target", "e").alias("vote"))
+    return posteriors(written(scored, folder, "votes"), min_score, folder)
+
+
+def posteriors(scored: DataFrame, min_score: float, folder: str) -> DataFrame:
+    """The scores of rows (id, host, path, e, vote)."""
+    sums = lambda *v: [F.sum(x).alias(x) for x in v]
+    paths = written(scored.groupBy("host", "path").agg(F.count("*").alias("n"), F.sum("vote").alias("s"), F.sum(F.col("vote") * F.col("vote")).alias("q")), folder, "paths")
+    total = paths.agg(*sums("n", "s")).first()
     rate = float(np.clip(total["s"] / total["n"], 1e-6, 1 - 1e-6)) if total["n"] else 0.5
-    hosts = written(paths.groupBy("host").agg(F.sum("n").alias("n"), F.sum("s").alias("s")).withColumn("above", F.lit(rate)), folder, "hosts")
+    hosts = written(paths.groupBy("host").agg(*sums("n", "s", "q")).withColumn("above", F.lit(rate)), folder, "hosts")
     k_host = prior_weight(hosts, "above")
     hosts = written(hosts.select("host", F.col("n").alias("hn"), F.col("s").alias("hs"), ((F.col("s") + k_host * rate) / (F.col("n") + k_host)).alias("host_rate")), folder, "host_rates")
     sites = written(paths.join(hosts.hint("merge"), "host"), folder, "sites")
@@ -138,9 +195,9 @@ def quality_scores(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", t
 
     # each document meets its site's sums less its own vote
     both = scored.join(sites.drop("host").hint("merge"), "path")
-    host = (F.col("hs") - F.col("e") + k_host * rate) / (F.col("hn") - 1 + k_host)
+    host = (F.col("hs") - F.col("vote") + k_host * rate) / (F.col("hn") - 1 + k_host)
     both = both.withColumn("host_rate", host)
-    path_rate = (F.col("s") - F.col("e") + k_path * F.col("host_rate")) / (F.col("n") - 1 + k_path)
+    path_rate = (F.col("s") - F.col("vote") + k_path * F.col("host_rate")) / (F.col("n") - 1 + k_path)
     both = both.withColumn("path_rate", F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), path_rate)))
     evidence = F.greatest(F.lit(1e-6), F.least(F.lit(1 - 1e-6), F.col("e")))
     score = F.round(sigmoid(logit(evidence) + logit(F.col("path_rate")) - float(np.log(rate / (1 - rate)))), 6)
