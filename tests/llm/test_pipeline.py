@@ -6,6 +6,7 @@ from collections import Counter, defaultdict
 from pathlib import Path
 
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).parent))
 import corpus  # noqa: E402
@@ -34,7 +35,7 @@ def test_rejected_documents_go(stages):
     before, after = stages[0][0], stages[0][1]
     # a kept verdict for each (id, words, ..) of the plain rules
     kept = Counter()
-    for key, n in plain_rules(before, 100).items():
+    for key, n in plain_rules(before, 10, 10).items():
         if key[-1]:
             kept[(key[0], key[1])] += n
     assert Counter((r[0], len(corpus.words(r[1]))) for r in after) == kept
@@ -77,3 +78,15 @@ def test_pieces_decode_to_the_texts(stages):
 def test_run_is_the_stages_in_turn(spark, stages):
     rows, _, base = stages
     assert Counter(r[0] for r in corpus_pipeline.run(spark, base).select("doc_id").collect()) == Counter(r[0] for r in rows[5])
+
+
+def test_stages_on_an_empty_table_and_beside_other_columns(spark, tmp_path):
+    empty = corpus.frame(spark, [])
+    wide = corpus.clashing(corpus.frame(spark)).withColumn("piece_ids", F.lit("own"))
+    wide.write.parquet(str(tmp_path / "wide"))
+    wide = spark.read.parquet(str(tmp_path / "wide"))
+    for name, stage in corpus_pipeline.STAGES:
+        own = wide.columns + (["_piece_ids"] if name == "sentencepiece" else [])
+        assert stage(spark, empty, "").count() == 0
+        assert stage(spark, wide, "").columns == own
+        assert stage(spark, wide, "").where("piece_ids <> 'own'").isEmpty()
