@@ -1,4 +1,8 @@
-"""Tempo maps, as-of joins and beat grids over long tables keyed by song."""
+"""Tempo maps, as-of joins and beat grids over long tables keyed by song.
+
+Songs have their own resolution (ticks of a quarter note): a tempo table may carry it in a column
+``resolution``; without one the given constant holds for all.
+"""
 
 from __future__ import annotations
 
@@ -8,12 +12,17 @@ from pyspark.sql import functions as F
 from chordgrid.functions.scalars import RESOLUTION
 
 
+def _resolution(tempo: DataFrame, constant: int) -> Column:
+    return (F.col("resolution") if "resolution" in tempo.columns else F.lit(constant)).cast("int")
+
+
 def segments(tempo: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
-    """song_id, start_tick, start_s, bpm of (song_id, tick, bpm[, ord]): seconds add up over tempo changes."""
+    """song_id, start_tick, start_s, bpm, resolution of (song_id, tick, bpm[, ord, resolution]): seconds add up
+    over tempo changes."""
     order = Window.partitionBy("song_id").orderBy("tick", *(["ord"] if "ord" in tempo.columns else ["bpm"]))
-    span = (F.lead("tick").over(order) - F.col("tick")) / resolution * (60.0 / F.col("bpm"))
+    span = (F.lead("tick").over(order) - F.col("tick")) / _resolution(tempo, resolution) * (60.0 / F.col("bpm"))
     before = F.sum("span").over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return tempo.withColumn("span", span).select("song_id", F.col("tick").alias("start_tick"), F.coalesce(before, F.lit(0.0)).alias("start_s"), F.col("bpm").cast("double").alias("bpm"))
+    return tempo.withColumn("span", span).select("song_id", F.col("tick").alias("start_tick"), F.coalesce(before, F.lit(0.0)).alias("start_s"), F.col("bpm").cast("double").alias("bpm"), _resolution(tempo, resolution).alias("resolution"))
 
 
 def asof_join(probes: DataFrame, table: DataFrame, by: list[str], on: str, table_on: str, values: list[str], first_below: bool = False) -> DataFrame:
@@ -33,24 +42,26 @@ def asof_join(probes: DataFrame, table: DataFrame, by: list[str], on: str, table
     return out.select(*[F.col("_row")[c].alias(c) for c in own], *[F.col("_hit")[c].alias(c) for c in values])
 
 
-def tick_seconds(tick: Column, resolution: int = RESOLUTION) -> Column:
-    """Seconds of a tick beside its segment's start_tick, start_s and bpm; 0 without a tempo."""
-    return F.coalesce(F.col("start_s") + (tick - F.col("start_tick")) / resolution * (60.0 / F.col("bpm")), F.lit(0.0))
+#: What probes take from the segment they are in.
+_SEGMENT = ["start_tick", "start_s", "bpm", "resolution"]
+
+
+def tick_seconds(tick: Column) -> Column:
+    """Seconds of a tick beside its segment's start_tick, start_s, bpm and resolution; 0 without a tempo."""
+    return F.coalesce(F.col("start_s") + (tick - F.col("start_tick")) / F.col("resolution") * (60.0 / F.col("bpm")), F.lit(0.0))
 
 
 def at_ticks(probes: DataFrame, tempo: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
     """probes (song_id, tick, ..) with time_s and bpm."""
-    seg = segments(tempo, resolution)
-    out = asof_join(probes, seg, ["song_id"], "tick", "start_tick", ["start_tick", "start_s", "bpm"], first_below=True)
-    return out.withColumn("time_s", tick_seconds(F.col("tick"), resolution)).withColumn("bpm", F.coalesce("bpm", F.lit(120.0))).drop("start_tick", "start_s")
+    out = asof_join(probes, segments(tempo, resolution), ["song_id"], "tick", "start_tick", _SEGMENT, first_below=True)
+    return out.withColumn("time_s", tick_seconds(F.col("tick"))).withColumn("bpm", F.coalesce("bpm", F.lit(120.0))).drop("start_tick", "start_s", "resolution")
 
 
 def at_seconds(probes: DataFrame, tempo: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
     """probes (song_id, seconds, ..) with tick, half to even."""
-    seg = segments(tempo, resolution)
-    out = asof_join(probes, seg, ["song_id"], "seconds", "start_s", ["start_tick", "start_s", "bpm"], first_below=True)
-    tick = F.col("start_tick") + F.bround((F.col("seconds") - F.col("start_s")) * F.col("bpm") / 60.0 * resolution, 0).cast("int")
-    return out.withColumn("tick", F.coalesce(tick, F.lit(0))).drop("start_tick", "start_s", "bpm")
+    out = asof_join(probes, segments(tempo, resolution), ["song_id"], "seconds", "start_s", _SEGMENT, first_below=True)
+    tick = F.col("start_tick") + F.bround((F.col("seconds") - F.col("start_s")) * F.col("bpm") / 60.0 * F.col("resolution"), 0).cast("int")
+    return out.withColumn("tick", F.coalesce(tick, F.lit(0))).drop(*_SEGMENT)
 
 
 def signatures(probes: DataFrame, timesig: DataFrame) -> DataFrame:
@@ -60,12 +71,16 @@ def signatures(probes: DataFrame, timesig: DataFrame) -> DataFrame:
     return out.withColumns({c: F.coalesce(c, F.lit(4)) for c in ("ts_num", "ts_den")})
 
 
+def beat_spans(tempo: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
+    """song_id, first_beat, step: where a song's beats begin, and the ticks between them."""
+    first = tempo.withColumn("step", _resolution(tempo, resolution)).groupBy("song_id").agg(F.min("tick").alias("first"), F.max("step").alias("step"))
+    return first.select("song_id", (F.ceil(F.col("first") / F.col("step")) * F.col("step")).cast("int").alias("first_beat"), "step")
+
+
 def beat_ticks(tempo: DataFrame, ends: DataFrame, resolution: int = RESOLUTION) -> DataFrame:
     """song_id, beat, tick: multiples of the resolution from the first tempo to the song's end."""
-    first = tempo.groupBy("song_id").agg(F.min("tick").alias("first"))
-    start = (F.ceil(F.col("first") / resolution) * resolution).cast("int")
-    both = first.join(ends.select("song_id", F.col("end_tick").cast("int").alias("end_tick")), "song_id").withColumn("start", start).where("start <= end_tick")
-    return both.select("song_id", F.posexplode(F.sequence("start", "end_tick", F.lit(resolution))).alias("beat", "tick"))
+    both = beat_spans(tempo, resolution).join(ends.select("song_id", F.col("end_tick").cast("int").alias("end_tick")).hint("merge"), "song_id").where("first_beat <= end_tick")
+    return both.select("song_id", F.posexplode(F.sequence("first_beat", "end_tick", "step")).alias("beat", "tick"))
 
 
 def beat_grid(tempo: DataFrame, timesig: DataFrame, ends: DataFrame, resolution: int = RESOLUTION) -> DataFrame:

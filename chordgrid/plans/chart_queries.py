@@ -42,7 +42,7 @@ def _(v):
 
 @query("s5_tempo_lines", "SELECT CAST(song_id AS VARCHAR) AS song_id, tick, bpm FROM tempo", "tempo")
 def _(v):
-    return parsed(v).tempo().drop("ord")
+    return parsed(v).tempo().drop("ord", "resolution")
 
 
 @query("f10_signature_lines", "SELECT CAST(song_id AS VARCHAR) AS song_id, tick, num, 4 AS den FROM timesig", "timesig")
@@ -57,18 +57,34 @@ def _(v):
 
 @query("s3_sections", "SELECT instrument, count(*) AS n_lines FROM (SELECT 'x' AS instrument) WHERE false GROUP BY ALL UNION ALL SELECT instrument, count(*) FROM (" + _PITCHES + " UNION ALL SELECT song_id, instrument, tick, m, 0, false, false, false FROM notes, (SELECT unnest([5, 7, 6]) AS m) WHERE instrument <> 'drums' AND (m = 5 AND is_hopo OR m = 7 AND is_tap OR m = 6 AND is_force_strum)) WHERE song_id IN (SELECT s_suppkey FROM supplier) GROUP BY ALL", "notes")
 def _(v):
-    return parsed(v).track_lines.where(F.col("line").rlike(C.NOTE)).groupBy("instrument").agg(F.count("*").alias("n_lines"))
+    return parsed(v).raw_notes().groupBy("instrument").agg(F.count("*").alias("n_lines"))
 
 
 @query("s7_ini", """SELECT CAST(c_custkey AS VARCHAR) AS song_id, c_name AS name, '' AS artist, c_mktsegment AS genre, CASE WHEN c_custkey % 2 = 0 THEN 'fret ' || c_nationkey ELSE '' END AS charter,
-CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE CAST(2000 + c_custkey % 25 AS INT) END AS year, CAST(c_custkey % 7 AS INT) AS diff_guitar, -1 AS diff_bass, c_custkey % 5 = 0 AS pro_drums, 'v' || c_nationkey AS extra_key FROM customer""")
+CASE WHEN c_custkey % 3 = 0 THEN 0 ELSE CAST(2000 + c_custkey % 25 AS INT) END AS year, CAST(CASE WHEN c_custkey % 4 = 0 THEN c_custkey * 10 WHEN c_custkey % 4 = 1 THEN c_custkey * 7 ELSE 0 END AS INT) AS song_length_ms, CAST(c_custkey % 7 AS INT) AS diff_guitar, -1 AS diff_bass,
+c_custkey % 5 IN (0, 3) AS pro_drums, c_custkey % 7 NOT IN (0, 1, 2, 3) AS five_lane_drums, 'v' || c_nationkey AS extra_key, c_name AS extra_name, CASE WHEN c_custkey % 2 = 1 THEN 'c' || c_custkey END AS noted FROM customer""")
 def _(v):
     cust = v.table("customer")
     k = F.col("c_custkey")
-    lines = [F.lit("[song]"), F.concat(F.lit("Name = wrong")), F.concat(F.lit("name = "), "c_name"), F.concat(F.lit("genre="), "c_mktsegment"), F.when(k % 2 == 0, F.concat(F.lit("frets = fret "), "c_nationkey")),
-             F.concat(F.lit("year = "), F.when(k % 3 == 0, F.lit("unknown")).otherwise((2000 + k % 25).cast("string"))), F.concat(F.lit("diff_guitar = "), k % 7), F.when(k % 5 == 0, F.lit("pro_drums = True")), F.concat(F.lit("other = v"), "c_nationkey")]
+    lines = [F.lit("[song]"), F.lit("Name = wrong"), F.concat(F.lit("name = "), "c_name"), F.concat(F.lit("genre="), "c_mktsegment"), F.when(k % 2 == 0, F.concat(F.lit("frets = fret "), "c_nationkey")),
+             F.concat(F.lit("year = "), F.when(k % 3 == 0, F.lit("unknown")).otherwise((2000 + k % 25).cast("string"))), F.concat(F.lit("diff_guitar = "), k % 7), F.concat(F.lit("other = v"), "c_nationkey"),
+             # a flag is on unless it says no in one of four ways; a missing one is off
+             F.when(k % 5 == 0, F.lit("pro_drums = True")).when(k % 5 == 1, F.lit("pro_drums = False")).when(k % 5 == 3, F.lit("pro_drums = FALSE")),
+             F.element_at(F.array(*map(F.lit, ("five_lane_drums = 0", "five_lane_drums =", "five_lane_drums = false", "x = y", "five_lane_drums = yes", "five_lane_drums = 2", "five_lane_drums = no"))), (k % 7 + 1).cast("int")),
+             # the length by either name, the first one first; one that is no number counts as given
+             F.when(k % 4 < 2, F.concat(F.lit("song_length_ms = "), k * 7)), F.when(k % 4 == 0, F.concat(F.lit("song_length = "), k * 10)).when(k % 4 == 2, F.lit("song_length = long")),
+             F.when(k % 2 == 1, F.concat(F.lit("; note = c"), k))]
     texts = cust.select(k.cast("string").alias("path"), F.concat_ws("\n", *lines).alias("text"))
-    return C.ini_metadata(C.numbered(texts)).select("song_id", "name", "artist", "genre", "charter", "year", "diff_guitar", "diff_bass", "pro_drums", F.col("extra")["other"].alias("extra_key"))
+    extra = lambda key, name: F.col("extra")[key].alias(name)
+    return C.ini_metadata(C.numbered(texts)).select("song_id", "name", "artist", "genre", "charter", "year", "song_length_ms", "diff_guitar", "diff_bass", "pro_drums", "five_lane_drums", extra("other", "extra_key"), extra("name", "extra_name"), extra("; note", "noted"))
+
+
+@query("s6_own_resolution", "SELECT CAST(s_suppkey AS VARCHAR) AS song_id, CASE WHEN s_suppkey % 3 = 0 THEN 480 WHEN s_suppkey % 3 = 1 THEN 96 ELSE 192 END AS resolution, tick, bpm FROM (SELECT s_suppkey, unnest([0, 384]) AS tick, unnest([120.0, 90.0 + s_suppkey % 5]) AS bpm FROM supplier)")
+def _(v):
+    k = F.col("s_suppkey")
+    said = F.when(k % 3 == 0, "  Resolution = 480").when(k % 3 == 1, "  resolution = \"96\"\n  Resolution = none")
+    text = F.concat_ws("\n", F.lit("[Song]\n{\n  Name = \"x\""), said, F.lit("}\n[SyncTrack]\n{\n  0 = TS 4\n  0 = B 120000"), F.concat(F.lit("  384 = B "), (90 + k % 5) * 1000), F.lit("}"))
+    return C.Charts(C.numbered(v.table("supplier").select(k.cast("string").alias("path"), text.alias("text")))).tempo().drop("ord")
 
 
 @query("k7_render_ini", "SELECT c_custkey AS song_id, '[song]' || chr(10) || 'name = ' || c_name || CASE WHEN c_custkey % 2 = 0 THEN chr(10) || 'genre = ' || c_mktsegment ELSE '' END AS text FROM customer")

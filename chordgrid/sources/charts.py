@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from chordgrid.functions.scalars import RESOLUTION, signature_denominator
 from chordgrid.operators import notes as N
 
 #: Section names of the tracks, lower-cased.
@@ -16,15 +17,15 @@ TRACKS = {
 
 
 def song_folders(spark: SparkSession, root: str, recursive: bool = True) -> DataFrame:
-    """dir, has_chart, has_midi of the folders with notes.chart or notes.mid; contents are not read."""
+    """dir, has_chart, has_midi of the folders with notes.chart or notes.mid, sorted; contents are not read."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "notes.{chart,mid}").option("recursiveFileLookup", str(recursive).lower())
     rows = files.load(root if recursive else f"{root.rstrip('/')}/[!.]*").select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("dir"), F.regexp_extract("path", "([^/]*)$", 1).alias("file"))
-    return rows.groupBy("dir").agg(F.bool_or(F.col("file") == "notes.chart").alias("has_chart"), F.bool_or(F.col("file") == "notes.mid").alias("has_midi"))
+    return rows.groupBy("dir").agg(F.bool_or(F.col("file") == "notes.chart").alias("has_chart"), F.bool_or(F.col("file") == "notes.mid").alias("has_midi")).orderBy("dir")
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
     """path, line_no, line of whole text files; broken bytes become replacement characters."""
-    return numbered(spark.read.option("wholetext", True).option("recursiveFileLookup", "true").text(path).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
+    return numbered(spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
 
 
 def numbered(texts: DataFrame) -> DataFrame:
@@ -32,87 +33,134 @@ def numbered(texts: DataFrame) -> DataFrame:
     return texts.select("path", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line", F.rtrim(F.regexp_replace("line", r"\s+$", "")))
 
 
+def _word(text: Column) -> Column:
+    """The text if it is one word, else null."""
+    return F.when(text.rlike(r"^\w+$"), text)
+
+
 def sections(lines: DataFrame) -> DataFrame:
-    """Lines with their section, lower-cased; header lines themselves are left out."""
-    header = F.nullif(F.lower(F.regexp_extract("line", r"^\s*\[(\w+)\]", 1)), F.lit(""))
+    """Lines with their section, lower-cased; header lines, a word in brackets, are left out."""
+    line = F.ltrim("line")
+    name = F.when(line.startswith("[") & line.contains("]"), _word(F.substring_index(F.substring(line, 2, 1 << 30), "]", 1)))
     order = Window.partitionBy("path").orderBy("line_no")
-    return lines.withColumn("header", header).withColumn("section", F.last("header", ignorenulls=True).over(order)).where("header is null").drop("header")
+    tagged = lines.withColumn("header", F.lower(name))
+    return tagged.withColumn("section", F.last("header", ignorenulls=True).over(order)).where("header is null").drop("header")
 
 
-def _int(pattern: str, group: int) -> Column:
-    return F.regexp_extract("line", pattern, group).try_cast("int")
+def assignments(lines: DataFrame) -> DataFrame:
+    """Lines with a = as ``name`` (what stands before the first one) and ``value``, both trimmed."""
+    name = F.substring_index("line", "=", 1)
+    value = F.substring(F.col("line"), F.length(name) + 2, F.length("line"))
+    return lines.where(F.col("line").contains("=")).withColumns({"name": F.trim(name), "value": F.trim(value)})
 
 
-NOTE, SPECIAL, EVENT = r"^\s*(\d+)\s*=\s*N\s+(\d+)\s+(\d+)", r"^\s*(\d+)\s*=\s*S\s+(\d+)\s+(\d+)", r'^\s*(\d+)\s*=\s*E\s+"?([^"]+)"?'
-TEMPO, SIGNATURE, PAIR = r"^\s*(\d+)\s*=\s*B\s+(\d+)", r"^\s*(\d+)\s*=\s*TS\s+(\d+)(?:\s+(\d+))?", r"^\s*(\w+)\s*=\s*(.+)"
+def unquoted(text: Column) -> Column:
+    """A text without the quotes at both ends."""
+    return F.btrim(text, F.lit('"'))
 
 
 class Charts:
-    """Relations of chart texts from sectioned lines; ``path`` is the song's key."""
+    """Relations of chart texts from sectioned lines; ``path`` is the song's key.
+
+    An event is a line ``tick = kind numbers..`` or ``tick = E text``: it is split once, at its = and at its
+    blanks, into ``tick``, ``kind`` and ``args``.
+    """
 
     def __init__(self, lines: DataFrame):
-        spark = lines.sparkSession
-        self.lines = sections(lines)
-        tracks = spark.createDataFrame(list(TRACKS.items()), "section string, instrument string")
-        self.track_lines = self.lines.join(F.broadcast(tracks), "section")
+        pairs = assignments(sections(lines)).withColumnRenamed("path", "song_id")
+        self.pairs = pairs.where("section = 'song'")
+        tick = F.when(~F.substring("name", 1, 1).isin("+", "-"), F.col("name").try_cast("int"))
+        words = F.split("value", r"\s+")
+        events = pairs.withColumns({"tick": tick, "kind": words[0], "args": F.transform(F.slice(words, 2, 3), lambda w: w.try_cast("int"))})
+        self.events = events.where("tick is not null").select("song_id", "line_no", "section", "tick", "kind", "args", "value")
+        tracks = lines.sparkSession.createDataFrame(list(TRACKS.items()), "section string, instrument string")  # 18 rows
+        self.track_events = self.events.join(F.broadcast(tracks), "section")
+        # a track is there from its first line on, also where that line says nothing
+        self.track_starts = sections(lines).join(F.broadcast(tracks), "section").groupBy(F.col("path").alias("song_id"), "instrument").agg(F.min("line_no").alias("first_line"))
+
+    @staticmethod
+    def _numbers(events: DataFrame, kind: str, n: int) -> DataFrame:
+        """The events of a kind that have n whole numbers."""
+        return events.where((F.col("kind") == kind) & F.forall(F.slice("args", 1, n), lambda a: a.isNotNull()) & (F.size("args") >= n))
+
+    @staticmethod
+    def _texts(events: DataFrame) -> DataFrame:
+        """Text events with ``text``: what stands between quotes, or all of it."""
+        rest = F.ltrim(F.substring("value", 2, 1 << 30))
+        text = F.trim(F.substring_index(F.when(rest.startswith('"'), F.substring(rest, 2, 1 << 30)).otherwise(rest), '"', 1))
+        return events.where("kind = 'E'").withColumn("text", text).where("text <> ''")
 
     def raw_notes(self) -> DataFrame:
-        rows = self.track_lines.where(F.col("line").rlike(NOTE))
-        return rows.select(F.col("path").alias("song_id"), "instrument", _int(NOTE, 1).alias("tick"), _int(NOTE, 2).alias("pitch"), _int(NOTE, 3).alias("sustain"))
+        rows = self._numbers(self.track_events, "N", 2)
+        return rows.select("song_id", "instrument", "tick", F.col("args")[0].alias("pitch"), F.col("args")[1].alias("sustain"))
 
     def notes(self) -> DataFrame:
         return N.chords(self.raw_notes())
 
+    def resolution(self) -> DataFrame:
+        """song_id, resolution of the songs whose header says it: the last whole number that it gives."""
+        number = unquoted(F.col("value")).try_cast("int")
+        rows = self.pairs.where(F.lower("name") == "resolution").select("song_id", "line_no", number.alias("n")).where("n is not null")
+        return rows.groupBy("song_id").agg(F.max_by("n", "line_no").alias("resolution"))
+
     def tempo(self) -> DataFrame:
-        rows = self.lines.where((F.col("section") == "synctrack") & F.col("line").rlike(TEMPO))
-        return rows.select(F.col("path").alias("song_id"), _int(TEMPO, 1).alias("tick"), (_int(TEMPO, 2) / 1000.0).alias("bpm"), F.col("line_no").alias("ord"))
+        """song_id, tick, bpm, ord, and the song's own resolution."""
+        rows = self._numbers(self.events.where("section = 'synctrack'"), "B", 1)
+        rows = rows.select("song_id", "tick", (F.col("args")[0] / 1000.0).alias("bpm"), F.col("line_no").alias("ord"))
+        both = rows.join(self.resolution().hint("merge"), "song_id", "left")
+        return both.select("song_id", "tick", "bpm", "ord", F.coalesce("resolution", F.lit(RESOLUTION)).alias("resolution"))
 
     def timesig(self) -> DataFrame:
-        rows = self.lines.where((F.col("section") == "synctrack") & F.col("line").rlike(SIGNATURE))
-        den = F.pow(F.lit(2), F.coalesce(_int(SIGNATURE, 3), F.lit(2))).cast("int")
-        return rows.select(F.col("path").alias("song_id"), _int(SIGNATURE, 1).alias("tick"), _int(SIGNATURE, 2).alias("num"), den.alias("den"))
+        rows = self._numbers(self.events.where("section = 'synctrack'"), "TS", 1)
+        return rows.select("song_id", "tick", F.col("args")[0].alias("num"), signature_denominator(F.get("args", F.lit(1))).alias("den"))
 
     def section_events(self) -> DataFrame:
-        rows = self.lines.where((F.col("section") == "events") & F.col("line").rlike(EVENT))
-        return rows.select(F.col("path").alias("song_id"), _int(EVENT, 1).alias("tick"), F.trim(F.regexp_extract("line", EVENT, 2)).alias("text"), F.col("line_no").alias("ord"))
+        return self._texts(self.events.where("section = 'events'")).select("song_id", "tick", "text", F.col("line_no").alias("ord"))
 
     def specials(self) -> DataFrame:
-        """Star power and solos; solos among the song's events go to the tracks that stand above them."""
-        key = F.col("path").alias("song_id")
-        stars = self.track_lines.where(F.col("line").rlike(SPECIAL) & (_int(SPECIAL, 2) == 2)).select(key, "instrument", _int(SPECIAL, 1).alias("tick"), F.lit("star_power").alias("kind"), _int(SPECIAL, 3).alias("length"), F.col("line_no").alias("ord"))
-        own = self.track_lines.where(F.col("line").rlike(EVENT)).select(key, "instrument", _int(EVENT, 1).alias("tick"), F.trim(F.regexp_extract("line", EVENT, 2)).alias("kind"), F.lit(0).alias("length"), F.col("line_no").alias("ord"))
-        first = self.track_lines.groupBy(F.col("path").alias("song_id"), "instrument").agg(F.min("line_no").alias("first_line"))
-        shared = self.section_events().join(first, "song_id").where("first_line < ord").select("song_id", "instrument", "tick", F.col("text").alias("kind"), F.lit(0).alias("length"), "ord")
+        """Star power (kind 2) and solos; solos among the song's events go to the tracks that stand above them."""
+        key = ("song_id", "instrument", "tick")
+        stars = self._numbers(self.track_events, "S", 2).where(F.col("args")[0] == 2).select(*key, F.lit("star_power").alias("kind"), F.col("args")[1].alias("length"), F.col("line_no").alias("ord"))
+        own = self._texts(self.track_events).select(*key, F.col("text").alias("kind"), F.lit(0).alias("length"), F.col("line_no").alias("ord"))
+        shared = self.section_events().join(self.track_starts.hint("merge"), "song_id").where("first_line < ord").select(*key, F.col("text").alias("kind"), F.lit(0).alias("length"), "ord")
         return stars.unionByName(own.unionByName(shared).where(F.col("kind").isin("solo", "soloend")))
 
     def header(self) -> DataFrame:
         """song_id, meta: the song section's pairs, keys lower-cased, the last value of a key."""
-        rows = self.lines.where((F.col("section") == "song") & F.col("line").rlike(PAIR))
-        pairs = rows.select(F.col("path").alias("song_id"), F.lower(F.regexp_extract("line", PAIR, 1)).alias("k"), F.regexp_replace(F.trim(F.regexp_extract("line", PAIR, 2)), '^"+|"+$', "").alias("v"), "line_no")
+        pairs = self.pairs.where(_word(F.col("name")).isNotNull() & (F.col("value") != "")).select("song_id", F.lower("name").alias("k"), unquoted(F.col("value")).alias("v"), "line_no")
         last = pairs.groupBy("song_id", "k").agg(F.max_by("v", "line_no").alias("v"))
         return last.groupBy("song_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("meta"))
 
 
-#: Typed fields of an ini file and their defaults.
+#: Text, number and flag fields of an ini file, and the numbers' defaults.
 INI_TEXT = ["name", "artist", "album", "genre", "charter"]
 INI_INTS = {"year": 0, "song_length": 0, "preview_start_time": 0, "delay": 0, "diff_guitar": -1, "diff_bass": -1, "diff_drums": -1, "diff_keys": -1, "diff_rhythm": -1}
 INI_FLAGS = ["pro_drums", "five_lane_drums"]
+#: What a flag says for no (case counts), another name of a field, and the unit of times.
+INI_OFF = ["0", "", "false", "False"]
+INI_ALIAS = {"charter": "frets", "song_length": "song_length_ms"}
+INI_MS = ["song_length", "preview_start_time", "delay"]
 
 
 def ini_metadata(lines: DataFrame) -> DataFrame:
-    """song_id, typed fields with defaults, and ``extra``, a map of all other keys. The first = splits a
-    line, keys are lower-cased, the last value of a key holds; bad numbers become the default."""
-    pair = r"^([^=]+)=(.*)$"
-    rows = lines.where(F.col("line").rlike(pair) & ~F.col("line").rlike(r"^\s*[\[;#]"))
-    pairs = rows.select(F.col("path").alias("song_id"), F.lower(F.trim(F.regexp_extract("line", pair, 1))).alias("k"), F.trim(F.regexp_extract("line", pair, 2)).alias("v"), "line_no")
+    """song_id, typed fields with defaults, and ``extra``, a map of all keys as they stand.
+
+    Header lines go; the first = splits a line, keys are lower-cased, the last value of a key holds; bad
+    numbers become the default. Where the key itself is missing, its other name is asked. Times are named
+    in milliseconds.
+    """
+    pairs = assignments(lines.where(~F.ltrim("line").startswith("["))).select(F.col("path").alias("song_id"), F.lower("name").alias("k"), F.col("value").alias("v"), "line_no")
     last = pairs.groupBy("song_id", "k").agg(F.max_by("v", "line_no").alias("v"))
     maps = last.groupBy("song_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("m"))
-    get = lambda k: F.try_element_at("m", F.lit(k))
-    text = [F.coalesce(get(k), get("frets") if k == "charter" else F.lit(None), F.lit("")).alias(k) for k in INI_TEXT]
-    ints = [F.coalesce(F.trim(get(k)).try_cast("int"), F.lit(d)).alias(k) for k, d in INI_INTS.items()]
-    flags = [F.coalesce(F.lower(get(k)).isin("1", "true", "yes"), F.lit(False)).alias(k) for k in INI_FLAGS]
-    known = [*INI_TEXT, "frets", *INI_INTS, *INI_FLAGS]
-    return maps.select("song_id", *text, *ints, *flags, F.map_filter("m", lambda k, v: ~k.isin(*known)).alias("extra"))
+
+    def get(key: str) -> Column:
+        own = F.try_element_at("m", F.lit(key))
+        return F.coalesce(own, F.try_element_at("m", F.lit(INI_ALIAS[key]))) if key in INI_ALIAS else own
+
+    text = [F.coalesce(get(k), F.lit("")).alias(k) for k in INI_TEXT]
+    ints = [F.coalesce(get(k).try_cast("int"), F.lit(d)).alias(f"{k}_ms" if k in INI_MS else k) for k, d in INI_INTS.items()]
+    flags = [(~F.coalesce(get(k), F.lit("0")).isin(*INI_OFF)).alias(k) for k in INI_FLAGS]
+    return maps.select("song_id", *text, *ints, *flags, F.col("m").alias("extra"))
 
 
 def render_tracks(notes: DataFrame) -> DataFrame:
