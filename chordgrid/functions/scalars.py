@@ -85,12 +85,40 @@ def is_drums(instrument: Column) -> Column:
     return instrument.contains("drum")
 
 
+def is_wait(tok: Column) -> Column:
+    return tok.between(WAIT_FIRST, WAIT_LAST)
+
+
+def is_note(tok: Column) -> Column:
+    """Notes of string tracks."""
+    return tok.between(GUITAR_FIRST, GUITAR_LAST)
+
+
+def is_drum(tok: Column) -> Column:
+    return tok.between(DRUM_FIRST, DRUM_LAST)
+
+
+def is_sustain(tok: Column) -> Column:
+    return tok.between(SUS_FIRST, SUS_LAST)
+
+
+def is_modifier(tok: Column) -> Column:
+    return tok.between(HOPO, STRUM)
+
+
+def is_event(tok: Column) -> Column:
+    return tok.between(STAR_ON, SOLO_OFF)
+
+
+def is_instrument(tok: Column) -> Column:
+    return tok.isin(*INSTRUMENT_IDS.values())
+
+
 def token_class(tok: Column) -> Column:
     """Category of a token id."""
     return (
-        F.when(tok.between(WAIT_FIRST, WAIT_LAST), "wait").when(tok.between(GUITAR_FIRST, GUITAR_LAST), "note").when(tok.between(DRUM_FIRST, DRUM_LAST), "drum")
-        .when(tok.between(SUS_FIRST, SUS_LAST), "sustain").when(tok.between(HOPO, STRUM), "modifier").when(tok.between(STAR_ON, SOLO_OFF), "event")
-        .when(tok.between(6, 8), "instrument").when(tok == BEAT, "beat").when(tok.between(0, 5), "special").otherwise("unknown"))
+        F.when(is_wait(tok), "wait").when(is_note(tok), "note").when(is_drum(tok), "drum").when(is_sustain(tok), "sustain").when(is_modifier(tok), "modifier")
+        .when(is_event(tok), "event").when(is_instrument(tok), "instrument").when(tok == BEAT, "beat").when(tok.between(PAD, MEASURE), "special").otherwise("unknown"))
 
 
 def midi_tick(tick: Column, ticks_per_beat: Column) -> Column:
@@ -119,6 +147,16 @@ def difficulty_label(level: Column) -> Column:
     return F.when(level == 0, "easy").when(level == 1, "medium").when(level == 2, "hard").when(level.between(3, 6), "expert").otherwise("unknown")
 
 
+def difficulty_number(label: Column) -> Column:
+    """The number of a difficulty's label, 3 for expert; null for others."""
+    return F.when(label == "easy", 0).when(label == "medium", 1).when(label == "hard", 2).when(label == "expert", 3)
+
+
+def sample_ms(samples: Column, rate: Column) -> Column:
+    """Whole milliseconds of a number of samples."""
+    return (samples * 1000 / rate).cast("int")
+
+
 def row_bytes(beats: Column, tokens: Column, dim: int = 768, points: int = 32, bins: int = 128) -> Column:
     """Estimated bytes of a dataset row."""
     return beats.cast("long") * (dim * 4 + points * bins * 4) + tokens.cast("long") * 4 + 512

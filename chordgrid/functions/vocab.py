@@ -19,6 +19,7 @@ def vocabulary(spark: SparkSession) -> DataFrame:
         F.when(kind == "sustain", F.element_at(S.sustain_steps(), F.greatest(tok - S.SUS_FIRST + 1, F.lit(1)))).alias("sus_steps"),
         F.when(kind == "note", tok - (S.GUITAR_FIRST - 1)).when(kind == "drum", tok - (S.DRUM_FIRST - 1)).alias("lane_mask"))
     letters = lambda names: F.concat(*[F.when(F.getbit("lane_mask", F.lit(i)) == 1, c).otherwise("") for i, c in enumerate(names)])
+    # fixed values: names of single tokens and letters of the lanes
     fixed = {0: "PAD", 1: "BOS", 2: "EOS", 3: "UNK", 4: "BEAT", 5: "MEASURE", 6: "INSTR:guitar", 7: "INSTR:bass", 8: "INSTR:drums", 88: "MOD:HOPO", 89: "MOD:TAP", 90: "MOD:OPEN", 91: "MOD:STRUM", 183: "SP_ON", 184: "SP_OFF", 185: "SOLO_ON", 186: "SOLO_OFF"}
     name = F.when(F.col("wait_steps").isNotNull(), F.concat(F.lit("WAIT_"), "wait_steps", F.lit("("), F.col("wait_steps") * S.GRID, F.lit("t)")))
     name = name.when(F.col("sus_steps").isNotNull(), F.concat(F.lit("SUS_"), "sus_steps", F.lit("("), F.col("sus_steps") * S.GRID, F.lit("t)")))

@@ -2,49 +2,91 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chordgrid.functions import scalars as S
+from chordgrid.operators.tempo import beat_spans
 
 TRACK = ["song_id", "instrument"]
 NO_TOKENS = "array<int>"
 
 
-def timeline(notes: DataFrame, specials: DataFrame, beats: DataFrame | None = None) -> DataFrame:
-    """song_id, instrument, tick, pr, o1, o2, o3, toks: all events of a track. At one tick beats come
-    first, then star power, solos and notes; equal ones keep their file order (o1..o3)."""
-    tracks = notes.select(*TRACK).distinct()
-    zero = [F.lit(0).cast("long").alias(c) for c in ("o1", "o2", "o3")]
-    drums = S.is_drums(F.col("instrument"))
+#: An event of a track: its place in the order, and its tokens.
+EVENT = "array<struct<tick: int, pr: int, o1: bigint, o2: bigint, o3: bigint, toks: array<int>>>"
+
+
+def _event(tick: Column, pr: int, toks: Column, o1: Column | int = 0, o2: Column | int = 0, o3: Column | int = 0) -> Column:
+    """At one tick beats (0) come first, then star power, solos and notes; equal ones keep their file order."""
+    number = lambda c: (F.lit(c) if isinstance(c, int) else c).cast("long")
+    return F.struct(tick.cast("int").alias("tick"), F.lit(pr).alias("pr"), number(o1).alias("o1"), number(o2).alias("o2"), number(o3).alias("o3"), toks.cast(NO_TOKENS).alias("toks"))
+
+
+def note_tokens() -> Column:
+    """A note's own token and those that follow it: its sustain and modifiers; drums have neither."""
     flag = lambda c, t: F.when(F.col(c), F.array(F.lit(t))).otherwise(F.array().cast(NO_TOKENS))
     strings = F.concat(F.array(S.note_token(F.col("lane_mask"), F.lit(False)), S.sustain_index(F.col("sustain")) + S.SUS_FIRST), flag("is_hopo", S.HOPO), flag("is_tap", S.TAP), flag("is_force_strum", S.STRUM))
-    toks = F.when(drums, F.array(S.note_token(F.col("lane_mask"), F.lit(True)))).otherwise(strings)
-    parts = [notes.where("lane_mask > 0").select(*TRACK, "tick", F.lit(3).alias("pr"), *zero, toks.alias("toks"))]
-    one = lambda at, pr, tok, side: F.struct(at.cast("int").alias("tick"), F.lit(pr).alias("pr"), F.lit(side).cast("long").alias("o3"), F.array(F.lit(tok)).alias("toks"))
+    return F.when(S.is_drums(F.col("instrument")), F.array(S.note_token(F.col("lane_mask"), F.lit(True)))).otherwise(strings)
+
+
+def special_events() -> Column:
+    """The events of a special: star power begins and ends, solos are two specials."""
+    one = lambda at, pr, tok, side: _event(at, pr, F.array(F.lit(tok)), F.col("tick"), F.col("ord"), side)
     tick = F.col("tick")
     rows = F.when(F.col("kind") == "star_power", F.array(one(tick, 1, S.STAR_ON, 0), one(tick + F.col("length"), 1, S.STAR_OFF, 1)))
-    rows = rows.when(F.col("kind") == "solo", F.array(one(tick, 2, S.SOLO_ON, 0))).when(F.col("kind") == "soloend", F.array(one(tick, 2, S.SOLO_OFF, 0)))
-    made = specials.join(tracks, TRACK).select(*TRACK, tick.cast("long").alias("o1"), F.col("ord").cast("long").alias("o2"), F.explode(rows).alias("e"))
-    parts.append(made.select(*TRACK, "e.tick", "e.pr", "o1", "o2", "e.o3", "e.toks"))
-    if beats is not None:
-        parts.append(tracks.join(beats.select("song_id", "tick"), "song_id").select(*TRACK, "tick", F.lit(0).alias("pr"), *zero, F.array(F.lit(S.BEAT)).alias("toks")))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
-
-
-def encode(notes: DataFrame, specials: DataFrame, beats: DataFrame | None = None) -> DataFrame:
-    """song_id, instrument, tokens, num_tokens. A gap since the last event becomes wait tokens, at least one."""
-    order = Window.partitionBy(*TRACK).orderBy("tick", "pr", "o1", "o2", "o3")
-    gap = F.col("tick") - F.lag("tick", 1, 0).over(order)
-    waits = F.when(F.col("gap") > 0, S.wait_tokens(F.greatest(S.ticks_to_steps(F.col("gap")), F.lit(1)))).otherwise(F.array().cast(NO_TOKENS))
-    rows = timeline(notes, specials, beats).withColumn("gap", gap).withColumn("toks", F.concat(waits, "toks")).withColumn("n", F.row_number().over(order))
-    body = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("n", "toks"))), lambda x: x["toks"]))
-    found = rows.groupBy(*TRACK).agg(body.alias("body"))
-    tokens = F.concat(F.array(F.lit(S.BOS), S.header_token(F.col("instrument"))), "body", F.array(F.lit(S.EOS)))
-    return found.select(*TRACK, tokens.alias("tokens")).withColumn("num_tokens", F.size("tokens"))
+    return rows.when(F.col("kind") == "solo", F.array(one(tick, 2, S.SOLO_ON, 0))).when(F.col("kind") == "soloend", F.array(one(tick, 2, S.SOLO_OFF, 0)))
+
+
+def tracks(notes: DataFrame) -> DataFrame:
+    """song_id, instrument, events (of the notes, unordered), end_tick of the song: the latest end of its tracks'
+    last notes. One song's tracks meet in one task from here on."""
+    event = F.when(F.col("lane_mask") > 0, _event(F.col("tick"), 3, note_tokens()))
+    own = notes.groupBy(*TRACK).agg(F.collect_list(event).alias("events"), F.max_by(F.col("tick") + F.col("sustain"), "tick").alias("last"))
+    return own.withColumn("end_tick", F.max("last").over(Window.partitionBy("song_id"))).drop("last")
+
+
+def events(notes: DataFrame, specials: DataFrame, tempo: DataFrame | None = None, resolution: int = S.RESOLUTION) -> DataFrame:
+    """song_id, instrument, events in order: notes, specials of tracks with notes, and, where a tempo is given,
+    the beats that the track's song has. Notes are read once, and no beat is joined to a track."""
+    rows = tracks(notes)
+    own = specials.groupBy(*TRACK).agg(F.flatten(F.collect_list(special_events())).alias("more"))
+    rows = rows.join(own.hint("merge"), TRACK, "left")
+    beats = F.lit(None).cast(EVENT)
+    if tempo is not None:
+        rows = rows.join(beat_spans(tempo, resolution).hint("merge"), "song_id", "left")
+        ticks = F.sequence("first_beat", F.col("end_tick").cast("int"), "step")
+        beats = F.when(F.col("first_beat") <= F.col("end_tick"), F.transform(ticks, lambda t: _event(t, 0, F.array(F.lit(S.BEAT)))))
+    parts = [F.coalesce(c.cast(EVENT), F.array().cast(EVENT)) for c in (F.col("events"), F.col("more"), beats)]
+    return rows.select(*TRACK, F.array_sort(F.concat(*parts)).alias("events"))
+
+
+def timeline(notes: DataFrame, specials: DataFrame, tempo: DataFrame | None = None, resolution: int = S.RESOLUTION) -> DataFrame:
+    """song_id, instrument, n, tick, pr, gap, toks: all events of a track, numbered from 1 in their order, with the
+    ticks since the one before."""
+    rows = events(notes, specials, tempo, resolution).select(*TRACK, gapped("events").alias("events"))
+    return rows.select(*TRACK, F.posexplode("events").alias("n", "e")).select(*TRACK, (F.col("n") + 1).alias("n"), "e.tick", "e.pr", "e.gap", "e.toks")
+
+
+def gapped(events: str) -> Column:
+    """Ordered events with the gap since the one before, or since tick 0."""
+    return F.transform(events, lambda e, i: F.struct(e["tick"].alias("tick"), e["pr"].alias("pr"), (e["tick"] - F.coalesce(F.get(events, i - 1)["tick"], F.lit(0))).alias("gap"), e["toks"].alias("toks")))
+
+
+def gap_tokens(gap: Column) -> Column:
+    """A gap becomes wait tokens, at least one; no gap none."""
+    return F.when(gap > 0, S.wait_tokens(F.greatest(S.ticks_to_steps(gap), F.lit(1)))).otherwise(F.array().cast(NO_TOKENS))
+
+
+def as_tokens(rows: DataFrame) -> DataFrame:
+    """song_id, instrument, tokens, num_tokens of rows with ordered events."""
+    body = F.flatten(F.transform(gapped("events"), lambda e: F.concat(gap_tokens(e["gap"]), e["toks"])))
+    tokens = F.concat(F.array(F.lit(S.BOS), S.header_token(F.col("instrument"))), body, F.array(F.lit(S.EOS)))
+    return rows.select(*TRACK, tokens.alias("tokens")).withColumn("num_tokens", F.size("tokens"))
+
+
+def encode(notes: DataFrame, specials: DataFrame, tempo: DataFrame | None = None, resolution: int = S.RESOLUTION) -> DataFrame:
+    """song_id, instrument, tokens, num_tokens; with beats where a tempo is given."""
+    return as_tokens(events(notes, specials, tempo, resolution))
 
 
 def exploded(sequences: DataFrame) -> DataFrame:
@@ -52,34 +94,91 @@ def exploded(sequences: DataFrame) -> DataFrame:
     return sequences.select(*TRACK, F.posexplode("tokens").alias("pos", "tok"))
 
 
+def body(tokens: DataFrame) -> DataFrame:
+    """Long tokens (song_id, instrument, pos, tok) from behind the header up to the first end or pad token, with
+    ``head``, the header's token if there is one."""
+    by = Window.partitionBy(*TRACK)
+    at = lambda p: F.max(F.when(F.col("pos") == p, F.col("tok"))).over(by)
+    stop = lambda p: F.min(F.when(F.col("tok").isin(S.EOS, S.PAD) & (F.col("pos") >= p), F.col("pos"))).over(by)
+    rows = tokens.withColumns({**{f"t{p}": at(p) for p in (0, 1)}, **{f"s{p}": stop(p) for p in (0, 1, 2)}})
+    lead = F.coalesce(F.col("t0") == S.BOS, F.lit(False))
+    head = F.when(lead, F.col("t1")).otherwise(F.col("t0"))
+    start = lead.cast("int") + F.when(head.between(6, 8), 1).otherwise(0)
+    end = F.when(start == 0, F.col("s0")).when(start == 1, F.col("s1")).otherwise(F.col("s2"))
+    inside = (F.col("pos") >= start) & (end.isNull() | (F.col("pos") < end))
+    return rows.withColumn("head", head).where(inside).drop("t0", "t1", "s0", "s1", "s2")
+
+
+def cursor(rows: DataFrame) -> DataFrame:
+    """Long tokens with ``tick``: what the wait tokens up to there add up to."""
+    tok = F.col("tok")
+    step = F.when(tok.between(S.WAIT_FIRST, S.WAIT_LAST), (tok - (S.WAIT_FIRST - 1)) * S.GRID).otherwise(0)
+    return rows.withColumn("tick", F.sum(step).over(Window.partitionBy(*TRACK).orderBy("pos")).cast("int"))
+
+
+def stop_positions(tokens: DataFrame) -> DataFrame:
+    """song_id, instrument, stop, length: where a sequence with start and header token ends, and its length."""
+    stop = F.min(F.when(F.col("tok").isin(S.PAD, S.EOS) & (F.col("pos") >= 2), F.col("pos")))
+    return tokens.groupBy(*TRACK).agg(stop.alias("stop"), F.count("*").alias("length"))
+
+
+def beat_numbers(tokens: DataFrame, most: int | None = None) -> DataFrame:
+    """Long tokens with ``beat_id``: beat tokens before them; larger numbers than ``most`` become that one."""
+    before = Window.partitionBy(*TRACK).orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
+    number = F.coalesce(F.sum((F.col("tok") == S.BEAT).cast("int")).over(before), F.lit(0)).cast("int")
+    return tokens.withColumn("beat_id", number if most is None else F.least(number, F.lit(most)))
+
+
+#: Categories that a histogram counts.
+CLASSES = ["wait", "note", "drum", "sustain", "modifier", "event", "beat"]
+
+
+def class_histogram(tokens: DataFrame) -> DataFrame:
+    """song_id, instrument and how many tokens of each category a sequence has."""
+    rows = tokens.withColumn("_c", S.token_class(F.col("tok")))
+    return rows.groupBy(*TRACK).pivot("_c", CLASSES).count().na.fill(0, CLASSES)
+
+
+def trace(tokens: DataFrame, hidden: int = S.BEAT, most: int = 200) -> DataFrame:
+    """song_id, instrument, shown (the first tokens but the hidden one, as a list), rest (how many more there
+    are), n_hidden."""
+    order = Window.partitionBy(*TRACK).orderBy("pos")
+    seen = (F.col("tok") != hidden).cast("int")
+    rows = tokens.withColumn("_nth", F.sum(seen).over(order))
+    shown = F.array_sort(F.collect_list(F.when((F.col("tok") != hidden) & (F.col("_nth") <= most), F.struct("pos", "tok"))))
+    return rows.groupBy(*TRACK).agg(F.transform(shown, lambda x: x["tok"]).alias("shown"), F.greatest(F.sum(seen) - most, F.lit(0)).alias("rest"), F.count_if(F.col("tok") == hidden).alias("n_hidden"))
+
+
+def grammar_issues(tokens: DataFrame) -> DataFrame:
+    """song_id, instrument, bare_notes (string notes without a sustain behind them), drum_sustains (drum notes
+    with one)."""
+    rows = tokens.withColumn("_next", F.lead("tok").over(Window.partitionBy(*TRACK).orderBy("pos")))
+    sus, tok = F.coalesce(F.col("_next").between(S.SUS_FIRST, S.SUS_LAST), F.lit(False)), F.col("tok")
+    return rows.groupBy(*TRACK).agg(F.count_if(S.is_note(tok) & ~sus).alias("bare_notes"), F.count_if(S.is_drum(tok) & sus).alias("drum_sustains"))
+
+
 class Decoded:
     """``notes``, ``specials`` and ``beats`` of long tokens (song_id, instrument, pos, tok); ``instrument``
-    stays the sequence's own name, ``header`` is what its header token says."""
+    stays the sequence's own name, ``header`` is what its header token says.
+
+    Three windows over one order of a track's tokens: bounds, running sums, and the next token that is no
+    modifier. A note's modifiers are those that its sums and the next one's differ in.
+    """
 
     def __init__(self, tokens: DataFrame):
         by = Window.partitionBy(*TRACK)
         order = by.orderBy("pos")
-        at = lambda p: F.max(F.when(F.col("pos") == p, F.col("tok"))).over(by)
-        rows = tokens.withColumn("lead_bos", (at(0) == S.BOS).cast("int"))
-        rows = rows.withColumn("head", F.max(F.when(F.col("pos") == F.col("lead_bos"), F.col("tok"))).over(by))
-        has = F.col("head").between(6, 8)
-        rows = rows.withColumn("start", F.coalesce(F.col("lead_bos"), F.lit(0)) + F.when(has, 1).otherwise(0))
-        stop = F.min(F.when(F.col("tok").isin(S.EOS, S.PAD) & (F.col("pos") >= F.col("start")), F.col("pos"))).over(by)
-        rows = rows.withColumn("stop", stop).where((F.col("pos") >= F.col("start")) & (F.col("stop").isNull() | (F.col("pos") < F.col("stop"))))
         tok = F.col("tok")
-        rows = rows.withColumn("header", F.when(F.col("head") == 7, "bass").when(F.col("head") == 8, "drums").otherwise("guitar"))
-        step = F.when(tok.between(S.WAIT_FIRST, S.WAIT_LAST), (tok - (S.WAIT_FIRST - 1)) * S.GRID).otherwise(0)
-        mod = tok.between(S.HOPO, S.STRUM)
-        rows = rows.withColumn("tick", F.sum(step).over(order).cast("int")).withColumn("final", F.sum(step).over(by).cast("int"))
-        rows = rows.withColumn("next", F.lead("tok").over(order)).withColumn("run", F.sum((~mod).cast("int")).over(order))
-        in_run = Window.partitionBy(*TRACK, "run")
-        for name, code in (("hopo", S.HOPO), ("tap", S.TAP), ("open", S.OPEN), ("strum", S.STRUM)):
-            rows = rows.withColumn(name, F.max((tok == code).cast("int")).over(in_run))
-        sus = F.col("next").between(S.SUS_FIRST, S.SUS_LAST)
+        rows = cursor(body(tokens)).withColumn("header", F.when(F.col("head") == 7, "bass").when(F.col("head") == 8, "drums").otherwise("guitar"))
+        rows = rows.withColumn("next", F.lead("tok").over(order)).withColumn("final", F.max("tick").over(by))
+        mods = {"hopo": S.HOPO, "tap": S.TAP, "open": S.OPEN, "strum": S.STRUM}
+        upto = {f"_{name}": F.sum((tok == code).cast("int")).over(order) for name, code in mods.items()}
+        rows = rows.withColumns(upto).withColumns({f"{c}_all": F.max(c).over(by) for c in upto})
+        rows = rows.where(~tok.between(S.HOPO, S.STRUM))
         # a note's modifiers follow its sustain, or the note itself where it has none
-        rows = rows.where(~mod)
-        for name in ("hopo", "tap", "open", "strum"):
-            rows = rows.withColumn(name, F.when(sus, F.lead(name).over(order)).otherwise(F.col(name)) == 1)
+        sus = F.col("next").between(S.SUS_FIRST, S.SUS_LAST)
+        behind = lambda c, k: F.coalesce(F.lead(c, k).over(order), F.col(f"{c}_all"))
+        rows = rows.withColumns({c[1:]: F.when(sus, behind(c, 2) > behind(c, 1)).otherwise(behind(c, 1) > F.col(c)) for c in upto}).drop(*upto, *[f"{c}_all" for c in upto])
         self.rows = rows
         drums = F.col("header") == "drums"
         string, drum = tok.between(S.GUITAR_FIRST, S.GUITAR_LAST) & ~drums, tok.between(S.DRUM_FIRST, S.DRUM_LAST)
@@ -102,18 +201,14 @@ def roundtrip(sequences: DataFrame) -> DataFrame:
     """song_id, instrument, same, first_diff (null if same), length, back_length: what decoding and
     encoding again gives. Notes with an open lane keep their other lanes only."""
     parts = Decoded(exploded(sequences))
-    notes = parts.notes.withColumn("lane_mask", F.col("lane_mask") % 128)
+    notes = parts.notes.withColumn("lane_mask", F.col("lane_mask") % 128).where("lane_mask > 0")
     # beats belong to the sequence itself here, so they are encoded with it
-    beats = parts.beats.withColumnRenamed("pos", "ord")
-    order = Window.partitionBy(*TRACK).orderBy("tick", "pr", "o1", "o2", "o3")
-    zero = [F.lit(0).cast("long").alias(c) for c in ("o1", "o3")]
-    lines = timeline(notes, parts.specials).unionByName(beats.select(*TRACK, "tick", F.lit(0).alias("pr"), zero[0], F.col("ord").cast("long").alias("o2"), zero[1], F.array(F.lit(S.BEAT)).alias("toks")))
-    gap = F.col("tick") - F.lag("tick", 1, 0).over(order)
-    waits = F.when(F.col("gap") > 0, S.wait_tokens(F.greatest(S.ticks_to_steps(F.col("gap")), F.lit(1)))).otherwise(F.array().cast(NO_TOKENS))
-    rows = lines.withColumn("gap", gap).withColumn("toks", F.concat(waits, "toks")).withColumn("n", F.row_number().over(order))
-    body = F.flatten(F.transform(F.array_sort(F.collect_list(F.struct("n", "toks"))), lambda x: x["toks"]))
-    again = rows.groupBy(*TRACK).agg(body.alias("body")).select(*TRACK, F.concat(F.array(F.lit(S.BOS), S.header_token(F.col("instrument"))), "body", F.array(F.lit(S.EOS))).alias("again"))
-    both = sequences.select(*TRACK, "tokens").join(again, TRACK, "left")
+    beats = parts.beats.select(*TRACK, _event(F.col("tick"), 0, F.array(F.lit(S.BEAT)), 0, F.col("pos")).alias("e"))
+    own = notes.select(*TRACK, _event(F.col("tick"), 3, note_tokens(), 0, F.col("pos")).alias("e"))
+    more = parts.specials.select(*TRACK, F.explode(special_events()).alias("e"))
+    rows = own.unionByName(more).unionByName(beats).groupBy(*TRACK).agg(F.array_sort(F.collect_list("e")).alias("events"))
+    again = as_tokens(rows).select(*TRACK, F.col("tokens").alias("again"))
+    both = sequences.select(*TRACK, "tokens").join(again.hint("merge"), TRACK, "left")
     differ = F.filter(F.sequence(F.lit(0), F.least(F.size("tokens"), F.size("again")) - 1), lambda i: F.get("tokens", i) != F.get("again", i))
     first = F.coalesce(F.get(differ, F.lit(0)), F.when(F.size("tokens") != F.size("again"), F.least(F.size("tokens"), F.size("again"))))
     return both.select(*TRACK, F.coalesce(F.col("tokens") == F.col("again"), F.lit(False)).alias("same"), first.alias("first_diff"), F.size("tokens").alias("length"), F.size("again").alias("back_length"))

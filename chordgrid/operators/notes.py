@@ -37,5 +37,5 @@ def track_stats(notes: DataFrame, grid: DataFrame) -> DataFrame:
     own = notes.groupBy(*TRACK).agg(
         F.count("*").alias("num_notes"), F.avg((F.bit_count("lane_mask") > 1).cast("int")).alias("chord_ratio"), F.avg("sustain").alias("sustain_mean_ticks"))
     beats = grid.groupBy("song_id").agg(F.count("*").alias("num_beats"), F.avg(F.col("bpm").cast("float")).alias("bpm_mean"), F.stddev_pop(F.col("bpm").cast("float")).alias("bpm_std"))
-    both = own.join(beats, "song_id", "left").withColumn("num_beats", F.coalesce("num_beats", F.lit(0)))
+    both = own.join(beats.hint("merge"), "song_id", "left").withColumn("num_beats", F.coalesce("num_beats", F.lit(0)))
     return both.withColumn("notes_per_beat_mean", F.col("num_notes") / F.greatest("num_beats", F.lit(1)))

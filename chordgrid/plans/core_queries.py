@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from chordgrid.functions import scalars as S
+from chordgrid.functions import scalars as S, sql as SQL
 from chordgrid.functions.vocab import named, vocabulary
 from chordgrid.operators import codec, notes as N, tempo as TP
 from chordgrid.plans.catalog import query
@@ -23,8 +23,11 @@ def grid_of(v: Views) -> DataFrame:
 
 
 def sequences_of(v: Views) -> DataFrame:
-    n = notes_of(v)
-    return codec.encode(n, v.specials, TP.beat_ticks(v.tempo, N.song_ends(n)))
+    return codec.encode(notes_of(v), v.specials, v.tempo)
+
+
+def timeline_of(v: Views) -> DataFrame:
+    return codec.timeline(notes_of(v), v.specials, v.tempo)
 
 
 @query("a1_chords", "SELECT * FROM notes", "notes")
@@ -77,6 +80,39 @@ def _(v):
     return grid_of(v).select("song_id", "beat", "tick", _r("time_s"), _r("duration_s"), "bpm", "ts_num", "ts_den")
 
 
+def own_tempo(v: Views) -> DataFrame:
+    """Tempo with two resolutions among the songs."""
+    return v.tempo.withColumn("resolution", F.when(F.col("song_id") % 2 == 0, 480).otherwise(192))
+
+
+_OWN = """tr AS (SELECT *, CASE WHEN song_id % 2 = 0 THEN 480 ELSE 192 END AS r FROM tempo),
+sg AS (SELECT song_id, tick AS start_tick, bpm, r, coalesce(sum(d) OVER (PARTITION BY song_id ORDER BY tick ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0.0) AS start_s FROM (SELECT *, (lead(tick) OVER (PARTITION BY song_id ORDER BY tick) - tick) / r::DOUBLE * (60.0 / bpm) AS d FROM tr)),
+fs AS (SELECT song_id, min(start_tick) AS f_tick, min_by(start_s, start_tick) AS f_s, min_by(bpm, start_tick) AS f_bpm, min(r) AS r FROM sg GROUP BY song_id)"""
+
+
+@query("g1_own_resolutions", _OWN + """, sp AS (SELECT e.song_id, r, CAST(ceil(f_tick / r::DOUBLE) * r AS INT) AS s, end_tick FROM ends e JOIN fs USING (song_id)), b AS (SELECT song_id, r, CAST(unnest(range(0, (end_tick - s) // r + 1)) AS INT) AS beat, s FROM sp WHERE s <= end_tick),
+c AS (SELECT song_id, r, beat, CAST(s + r * beat AS INT) AS tick FROM b)
+SELECT c.song_id, beat, c.tick, round(coalesce(g.start_s, f_s) + (c.tick - coalesce(g.start_tick, f_tick)) / c.r::DOUBLE * (60.0 / coalesce(g.bpm, f_bpm)), 6) AS time_s, coalesce(g.bpm, f_bpm) AS bpm FROM c ASOF LEFT JOIN sg g ON g.song_id = c.song_id AND c.tick >= g.start_tick JOIN fs ON fs.song_id = c.song_id""", "ends", "tempo")
+def _(v):
+    return TP.beat_grid(own_tempo(v), v.timesig, N.song_ends(notes_of(v))).select("song_id", "beat", "tick", _r("time_s"), "bpm")
+
+
+@query("j2_own_resolutions", _OWN + """ SELECT p.song_id, p.seconds, CAST(coalesce(coalesce(g.start_tick, f_tick) + CAST(round_even((p.seconds - coalesce(g.start_s, f_s)) * coalesce(g.bpm, f_bpm) / 60.0 * fs.r, 0) AS INT), 0) AS INT) AS tick
+FROM (SELECT DISTINCT song_id, CAST(tick / 64 AS DOUBLE) + 0.3 AS seconds FROM notes) p ASOF LEFT JOIN sg g ON p.song_id = g.song_id AND p.seconds >= g.start_s LEFT JOIN fs ON fs.song_id = p.song_id""", "notes", "tempo")
+def _(v):
+    probes = notes_of(v).select("song_id", (F.col("tick") / 64 + 0.3).alias("seconds")).distinct()
+    return TP.at_seconds(probes, own_tempo(v)).select("song_id", "seconds", "tick")
+
+
+@query("f_sql_functions", """SELECT song_id, instrument, tick, substr(md5(instrument || '|' || song_id), 1, 16) AS key, CAST(round_even(tick / 16.0, 0) AS INT) * 16 AS snapped, idx AS sus_index, CAST(steps.s * 16 AS INT) AS sus_ticks, CASE WHEN instrument = 'drums' THEN 91 ELSE 56 END + lane_mask AS token, CAST(len(list_filter(range(5), lambda i: (lane_mask >> i) & 1 = 1)) AS INT) AS lanes, CAST(round_even(tick / 16.0, 0) AS INT) // 48 + CASE WHEN CAST(round_even(tick / 16.0, 0) AS INT) % 48 > 0 THEN 1 ELSE 0 END AS waits
+FROM notes n JOIN sus ON q = CAST(round_even(sustain / 16.0, 0) AS INT) JOIN steps ON steps.i = idx""", "notes", "sus")
+def _(v):
+    SQL.register(v.spark)
+    return notes_of(v).selectExpr(
+        "song_id", "instrument", "tick", "chord_song_key(instrument, cast(song_id as string)) AS key", "chord_snap_to_grid(tick) AS snapped", "chord_sustain_index(sustain) AS sus_index",
+        "chord_sustain_ticks(chord_sustain_index(sustain)) AS sus_ticks", "chord_note_token(lane_mask, instrument = 'drums') AS token", "size(chord_mask_lanes(lane_mask)) AS lanes", "size(chord_wait_tokens(chord_ticks_to_steps(tick))) AS waits")
+
+
 @query("w5_beat_durations", "SELECT song_id, beat, round(duration_s, 6) AS duration_s FROM grid", "grid")
 def _(v):
     return grid_of(v).select("song_id", "beat", _r("duration_s"))
@@ -96,16 +132,12 @@ def _(v):
 
 @query("u2_timeline", "SELECT song_id, instrument, tick, pr, count(*) AS n FROM tl GROUP BY ALL", "tl")
 def _(v):
-    n = notes_of(v)
-    return codec.timeline(n, v.specials, TP.beat_ticks(v.tempo, N.song_ends(n))).groupBy("song_id", "instrument", "tick", "pr").agg(F.count("*").alias("n"))
+    return timeline_of(v).groupBy("song_id", "instrument", "tick", "pr").agg(F.count("*").alias("n"))
 
 
 @query("w2_gaps", "SELECT song_id, instrument, n, gap FROM tl2", "tl2")
 def _(v):
-    n = notes_of(v)
-    order = Window.partitionBy("song_id", "instrument").orderBy("tick", "pr", "o1", "o2", "o3")
-    rows = codec.timeline(n, v.specials, TP.beat_ticks(v.tempo, N.song_ends(n)))
-    return rows.select("song_id", "instrument", F.row_number().over(order).cast("long").alias("n"), (F.col("tick") - F.lag("tick", 1, 0).over(order)).alias("gap"))
+    return timeline_of(v).select("song_id", "instrument", F.col("n").cast("long").alias("n"), "gap")
 
 
 @query("g2_encode", "SELECT song_id, instrument, array_to_string(tokens, ',') AS tokens, CAST(len(tokens) AS INT) AS num_tokens FROM seqs", "seqs")
@@ -145,21 +177,36 @@ def _(v):
 
 @query("w3_cursor", _DECODED + "SELECT song_id, instrument, pos, tok, tick FROM cur", "tok")
 def _(v):
-    order = Window.partitionBy("song_id", "instrument").orderBy("pos")
-    tok = F.col("tok")
-    step = F.when(tok.between(S.WAIT_FIRST, S.WAIT_LAST), (tok - (S.WAIT_FIRST - 1)) * S.GRID).otherwise(0)
-    return codec.exploded(sequences_of(v)).where("tok <> 2 and pos >= 2").withColumn("tick", F.sum(step).over(order).cast("int"))
+    return codec.cursor(codec.body(codec.exploded(sequences_of(v)))).select("song_id", "instrument", "pos", "tok", "tick")
+
+
+_AGAIN = """, rn AS (SELECT song_id, instrument, pos, tick, tok, CASE WHEN tok >= 92 THEN [tok] ELSE list_concat(list_concat(list_concat([tok, n1], CASE WHEN n2 = 88 THEN [88] ELSE [] END), CASE WHEN n2 = 89 OR n2 = 88 AND n3 = 89 THEN [89] ELSE [] END), CASE WHEN n2 = 91 OR n2 BETWEEN 88 AND 91 AND n3 = 91 OR n2 BETWEEN 88 AND 91 AND n3 BETWEEN 88 AND 91 AND n4 = 91 THEN [91] ELSE [] END) END AS toks FROM cur WHERE tok BETWEEN 57 AND 87 OR tok BETWEEN 92 AND 122),
+star AS (SELECT *, lead(tok) OVER w AS t2, lead(tick) OVER w AS k2 FROM cur WHERE tok IN (183, 184) WINDOW w AS (PARTITION BY song_id, instrument ORDER BY pos)), fin AS (SELECT song_id, instrument, max(tick) AS f FROM cur GROUP BY ALL),
+rs AS (SELECT song_id, instrument, tick, 183 AS t, pos AS o, CASE WHEN t2 = 184 THEN k2 - tick ELSE 0 END AS length FROM star WHERE tok = 183 UNION ALL SELECT song_id, instrument, tick, 183, pos + 1000000000, f - tick FROM star JOIN fin USING (song_id, instrument) WHERE tok = 183 AND t2 IS NULL UNION ALL SELECT song_id, instrument, tick, tok, pos, 0 FROM cur WHERE tok IN (185, 186)),
+rt AS (SELECT song_id, instrument, tick, 3 AS pr, 0 AS o1, pos AS o2, 0 AS o3, toks FROM rn UNION ALL SELECT song_id, instrument, tick, 0, 0, pos, 0, [4] FROM cur WHERE tok = 4
+ UNION ALL SELECT song_id, instrument, tick + CASE WHEN side = 1 THEN length ELSE 0 END, CASE WHEN t = 183 THEN 1 ELSE 2 END, tick, o, side, [t + side] FROM rs, (SELECT unnest([0, 1]) AS side) WHERE side = 0 OR t = 183),
+rg AS (SELECT *, greatest(1, CAST(round_even(gap / 16.0, 0) AS INT)) AS st FROM (SELECT *, tick - lag(tick, 1, 0) OVER w AS gap, row_number() OVER w AS n FROM rt WINDOW w AS (PARTITION BY song_id, instrument ORDER BY tick, pr, o1, o2, o3))),
+ra AS (SELECT song_id, instrument, flatten(list(CASE WHEN gap > 0 THEN list_concat(list_concat(list_transform(range(st // 48), lambda x: 56), CASE WHEN st % 48 > 0 THEN [8 + st % 48] ELSE [] END), toks) ELSE toks END ORDER BY n)) AS b FROM rg GROUP BY ALL),
+rf AS (SELECT s.song_id, s.instrument, tokens AS t, list_concat(list_concat([1, CASE s.instrument WHEN 'bass' THEN 7 WHEN 'drums' THEN 8 ELSE 6 END], b), [2]) AS a FROM seqs s LEFT JOIN ra USING (song_id, instrument))
+SELECT song_id, instrument, coalesce(t = a, false) AS same, CAST(coalesce(list_filter(range(0, least(len(t), len(a))), lambda i: t[i + 1] <> a[i + 1])[1], CASE WHEN len(t) <> len(a) THEN least(len(t), len(a)) END) AS INT) AS first_diff, CAST(len(t) AS INT) AS length, CAST(len(a) AS INT) AS back_length FROM rf"""
 
 
-@query("g4_roundtrip")
+@query("g4_roundtrip", _DECODED + _AGAIN, "tok")
 def _(v):
     return codec.roundtrip(sequences_of(v))
 
 
-@query("w4_beat_ids", "SELECT song_id, instrument, pos, CAST(coalesce(sum(CASE WHEN tok = 4 THEN 1 ELSE 0 END) OVER (PARTITION BY song_id, instrument ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INT) AS beat_id FROM tok", "tok")
+_BEFORE = "CAST(coalesce(sum(CASE WHEN tok = 4 THEN 1 ELSE 0 END) OVER (PARTITION BY song_id, instrument ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS INT)"
+
+
+@query("w4_beat_ids", f"SELECT song_id, instrument, pos, {_BEFORE} AS beat_id FROM tok", "tok")
+def _(v):
+    return codec.beat_numbers(codec.exploded(sequences_of(v))).drop("tok")
+
+
+@query("w4_beat_ids_clamped", f"SELECT song_id, instrument, pos, least(15, {_BEFORE}) AS beat_id FROM tok", "tok")
 def _(v):
-    before = Window.partitionBy("song_id", "instrument").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    return codec.exploded(sequences_of(v)).select("song_id", "instrument", "pos", F.coalesce(F.sum((F.col("tok") == S.BEAT).cast("int")).over(before), F.lit(0)).cast("int").alias("beat_id"))
+    return codec.beat_numbers(codec.exploded(sequences_of(v)), most=15).drop("tok")
 
 
 _CLASS = "CASE WHEN tok BETWEEN 9 AND 56 THEN 'wait' WHEN tok BETWEEN 57 AND 87 THEN 'note' WHEN tok BETWEEN 92 AND 122 THEN 'drum' WHEN tok BETWEEN 123 AND 182 THEN 'sustain' WHEN tok BETWEEN 88 AND 91 THEN 'modifier' WHEN tok BETWEEN 183 AND 186 THEN 'event' WHEN tok BETWEEN 6 AND 8 THEN 'instrument' WHEN tok = 4 THEN 'beat' ELSE 'special' END"
@@ -176,9 +223,7 @@ def _(v):
 
 @query("a19_class_histogram", f"SELECT song_id, instrument, {', '.join(f'count(*) FILTER (WHERE c = {c!r}) AS {c}' for c in ('wait', 'note', 'drum', 'sustain', 'modifier', 'event', 'beat'))} FROM (SELECT *, {_CLASS} AS c FROM tok) GROUP BY ALL", "tok")
 def _(v):
-    kinds = ["wait", "note", "drum", "sustain", "modifier", "event", "beat"]
-    rows = codec.exploded(sequences_of(v)).withColumn("c", S.token_class(F.col("tok")))
-    return rows.groupBy("song_id", "instrument").pivot("c", kinds).count().na.fill(0, kinds)
+    return codec.class_histogram(codec.exploded(sequences_of(v)))
 
 
 @query("f3_sustain_index", "SELECT n.song_id, n.instrument, n.tick, idx AS sus_index, CAST(steps.s * 16 AS INT) AS sus_ticks FROM notes n JOIN sus ON q = CAST(round_even(sustain / 16.0, 0) AS INT) JOIN steps ON steps.i = idx", "notes", "sus")
@@ -199,24 +244,17 @@ def _(v):
 
 @query("f5_waits", "SELECT song_id, instrument, n, array_to_string(list_concat(list_transform(range(st // 48), lambda x: 56), CASE WHEN st % 48 > 0 THEN [8 + st % 48] ELSE [] END), ',') AS waits FROM (SELECT *, greatest(1, CAST(round_even(gap / 16.0, 0) AS INT)) AS st FROM tl2 WHERE gap > 0)", "tl2")
 def _(v):
-    n = notes_of(v)
-    order = Window.partitionBy("song_id", "instrument").orderBy("tick", "pr", "o1", "o2", "o3")
-    rows = codec.timeline(n, v.specials, TP.beat_ticks(v.tempo, N.song_ends(n))).select("song_id", "instrument", F.row_number().over(order).cast("long").alias("n"), (F.col("tick") - F.lag("tick", 1, 0).over(order)).alias("gap"))
-    waits = S.wait_tokens(F.greatest(S.ticks_to_steps(F.col("gap")), F.lit(1)))
-    return rows.where("gap > 0").select("song_id", "instrument", "n", F.array_join(F.transform(waits, lambda x: x.cast("string")), ",").alias("waits"))
+    rows = timeline_of(v).where("gap > 0")
+    return rows.select("song_id", "instrument", F.col("n").cast("long").alias("n"), F.array_join(F.transform(codec.gap_tokens(F.col("gap")), lambda x: x.cast("string")), ",").alias("waits"))
 
 
 @query("p11_track_flags", "SELECT song_id, instrument, coalesce(bool_or(kind = 'star_power'), false) AS has_star_power, coalesce(bool_or(kind = 'solo'), false) AS has_solo FROM (SELECT DISTINCT song_id, instrument FROM notes) LEFT JOIN specials USING (song_id, instrument) GROUP BY ALL", "notes", "specials")
 def _(v):
     flags = v.specials.groupBy("song_id", "instrument").agg(F.bool_or(F.col("kind") == "star_power").alias("sp"), F.bool_or(F.col("kind") == "solo").alias("so"))
-    rows = N.instruments(notes_of(v)).join(flags, ["song_id", "instrument"], "left")
+    rows = N.instruments(notes_of(v)).join(flags.hint("merge"), ["song_id", "instrument"], "left")
     return rows.select("song_id", "instrument", F.coalesce("sp", F.lit(False)).alias("has_star_power"), F.coalesce("so", F.lit(False)).alias("has_solo"))
 
 
 @query("x1_grammar", "nxt AS (SELECT *, lead(tok) OVER (PARTITION BY song_id, instrument ORDER BY pos) AS n1 FROM tok) SELECT song_id, instrument, count(*) FILTER (WHERE tok BETWEEN 57 AND 87 AND coalesce(n1 NOT BETWEEN 123 AND 182, true)) AS bare_notes, count(*) FILTER (WHERE tok BETWEEN 92 AND 122 AND n1 BETWEEN 123 AND 182) AS drum_sustains FROM nxt GROUP BY ALL", "tok")
 def _(v):
-    order = Window.partitionBy("song_id", "instrument").orderBy("pos")
-    rows = codec.exploded(sequences_of(v)).withColumn("n1", F.lead("tok").over(order))
-    sus = F.coalesce(F.col("n1").between(S.SUS_FIRST, S.SUS_LAST), F.lit(False))
-    tok = F.col("tok")
-    return rows.groupBy("song_id", "instrument").agg(F.count_if(tok.between(57, 87) & ~sus).alias("bare_notes"), F.count_if(tok.between(92, 122) & sus).alias("drum_sustains"))
+    return codec.grammar_issues(codec.exploded(sequences_of(v)))
