@@ -5,11 +5,21 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from chordgrid.functions.scalars import BEAT
+
 STRATA = ["guitar", "bass", "drums"]
 
 
 #: Hash buckets of a group: only the bucket that holds the cut is ranked row by row.
 BUCKETS = 4096
+#: Ranges of values that a group is ranked in.
+RANGES = 64
+
+
+def hashed(seed: int, *key: str) -> Column:
+    """A number of 60 bits that seed and key decide, from their md5 (null keys count as empty)."""
+    text = F.concat_ws("|", F.lit(str(seed)), *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key])
+    return F.conv(F.substring(F.md5(text), 1, 15), 16, 10).cast("long")
 
 
 def first_by_hash(rows: DataFrame, group: list[str], key: list[str], quota: Column, seed: int = 0) -> DataFrame:
@@ -19,8 +29,7 @@ def first_by_hash(rows: DataFrame, group: list[str], key: list[str], quota: Colu
     Rows are counted by (group, hash bucket); running sums over the buckets tell which of them lie before
     the cut. A bucket is small however large its group is, so no group is ranked in one task.
     """
-    h = F.xxhash64(F.lit(seed), *key)
-    own = rows.withColumn("_h", h).withColumn("_b", F.pmod(F.shiftrightunsigned("_h", 40), F.lit(BUCKETS)))
+    own = rows.withColumn("_h", hashed(seed, *key)).withColumn("_b", F.shiftright("_h", 48))
     sizes = own.groupBy(*group, "_b").agg(F.count("*").alias("_c"))
     every = Window.partitionBy(*group)
     sizes = sizes.withColumn("_n", F.sum("_c").over(every)).withColumn("_before", F.coalesce(F.sum("_c").over(every.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
@@ -29,10 +38,41 @@ def first_by_hash(rows: DataFrame, group: list[str], key: list[str], quota: Colu
     for i, g in enumerate(group):
         same &= own[g].eqNullSafe(plan[f"_g{i}"])
     rank = F.row_number().over(Window.partitionBy(*group, "_b").orderBy("_h", *key))
-    ranked = own.join(plan, same).withColumn("_first", rank <= F.col("_need"))
+    ranked = own.join(plan.hint("merge"), same).withColumn("_first", rank <= F.col("_need"))
     return ranked.select(*rows.columns, "_first")
 
 
+def value_range(column: Column, cuts: list[float]) -> Column:
+    """How many of the sorted cuts are at most the column's value: a tree of comparisons."""
+    def below(a: int, b: int) -> Column:
+        if a == b:
+            return F.lit(a)
+        middle = (a + b) // 2
+        return F.when(column < cuts[middle], below(a, middle)).otherwise(below(middle + 1, b))
+
+    return below(0, len(cuts))
+
+
+def ranked(rows: DataFrame, by: list[str], order: list[str], ranges: int = RANGES) -> DataFrame:
+    """rows with ``rank`` (from 1, by ``order``, whose first column is a number) and ``n`` in their group, as
+    row_number() and count() give them.
+
+    Quantiles of the first column cut all rows into ranges; ranges are counted by group, and rows are
+    numbered within their range, so a group is sorted in as many tasks as it has ranges.
+    """
+    first = order[0]
+    found = rows.agg(F.percentile_approx(F.col(first).cast("double"), [i / ranges for i in range(1, ranges)], 10_000)).first()[0]
+    own = rows.withColumn("_range", F.when(F.col(first).isNull(), -1).otherwise(value_range(F.col(first).cast("double"), sorted(set(found or [])))))
+    every = Window.partitionBy(*[f"_g{i}" for i in range(len(by))]) if by else Window.partitionBy(F.lit(1))  # ranges, not rows
+    sizes = own.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(by)], F.col("_range").alias("_r")).agg(F.count("*").alias("_c"))
+    sizes = sizes.withColumn("n", F.sum("_c").over(every)).withColumn("_before", F.coalesce(F.sum("_c").over(every.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
+    same = F.col("_range") == F.col("_r")
+    for i, g in enumerate(by):
+        same &= F.col(g).eqNullSafe(F.col(f"_g{i}"))
+    place = F.row_number().over(Window.partitionBy(*by, "_range").orderBy(*order))
+    return own.join(sizes.hint("merge"), same).withColumn("rank", F.col("_before") + place).select(*rows.columns, "rank", "n")
+
+
 def stratified_split(rows: DataFrame, key: list[str], stratum: str = "instrument", share: float = 0.2, seed: int = 42, strata: list[str] = STRATA) -> DataFrame:
     """rows with ``split``: of each stratum the first share by hash is test, a group of one is train; rows
     of no stratum go."""
@@ -44,7 +84,7 @@ def stratified_split(rows: DataFrame, key: list[str], stratum: str = "instrument
 def hold_out_shards(rows: DataFrame, shard: str, n: int, seed: int = 42) -> DataFrame:
     """rows with ``split``: n whole shards are validation."""
     shards = rows.select(shard).distinct()
-    rank = F.row_number().over(Window.orderBy(F.xxhash64(F.lit(seed), shard), shard))
+    rank = F.row_number().over(Window.orderBy(hashed(seed, shard), shard))  # over shards, not rows
     return rows.join(shards.withColumn("split", F.when(rank <= n, "validation").otherwise("train")).hint("merge"), shard)
 
 
@@ -56,8 +96,8 @@ def equal_sample(rows: DataFrame, stratum: str, total: int, key: list[str], seed
 
 def shuffled(rows: DataFrame, key: list[str], seed: int, epoch: int = 0, shard: str | None = None) -> DataFrame:
     """Rows in an order that seed and epoch decide; with a shard column whole shards stay together."""
-    h = lambda *c: F.xxhash64(F.lit(seed), F.lit(epoch), *c)
-    return rows.orderBy(*([h(shard), shard] if shard else []), h(*key), *key)
+    turn = seed * 1_000_003 + epoch
+    return rows.orderBy(*([hashed(turn, shard), shard] if shard else []), hashed(turn, *key), *key)
 
 
 def first_occurrence(rows: DataFrame, key: list[str], order: str) -> DataFrame:
@@ -69,6 +109,10 @@ def sane(rows: DataFrame, max_std: float = 5.0, max_tokens: int = 4096, min_toke
     return rows.where((F.col("bpm_std") < max_std) & (F.col("num_tokens") < max_tokens) & (F.col("num_tokens") >= min_tokens) & (F.col("num_beats") <= max_beats))
 
 
+def _padded(values: Column, width: Column, fill: Column) -> Column:
+    return F.concat(values, F.array_repeat(fill, width - F.size(values)))
+
+
 def padded_batches(rows: DataFrame, batch: int, by: list[str], order: list[str], tokens: str = "tokens", longest: int = 1 << 20, pad: int = 0) -> DataFrame:
     """rows with batch_id, tokens padded on the right to the batch's longest, and mask (1 token, 0 pad).
 
@@ -76,8 +120,71 @@ def padded_batches(rows: DataFrame, batch: int, by: list[str], order: list[str],
     """
     own = rows.withColumn(tokens, F.slice(tokens, 1, longest)).withColumn("batch_id", F.floor((F.row_number().over(Window.partitionBy(*by).orderBy(*order)) - 1) / batch))
     size = F.max(F.size(tokens)).over(Window.partitionBy(*by, "batch_id"))
-    wide = own.withColumn("_m", size).withColumn("_n", F.size(tokens))
-    return wide.withColumn("mask", F.concat(F.array_repeat(F.lit(1), F.col("_n")), F.array_repeat(F.lit(0), F.col("_m") - F.col("_n")))).withColumn(tokens, F.concat(tokens, F.array_repeat(F.lit(pad), F.col("_m") - F.col("_n")))).drop("_m", "_n")
+    wide = own.withColumn("_m", size).withColumn("mask", _padded(F.transform(tokens, lambda t: F.lit(1)), F.col("_m"), F.lit(0)))
+    return wide.withColumn(tokens, _padded(F.col(tokens), F.col("_m"), F.lit(pad))).drop("_m")
+
+
+#: A beat's tempo, signature and duration where a row says nothing.
+BEAT_DEFAULTS = {"bpm_at_beat": 120.0, "time_sig_num_at_beat": 4, "time_sig_den_at_beat": 4, "beat_durations_s": 0.5}
+#: Ids of the instruments a model is conditioned on; others count as the first.
+CONDITION_IDS = {"guitar": 0, "bass": 1, "drums": 2}
+
+
+def beat_ids(tokens: Column, beat: int = BEAT, most: int | None = None) -> Column:
+    """How many beat tokens stand before each token of an array; ``most``: larger numbers become that one."""
+    places = F.filter(F.transform(tokens, lambda t, i: F.when(t == beat, i)), lambda i: i.isNotNull())
+    ends = F.concat(F.array(F.lit(-1)), places, F.array(F.size(tokens) - 1))
+    number = lambda k: k if most is None else F.least(k, F.lit(most))
+    spans = F.transform(F.array(ends), lambda e: F.flatten(F.transform(F.sequence(F.lit(0), F.size(e) - 2), lambda k: F.array_repeat(number(k), F.get(e, k + 1) - F.get(e, k)))))
+    return spans[0]
+
+
+def collated(rows: DataFrame, batch: int, by: list[str], order: list[str], max_tokens: int = 16_384, max_beats: int = 1024, dim: int = 1024, points: int = 32, bins: int = 128) -> DataFrame:
+    """Wide rows as a model takes them, padded to their batch: tokens, mask, beat_ids (the pad repeats the last
+    one), mert_embeddings (beats x dim) and logmel_frames (beats x points x bins) with zeros for missing beats
+    and dimensions, beat_mask, the beats' tempo, signature and duration, instrument_id and difficulty_id.
+
+    Arrays are cut to max_tokens and max_beats; vectors longer than dim are cut. A batch has one beat at least.
+    """
+    own = padded_batches(rows.withColumn("_ids", beat_ids(F.slice("tokens", 1, max_tokens))), batch, by, order, longest=max_tokens)
+    own = own.withColumn("beat_ids", _padded(F.col("_ids"), F.size("tokens"), F.coalesce(F.try_element_at("_ids", F.lit(-1)), F.lit(0)))).drop("_ids")
+    beats = {c: F.slice(F.coalesce(c, F.array().cast(rows.schema[c].dataType)), 1, max_beats) for c in ("mert_embeddings", "logmel_frames")}
+    own = own.withColumns(beats).withColumn("_b", F.greatest(F.lit(1), F.max(F.size("mert_embeddings")).over(Window.partitionBy(*by, "batch_id"))))
+    zeros = lambda n: F.array_repeat(F.lit(0.0).cast("float"), n)
+    n = F.size("mert_embeddings")
+    mask = F.concat(F.array_repeat(F.lit(1), n), F.array_repeat(F.lit(0), F.col("_b") - n))
+    vectors = F.transform("mert_embeddings", lambda v: _padded(F.slice(v, 1, dim), F.lit(dim), F.lit(0.0).cast("float")))
+    out = {
+        "beat_mask": mask, "mert_embeddings": _padded(vectors, F.col("_b"), zeros(F.lit(dim))),
+        "logmel_frames": _padded(F.slice("logmel_frames", 1, F.col("_b")), F.col("_b"), F.array_repeat(zeros(F.lit(bins)), F.lit(points))),
+    }
+    for column, default in BEAT_DEFAULTS.items():
+        item = rows.schema[column].dataType.elementType
+        out[column] = _padded(F.slice(F.coalesce(column, F.array().cast(rows.schema[column].dataType)), 1, F.col("_b")), F.col("_b"), F.lit(default).cast(item))
+    return own.withColumns(out).withColumns({"instrument_id": condition_id(F.col("instrument")), "difficulty_id": difficulty_id(F.col("difficulty"))}).drop("_b")
+
+
+def condition_id(instrument: Column) -> Column:
+    out = F.lit(0)
+    for name, k in CONDITION_IDS.items():
+        out = F.when(instrument == name, k).otherwise(out)
+    return out
+
+
+def difficulty_id(level: Column) -> Column:
+    """A difficulty from 0 to 6; null counts as 0."""
+    return F.greatest(F.lit(0), F.least(F.lit(6), F.coalesce(level, F.lit(0))))
+
+
+def curriculum(stats: DataFrame, stages: int, by: list[str]) -> DataFrame:
+    """stats with ``stage`` 1..stages: steadier tempo and fewer chords come first, in parts of equal size."""
+    rows = stats.withColumns({"_std": F.round("bpm_std", 4), "_chords": F.round("chord_ratio", 6)})
+    out = ranked(rows, by, ["_std", "_chords", "song_id"])
+    # as ntile() deals: the first n mod stages parts have one more
+    size, more = F.floor(F.col("n") / stages), F.col("n") % stages
+    large = more * (size + 1)
+    stage = F.when(F.col("rank") <= large, F.ceil(F.col("rank") / (size + 1))).otherwise(more + F.ceil((F.col("rank") - large) / size))
+    return out.withColumn("stage", stage.cast("int")).drop("_std", "_chords", "rank", "n")
 
 
 def conditioning(bpm: Column, duration: Column, num: Column, den: Column) -> dict[str, Column]:

@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _A = T.ArrayType
-#: The wide row: one for each song and instrument.
+#: Columns and types of the wide row, one for each song and instrument.
 SCHEMA = T.StructType([
     *(T.StructField(c, T.StringType()) for c in ("song_id", "instrument", "source_format")),
     T.StructField("tokens", _A(T.IntegerType())), T.StructField("num_tokens", T.IntegerType()), T.StructField("num_beats", T.IntegerType()),
@@ -54,11 +55,11 @@ def beat_arrays(grid: DataFrame) -> DataFrame:
 
 def build_rows(sequences: DataFrame, stats: DataFrame, grid: DataFrame, specials: DataFrame, meta: DataFrame, source_format: str = "chart", resolution: int = 192) -> DataFrame:
     """Wide rows of the given tracks: sequences and statistics meet on (song, instrument), beats and
-    metadata on the song."""
+    metadata on the song. ``meta`` may hold the songs' own resolution."""
     flags = specials.groupBy("song_id", "instrument").agg(F.bool_or(F.col("kind") == "star_power").alias("has_star_power"), F.bool_or(F.col("kind") == "solo").alias("has_solo"))
-    rows = sequences.join(stats.drop("num_beats"), ["song_id", "instrument"]).join(flags, ["song_id", "instrument"], "left").join(beat_arrays(grid), "song_id", "left").join(meta, "song_id", "left")
+    rows = sequences.join(stats.drop("num_beats").hint("merge"), ["song_id", "instrument"]).join(flags.hint("merge"), ["song_id", "instrument"], "left").join(beat_arrays(grid).hint("merge"), "song_id", "left").join(meta.hint("merge"), "song_id", "left")
     rows = rows.withColumns({c: F.coalesce(c, F.lit(False)) for c in ("has_star_power", "has_solo")})
-    rows = rows.withColumns({"source_format": F.lit(source_format), "resolution": F.lit(resolution), "num_beats": F.coalesce("num_beats", F.lit(0))})
+    rows = rows.withColumns({"source_format": F.lit(source_format), "resolution": F.coalesce("resolution", F.lit(resolution)) if "resolution" in meta.columns else F.lit(resolution), "num_beats": F.coalesce("num_beats", F.lit(0))})
     return conform(rows)
 
 
@@ -73,16 +74,41 @@ def prefer_formats(songs: DataFrame, ranks: dict[str, int]) -> DataFrame:
 
 def preferred_files(wanted: DataFrame, files: DataFrame, preference: DataFrame) -> DataFrame:
     """wanted (song_id, instrument) with the path of the best file by (base_rank, ext_rank), null if none."""
-    hits = files.join(F.broadcast(preference), ["base", "ext"])
+    hits = files.join(preference.hint("merge"), ["base", "ext"])
     best = hits.groupBy("song_id", "instrument").agg(F.min_by("path", F.struct("base_rank", "ext_rank", "path")).alias("path"))
-    return wanted.join(best, ["song_id", "instrument"], "left")
+    return wanted.join(best.hint("merge"), ["song_id", "instrument"], "left")
 
 
-def with_shards(rows: DataFrame, size: str, limit: int, by: str, order: str, prefix: str = "train") -> DataFrame:
-    """rows with ``shard``: running bytes within ``by`` over the limit, rows never split."""
-    w = Window.partitionBy(by).orderBy(order).rowsBetween(Window.unboundedPreceding, -1)
-    number = F.floor(F.coalesce(F.sum(size).over(w), F.lit(0)) / limit)
-    return rows.withColumn("shard", number.cast("int")).withColumn("shard_name", F.format_string(prefix + "-%05d.parquet", "shard"))
+def with_stems(songs: DataFrame, files: DataFrame, base: str) -> DataFrame:
+    """songs with has_stem: is there a file of that base name?"""
+    stems = files.where(F.col("base") == base).select("song_id").distinct().withColumn("has_stem", F.lit(True))
+    return songs.join(stems.hint("merge"), "song_id", "left").withColumn("has_stem", F.coalesce("has_stem", F.lit(False)))
+
+
+def with_shards(rows: DataFrame, size: str, limit: int, by: str, order: str, prefix: str = "train", part: Column | None = None, first: int = 0) -> DataFrame:
+    """rows with ``shard``: running bytes within ``by`` over the limit, rows never split; numbers go on from
+    ``first``.
+
+    ``part`` grows with ``order`` (as a day grows with a time): bytes are then added up by part first, and
+    within a part by row, so no task holds a whole split.
+    """
+    own = rows.withColumn("_part", F.lit(0) if part is None else part)
+    upto = lambda *c: Window.partitionBy(*c).rowsBetween(Window.unboundedPreceding, -1)
+    parts = own.groupBy(F.col(by).alias("_by"), F.col("_part").alias("_p")).agg(F.sum(size).alias("_s"))
+    parts = parts.select("_by", "_p", F.coalesce(F.sum("_s").over(upto("_by").orderBy("_p")), F.lit(0)).alias("_before"))
+    both = own.join(parts.hint("merge"), F.col(by).eqNullSafe(F.col("_by")) & F.col("_part").eqNullSafe(F.col("_p")))
+    bytes_ = F.col("_before") + F.coalesce(F.sum(size).over(upto(by, "_part").orderBy(order)), F.lit(0))
+    out = both.withColumn("shard", (F.floor(bytes_ / limit) + first).cast("int")).select(*rows.columns, "shard")
+    return out.withColumn("shard_name", F.format_string(prefix + "-%05d.parquet", "shard"))
+
+
+def size_label(n: Column) -> Column:
+    """A dataset's size class by its rows."""
+    steps = [(1_000, "n<1K"), (10_000, "1K<n<10K"), (100_000, "10K<n<100K"), (1_000_000, "100K<n<1M")]
+    out = F.lit("1M<n<10M")
+    for most, label in reversed(steps):
+        out = F.when(n < most, label).otherwise(out)
+    return out
 
 
 def status_of(rows: DataFrame) -> DataFrame:
@@ -94,19 +120,41 @@ def status_of(rows: DataFrame) -> DataFrame:
 
 def pending(paths: DataFrame, done: DataFrame, key: str = "path") -> DataFrame:
     """Paths that no finished run has logged."""
-    return paths.join(done.select(key).distinct(), key, "left_anti")
+    return paths.join(done.select(key).distinct().hint("merge"), key, "left_anti")
 
 
 def write_shards(rows: DataFrame, path: str, compression: str = "zstd", mode: str = "errorifexists", partition: str | None = "split") -> None:
-    """Wide rows as Parquet; rows of one shard meet in one task where they are numbered."""
+    """Wide rows as Parquet; rows of one shard meet in one task where they are numbered, and a shard that has a
+    name is a folder of that name."""
     out = rows.repartition("shard") if "shard" in rows.columns else rows
     writer = out.write.mode(mode).option("compression", compression)
-    (writer.partitionBy(partition) if partition and partition in rows.columns else writer).parquet(path)
+    folders = [c for c in (partition, "shard_name") if c and c in rows.columns]
+    (writer.partitionBy(*folders) if folders else writer).parquet(path)
+
+
+def next_shard(spark: SparkSession, path: str, prefix: str = "train") -> int:
+    """The number after the highest shard number of a dataset's files and folders; 0 where there is none."""
+    try:
+        files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
+    except AnalysisException:  # nothing has been written yet
+        return 0
+    number = F.regexp_extract("path", rf"(?:^|[/=]){prefix}-(\d+)\.parquet", 1)
+    last = files.agg(F.max(number.try_cast("int"))).first()[0]
+    return 0 if last is None else last + 1
+
+
+def append_shards(rows: DataFrame, path: str, size: str, limit: int, by: str, order: str, prefix: str = "train", part: Column | None = None, **options) -> None:
+    """Adds rows to a dataset as new shards, numbered on from those that are there."""
+    first = next_shard(rows.sparkSession, path, prefix)
+    write_shards(with_shards(rows, size, limit, by, order, prefix, part, first), path, mode="append", **options)
 
 
 def write_manifest(rows: DataFrame, path: str, **options: str) -> None:
-    """One JSON row: rows and instruments, and the run's options."""
-    one = rows.agg(F.count("*").alias("rows"), F.array_sort(F.collect_set("instrument")).alias("instruments"))
+    """One JSON row: rows, in all and by split, instruments, and the run's options."""
+    split = "split" if "split" in rows.columns else F.lit("all").alias("split")
+    by = rows.groupBy(split).agg(F.count("*").alias("n"), F.collect_set("instrument").alias("i"))
+    splits = F.map_from_entries(F.array_sort(F.collect_list(F.struct(F.coalesce("split", F.lit("none")), "n")))).alias("splits")
+    one = by.agg(F.coalesce(F.sum("n"), F.lit(0)).alias("rows"), splits, F.array_sort(F.array_distinct(F.flatten(F.collect_list("i")))).alias("instruments"))
     for name, value in options.items():
         one = one.withColumn(name, F.lit(value))
-    one.write.mode("overwrite").json(path)
+    one.coalesce(1).write.mode("overwrite").json(path)

@@ -2,13 +2,11 @@
 
 from __future__ import annotations
 
-import math
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chordgrid.functions.scalars import cosine, l2_norm
-from chordgrid.operators.batching import first_by_hash
+from chordgrid.operators.batching import RANGES, first_by_hash, hashed, ranked, value_range
 from chordgrid.operators.frames import mean_vectors
 
 
@@ -17,9 +15,24 @@ def sample_by_group(rows: DataFrame, group: str, key: str, n: int, seed: int = 0
     return first_by_hash(rows, [group], [key], F.lit(n), seed).where("_first").drop("_first")
 
 
+def percentiles(values: DataFrame, group: str, x: str, shares: dict[str, float]) -> DataFrame:
+    """group and a column for each share: exact percentiles, interpolated between two order statistics. Values
+    are ranked in ranges, so no task holds a group."""
+    rows = ranked(values.select(group, x).where(F.col(x).isNotNull()), [group], [x])
+    out = []
+    for name, share in shares.items():
+        at = F.lit(share) * (F.col("n") - 1) + 1
+        near = F.greatest(F.lit(0.0), 1 - F.abs(F.col("rank") - at))
+        out.append(F.sum(F.col(x) * near).alias(name))
+    return rows.groupBy(group).agg(*out)
+
+
 def norm_stats(rows: DataFrame, group: str, vec: str = "vec") -> DataFrame:
+    """group, n, mean, std (of the population), p5, p95 of the vectors' norms."""
     norms = rows.select(group, l2_norm(F.col(vec)).alias("x"))
-    return norms.groupBy(group).agg(F.count("*").alias("n"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"), F.percentile("x", F.lit(0.05)).alias("p5"), F.percentile("x", F.lit(0.95)).alias("p95"))
+    sums = norms.groupBy(group).agg(F.count("*").alias("n"), F.avg("x").alias("mean"), F.stddev_pop("x").alias("std"))
+    shares = percentiles(norms, group, "x", {"p5": 0.05, "p95": 0.95}).withColumnRenamed(group, "_g")
+    return sums.join(shares.hint("merge"), F.col(group).eqNullSafe(F.col("_g")), "left").drop("_g")
 
 
 def centroid_cosine(rows: DataFrame, group: str, a, b, vec: str = "vec") -> DataFrame:
@@ -32,12 +45,19 @@ def centroid_cosine(rows: DataFrame, group: str, a, b, vec: str = "vec") -> Data
 def ks_statistic(values: DataFrame, group: str, x: str, a, b) -> DataFrame:
     """One row: n_a, n_b, d (largest gap of the two samples' cumulative shares) and its asymptotic p.
 
-    Ties are reduced to counts by value first; the running sums then go over distinct values.
+    Ties are reduced to counts by value; values are cut into ranges by quantiles, so the running sums go
+    over ranges first and over the values of one range then.
     """
-    counts = values.groupBy(x).agg(F.count_if(F.col(group) == a).alias("ca"), F.count_if(F.col(group) == b).alias("cb"))
-    every = Window.orderBy(F.lit(1)).rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    upto = Window.orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
-    shares = counts.select(F.sum("ca").over(every).alias("na"), F.sum("cb").over(every).alias("nb"), F.sum("ca").over(upto).alias("ra"), F.sum("cb").over(upto).alias("rb"))
+    counts = values.groupBy(x).agg(F.count_if(F.col(group) == a).alias("ca"), F.count_if(F.col(group) == b).alias("cb")).where(F.col(x).isNotNull() & (F.col("ca") + F.col("cb") > 0))
+    cuts = values.agg(F.percentile_approx(x, [i / RANGES for i in range(1, RANGES)], 10_000)).first()[0]
+    counts = counts.withColumn("r", value_range(F.col(x), sorted(set(cuts or []))))
+    every = Window.partitionBy(F.lit(1))  # over ranges, not values
+    before = every.orderBy("r").rowsBetween(Window.unboundedPreceding, -1)
+    sums = counts.groupBy("r").agg(F.sum("ca").alias("sa"), F.sum("cb").alias("sb"))
+    sums = sums.select(F.col("r").alias("_r"), *[F.sum(f"s{c}").over(every).alias(f"n{c}") for c in "ab"], *[F.coalesce(F.sum(f"s{c}").over(before), F.lit(0)).alias(f"b{c}") for c in "ab"])
+    upto = Window.partitionBy("r").orderBy(x).rowsBetween(Window.unboundedPreceding, 0)
+    both = counts.join(sums.hint("merge"), F.col("r") == F.col("_r"))
+    shares = both.select("na", "nb", *[(F.col(f"b{c}") + F.sum(f"c{c}").over(upto)).alias(f"r{c}") for c in "ab"])
     one = shares.groupBy("na", "nb").agg(F.max(F.abs(F.col("ra") / F.col("na") - F.col("rb") / F.col("nb"))).alias("d"))
     n = F.sqrt(F.col("na") * F.col("nb") / (F.col("na") + F.col("nb")))
     t = (n + 0.12 + 0.11 / n) * F.col("d")
@@ -46,23 +66,43 @@ def ks_statistic(values: DataFrame, group: str, x: str, a, b) -> DataFrame:
 
 
 def verdict(cos: Column, shift: Column, p: Column) -> Column:
-    """compatible / minor drift / major drift / incompatible from the centroids' cosine, the norms' shift in
-    standard deviations, and the p of the norms' test."""
+    """compatible / probably compatible / incompatible / doubtful from the centroids' cosine, the distance of
+    the mean norms, and the p of the norms' test (null where none was made): incompatible takes two signals
+    of three."""
+    signals = (cos < 0.85).cast("int") + (shift > 2.0).cast("int") + F.coalesce((p < 0.001) & (cos < 0.92), F.lit(False)).cast("int")
     return (
-        F.when((cos >= 0.97) & (shift < 0.5), "compatible").when((p < 0.001) & (cos < 0.92), "incompatible")
-        .when((cos >= 0.90) & (shift < 1.5), "minor drift").when((cos >= 0.85) & (shift < 2.0), "major drift").otherwise("incompatible"))
+        F.when((cos >= 0.97) & (shift < 0.5), "compatible").when((cos >= 0.90) & (shift < 1.5), "probably compatible")
+        .when(signals >= 2, "incompatible").otherwise("doubtful"))
 
 
 def random_pairs(rows: DataFrame, group: str, key: str, a, b, n: int, vec: str = "vec", seed: int = 0) -> DataFrame:
     """rank, key_a, key_b, cosine of up to n random pairs across two groups, no row twice."""
     def side(g, name: str, salt: int) -> DataFrame:
-        own = rows.where(F.col(group) == g).orderBy(F.xxhash64(F.lit(seed + salt), key), key).limit(n)
-        order = Window.orderBy(F.xxhash64(F.lit(seed + salt), key), key)
-        return own.select(F.row_number().over(order).alias("rank"), F.col(key).alias(f"key_{name}"), F.col(vec).alias(f"v{name}"))
+        order = (hashed(seed + salt, key), F.col(key))
+        own = rows.where(F.col(group) == g).orderBy(*order).limit(n)
+        return own.select(F.row_number().over(Window.orderBy(*order)).alias("rank"), F.col(key).alias(f"key_{name}"), F.col(vec).alias(f"v{name}"))
 
     both = side(a, "a", 1).join(side(b, "b", 2), "rank")
     return both.select("rank", "key_a", "key_b", cosine(F.col("va"), F.col("vb")).alias("cosine"))
 
 
-def shift_of(mean_a: float, mean_b: float, std: float) -> float:
-    return abs(mean_a - mean_b) / max(std, math.ulp(1.0))
+def embedding_drift(rows: DataFrame, cutoff, n: int, day: str = "day", key: str = "key", vec: str = "vec", dim: int | None = None, instrument: str | None = None, seed: int = 0) -> DataFrame:
+    """One row that compares the vectors of the days before ``cutoff`` (old) with the others (new): sizes, norms,
+    the centroids' cosine, the mean cosine of random pairs, the norms' test and a verdict.
+
+    Up to n vectors of each side count, the first by a hash of their key. Null, empty and wrong-sized ones
+    are passed over; ``instrument`` keeps one instrument's rows.
+    """
+    own = rows.where(F.col("instrument") == instrument) if instrument else rows
+    fits = F.size(vec) > 0 if dim is None else F.size(vec) == dim
+    own = own.where(fits).select(F.col(key).alias("key"), F.col(vec).alias("vec"), F.when(F.col(day) < F.lit(cutoff), "old").otherwise("new").alias("side"))
+    some = sample_by_group(own, "side", "key", n, seed)
+    stats = norm_stats(some, "side").groupBy().pivot("side", ["old", "new"]).agg(*[F.first(c).alias(c) for c in ("n", "mean", "std", "p5", "p95")])
+    pairs = random_pairs(some, "side", "key", "old", "new", n, "vec", seed).agg(F.avg("cosine").alias("pair_cosine"))
+    test = ks_statistic(some.select("side", l2_norm(F.col("vec")).alias("x")), "side", "x", "old", "new").select("d", "p")
+    parts = [stats, centroid_cosine(some, "side", "old", "new"), pairs, test]  # one row each
+    out = parts[0].withColumn("_k", F.lit(1))
+    for part in parts[1:]:
+        out = out.join(part.withColumn("_k", F.lit(1)), "_k", "left")
+    shift = F.abs(F.col("old_mean") - F.col("new_mean"))
+    return out.withColumn("shift", shift).withColumn("verdict", verdict(F.col("cosine"), F.col("shift"), F.col("p"))).drop("_k")

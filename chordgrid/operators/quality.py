@@ -12,6 +12,7 @@ import pyarrow.parquet as pq
 from pyarrow.fs import FileSystem
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def schema_rows(df: DataFrame, file: str = "table") -> DataFrame:
@@ -70,14 +71,14 @@ def footer_rows(name: str, file: pa.NativeFile) -> list[tuple]:
             return [(name, None, "unreadable")]
 
 
-def footer_schemas(spark: SparkSession, path: str) -> DataFrame:
-    """file, column, type as each Parquet file's own footer has them.
+def footer_schemas(spark: SparkSession, path: str, names: str = "*.parquet") -> DataFrame:
+    """file, column, type as each Parquet file's own footer has them; of an unreadable one, the type says so.
 
     Tasks open the files and read the footers alone, whatever the files' size. On a file system that
     pyarrow cannot open, the driver reads them through Hadoop, one small read after the other.
     """
     made = "file string, column string, type string"
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").option("recursiveFileLookup", "true").load(path).select("path", "length")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", "true").load(path).select("path", "length")
     files = files.withColumn("scheme", F.substring_index("path", ":", 1))
     foreign = []
     for r in files.groupBy("scheme").agg(F.min("path").alias("path")).collect():
@@ -100,14 +101,29 @@ def footer_schemas(spark: SparkSession, path: str) -> DataFrame:
     return out
 
 
-def schema_diff(found: DataFrame, wanted: DataFrame) -> DataFrame:
-    """file, column, issue (MISSING / EXTRA / TYPE), found and wanted type; names of list items do not count."""
+def schema_diff(found: DataFrame, wanted: DataFrame | T.StructType) -> DataFrame:
+    """file, column, issue (MISSING / EXTRA / TYPE), found and wanted type; names of list items do not count.
+
+    ``wanted`` is one schema, small as schemas are: (column, type) rows of it, or a StructType. Each file's
+    columns meet it in the file's own row, as a map, so files are not crossed with columns.
+    """
+    if isinstance(wanted, DataFrame):
+        pairs = [(r["column"], r["type"]) for r in wanted.select("column", "type").collect()]
+    else:
+        pairs = [(f.name, f.dataType.simpleString()) for f in wanted.fields]
     plain = lambda c: F.regexp_replace(c, "element", "item")
-    files = found.select("file").distinct()
-    want = files.withColumn("w", F.lit(1)).join(F.broadcast(wanted.select(F.lit(1).alias("w"), "column", plain(F.col("type")).alias("wanted"))), "w").drop("w")
-    both = found.select("file", "column", plain(F.col("type")).alias("found")).join(want, ["file", "column"], "full")
+    want = F.map_from_entries(F.array(*[F.struct(F.lit(c), F.lit(t.replace("element", "item"))) for c, t in pairs]))
+    files = found.groupBy("file").agg(F.map_from_entries(F.collect_list(F.when(F.col("column").isNotNull(), F.struct("column", plain(F.col("type")).alias("type"))))).alias("m"))
+    names = F.array_union(F.map_keys("m"), F.map_keys("w"))
+    rows = files.withColumn("w", want).select("file", F.explode(F.transform(names, lambda c: F.struct(c.alias("column"), F.try_element_at("m", c).alias("found"), F.try_element_at("w", c).alias("wanted")))).alias("r")).select("file", "r.*")
     issue = F.when(F.col("found").isNull(), "MISSING").when(F.col("wanted").isNull(), "EXTRA").when(F.col("found") != F.col("wanted"), "TYPE")
-    return both.withColumn("issue", issue).where("issue is not null")
+    return rows.select("file", "column", issue.alias("issue"), "found", "wanted").where("issue is not null")
+
+
+def shard_report(spark: SparkSession, path: str, wanted: DataFrame | T.StructType) -> DataFrame:
+    """file, issue, columns: how many columns of each shard are missing, extra or of another type."""
+    diff = schema_diff(footer_schemas(spark, path), wanted)
+    return diff.groupBy(F.regexp_extract("file", "([^/]*)$", 1).alias("file"), "issue").agg(F.count("*").alias("columns"))
 
 
 def schema_census(found: DataFrame) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chordgrid.functions import scalars as S
+from chordgrid.operators.tempo import at_ticks
 
 
 def note_f1(pred: DataFrame, target: DataFrame, by: list[str]) -> DataFrame:
@@ -48,25 +49,26 @@ def beat_accuracy(pred: DataFrame, target: DataFrame, key: list[str]) -> DataFra
     def spans(tokens: DataFrame, name: str) -> DataFrame:
         order = Window.partitionBy(*key).orderBy("pos")
         tok = F.col("tok")
-        span = F.sum((tok == S.BEAT).cast("int")).over(order)
+        # spans are numbered from 0 on both sides, whether a beat token or another one comes first
+        span = F.sum((tok == S.BEAT).cast("int")).over(order) - F.first((tok == S.BEAT).cast("int")).over(order)
         rows = tokens.withColumn("span", span)
         note = tok.between(S.GUITAR_FIRST, S.GUITAR_LAST) | tok.between(S.DRUM_FIRST, S.DRUM_LAST)
         return rows.groupBy(*key, "span").agg(F.array_sort(F.collect_set(F.when(note, tok))).alias(name))
 
-    both = spans(pred, "a").join(spans(target, "b"), [*key, "span"], "full")
+    both = spans(pred, "a").join(spans(target, "b").hint("merge"), [*key, "span"], "full")
     sums = both.groupBy(*key).agg(F.greatest(F.count("a"), F.count("b")).alias("spans"), F.count_if(F.col("a") == F.col("b")).alias("equal"))
     return sums.withColumn("accuracy", F.col("equal") / F.col("spans"))
 
 
 def first_difference(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
     """key.., n_a, n_b, common, first_diff of two long sequences (key.., pos, tok)."""
-    both = a.select(*key, "pos", F.col("tok").alias("a")).join(b.select(*key, "pos", F.col("tok").alias("b")), [*key, "pos"], "full")
+    both = a.select(*key, "pos", F.col("tok").alias("a")).join(b.select(*key, "pos", F.col("tok").alias("b")).hint("merge"), [*key, "pos"], "full")
     return both.groupBy(*key).agg(F.count("a").alias("n_a"), F.count("b").alias("n_b"), F.count_if(F.col("a") == F.col("b")).alias("common"), F.min(F.when(~F.col("a").eqNullSafe(F.col("b")), F.col("pos"))).alias("first_diff"))
 
 
 def compare_counts(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     """key, n_a, n_b and a total row (null key): how often each value occurs on both sides."""
-    both = a.groupBy(key).agg(F.count("*").alias("n_a")).join(b.groupBy(key).agg(F.count("*").alias("n_b")), key, "full").na.fill(0, ["n_a", "n_b"])
+    both = a.groupBy(key).agg(F.count("*").alias("n_a")).join(b.groupBy(key).agg(F.count("*").alias("n_b")).hint("merge"), key, "full").na.fill(0, ["n_a", "n_b"])
     return both.rollup(key).agg(F.sum("n_a").alias("n_a"), F.sum("n_b").alias("n_b"))
 
 
@@ -87,3 +89,37 @@ def span_overlap(pred: DataFrame, target: DataFrame, key: list[str]) -> DataFram
     a, b = F.col("a") > 0, F.col("b") > 0
     out = swept.groupBy(*key).agg(span(a & b).alias("overlap"), span(a).alias("total_a"), span(b).alias("total_b"), span(a | b).alias("_u"))
     return out.withColumn("iou", F.when(F.col("_u") > 0, F.col("overlap") / F.col("_u")).otherwise(0.0)).drop("_u")
+
+
+def score(pred: DataFrame, target: DataFrame, by: list[str], groups: list[str]) -> DataFrame:
+    """groups.., tp, n_pred, n_target, precision, recall, f1: note sets counted by ``by``, summed up by groups."""
+    sums = note_f1(pred, target, by).groupBy(*groups).agg(*[F.sum(c).cast("long").alias(c) for c in ("tp", "n_pred", "n_target")])
+    return with_f1(sums)
+
+
+def sustain_error(pred: DataFrame, target: DataFrame, tempo: DataFrame, resolution: int = S.RESOLUTION) -> DataFrame:
+    """song_id, instrument, error_ms: how far the sustains of notes at one tick are apart, on the mean."""
+    key = ["song_id", "instrument", "tick"]
+    both = target.select(*key, "sustain").join(pred.select(*key, F.col("sustain").alias("other")).hint("merge"), key)
+    seconds = F.abs(F.col("sustain") - F.col("other")) / resolution * (60.0 / F.col("bpm"))
+    return at_ticks(both, tempo, resolution).groupBy("song_id", "instrument").agg(F.avg(seconds * 1000).alias("error_ms"))
+
+
+def weighted_f1(f1: DataFrame, grid: DataFrame, groups: list[str]) -> DataFrame:
+    """groups.., f1: the songs' f1 weighted by 1 / (1 + deviation of the tempo)."""
+    weight = grid.groupBy("song_id").agg((1 / (1 + F.stddev_pop(F.col("bpm").cast("float")))).alias("w"))
+    return f1.join(weight.hint("merge"), "song_id").groupBy(*groups).agg((F.sum(F.col("w") * F.col("f1")) / F.sum("w")).alias("f1"))
+
+
+def metrics_report(rows: DataFrame, group: str = "instrument") -> DataFrame:
+    """One row: ``total`` and ``by_<group>``, each with loss, token_accuracy, perplexity and n of scored tokens
+    (pred, label, logp)."""
+    sums = rows.rollup(group).agg(F.count("*").alias("n"), F.avg(-F.col("logp")).alias("loss"), F.avg((F.col("pred") == F.col("label")).cast("int")).alias("token_accuracy"), F.grouping_id().alias("g"))
+    one = sums.select(group, "g", F.struct("loss", "token_accuracy", F.exp("loss").alias("perplexity"), "n").alias("m"))
+    named = F.collect_list(F.when((F.col("g") == 0) & F.col(group).isNotNull(), F.struct(group, "m")))
+    return one.agg(F.max(F.when(F.col("g") == 1, F.col("m"))).alias("total"), F.map_from_entries(F.array_sort(named)).alias(f"by_{group}"))
+
+
+def write_metrics(rows: DataFrame, path: str, group: str = "instrument") -> None:
+    """The report as one JSON document in a folder of its own; an earlier one is replaced."""
+    metrics_report(rows, group).coalesce(1).write.mode("overwrite").json(path)

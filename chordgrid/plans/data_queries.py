@@ -6,10 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chordgrid.functions import scalars as S
-from chordgrid.operators import dataset as D, drift, frames as FR, midi as M, notes as N, quality as Q
+from chordgrid.operators import dataset as D, drift, filters, frames as FR, midi as M, notes as N, quality as Q
 from chordgrid.plans.catalog import query
 from chordgrid.plans.core_queries import grid_of, notes_of, sequences_of
-from chordgrid.plans.views import Views
+from chordgrid.plans.views import Views, sql_hash
 
 _r = lambda c, n=6: F.round(c, n).alias(c)
 
@@ -113,7 +113,7 @@ def _(v):
 @query("k2_shards", "SELECT l_suppkey, l_orderkey, l_linenumber, CAST(floor(coalesce(sum(l_linenumber * (3072 + 16384) + l_partkey * 4 + 512) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 1000000) AS INT) AS shard FROM lineitem")
 def _(v):
     rows = v.table("lineitem").withColumn("size", S.row_bytes(F.col("l_linenumber"), F.col("l_partkey"))).withColumn("at", F.struct("l_orderkey", "l_linenumber", "l_partkey"))
-    return D.with_shards(rows, "size", 1_000_000, "l_suppkey", "at").select("l_suppkey", "l_orderkey", "l_linenumber", "shard")
+    return D.with_shards(rows, "size", 1_000_000, "l_suppkey", "at", part=F.floor(F.col("l_orderkey") / 1000)).select("l_suppkey", "l_orderkey", "l_linenumber", "shard")
 
 
 @query("a7_dataset_stats", "SELECT instrument, count(*) AS rows, CAST(floor(avg(len(tokens))) AS BIGINT) AS mean_tokens FROM seqs GROUP BY 1", "seqs")
@@ -129,20 +129,29 @@ def _(v):
     return D.status_of(rows).groupBy("status", "bucket").agg(F.count("*").alias("songs"), F.sum("num_rows").alias("rows"))
 
 
-@query("j6_preferred_files", "WITH f AS (SELECT l_suppkey AS song_id, ['guitar', 'song', 'drums', 'bass'][CAST(l_partkey % 4 + 1 AS INT)] AS base, ['ogg', 'mp3', 'wav'][CAST(l_orderkey % 3 + 1 AS INT)] AS ext FROM lineitem WHERE l_linenumber = 7), p AS (SELECT 'guitar' AS instrument, 'guitar' AS base, 0 AS br UNION ALL SELECT 'guitar', 'song', 1 UNION ALL SELECT 'bass', 'bass', 0 UNION ALL SELECT 'bass', 'song', 1), e AS (SELECT 'ogg' AS ext, 0 AS er UNION ALL SELECT 'wav', 1) SELECT song_id, instrument, min_by(base || '.' || ext, br * 10 + er) AS path FROM (SELECT s_suppkey AS song_id, i AS instrument FROM supplier, (SELECT unnest(['guitar', 'bass']) AS i)) LEFT JOIN (SELECT * FROM f JOIN p USING (base) JOIN e USING (ext)) USING (song_id, instrument) GROUP BY ALL")
-def _(v):
+def song_files(v: Views) -> DataFrame:
+    """A file for each line item: its name and extension follow from the item, so songs lack some of them."""
     pick = lambda names, i: F.element_at(F.array(*[F.lit(n) for n in names]), (i + 1).cast("int"))
-    files = v.table("lineitem").where("l_linenumber = 7").select(F.col("l_suppkey").alias("song_id"), pick(["guitar", "song", "drums", "bass"], F.col("l_partkey") % 4).alias("base"), pick(["ogg", "mp3", "wav"], F.col("l_orderkey") % 3).alias("ext"))
-    files = files.withColumn("path", F.concat_ws(".", "base", "ext"))
+    song = (F.col("l_suppkey") * 1000 + F.col("l_partkey") % 1000).alias("song_id")
+    files = v.table("lineitem").select(song, pick(["guitar", "song", "drums", "bass"], F.col("l_orderkey") % 4).alias("base"), pick(["ogg", "mp3", "wav"], F.col("l_orderkey") % 3).alias("ext"))
+    return files.withColumn("path", F.concat_ws(".", "base", "ext"))
+
+
+_FILES = "f AS (SELECT l_suppkey * 1000 + l_partkey % 1000 AS song_id, ['guitar', 'song', 'drums', 'bass'][CAST(l_orderkey % 4 + 1 AS INT)] AS base, ['ogg', 'mp3', 'wav'][CAST(l_orderkey % 3 + 1 AS INT)] AS ext FROM lineitem)"
+
+
+@query("j6_preferred_files", f"WITH {_FILES}, p AS (SELECT 'guitar' AS instrument, 'guitar' AS base, 0 AS br UNION ALL SELECT 'guitar', 'song', 1 UNION ALL SELECT 'bass', 'bass', 0 UNION ALL SELECT 'bass', 'song', 1), e AS (SELECT 'ogg' AS ext, 0 AS er UNION ALL SELECT 'wav', 1) SELECT song_id, instrument, min_by(base || '.' || ext, br * 10 + er) AS path FROM (SELECT DISTINCT song_id, i AS instrument FROM f, (SELECT unnest(['guitar', 'bass']) AS i)) LEFT JOIN (SELECT * FROM f JOIN p USING (base) JOIN e USING (ext)) USING (song_id, instrument) GROUP BY ALL")
+def _(v):
+    files = song_files(v)
     pref = v.spark.createDataFrame([(i, b, r, x, y) for i in ("guitar", "bass") for b, r in ((i, 0), ("song", 1)) for x, y in (("ogg", 0), ("wav", 1))], "instrument string, base string, base_rank int, ext string, ext_rank int")
-    wanted = v.table("supplier").select(F.col("s_suppkey").alias("song_id"), F.explode(F.array(F.lit("guitar"), F.lit("bass"))).alias("instrument"))
+    wanted = files.select("song_id").distinct().select("song_id", F.explode(F.array(F.lit("guitar"), F.lit("bass"))).alias("instrument"))
     return D.preferred_files(wanted, files, pref)
 
 
-@query("j7_dedicated_stems", "SELECT s_suppkey AS song_id, s_suppkey IN (SELECT l_suppkey FROM lineitem WHERE l_linenumber = 7 AND l_partkey % 4 = 0) AS has_stem FROM supplier")
+@query("j7_dedicated_stems", f"WITH {_FILES} SELECT song_id, bool_or(base = 'guitar') AS has_stem FROM f GROUP BY song_id")
 def _(v):
-    stems = v.table("lineitem").where("l_linenumber = 7 and l_partkey % 4 = 0").select(F.col("l_suppkey").alias("s_suppkey")).distinct().withColumn("x", F.lit(True))
-    return v.table("supplier").join(stems, "s_suppkey", "left").select(F.col("s_suppkey").alias("song_id"), F.coalesce("x", F.lit(False)).alias("has_stem"))
+    files = song_files(v)
+    return D.with_stems(files.select("song_id").distinct(), files, "guitar")
 
 
 @query("j8_pending", "SELECT o_orderkey AS path FROM orders WHERE o_orderkey NOT IN (SELECT l_orderkey FROM lineitem WHERE l_returnflag = 'A')")
@@ -157,28 +166,46 @@ def _(v):
     return D.prefer_formats(rows, {"chart": 0, "midi": 1})
 
 
-@query("p10_difficulty_pick", "SELECT c_custkey, i AS instrument, CAST(CASE i WHEN 'guitar' THEN c_custkey % 7 ELSE c_nationkey % 7 END AS INT) AS difficulty FROM customer, (SELECT unnest(['guitar', 'bass']) AS i)")
+@query("p10_difficulty_pick", "SELECT c_custkey, i AS instrument, CAST(CASE i WHEN 'guitar_hard' THEN c_custkey % 7 WHEN 'bass' THEN c_nationkey % 7 ELSE -1 END AS INT) AS difficulty FROM customer, (SELECT unnest(['guitar_hard', 'bass', 'drums', 'vocals']) AS i)")
 def _(v):
-    rows = v.table("customer").withColumn("diffs", F.create_map(F.lit("guitar"), (F.col("c_custkey") % 7).cast("int"), F.lit("bass"), (F.col("c_nationkey") % 7).cast("int")))
-    return rows.select("c_custkey", F.explode("diffs").alias("instrument", "difficulty"))
+    k = F.col("c_custkey")
+    meta = F.struct((k % 7).cast("int").alias("diff_guitar"), (F.col("c_nationkey") % 7).cast("int").alias("diff_bass"), F.lit(None).cast("int").alias("diff_drums"), F.lit(3).alias("diff_keys"), F.lit(4).alias("diff_rhythm"))
+    rows = v.table("customer").select("c_custkey", meta.alias("meta")).withColumn("instrument", F.explode(F.array(*map(F.lit, ("guitar_hard", "bass", "drums", "vocals")))))
+    return rows.select("c_custkey", "instrument", filters.instrument_difficulty(F.col("instrument"), F.col("meta")).alias("difficulty"))
 
 
-@query("p9_metadata_fallback", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN '' WHEN c_custkey % 3 = 0 THEN c_name ELSE 'Unknown' END AS song_name FROM customer")
+@query("p9_metadata_fallback", "SELECT c_custkey, CASE WHEN c_custkey % 2 = 0 THEN CASE WHEN c_custkey % 4 = 0 THEN '' ELSE c_mktsegment END WHEN c_custkey % 3 = 0 THEN c_name ELSE 'Unknown' END AS song_name FROM customer")
 def _(v):
     k = F.col("c_custkey")
-    has_ini, ini, chart = k % 2 == 0, F.lit(""), F.when(k % 3 == 0, F.col("c_name"))
-    return v.table("customer").select("c_custkey", F.when(has_ini, ini).otherwise(F.coalesce(chart, F.lit("Unknown"))).alias("song_name"))
+    ini, chart = F.when(k % 4 != 0, F.col("c_mktsegment")), F.when(k % 3 == 0, F.col("c_name"))
+    return v.table("customer").select("c_custkey", filters.metadata_value(k % 2 == 0, ini, chart, "Unknown").alias("song_name"))
+
+
+#: The tables' columns with the types that their files' footers name, in SQL.
+_COLUMNS = """SELECT table_name || '.parquet' AS file, column_name AS "column", CASE data_type WHEN 'VARCHAR' THEN 'string' WHEN 'BIGINT' THEN 'int64' WHEN 'INTEGER' THEN 'int32' WHEN 'DOUBLE' THEN 'double' WHEN 'FLOAT[]' THEN 'list<item: float>' ELSE 'timestamp' END AS type
+FROM information_schema.columns WHERE table_name IN ('region', 'nation', 'customer', 'supplier', 'part', 'orders', 'lineitem', 'events', 'documents', 'embeddings', 'pages', 'benchmark', 'labels', 'conversations')"""
+_WANTED = "SELECT * FROM (VALUES ('doc_id', 'int64'), ('text', 'string'), ('source', 'int32'), ('url', 'string')) t(\"column\", wanted)"
+_DIFF = f"f AS ({_COLUMNS}), w AS ({_WANTED}), x AS (SELECT file, w.* FROM (SELECT DISTINCT file FROM f), w), d AS (SELECT file, \"column\", CASE WHEN type IS NULL THEN 'MISSING' WHEN wanted IS NULL THEN 'EXTRA' WHEN type <> wanted THEN 'TYPE' END AS issue, type AS found, wanted FROM f FULL JOIN x USING (file, \"column\"))"
 
 
-@query("j10_schema_diff", "SELECT * FROM (VALUES ('n_chars', 'EXTRA', 'bigint', CAST(NULL AS VARCHAR)), ('lang', 'EXTRA', 'string', NULL), ('source', 'TYPE', 'string', 'int'), ('url', 'MISSING', NULL, 'string')) t(\"column\", issue, found, wanted)")
+def footers(v: Views) -> DataFrame:
+    """The given files' own schemas, with the units of times left out."""
+    found = Q.footer_schemas(v.spark, v.dir)
+    return found.select(F.regexp_extract("file", "([^/]*)$", 1).alias("file"), "column", F.regexp_replace(F.regexp_replace("type", r"^timestamp.*", "timestamp"), "element", "item").alias("type"))
+
+
+def wanted_columns(v: Views) -> DataFrame:
+    return v.spark.createDataFrame([("doc_id", "int64"), ("text", "string"), ("source", "int32"), ("url", "string")], "column string, type string")
+
+
+@query("j10_schema_diff", f"WITH {_DIFF} SELECT file, \"column\", issue, found, wanted FROM d WHERE issue IS NOT NULL")
 def _(v):
-    wanted = v.spark.createDataFrame([("doc_id", "bigint"), ("text", "string"), ("source", "int"), ("url", "string")], "column string, type string")
-    return Q.schema_diff(Q.schema_rows(v.table("documents"), "documents"), wanted).select("column", "issue", "found", "wanted")
+    return Q.schema_diff(footers(v), wanted_columns(v))
 
 
-@query("a9_schema_census")
+@query("a9_schema_census", f"SELECT fingerprint, count(*) AS files FROM (SELECT file, string_agg(\"column\" || ':' || type, ',' ORDER BY \"column\" || ':' || type) AS fingerprint FROM ({_COLUMNS}) GROUP BY file) GROUP BY 1")
 def _(v):
-    return Q.schema_census(Q.footer_schemas(v.spark, v.dir))
+    return Q.schema_census(footers(v))
 
 
 @query("a20_null_census", "SELECT 'a' AS \"column\", count(*) FILTER (WHERE l_quantity < 10) AS nulls, count(*) FILTER (WHERE l_quantity < 10) / count(*) AS ratio FROM lineitem UNION ALL SELECT 'b', count(*) FILTER (WHERE l_discount > 0.05), count(*) FILTER (WHERE l_discount > 0.05) / count(*) FROM lineitem")
@@ -216,31 +243,42 @@ def _(v):
     return v.table("embeddings").select("vec_id", F.round(S.l2_norm(F.col("embedding")), 6).alias("norm"))
 
 
-@query("a12_centroid_cosine", "WITH e AS (SELECT label, generate_subscripts(embedding, 1) AS d, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings), c AS (SELECT d, avg(x) FILTER (WHERE label = 0) AS a, avg(x) FILTER (WHERE label = 1) AS b FROM e GROUP BY d) SELECT round(sum(a * b) / (sqrt(sum(a * a)) * sqrt(sum(b * b)) + 1e-8), 6) AS cosine FROM c")
+def sides(v: Views) -> DataFrame:
+    """All embeddings in two groups, by their label."""
+    return v.table("embeddings").withColumn("side", F.when(F.col("label") < 5, "old").otherwise("new"))
+
+
+@query("a12_centroid_cosine", "WITH e AS (SELECT label, generate_subscripts(embedding, 1) AS d, CAST(unnest(embedding) AS DOUBLE) AS x FROM embeddings), c AS (SELECT d, avg(x) FILTER (WHERE label < 5) AS a, avg(x) FILTER (WHERE label >= 5) AS b FROM e GROUP BY d) SELECT round(sum(a * b) / (sqrt(sum(a * a)) * sqrt(sum(b * b)) + 1e-8), 6) AS cosine FROM c")
 def _(v):
-    return drift.centroid_cosine(v.table("embeddings"), "label", 0, 1, "embedding").select(_r("cosine"))
+    return drift.centroid_cosine(sides(v), "side", "old", "new", "embedding").select(_r("cosine"))
 
 
-@query("a13_ks_statistic", f"WITH {_NORM}, c AS (SELECT x, count(*) FILTER (WHERE label = 0) AS ca, count(*) FILTER (WHERE label = 1) AS cb FROM nx GROUP BY x), r AS (SELECT sum(ca) OVER () AS na, sum(cb) OVER () AS nb, sum(ca) OVER (ORDER BY x) AS ra, sum(cb) OVER (ORDER BY x) AS rb FROM c) SELECT CAST(na AS BIGINT) AS n_a, CAST(nb AS BIGINT) AS n_b, round(max(abs(ra / na - rb / nb)), 6) AS d FROM r GROUP BY ALL")
+@query("a13_ks_statistic", f"WITH {_NORM}, c AS (SELECT x, count(*) FILTER (WHERE label < 5) AS ca, count(*) FILTER (WHERE label >= 5) AS cb FROM nx GROUP BY x), r AS (SELECT sum(ca) OVER () AS na, sum(cb) OVER () AS nb, sum(ca) OVER (ORDER BY x) AS ra, sum(cb) OVER (ORDER BY x) AS rb FROM c) SELECT CAST(na AS BIGINT) AS n_a, CAST(nb AS BIGINT) AS n_b, round(max(abs(ra / na - rb / nb)), 6) AS d FROM r GROUP BY ALL")
 def _(v):
-    norms = v.table("embeddings").select("label", S.l2_norm(F.col("embedding")).alias("x"))
-    return drift.ks_statistic(norms, "label", "x", 0, 1).select("n_a", "n_b", _r("d"))
+    norms = sides(v).select("side", S.l2_norm(F.col("embedding")).alias("x"))
+    return drift.ks_statistic(norms, "side", "x", "old", "new").select("n_a", "n_b", _r("d"))
+
+
+_VERDICT = "CASE WHEN cos >= 0.97 AND sh < 0.5 THEN 'compatible' WHEN cos >= 0.90 AND sh < 1.5 THEN 'probably compatible' WHEN CAST(cos < 0.85 AS INT) + CAST(sh > 2.0 AS INT) + coalesce(CAST(p < 0.001 AND cos < 0.92 AS INT), 0) >= 2 THEN 'incompatible' ELSE 'doubtful' END"
 
 
-@query("a14_verdicts", "WITH c AS (SELECT l_orderkey, l_linenumber, l_partkey, 0.8 + l_discount * 2 AS cos, l_tax * 30 AS sh, l_quantity / 5000 AS p FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, CASE WHEN cos >= 0.97 AND sh < 0.5 THEN 'compatible' WHEN p < 0.001 AND cos < 0.92 THEN 'incompatible' WHEN cos >= 0.90 AND sh < 1.5 THEN 'minor drift' WHEN cos >= 0.85 AND sh < 2.0 THEN 'major drift' ELSE 'incompatible' END AS verdict FROM c")
+@query("a14_verdicts", f"WITH c AS (SELECT l_orderkey, l_linenumber, l_partkey, 0.8 + l_discount * 2 AS cos, l_tax * 30 AS sh, CASE WHEN l_linenumber > 1 THEN l_quantity / 40000 END AS p FROM lineitem) SELECT l_orderkey, l_linenumber, l_partkey, {_VERDICT} AS verdict FROM c")
 def _(v):
-    found = drift.verdict(0.8 + F.col("l_discount") * 2, F.col("l_tax") * 30, F.col("l_quantity") / 5000)
+    p = F.when(F.col("l_linenumber") > 1, F.col("l_quantity") / 40000)
+    found = drift.verdict(0.8 + F.col("l_discount") * 2, F.col("l_tax") * 30, p)
     return v.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", found.alias("verdict"))
 
 
-@query("j13_random_pairs")
+@query("j13_random_pairs", f"""WITH r AS (SELECT vec_id, embedding, label < 5 AS old FROM embeddings), a AS (SELECT row_number() OVER (ORDER BY {sql_hash(1, 'vec_id')}, vec_id) AS rank, vec_id AS key_a, embedding AS va FROM r WHERE old), b AS (SELECT row_number() OVER (ORDER BY {sql_hash(2, 'vec_id')}, vec_id) AS rank, vec_id AS key_b, embedding AS vb FROM r WHERE NOT old),
+p AS (SELECT rank, key_a, key_b, CAST(va AS DOUBLE[]) AS va, CAST(vb AS DOUBLE[]) AS vb FROM a JOIN b USING (rank) WHERE rank <= 40)
+SELECT CAST(rank AS INT) AS rank, key_a, key_b, round(list_dot_product(va, vb) / (sqrt(list_dot_product(va, va)) * sqrt(list_dot_product(vb, vb)) + 1e-8), 6) AS cosine FROM p""")
 def _(v):
-    return drift.random_pairs(v.table("embeddings"), "label", "vec_id", 0, 1, 40, "embedding")
+    return drift.random_pairs(sides(v), "side", "vec_id", "old", "new", 40, "embedding").withColumn("cosine", F.round("cosine", 6))
 
 
-@query("l7_sample_by_group", "SELECT label, least(count(*), 20) AS n FROM embeddings GROUP BY label")
+@query("l7_sample_by_group", f"SELECT vec_id, label FROM embeddings QUALIFY row_number() OVER (PARTITION BY label ORDER BY {sql_hash(0, 'vec_id')}, vec_id) <= 20")
 def _(v):
-    return drift.sample_by_group(v.table("embeddings"), "label", "vec_id", 20).groupBy("label").agg(F.count("*").alias("n"))
+    return drift.sample_by_group(v.table("embeddings"), "label", "vec_id", 20).select("vec_id", "label")
 
 
 @query("s14_shard_stats", "SELECT 'lineitem.parquet' AS file, count(*) AS rows FROM lineitem")
@@ -248,8 +286,7 @@ def _(v):
     return v.table("lineitem").groupBy(F.regexp_extract(F.col("_metadata.file_path"), "([^/]*)$", 1).alias("file")).agg(F.count("*").alias("rows"))
 
 
-@query("a22_size_label", "SELECT l_suppkey, CASE WHEN n < 100 THEN 'n<100' WHEN n < 500 THEN '100<n<500' WHEN n < 1000 THEN '500<n<1K' ELSE '1K<n' END AS size FROM (SELECT l_suppkey, count(*) AS n FROM lineitem GROUP BY 1)")
+@query("a22_size_label", "SELECT l_suppkey, l_returnflag, CASE WHEN n < 1000 THEN 'n<1K' WHEN n < 10000 THEN '1K<n<10K' WHEN n < 100000 THEN '10K<n<100K' WHEN n < 1000000 THEN '100K<n<1M' ELSE '1M<n<10M' END AS size FROM (SELECT l_suppkey, l_returnflag, sum(l_partkey) AS n FROM lineitem GROUP BY CUBE (l_suppkey, l_returnflag))")
 def _(v):
-    n = F.col("n")
-    label = F.when(n < 100, "n<100").when(n < 500, "100<n<500").when(n < 1000, "500<n<1K").otherwise("1K<n")
-    return v.table("lineitem").groupBy("l_suppkey").agg(F.count("*").alias("n")).select("l_suppkey", label.alias("size"))
+    sums = v.table("lineitem").cube("l_suppkey", "l_returnflag").agg(F.sum("l_partkey").alias("n"))
+    return sums.select("l_suppkey", "l_returnflag", D.size_label(F.col("n")).alias("size"))

@@ -6,34 +6,38 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chordgrid.functions import scalars as S
-from chordgrid.operators import batching as B, codec, notes as N, scoring as SC
+from chordgrid.operators import batching as B, codec, dataset as D, notes as N, scoring as SC
 from chordgrid.plans.catalog import query
 from chordgrid.plans.core_queries import grid_of, notes_of, sequences_of
-from chordgrid.plans.views import Views
+from chordgrid.plans.views import Views, sql_hash
 
 _r = lambda c, n=6: F.round(c, n).alias(c)
 
 
-@query("l4_stratified_split", "WITH s AS (SELECT l_returnflag AS instrument, count(*) AS n FROM lineitem WHERE l_returnflag IN ('A', 'N') GROUP BY 1) SELECT instrument, 'test' AS split, CAST(ceil(n * 0.2) AS BIGINT) AS n FROM s UNION ALL SELECT instrument, 'train', n - CAST(ceil(n * 0.2) AS BIGINT) FROM s")
+_LINE = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_quantity", "l_extendedprice")
+_COLS = ", ".join(_LINE)
+
+
+@query("l4_stratified_split", f"SELECT {_COLS}, instrument, CASE WHEN n > 1 AND r <= ceil(n * 0.2) THEN 'test' ELSE 'train' END AS split FROM (SELECT {_COLS}, l_returnflag AS instrument, count(*) OVER (PARTITION BY l_returnflag) AS n, row_number() OVER (PARTITION BY l_returnflag ORDER BY {sql_hash(42, *_LINE[:4])}, {_COLS}) AS r FROM lineitem WHERE l_returnflag IN ('A', 'N'))")
 def _(v):
     rows = v.table("lineitem").withColumnRenamed("l_returnflag", "instrument")
-    return B.stratified_split(rows, ["l_orderkey", "l_linenumber", "l_partkey"], strata=["A", "N"]).groupBy("instrument", "split").agg(F.count("*").alias("n"))
+    return B.stratified_split(rows, list(_LINE[:4]), strata=["A", "N"]).select(*_LINE, "instrument", "split")
 
 
-@query("l5_hold_out_shards", "SELECT CAST(10 AS BIGINT) AS held, count(DISTINCT l_suppkey) - 10 AS kept, count(*) AS rows FROM lineitem")
+@query("l5_hold_out_shards", f"SELECT l_suppkey, split, count(*) AS n FROM lineitem JOIN (SELECT l_suppkey, CASE WHEN row_number() OVER (ORDER BY {sql_hash(42, 'l_suppkey')}, l_suppkey) <= 10 THEN 'validation' ELSE 'train' END AS split FROM (SELECT DISTINCT l_suppkey FROM lineitem)) USING (l_suppkey) GROUP BY ALL")
 def _(v):
-    rows = B.hold_out_shards(v.table("lineitem"), "l_suppkey", 10)
-    return rows.agg(F.count_distinct(F.when(F.col("split") == "validation", F.col("l_suppkey"))).alias("held"), F.count_distinct(F.when(F.col("split") == "train", F.col("l_suppkey"))).alias("kept"), F.count("*").alias("rows"))
+    return B.hold_out_shards(v.table("lineitem"), "l_suppkey", 10).groupBy("l_suppkey", "split").agg(F.count("*").alias("n"))
 
 
-@query("l6_equal_sample", "SELECT l_returnflag, least(count(*), 900 // (SELECT count(DISTINCT l_returnflag) FROM lineitem)) AS n FROM lineitem GROUP BY 1")
+@query("l6_equal_sample", f"SELECT {_COLS}, l_returnflag FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_returnflag ORDER BY {sql_hash(0, *_LINE[:4])}, {_COLS}) <= 900 // (SELECT count(DISTINCT l_returnflag) FROM lineitem)")
 def _(v):
-    return B.equal_sample(v.table("lineitem"), "l_returnflag", 900, ["l_orderkey", "l_linenumber", "l_partkey"]).groupBy("l_returnflag").agg(F.count("*").alias("n"))
+    return B.equal_sample(v.table("lineitem"), "l_returnflag", 900, list(_LINE[:4])).select(*_LINE, "l_returnflag")
 
 
-@query("l2_first_songs", "SELECT song_id FROM (SELECT DISTINCT l_suppkey AS song_id FROM lineitem) ORDER BY song_id LIMIT 20")
+@query("l2_first_songs", "SELECT song_id, row_number() OVER (ORDER BY song_id) AS place FROM (SELECT DISTINCT l_suppkey AS song_id FROM lineitem) QUALIFY place <= 20")
 def _(v):
-    return v.raw.select("song_id").distinct().orderBy("song_id").limit(20)
+    rows = v.raw.select("song_id").distinct().orderBy("song_id").limit(20)
+    return rows.agg(F.collect_list("song_id").alias("s")).select(F.posexplode("s").alias("place", "song_id")).select("song_id", (F.col("place") + 1).cast("long").alias("place"))
 
 
 @query("l3_shuffled", "SELECT o_orderkey, o_custkey FROM orders")
@@ -41,9 +45,11 @@ def _(v):
     return B.shuffled(v.table("orders").select("o_orderkey", "o_custkey"), ["o_orderkey"], seed=7, shard="o_custkey")
 
 
-@query("l8_counts_descending", "SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL ORDER BY n DESC")
+@query("l8_counts_descending", "SELECT *, row_number() OVER (ORDER BY n DESC, l_returnflag, l_linestatus) AS place FROM (SELECT l_returnflag, l_linestatus, count(*) AS n FROM lineitem GROUP BY ALL)")
 def _(v):
-    return v.table("lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n")).orderBy(F.desc("n"))
+    counts = v.table("lineitem").groupBy("l_returnflag", "l_linestatus").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "l_returnflag", "l_linestatus")
+    listed = counts.agg(F.collect_list(F.struct("l_returnflag", "l_linestatus", "n")).alias("s"))  # six rows, in their order
+    return listed.select(F.posexplode("s").alias("place", "r")).select("r.*", (F.col("place") + 1).cast("long").alias("place"))
 
 
 @query("u1_concatenation", "SELECT c_custkey AS id, c_name AS name, c_acctbal AS balance FROM customer UNION ALL SELECT s_suppkey, s_name, NULL FROM supplier")
@@ -73,7 +79,7 @@ def _(v):
 @query("p6_sane_rows", "SELECT song_id, instrument FROM (SELECT song_id, instrument, len(tokens) AS nt FROM seqs) JOIN (SELECT song_id, stddev_pop(CAST(bpm AS FLOAT)) AS sd, count(*) AS nb FROM grid GROUP BY 1) USING (song_id) WHERE sd < 45 AND nt < 420 AND nt >= 10 AND nb <= 1024", "seqs", "grid")
 def _(v):
     stats = N.track_stats(notes_of(v), grid_of(v))
-    return B.sane(sequences_of(v).join(stats, ["song_id", "instrument"]), max_std=45.0, max_tokens=420).select("song_id", "instrument")
+    return B.sane(sequences_of(v).join(stats.hint("merge"), ["song_id", "instrument"]), max_std=45.0, max_tokens=420).select("song_id", "instrument")
 
 
 @query("p7_truncated", "SELECT song_id, instrument, array_to_string(tokens[1:64], ',') AS tokens FROM seqs", "seqs")
@@ -81,11 +87,26 @@ def _(v):
     return sequences_of(v).select("song_id", "instrument", F.array_join(F.transform(F.slice("tokens", 1, 64), lambda x: x.cast("string")), ",").alias("tokens"))
 
 
-@query("f18_padded_batches", "b AS (SELECT song_id, instrument, tokens[1:300] AS t, (row_number() OVER (PARTITION BY instrument ORDER BY song_id) - 1) // 8 AS batch_id FROM seqs), m AS (SELECT *, max(len(t)) OVER (PARTITION BY instrument, batch_id) AS m FROM b) SELECT song_id, instrument, batch_id, CAST(m AS INT) AS width, CAST(len(t) AS BIGINT) AS real, CAST(t[len(t)] AS INT) AS last_real FROM m", "seqs")
+@query("f18_padded_batches", "b AS (SELECT song_id, instrument, song_id % 4 AS part, tokens[1:300] AS t, (row_number() OVER (PARTITION BY instrument, song_id % 4 ORDER BY song_id) - 1) // 8 AS batch_id FROM seqs), m AS (SELECT *, max(len(t)) OVER (PARTITION BY instrument, part, batch_id) AS m FROM b) SELECT song_id, instrument, part, batch_id, CAST(m AS INT) AS width, CAST(len(t) AS BIGINT) AS real, CAST(t[len(t)] AS INT) AS last_real FROM m", "seqs")
 def _(v):
-    rows = B.padded_batches(sequences_of(v).select("song_id", "instrument", "tokens"), 8, ["instrument"], ["song_id"], longest=300)
+    rows = sequences_of(v).select("song_id", "instrument", "tokens", (F.col("song_id") % 4).alias("part"))
+    rows = B.padded_batches(rows, 8, ["instrument", "part"], ["song_id"], longest=300)
     real = F.aggregate("mask", F.lit(0).cast("long"), lambda a, x: a + x)
-    return rows.select("song_id", "instrument", "batch_id", F.size("tokens").alias("width"), real.alias("real"), F.element_at("tokens", real.cast("int")).alias("last_real"))
+    return rows.select("song_id", "instrument", "part", "batch_id", F.size("tokens").alias("width"), real.alias("real"), F.element_at("tokens", real.cast("int")).alias("last_real"))
+
+
+@query("f18_collated", """b AS (SELECT song_id, instrument, song_id % 4 AS part, tokens[1:300] AS t, coalesce(nb, 0) AS nb, bs, (row_number() OVER (PARTITION BY instrument, song_id % 4 ORDER BY song_id) - 1) // 8 AS batch_id FROM seqs LEFT JOIN (SELECT song_id, count(*) AS nb, list(bpm ORDER BY beat) AS bs FROM grid GROUP BY 1) USING (song_id)),
+m AS (SELECT *, CAST(max(len(t)) OVER w AS INT) AS w, CAST(greatest(1, max(least(nb, 20)) OVER w) AS INT) AS wb FROM b WINDOW w AS (PARTITION BY instrument, part, batch_id))
+SELECT song_id, instrument, part, batch_id, w AS width, wb AS beats, CAST(len(list_filter(t[1:len(t) - 1], lambda x: x = 4)) AS INT) AS last_beat_id, CAST(list_sum(list_transform(range(1, len(t) + 1), lambda i: len(list_filter(t[1:i - 1], lambda x: x = 4)))) + (w - len(t)) * len(list_filter(t[1:len(t) - 1], lambda x: x = 4)) AS BIGINT) AS beat_id_sum,
+ CAST(least(nb, 20) AS INT) AS real_beats, round(list_sum(list_transform(range(1, wb + 1), lambda i: CASE WHEN i <= nb THEN bs[i] ELSE 120.0 END)), 3) AS bpm_sum, CASE instrument WHEN 'bass' THEN 1 WHEN 'drums' THEN 2 ELSE 0 END AS instrument_id, CAST(greatest(0, least(6, song_id % 9 - 1)) AS INT) AS difficulty_id FROM m""", "seqs", "grid")
+def _(v):
+    beats = D.beat_arrays(grid_of(v)).withColumn("mert_embeddings", F.transform(F.slice("bpm_at_beat", 1, 20), lambda b: F.array(b, b + 1, b + 2)))
+    rows = sequences_of(v).select("song_id", "instrument", "tokens", (F.col("song_id") % 4).alias("part"), (F.col("song_id") % 9 - 1).cast("int").alias("difficulty"))
+    rows = rows.join(beats.hint("merge"), "song_id", "left").withColumn("logmel_frames", F.transform("mert_embeddings", lambda x: F.array(x, x)))
+    out = B.collated(rows, 8, ["instrument", "part"], ["song_id"], max_tokens=300, max_beats=20, dim=2, points=2, bins=3)
+    total = lambda c, t: F.aggregate(c, F.lit(0).cast(t), lambda a, x: a + x.cast(t))
+    return out.select("song_id", "instrument", "part", "batch_id", F.size("tokens").alias("width"), F.size("mert_embeddings").alias("beats"), F.element_at("beat_ids", -1).alias("last_beat_id"), total("beat_ids", "long").alias("beat_id_sum"),
+                      total("beat_mask", "int").alias("real_beats"), F.round(total("bpm_at_beat", "double"), 3).alias("bpm_sum"), "instrument_id", "difficulty_id")
 
 
 @query("f11_conditioning", "SELECT song_id, beat, round(ln(greatest(bpm, 1) / 120), 6) AS log_bpm, round(ln(greatest(duration_s, 0.000001)), 6) AS log_duration, greatest(1, least(16, ts_num)) AS sig_num, CAST(greatest(0, least(4, floor(log2(ts_den)))) AS INT) AS sig_den FROM grid", "grid")
@@ -141,12 +162,17 @@ def _(v):
     return out.select("song_id", "instrument", *[F.col(c).cast("long").alias(c) for c in ("tp", "n_pred", "n_target")], *[_r(c) for c in ("precision", "recall", "f1")])
 
 
-@query("a16_beat_accuracy", """sp AS (SELECT *, sum(CASE WHEN tok = 4 THEN 1 ELSE 0 END) OVER (PARTITION BY song_id, instrument ORDER BY pos) AS span FROM tok),
-a AS (SELECT song_id, instrument, span, list_sort(list(DISTINCT tok) FILTER (WHERE tok BETWEEN 57 AND 87 OR tok BETWEEN 92 AND 122)) AS s FROM sp GROUP BY ALL), b AS (SELECT song_id, instrument, span, list_sort(list(DISTINCT CASE WHEN tok = 60 THEN 61 ELSE tok END) FILTER (WHERE tok BETWEEN 57 AND 87 OR tok BETWEEN 92 AND 122)) AS s FROM sp GROUP BY ALL)
-SELECT song_id, instrument, count(*) AS spans, count(*) FILTER (WHERE coalesce(a.s, []) = coalesce(b.s, [])) AS equal, round(count(*) FILTER (WHERE coalesce(a.s, []) = coalesce(b.s, [])) / count(*), 6) AS accuracy FROM a JOIN b USING (song_id, instrument, span) GROUP BY ALL""", "tok")
+_SPANS = "SELECT *, sum(CASE WHEN tok = 4 THEN 1 ELSE 0 END) OVER w - first(CASE WHEN tok = 4 THEN 1 ELSE 0 END) OVER w AS span FROM {} WINDOW w AS (PARTITION BY song_id, instrument ORDER BY pos)"
+_NOTES = "list_sort(coalesce(list(DISTINCT tok) FILTER (WHERE tok BETWEEN 57 AND 87 OR tok BETWEEN 92 AND 122), [])) AS s"
+
+
+@query("a16_beat_accuracy", f"""o AS (SELECT song_id, instrument, pos, CASE WHEN tok = 60 THEN 61 ELSE tok END AS tok FROM tok WHERE pos >= 2),
+a AS (SELECT song_id, instrument, span, {_NOTES} FROM ({_SPANS.format('tok')}) GROUP BY ALL), b AS (SELECT song_id, instrument, span, {_NOTES} FROM ({_SPANS.format('o')}) GROUP BY ALL)
+SELECT song_id, instrument, greatest(count(a.s), count(b.s)) AS spans, count(*) FILTER (WHERE a.s = b.s) AS equal, round(count(*) FILTER (WHERE a.s = b.s) / greatest(count(a.s), count(b.s)), 6) AS accuracy FROM a FULL JOIN b USING (song_id, instrument, span) GROUP BY ALL""", "tok")
 def _(v):
+    """One side without start and header: most of its sequences begin with a beat."""
     tokens = codec.exploded(sequences_of(v))
-    other = tokens.withColumn("tok", F.when(F.col("tok") == 60, 61).otherwise(F.col("tok")))
+    other = tokens.where("pos >= 2").withColumn("tok", F.when(F.col("tok") == 60, 61).otherwise(F.col("tok")))
     return SC.beat_accuracy(other, tokens, ["song_id", "instrument"]).select("song_id", "instrument", "spans", "equal", _r("accuracy"))
 
 
@@ -175,14 +201,13 @@ def _(v):
 
 @query("x5_curriculum", "SELECT song_id, instrument, CAST(ntile(4) OVER (PARTITION BY instrument ORDER BY sd, cr, song_id) AS INT) AS stage FROM (SELECT song_id, instrument, round(avg(CASE WHEN bit_count(lane_mask) > 1 THEN 1 ELSE 0 END), 6) AS cr FROM notes GROUP BY ALL) JOIN (SELECT song_id, round(stddev_pop(CAST(bpm AS FLOAT)), 4) AS sd FROM grid GROUP BY 1) USING (song_id)", "notes", "grid")
 def _(v):
-    from pyspark.sql import Window
-
     stats = N.track_stats(notes_of(v), grid_of(v)).where("bpm_std is not null")
-    order = Window.partitionBy("instrument").orderBy(F.round("bpm_std", 4), F.round("chord_ratio", 6), "song_id")
-    return stats.select("song_id", "instrument", F.ntile(4).over(order).alias("stage"))
+    return B.curriculum(stats, 4, ["instrument"]).select("song_id", "instrument", "stage")
 
 
-@query("f12_ids", "SELECT l_orderkey, l_linenumber, l_partkey, CASE l_returnflag WHEN 'A' THEN 6 WHEN 'N' THEN 7 ELSE 6 END AS header, CASE CAST(l_partkey % 5 AS INT) WHEN 0 THEN 'easy' WHEN 1 THEN 'medium' WHEN 2 THEN 'hard' ELSE 'expert' END AS level FROM lineitem")
+@query("f12_ids", "SELECT l_orderkey, l_linenumber, l_partkey, CASE l_returnflag WHEN 'A' THEN 6 WHEN 'N' THEN 7 ELSE 6 END AS header, CASE CAST(l_partkey % 5 AS INT) WHEN 0 THEN 'easy' WHEN 1 THEN 'medium' WHEN 2 THEN 'hard' ELSE 'expert' END AS level, least(CAST(l_partkey % 5 AS INT), 3) AS number FROM lineitem")
 def _(v):
     name = F.when(F.col("l_returnflag") == "A", "guitar_hard").when(F.col("l_returnflag") == "N", "bass_ghl").otherwise("rhythm_easy")
-    return v.table("lineitem").select("l_orderkey", "l_linenumber", "l_partkey", S.header_token(name).alias("header"), S.difficulty_label((F.col("l_partkey") % 5).cast("int")).alias("level"))
+    return v.table("lineitem").select(
+        "l_orderkey", "l_linenumber", "l_partkey", S.header_token(name).alias("header"), S.difficulty_label((F.col("l_partkey") % 5).cast("int")).alias("level"),
+        S.difficulty_number(S.difficulty_label((F.col("l_partkey") % 5).cast("int"))).alias("number"))

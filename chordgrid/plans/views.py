@@ -85,6 +85,11 @@ CTE = {
     "tok": "SELECT song_id, instrument, CAST(generate_subscripts(tokens, 1) - 1 AS INT) AS pos, CAST(unnest(tokens) AS INT) AS tok FROM seqs",
 }
 
+def sql_hash(seed: int, *key: str) -> str:
+    """A row's number by a hash, as :func:`chordgrid.operators.batching.hashed` has it, in SQL."""
+    return f"CAST('0x' || substr(md5(concat_ws('|', {seed}, {', '.join(key)})), 1, 15) AS BIGINT)"
+
+
 _NEEDS = {
     "tempo": ["ev"], "timesig": ["ev"], "specials": ["ev"], "notes": ["raw"], "ends": ["notes"], "seg": ["tempo"], "first_seg": ["seg"], "bt": ["ends", "first_seg"],
     "grid": ["bt", "seg", "timesig", "first_seg"], "sus": ["notes", "steps"], "tl": ["notes", "sus", "bt", "specials"], "tl2": ["tl"], "tl3": ["tl2"], "seqs": ["tl3"], "tok": ["seqs"],

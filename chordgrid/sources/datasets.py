@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chordgrid.operators.dataset import SCHEMA
+from chordgrid.operators.quality import footer_schemas
 
 
 def read_shards(spark: SparkSession, path: str, split: str | None = None, schema: T.StructType = SCHEMA) -> DataFrame:
@@ -16,11 +17,8 @@ def read_shards(spark: SparkSession, path: str, split: str | None = None, schema
 
 
 def unreadable_shards(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
-    """path of the shards that gave no row: listed files without a row read from them."""
-    glob = f"{split}-*.parquet" if split else "*.parquet"
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", glob).load(path).select("path")
-    seen = read_shards(spark, path, split).select(F.col("_metadata.file_path").alias("path")).distinct()
-    return listed.join(seen, "path", "left_anti")
+    """path of the shards whose footer cannot be read; a shard without rows is fine."""
+    return footer_schemas(spark, path, f"{split}-*.parquet" if split else "*.parquet").where("type = 'unreadable'").select(F.col("file").alias("path"))
 
 
 def read_jsonl(spark: SparkSession, path: str, schema: T.StructType = SCHEMA) -> DataFrame:
@@ -50,6 +48,6 @@ def shard_dates(rows: DataFrame) -> DataFrame:
 
 
 def audio_files(files: DataFrame, extensions: tuple[str, ...] = ("ogg", "mp3", "wav", "opus", "flac")) -> DataFrame:
-    """dir, path of files (path) with an audio extension."""
+    """dir, path of files (path) with an audio extension, sorted."""
     ext = F.lower(F.regexp_extract("path", r"\.([^./]+)$", 1))
-    return files.where(ext.isin(*extensions)).select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("dir"), "path").distinct()
+    return files.where(ext.isin(*extensions)).select(F.regexp_extract("path", "^(.*)/[^/]*$", 1).alias("dir"), "path").distinct().orderBy("path")

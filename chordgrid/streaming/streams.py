@@ -10,6 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from chordgrid.operators.dataset import SCHEMA
+from chordgrid.sources.charts import numbered
 
 
 def shard_stream(spark: SparkSession, path: str, schema: T.StructType = SCHEMA, files_per_batch: int = 4) -> DataFrame:
@@ -17,6 +18,12 @@ def shard_stream(spark: SparkSession, path: str, schema: T.StructType = SCHEMA,
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("ignoreCorruptFiles", "true").parquet(path)
 
 
+def line_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
+    """path, line_no, line of whole text files as they come, a bounded number of files a batch."""
+    files = spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_batch).text(path, wholetext=True)
+    return numbered(files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
+
+
 def run_available(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
     """Hand all data that is there, batch by batch, to ``write``; a later call goes on where this one ended."""
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
