@@ -3,11 +3,12 @@
 import random
 
 import pytest
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from chordgrid.functions import scalars as S
 from chordgrid.functions.vocab import vocabulary
-from chordgrid.operators import codec, frames as FR, midi as M, notes as N, tempo as TP
+from chordgrid.operators import batching as B, codec, frames as FR, midi as M, notes as N, tempo as TP
 from chordgrid.sources import charts as C
 
 CHART = """[Song]
@@ -44,7 +45,7 @@ def chart(spark):
 
 def encoded(chart):
     notes = chart.notes()
-    return codec.encode(notes, chart.specials(), TP.beat_ticks(chart.tempo(), N.song_ends(notes)))
+    return codec.encode(notes, chart.specials(), chart.tempo())
 
 
 def test_golden_sequence(chart):
@@ -219,3 +220,131 @@ def test_rendering_then_parsing_keeps_notes(spark, chart):
     text = C.render_charts(meta, chart.tempo(), chart.timesig(), notes).select(F.col("song_id").alias("path"), "text")
     again = C.Charts(C.numbered(text)).notes()
     assert sorted(map(tuple, again.collect())) == sorted(map(tuple, notes.collect()))
+
+
+ODD = """  [song]
+{
+Resolution=480
+  Name = "Quoted "Title""
+  year =
+  two words = x
+}
+[SyncTrack] trailing
+{
+  0 = TS 6 3
+  0 = B 120000
+  +5 = B 1000
+  480 = B fast
+  960=B 60000 junk
+}
+[ExpertSingle]
+{
+  0 = N 0 0
+   7 = E "solo"
+  9 = E soloend
+  10 = E lyric
+  480 = N 1 240 extra
+  481 = N 1
+  482 = X 1 2
+  483 = S 2 48
+  484 = S 1 48
+  no line
+  = N 1 1
+}
+[Unknown Section]
+  485 = N 3 3
+[Events]
+{
+  11 = E "section verse 1"
+  12 = E solo
+}
+"""
+
+
+@pytest.fixture(scope="module")
+def odd(spark):
+    return C.Charts(C.numbered(spark.createDataFrame([("s", ODD), ("t", CHART)], "path string, text string")))
+
+
+def test_lines_are_read_by_their_form(odd):
+    rows = lambda df, *c: sorted(tuple(r[x] for x in c) for r in df.where("song_id = 's'").collect())
+    # a header of two words is none: its lines belong to the section above
+    assert rows(odd.raw_notes(), "tick", "pitch", "sustain") == [(0, 0, 0), (480, 1, 240), (485, 3, 3)]
+    assert rows(odd.tempo(), "tick", "bpm", "resolution") == [(0, 120.0, 480), (960, 60.0, 480)]
+    assert rows(odd.timesig(), "tick", "num", "den") == [(0, 6, 8)]
+    assert rows(odd.specials(), "tick", "kind", "length") == [(7, "solo", 0), (9, "soloend", 0), (12, "solo", 0), (483, "star_power", 48)]
+    assert rows(odd.section_events(), "tick", "text") == [(11, "section verse 1"), (12, "solo")]
+    assert odd.header().where("song_id = 's'").first()["meta"] == {"resolution": "480", "name": 'Quoted "Title'}
+
+
+def test_songs_keep_their_own_resolution(odd):
+    ends = N.song_ends(odd.notes())
+    grid = {(r["song_id"], r["beat"]): r for r in TP.beat_grid(odd.tempo(), odd.timesig(), ends).collect()}
+    assert [grid["s", b]["tick"] for b in (0, 1)] == [0, 480] and grid["s", 1]["time_s"] == 0.5
+    assert grid["t", 1]["tick"] == 192 and abs(grid["t", 1]["time_s"] - 60 / 130) < 1e-9
+
+
+def test_ini_rules(spark):
+    text = "[Song]\nNAME = a=b\nfive_lane_drums = FALSE\npro_drums = false\nyear = 19x\nsong_length = bad\nsong_length_ms = 7\n;x = 1\n#y=2\ndelay = 5"
+    r = C.ini_metadata(C.numbered(spark.createDataFrame([("s", text)], "path string, text string"))).first()
+    assert (r["name"], r["five_lane_drums"], r["pro_drums"], r["year"], r["song_length_ms"], r["delay_ms"]) == ("a=b", True, False, 0, 0, 5)
+    assert r["extra"][";x"] == "1" and r["extra"]["#y"] == "2" and r["extra"]["name"] == "a=b" and r["diff_guitar"] == -1
+
+
+def test_midi_tracks_of_one_name_pair_together(spark):
+    on, off = ("note_on", 64), ("note_on", 0)
+    rows = [("PART GUITAR", 0, 0, on, 96), ("PART GUITAR", 0, 480, on, 96), ("t1 gems ", 1, 960, off, 96), ("t1 gems ", 1, 480, ("note_off", 0), 96), ("PART DRUMS", 2, 0, on, 95), ("PART DRUMS", 2, 10, off, 95),
+            ("PART GUITAR", 0, 0, on, 103), ("PART GUITAR", 0, 96, off, 103), ("Venue", 3, 0, on, 96), ("PART GUITAR", 0, 0, on, 110)]
+    events = spark.createDataFrame([("f", t, name, i, d, 480, k[0], p, k[1], None, None, None) for i, (name, t, d, k, p) in enumerate(rows)],
+                                   "file string, track_no int, track_name string, msg_no int, delta int, ticks_per_beat int, type string, note int, velocity int, tempo int, num int, den int")
+    midi = M.Midi(events)
+    assert sorted((r["instrument"], r["tick"], r["pitch"], r["sustain"]) for r in midi.raw_notes().collect()) == [("drums", 0, 0, 4), ("guitar", 0, 0, 576), ("guitar", 192, 0, 192)]
+    assert [(r["tick"], r["length"]) for r in midi.specials().collect()] == [(192, 38)]
+    assert midi.tempo().first()["bpm"] == 120.0 and midi.timesig().first()["den"] == 4
+
+
+def test_beat_ids_count_the_beats_before(spark):
+    rows = spark.createDataFrame([([1, 6, 4, 9, 57, 123, 4, 57, 2],), ([4, 4],), ([1],), ([],)], "tokens array<int>")
+    assert [r[0] for r in rows.select(B.beat_ids(F.col("tokens"))).collect()] == [[0, 0, 0, 1, 1, 1, 1, 2, 2], [0, 1], [0], []]
+    assert rows.select(B.beat_ids(F.col("tokens"), most=1)).first()[0] == [0, 0, 0, 1, 1, 1, 1, 1, 1]
+
+
+def test_collated_rows_are_padded_with_their_defaults(spark):
+    kind = "song_id int, instrument string, difficulty int, tokens array<int>, mert_embeddings array<array<float>>, logmel_frames array<array<array<float>>>, bpm_at_beat array<float>, time_sig_num_at_beat array<int>, time_sig_den_at_beat array<int>, beat_durations_s array<float>"
+    rows = spark.createDataFrame([(1, "drums", 9, [1, 4, 57], [[1.0, 2.0, 3.0]], [[[1.0], [2.0]]], [90.0, 91.0], [3, 3], [8, 8], [0.1, 0.2]), (2, "keys", None, [1], None, None, None, None, None, None)], kind)
+    out = {r["song_id"]: r for r in B.collated(rows.withColumn("g", F.lit(1)), 8, ["g"], ["song_id"], dim=2, points=2, bins=1).collect()}
+    a, b = out[1], out[2]
+    assert (a["tokens"], a["mask"], a["beat_ids"]) == ([1, 4, 57], [1, 1, 1], [0, 0, 1]) and (b["tokens"], b["mask"], b["beat_ids"]) == ([1, 0, 0], [1, 0, 0], [0, 0, 0])
+    assert a["mert_embeddings"] == [[1.0, 2.0]] and b["mert_embeddings"] == [[0.0, 0.0]] and b["logmel_frames"] == [[[0.0], [0.0]]]
+    assert (a["beat_mask"], b["beat_mask"], a["bpm_at_beat"], b["bpm_at_beat"]) == ([1], [0], [90.0], [120.0]) and b["beat_durations_s"] == [0.5] and b["time_sig_num_at_beat"] == [4]
+    assert (a["instrument_id"], a["difficulty_id"], b["instrument_id"], b["difficulty_id"]) == (2, 6, 0, 0)
+
+
+def test_ranks_are_those_of_one_window(spark):
+    rows = spark.range(800).select("id", (F.col("id") % 3).alias("g"), F.when(F.col("id") % 7 != 0, F.col("id") * 31 % 97).alias("x"))
+    got = {r["id"]: (r["rank"], r["n"]) for r in B.ranked(rows, ["g"], ["x", "id"]).collect()}
+    w = Window.partitionBy("g")
+    want = {r["id"]: (r["r"], r["n"]) for r in rows.select("id", F.row_number().over(w.orderBy("x", "id")).alias("r"), F.count("*").over(w).alias("n")).collect()}
+    assert got == want
+
+
+def test_shuffled_rows_keep_shards_together_and_follow_the_seed(spark):
+    rows = spark.range(200).select("id", (F.col("id") % 9).alias("s"))
+    order = lambda **k: [(r["s"], r["id"]) for r in B.shuffled(rows, ["id"], **k).collect()]
+    one = order(seed=1, shard="s")
+    runs = [s for i, (s, _) in enumerate(one) if i == 0 or one[i - 1][0] != s]
+    assert len(runs) == 9 and one == order(seed=1, shard="s") and one != order(seed=1, epoch=1, shard="s")
+    assert sorted(one) == sorted(order(seed=2)) and order(seed=2) != order(seed=3)
+
+
+def test_encoding_reads_notes_once_and_decoding_sorts_once(spark, chart, tmp_path):
+    notes = chart.notes().select("song_id", "instrument", "tick", "lane_mask", "sustain", "is_hopo", "is_tap", "is_force_strum")
+    for name, df in (("notes", notes), ("specials", chart.specials()), ("tempo", chart.tempo())):
+        df.write.parquet(str(tmp_path / name))
+    read = lambda name: spark.read.parquet(str(tmp_path / name))
+    plan = codec.encode(read("notes"), read("specials"), read("tempo"))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("/notes") <= 1 and sum("Relation" in line for line in plan.splitlines()) == 3 and plan.count("Window ") == 1
+    sequences = codec.encode(read("notes"), read("specials"), read("tempo"))
+    sequences.write.parquet(str(tmp_path / "seq"))
+    plan = codec.Decoded(codec.exploded(read("seq"))).notes._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Window ") <= 6

@@ -7,7 +7,7 @@ import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
-from chordgrid.operators import dataset as D, quality as Q
+from chordgrid.operators import codec, dataset as D, quality as Q, scoring as SC
 from chordgrid.sources import charts as C, datasets as DS
 from chordgrid.streaming import streams as ST
 
@@ -79,7 +79,7 @@ def test_song_folders_and_lines(spark, tmp_path):
         (tmp_path / name / file).write_text("[Song]\nName = \"x\"\n")
     rows = {r["dir"].rpartition("/")[2]: (r["has_chart"], r["has_midi"]) for r in C.song_folders(spark, str(tmp_path)).collect()}
     assert rows == {"a": (True, False), "b": (False, True)}
-    assert C.read_lines(spark, str(tmp_path / "a")).orderBy("line_no").first()["line"] == "[Song]"
+    assert [(r["line_no"], r["line"]) for r in C.read_lines(spark, str(tmp_path / "a")).orderBy("line_no").collect()][:2] == [(0, "[Song]"), (1, 'Name = "x"')]
 
 
 def test_audio_files(spark):
@@ -117,3 +117,83 @@ def test_entry_imports_without_the_optional_parts():
     import __spark_entry__ as e
 
     assert set(e.oracle_sql()) <= set(e.queries()) and "g2_encode" in e.queries()
+
+
+def test_a_shard_without_rows_is_readable(spark, wide, tmp_path):
+    path = tmp_path / "d"
+    wide.limit(0).coalesce(1).write.parquet(str(path))
+    next(path.glob("part-*.parquet")).rename(path / "train-00000.parquet")
+    assert DS.unreadable_shards(spark, str(path), "train").isEmpty()
+
+
+def test_appended_shards_go_on_numbering(spark, wide, tmp_path):
+    out = str(tmp_path / "out")
+    sized = wide.withColumn("bytes", F.lit(1000).cast("long"))
+    assert D.next_shard(spark, out) == 0
+    for turn in range(2):
+        D.append_shards(sized, out, "bytes", 10_000, "instrument", "song_id", partition=None)
+        assert D.next_shard(spark, out) == 4 * (turn + 1)
+    back = spark.read.parquet(out)
+    names = sorted(r[0] for r in back.select("shard_name").distinct().collect())
+    assert names == [f"train-{i:05d}.parquet" for i in range(8)] and back.count() == 80
+
+
+def test_shards_by_parts_are_those_of_one_running_sum(spark):
+    rows = spark.range(500).select("id", (F.col("id") % 3).alias("split"), (F.col("id") * 37 % 11 + 1).alias("bytes"))
+    plain = D.with_shards(rows, "bytes", 40, "split", "id").collect()
+    parted = D.with_shards(rows, "bytes", 40, "split", "id", part=F.floor(F.col("id") / 50)).collect()
+    assert sorted(map(tuple, plain)) == sorted(map(tuple, parted))
+
+
+@pytest.mark.parametrize("name", ["gzip", "snappy", "none", "zstd"])
+def test_compressions(spark, wide, tmp_path, name):
+    D.write_shards(wide, str(tmp_path / "x"), compression=name)
+    file = pq.ParquetFile(next((tmp_path / "x").glob("part-*.parquet")))
+    assert file.metadata.row_group(0).column(0).compression == {"none": "UNCOMPRESSED"}.get(name, name.upper())
+
+
+def test_manifest(spark, wide, tmp_path):
+    rows = wide.withColumn("split", F.when(F.col("song_id") < "2", "test").otherwise("train"))
+    D.write_manifest(rows, str(tmp_path / "m"), source="songs", version="3")
+    text = "".join(p.read_text() for p in (tmp_path / "m").glob("part-*.json"))
+    n = rows.where("split = 'test'").count()
+    assert json.loads(text) == {"rows": 40, "splits": {"test": n, "train": 40 - n}, "instruments": ["guitar"], "source": "songs", "version": "3"}
+
+
+def test_metrics_file(spark, tmp_path):
+    rows = spark.createDataFrame([("guitar", 1, 1, -0.5), ("guitar", 1, 2, -1.5), ("bass", 3, 3, 0.0)], "instrument string, pred int, label int, logp double")
+    SC.write_metrics(rows, str(tmp_path / "m"))
+    found = json.loads("".join(p.read_text() for p in (tmp_path / "m").glob("part-*.json")))
+    assert found["by_instrument"]["guitar"] == {"loss": 1.0, "token_accuracy": 0.5, "perplexity": pytest.approx(2.718281828), "n": 2}
+    assert found["total"]["n"] == 3 and found["total"]["token_accuracy"] == pytest.approx(2 / 3) and set(found["by_instrument"]) == {"guitar", "bass"}
+
+
+def test_broken_files_are_passed_over_in_a_stream_of_few_files_a_batch(spark, wide, tmp_path):
+    src, out, check = (tmp_path / x for x in ("src", "out", "check"))
+    wide.repartition(5).write.parquet(str(src))
+    (src / "part-99999-broken.parquet").write_bytes(b"broken")
+    sizes = []
+
+    def write(rows, batch):
+        sizes.append(rows.select("file").distinct().count())
+        rows.write.mode("overwrite").parquet(f"{out}/batch={batch}")
+
+    stream = ST.shard_stream(spark, str(src), files_per_batch=2).withColumn("file", F.col("_metadata.file_path"))
+    ST.run_available(stream, write, str(check)).awaitTermination()
+    assert len(sizes) == 3 and max(sizes) <= 2 and spark.read.parquet(str(out)).count() == 40
+
+
+def test_charts_are_encoded_as_they_come(spark, tmp_path):
+    src, out, check = (tmp_path / x for x in ("src", "out", "check"))
+    src.mkdir()
+    body = "[Song]\n{\n  Resolution = 192\n}\n[SyncTrack]\n{\n  0 = B 120000\n}\n[ExpertSingle]\n{\n  0 = N 0 0\n  192 = N 1 0\n}\n"
+    (src / "one.chart").write_text(body)
+    def encode(rows):
+        chart = C.Charts(rows)
+        return codec.encode(chart.notes(), chart.specials(), chart.tempo())
+
+    ST.encode_stream(ST.line_stream(spark, str(src)), encode, str(out), str(check)).awaitTermination()
+    (src / "two.chart").write_text(body.replace("N 1 0", "N 2 0"))
+    ST.encode_stream(ST.line_stream(spark, str(src)), encode, str(out), str(check)).awaitTermination()
+    rows = {r["song_id"].rpartition("/")[2]: r["tokens"] for r in spark.read.parquet(str(out)).collect()}
+    assert rows["one.chart"] == [1, 6, 4, 57, 123, 20, 4, 58, 123, 2] and rows["two.chart"][-3:] == [60, 123, 2]
