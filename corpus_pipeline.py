@@ -3,6 +3,10 @@
 Every stage is (spark, docs, sf_dir) -> DataFrame and works on all rows that its predecessor kept. All but
 the last return the columns of ``documents``; the last adds ``piece_ids``. :func:`run` writes each
 stage's result as Parquet in the shared folder and reads it again for the next.
+
+What holds for all stages: a null text counts as empty (only the quality rules drop it), a null id or
+source is a value like others, the last in order; texts of any length are worked on whole; extra columns
+pass with their names and values, whatever those are; an empty table stays empty.
 """
 
 from __future__ import annotations
@@ -18,27 +22,31 @@ from chordgrid.llm.shared import work_folder, written
 
 
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the quality rules keep."""
+    """Documents that the quality rules keep. Rows that repeat id and text stay or go together."""
     return drop_rejected(docs)
 
 
 def exact_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each text (white space normalised): the one with the smallest id."""
+    """One document of each text (white space normalised): the one with the smallest id; of rows that repeat
+    id and text, the first by their other columns."""
     return drop_copies(docs)
 
 
 def near_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each component of near copies: the one with the smallest id."""
+    """One document of each component of near copies: the one with the smallest id. Texts without a word are
+    near to nothing and stay."""
     return drop_near_copies(docs)
 
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix of sources takes them."""
+    """Documents as often as the mix of sources takes them, none above three times; those without words never.
+    Rows that repeat id, source and size are taken together."""
     return mixed(docs)
 
 
 def pieces_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents with their SentencePiece ids."""
+    """Documents with their SentencePiece ids, none for an empty text, in ``piece_ids`` (``_piece_ids`` where
+    documents have such a column)."""
     return with_pieces(docs)
 
 
