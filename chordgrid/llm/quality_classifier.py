@@ -53,10 +53,15 @@ def measures(text: Column) -> dict[str, Column]:
     }
 
 
+def _once(value: Column, use) -> Column:
+    """``use`` of a value that is computed once a row, however often ``use`` names it."""
+    return F.transform(F.array(value), use)[0]
+
+
 def word_buckets(text: Column) -> Column:
     """The hash buckets of a text's words and pairs of neighbouring words."""
-    words = split_words(ascii_lower(text))
-    return F.flatten(F.transform(words, lambda w, i: F.array(F.pmod(F.xxhash64(w), F.lit(BUCKETS)), F.pmod(F.xxhash64(F.get(words, i + 1), w), F.lit(BUCKETS)))))
+    bucket = lambda *c: F.pmod(F.xxhash64(*c), F.lit(BUCKETS))
+    return _once(split_words(ascii_lower(text)), lambda words: F.flatten(F.transform(words, lambda w, i: F.array(bucket(w), bucket(F.get(words, i + 1), w)))))
 
 
 def bucket_weights(rows: DataFrame) -> list[float]:
@@ -74,9 +79,8 @@ def bucket_weights(rows: DataFrame) -> list[float]:
 def word_evidence(text: Column, weights: list[float]) -> Column:
     """The mean weight of a text's words and word pairs; 0 without a word."""
     table = F.split(F.lit(",".join(map(str, weights))), ",").cast("array<double>")  # folded to a constant
-    buckets = word_buckets(text)
-    total = F.aggregate(buckets, F.lit(0.0), lambda a, b: a + F.get(table, b.cast("int")))
-    return F.when(F.size(buckets) > 0, total / F.size(buckets)).otherwise(0.0)
+    total = lambda buckets: F.aggregate(buckets, F.lit(0.0), lambda a, b: a + F.get(table, b.cast("int")))
+    return _once(word_buckets(text), lambda buckets: F.when(F.size(buckets) > 0, total(buckets) / F.size(buckets)).otherwise(0.0))
 
 
 @dataclass
