@@ -46,6 +46,7 @@ CACHE_BYTES = 64 << 20
 ENTRY_BYTES = 200
 #: Segments with more bytes are never kept, and are segmented one by one.
 LONG_SEGMENT = 96
+LONG_CHARS = LONG_SEGMENT // 3
 
 
 @dataclass
@@ -190,9 +191,12 @@ class Codec:
 
     def units(self, text: str) -> list[str | bytes]:
         """What is segmented by itself: short segments as they are, long ones in their parts, as bytes."""
+        parts = self.segments(text)
+        if not parts or LONG_CHARS >= len(max(parts, key=len)):
+            return parts
         out: list[str | bytes] = []
-        for segment in self.segments(text):
-            if 4 * len(segment) > LONG_SEGMENT:
+        for segment in parts:
+            if len(segment) > LONG_CHARS:
                 whole = MARK + segment.replace(" ", MARK)
                 held, start = self.neighbours, 0
                 for k in range(1, len(whole)):
@@ -315,10 +319,10 @@ class Codec:
         """Piece ids of each text as int32 bytes; none for a null or empty text."""
         cache = self.__dict__.setdefault("cache", {})
         split = [self.units(t or "") for t in texts]
-        new = {s for parts in split for s in parts if s not in cache}
+        new = set().union(*split).difference(cache)
         if self.__dict__.get("cached", 0) > CACHE_BYTES:
             cache.clear()
-            self.cached, new = 0, {s for parts in split for s in parts}
+            self.cached, new = 0, set().union(*split)
         listed, long_ = list(new), []
         for a in range(0, len(listed), 50_000):
             some = listed[a : a + 50_000]
