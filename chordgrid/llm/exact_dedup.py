@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from chordgrid.llm.shared import fresh, normal_space, work_folder, written
+from chordgrid.llm.shared import fresh, normal_space, removed, work_folder, written
 from chordgrid.llm.words import mix, pieces, text_bytes
 
 #: A cut follows a place whose rolling hash has its low bits zero: chunks have 2048 bytes on average.
@@ -67,15 +67,8 @@ def verified_seed(chunks: DataFrame) -> int:
     raise RuntimeError("no seed tells all chunks apart")
 
 
-def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
-    """One row per row of ``docs``: doc_id, keep_id (smallest id with an equal text), group_size, kept,
-    text_sha256 (of the normalised text), n_chunks.
-
-    Null and empty texts are equal to each other; texts of any length are compared whole. Rows that repeat
-    both id and text are documents of their own, of which one is kept; a null id yields to any other.
-    Other columns are not read. An empty table gives an empty result.
-    """
-    folder = folder or work_folder(docs.sparkSession)
+def text_groups(docs: DataFrame, id_col: str, text_col: str, folder: str) -> DataFrame:
+    """(id, sha, m, keep_id, group_size, n_chunks) of each distinct id and text, m being its rows."""
     chunks = written(chunked(docs, id_col, text_col), folder, "chunks")
     seed = verified_seed(chunks)
     lists = chunks.select(
@@ -83,17 +76,28 @@ def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         F.transform("chunks", lambda c: F.xxhash64(c)).alias("a"),
         F.transform("chunks", lambda c: F.xxhash64(F.lit(seed), c)).alias("b"))
     recipes = written(lists.groupBy("id", "sha", "a", "b").agg(F.count("*").alias("m")), folder, "recipes")
-    groups = recipes.groupBy("a", "b").agg(F.min("id").alias("keep_id"), F.sum("m").alias("group_size"), F.count("*").alias("k"))
-    groups = groups.where("group_size > 1 or keep_id is null").drop("k")
+    removed(docs.sparkSession, f"{folder}/chunks")  # the texts' bytes are not needed any more
+    groups = recipes.groupBy("a", "b").agg(F.min("id").alias("keep_id"), F.sum("m").alias("group_size"))
+    groups = groups.where("group_size > 1 or keep_id is null")
     found = recipes.join(groups.hint("merge"), ["a", "b"], "left")
     alone = F.col("group_size").isNull()
-    found = found.select(
-        F.col("id").alias("doc_id"),
-        F.when(alone, F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
-        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"),
-        F.col("sha").alias("text_sha256"), F.size("a").alias("n_chunks"),
-        F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))).alias("copy"))
-    return found.select("doc_id", "keep_id", "group_size", (F.col("doc_id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)).alias("kept"), "text_sha256", "n_chunks")
+    return found.select(
+        "id", "sha", "m", F.when(alone, F.col("id")).otherwise(F.col("keep_id")).alias("keep_id"),
+        F.coalesce("group_size", F.lit(1)).cast("long").alias("group_size"), F.size("a").alias("n_chunks"))
+
+
+def exact_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None) -> DataFrame:
+    """One row per row of ``docs``: doc_id, keep_id (smallest id with an equal text), group_size, kept,
+    text_sha256 (of the normalised text), n_chunks.
+
+    Null and empty texts are equal to each other; texts of any length are compared whole. Rows that repeat
+    both id and text are documents of their own, of which one is kept; a null id yields to any other.
+    Other columns are not read. An empty table gives an empty result.
+    """
+    found = text_groups(docs, id_col, text_col, folder or work_folder(docs.sparkSession))
+    rows = found.withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))))
+    kept = F.col("id").eqNullSafe(F.col("keep_id")) & (F.col("copy") == 1)
+    return rows.select(F.col("id").alias("doc_id"), "keep_id", "group_size", kept.alias("kept"), F.col("sha").alias("text_sha256"), "n_chunks")
 
 
 def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -103,10 +107,14 @@ def drop_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     text itself; so reruns agree. Nulls and very long texts as in :func:`exact_groups`; an empty table
     stays empty.
     """
+    folder = work_folder(docs.sparkSession)
     key, sha, own, n = fresh(docs, "_keep_id", "_keep_sha", "_own_sha", "_copy_no")
-    kept = exact_groups(docs, id_col, text_col).where("kept").select(F.col("doc_id").alias(key), F.col("text_sha256").alias(sha))
+    found = text_groups(docs, id_col, text_col, folder).where(F.col("id").eqNullSafe(F.col("keep_id")))
+    kept = written(found.select(F.col("id").alias(key), F.col("sha").alias(sha), F.col("m").alias(n)), folder, "kept")
     rows = docs.withColumn(own, F.sha2(normal_space(F.col(text_col)), 256))
     left = rows.join(kept.hint("merge"), rows[id_col].eqNullSafe(kept[key]) & (rows[own] == kept[sha]), "left_semi")
-    others = [f.name for f in docs.schema.fields if f.name not in (id_col, text_col) and "map<" not in f.dataType.simpleString()]
-    first = Window.partitionBy(id_col, own).orderBy(*others, text_col)
-    return left.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1).select(*docs.columns)
+    if not kept.where(F.col(n) > 1).isEmpty():  # only where rows repeat id and text is there anything to choose
+        others = [f.name for f in docs.schema.fields if f.name not in (id_col, text_col) and "map<" not in f.dataType.simpleString()]
+        first = Window.partitionBy(id_col, own).orderBy(*others, text_col)
+        left = left.withColumn(n, F.row_number().over(first)).where(F.col(n) == 1)
+    return left.select(*docs.columns)
