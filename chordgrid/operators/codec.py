@@ -64,12 +64,18 @@ def timeline(notes: DataFrame, specials: DataFrame, tempo: DataFrame | None = No
     """song_id, instrument, n, tick, pr, gap, toks: all events of a track, numbered from 1 in their order, with the
     ticks since the one before."""
     rows = events(notes, specials, tempo, resolution).select(*TRACK, gapped("events").alias("events"))
-    return rows.select(*TRACK, F.posexplode("events").alias("n", "e")).select(*TRACK, (F.col("n") + 1).alias("n"), "e.tick", "e.pr", "e.gap", "e.toks")
+    long = rows.select(*TRACK, F.posexplode_outer("events").alias("n", "e")).where("n is not null")  # outer: no filter that computes them twice
+    return long.select(*TRACK, (F.col("n") + 1).alias("n"), "e.tick", "e.pr", "e.gap", "e.toks")
 
 
 def gapped(events: str) -> Column:
-    """Ordered events with the gap since the one before, or since tick 0."""
-    return F.transform(events, lambda e, i: F.struct(e["tick"].alias("tick"), e["pr"].alias("pr"), (e["tick"] - F.coalesce(F.get(events, i - 1)["tick"], F.lit(0))).alias("gap"), e["toks"].alias("toks")))
+    """Ordered events with the gap since the one before, or since tick 0. The array is computed once a row,
+    wherever the optimizer puts its expression."""
+    def one(array: Column) -> Column:
+        gap = lambda e, i: e["tick"] - F.coalesce(F.get(array, i - 1)["tick"], F.lit(0))
+        return F.transform(array, lambda e, i: F.struct(e["tick"].alias("tick"), e["pr"].alias("pr"), gap(e, i).alias("gap"), e["toks"].alias("toks")))
+
+    return F.transform(F.array(events), one)[0]
 
 
 def gap_tokens(gap: Column) -> Column:
@@ -91,7 +97,8 @@ def encode(notes: DataFrame, specials: DataFrame, tempo: DataFrame | None = None
 
 def exploded(sequences: DataFrame) -> DataFrame:
     """song_id, instrument, pos, tok of sequences with a tokens array."""
-    return sequences.select(*TRACK, F.posexplode("tokens").alias("pos", "tok"))
+    # an inner explode would filter by the arrays' size first, and so compute them twice
+    return sequences.select(*TRACK, F.posexplode_outer("tokens").alias("pos", "tok")).where("pos is not null")
 
 
 def body(tokens: DataFrame) -> DataFrame:
