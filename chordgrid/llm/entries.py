@@ -6,7 +6,7 @@ import secrets
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chordgrid.llm import (exact_dedup, license_scan, line_dedup, mixing, ngram_join, pii_surrogates, quality_classifier,
+from chordgrid.llm import (conversation_trie, exact_dedup, license_scan, line_dedup, mixing, ngram_join, pii_surrogates, quality_classifier,
                            quality_rules, sentencepiece_codec, substring_dedup)
 
 
@@ -56,9 +56,37 @@ def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_classifier.quality_scores(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
 
 
-QUERIES = {"op2_license_scan": op2_license_scan, "op4_pii_surrogates": op4_pii_surrogates, "op5_quality_classifier": op5_quality_classifier, "op1_sentencepiece": op1_sentencepiece, "op7_ngram_join": op7_ngram_join, "op9_substring_dedup": op9_substring_dedup, "op3_line_dedup": op3_line_dedup, "op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
+def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversation_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+QUERIES = {"op13_conversation_trie": op13_conversation_trie, "op2_license_scan": op2_license_scan, "op4_pii_surrogates": op4_pii_surrogates, "op5_quality_classifier": op5_quality_classifier, "op1_sentencepiece": op1_sentencepiece, "op7_ngram_join": op7_ngram_join, "op9_substring_dedup": op9_substring_dedup, "op3_line_dedup": op3_line_dedup, "op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLES = {
+    "op13_conversation_trie": r"""
+WITH turns AS (
+  SELECT conv_id, list(key ORDER BY turn IS NOT NULL, turn, md5(key)) AS t, list(size ORDER BY turn IS NOT NULL, turn, md5(key)) AS s
+  FROM (SELECT conv_id, turn, length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '') AS key, length(coalesce(text, '')) AS size FROM conversations WHERE conv_id IS NOT NULL)
+  GROUP BY conv_id
+), h AS (
+  SELECT conv_id, t, s, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(conv_id::VARCHAR, ''), lambda c: [ascii(c)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
+         lambda x, y: xor(xor(x, y) >> 1, 3988292384 * (xor(x, y) & 1))), 4294967295) % 6 AS h FROM turns
+), built AS (
+  SELECT h.conv_id, list_transform(coalesce(b.t[1:h], []) || h.t[h + 1:], lambda x: md5(x)) AS t, coalesce(b.s[1:h], []) || h.s[h + 1:] AS s
+  FROM h LEFT JOIN turns b ON b.conv_id = h.conv_id - h.conv_id % 100
+), pre AS (
+  SELECT conv_id, d, array_to_string(t[1:d], '') AS k, CASE WHEN d = 0 THEN 0 ELSE s[d] END AS size, d = len(t) AS ends FROM (SELECT conv_id, t, s, unnest(range(0, len(t) + 1)) AS d FROM built)
+), node AS (
+  SELECT d, k, min(conv_id) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(size) AS saved, sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (WHERE ends), '')) AS ends_sha256
+  FROM pre GROUP BY d, k
+), kids AS (
+  SELECT left(k, 32 * (d - 1)::INT) AS k, d - 1 AS d, count(*) AS n FROM node WHERE d > 0 GROUP BY ALL
+), sub AS (
+  SELECT up AS d, left(k, 32 * up::INT) AS k, sum(saved) AS saved, count(*) FILTER (WHERE n IS NULL) AS leaves
+  FROM (SELECT node.d, node.k, saved, n, unnest(range(0, node.d + 1)) AS up FROM node LEFT JOIN kids ON kids.d = node.d AND kids.k = node.k) GROUP BY ALL
+)
+SELECT node.conv_id, node.d AS depth, p.conv_id AS parent_conv_id, node.n_convs, coalesce(kids.n, 0) AS n_children, sub.leaves AS n_leaves, CAST(sub.saved AS BIGINT) AS saved_tokens, node.ends_sha256
+FROM node JOIN sub ON sub.d = node.d AND sub.k = node.k LEFT JOIN kids ON kids.d = node.d AND kids.k = node.k LEFT JOIN node p ON p.d = node.d - 1 AND p.k = left(node.k, 32 * (node.d - 1)::INT)""",
     "op7_ngram_join": r"""
 WITH RECURSIVE w AS (
   SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS ws FROM documents
