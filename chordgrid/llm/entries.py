@@ -7,7 +7,7 @@ import secrets
 from pyspark.sql import DataFrame, SparkSession
 
 from chordgrid.llm import (conversation_trie, exact_dedup, license_scan, line_dedup, mixing, ngram_join, pii_surrogates, quality_classifier,
-                           quality_rules, sentencepiece_codec, substring_dedup)
+                           quality_rules, sentencepiece_codec, spelling, substring_dedup)
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -60,9 +60,41 @@ def op13_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_trie.conversation_trie(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
 
 
-QUERIES = {"op13_conversation_trie": op13_conversation_trie, "op2_license_scan": op2_license_scan, "op4_pii_surrogates": op4_pii_surrogates, "op5_quality_classifier": op5_quality_classifier, "op1_sentencepiece": op1_sentencepiece, "op7_ngram_join": op7_ngram_join, "op9_substring_dedup": op9_substring_dedup, "op3_line_dedup": op3_line_dedup, "op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
+def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.spelling_groups(documents(spark, sf_dir), spoil=spelling.SPOIL)
+
+
+QUERIES = {"op11_spelling": op11_spelling, "op13_conversation_trie": op13_conversation_trie, "op2_license_scan": op2_license_scan, "op4_pii_surrogates": op4_pii_surrogates, "op5_quality_classifier": op5_quality_classifier, "op1_sentencepiece": op1_sentencepiece, "op7_ngram_join": op7_ngram_join, "op9_substring_dedup": op9_substring_dedup, "op3_line_dedup": op3_line_dedup, "op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLES = {
+    "op11_spelling": r"""
+WITH RECURSIVE run AS (
+  SELECT doc_id, run, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\x{00C0}-\x{00FF}]+')) AS run FROM documents) GROUP BY ALL
+), crc AS (
+  SELECT list_transform(range(256), lambda i: list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[], lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))) AS tab
+), coded AS (
+  SELECT run, n, xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(coalesce(doc_id::VARCHAR, '') || ':' || run, ''),
+         lambda c: CASE WHEN ord(c) < 128 THEN [ord(c)::BIGINT] ELSE [(192 | (ord(c) >> 6))::BIGINT, (128 | (ord(c) & 63))::BIGINT] END))),
+         lambda x, y: xor(x >> 8, tab[1 + (xor(x, y) & 255)])), 4294967295) AS h FROM run, crc
+), word AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM (SELECT CASE WHEN h % 97 = 0 THEN left(run, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word, n FROM coded)
+  WHERE length(word) >= 5 GROUP BY word HAVING sum(n) >= 3
+), cut AS (
+  SELECT word, n, i, left(word, i - 1) || substr(word, i + 1) AS v FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM word)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.i = b.i AND a.v = b.v AND a.word <> b.word
+  UNION SELECT word.word, cut.word, cut.n FROM word JOIN cut ON cut.v = word.word
+  UNION SELECT cut.word, word.word, word.n FROM word JOIN cut ON cut.v = word.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS form, max(n) AS form_n FROM near GROUP BY word
+), formed AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN form_n >= 2 * n THEN form END AS form, CASE WHEN form_n >= 2 * n THEN form_n END AS form_n FROM word LEFT JOIN best USING (word)
+), way AS (
+  SELECT word, word AS root FROM formed UNION SELECT way.word, formed.form FROM way JOIN formed ON formed.word = way.root WHERE formed.form IS NOT NULL
+), ends AS (
+  SELECT way.word, way.root FROM way JOIN formed ON formed.word = way.root WHERE formed.form IS NULL
+)
+SELECT word, form, root, n, n_near, form_n FROM formed JOIN ends USING (word)""",
     "op13_conversation_trie": r"""
 WITH turns AS (
   SELECT conv_id, list(key ORDER BY turn IS NOT NULL, turn, md5(key)) AS t, list(size ORDER BY turn IS NOT NULL, turn, md5(key)) AS s
