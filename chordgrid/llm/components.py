@@ -2,11 +2,38 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from chordgrid.llm.shared import files_for, written
 
+#: Up to so many edges (some MB) one task labels all nodes; beyond, steps over the whole table do.
+SMALL_EDGES = 250_000
+
+
+def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(node, comp) of all nodes of one task's edges (a, b)."""
+    ends = [[np.asarray(b.column(c)) for b in batch] for batch in [list(batches)] for c in ("a", "b")]
+    if not ends[0]:
+        return
+    node, at = np.unique(np.concatenate(ends[0] + ends[1]), return_inverse=True)
+    u, v = np.split(at, 2)
+    label = np.arange(len(node))
+    while True:
+        least = np.minimum(label[u], label[v])
+        new = label.copy()
+        np.minimum.at(new, label[u], least)
+        np.minimum.at(new, label[v], least)
+        new = new[new]
+        if (new == label).all():
+            break
+        label = new
+    yield pa.record_batch([pa.array(node), pa.array(node[label])], ["node", "comp"])
+
 
 def components(edges: DataFrame, folder: str, name: str = "cc") -> DataFrame:
     """(node, comp) of every node of (a, b): comp is the smallest node that edges lead to.

@@ -88,9 +88,9 @@ class Sets:
         return self.tokens[self.first[i] : self.first[i + 1]]
 
 
-def parity_bits(tokens: np.ndarray) -> bytes:
-    """A bit map of four to eight bits a token: each token flips one bit."""
-    size = 1 << int(np.clip(np.ceil(np.log2(max(1, 4 * len(tokens)))), 8, 17))
+def parity_bits(tokens: np.ndarray, wide: int = 4) -> bytes:
+    """A bit map of ``wide`` to twice as many bits a token: each token flips one bit."""
+    size = 1 << int(np.clip(np.ceil(np.log2(max(1, wide * len(tokens)))), 8, 17))
     return np.packbits(np.bincount((mix(tokens) & np.uint64(size - 1)).astype(np.int64), minlength=size) & 1, bitorder="little").tobytes()
 
 
@@ -288,25 +288,35 @@ class NgramJoin:
         classes = self.members.groupBy("node", "k2", "n").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "th")).alias("r"), F.max("keys").alias("keys"), F.max("bits").alias("bits"))
         classes = classes.where("n > 0").select("node", "n", "r.id", "r.th", "keys", "bits")
         self.classes = written(classes, self.folder, "classes")
+        # narrow tables have as many files as the index keys are worth
+        self.files = files_for(self.classes.agg(F.sum(F.size("keys"))).first()[0] or 0)
         keyed = self.classes.where(F.size("keys") > 0)
         self.nodes = keyed.select("node", "n", "id", "th", "bits")
         # a hot key's rows are reduced by partial aggregation and meet their center in a join that AQE splits
         rows = keyed.select("node", F.explode(F.array_distinct("keys")).alias("key"))
         least = rows.groupBy("key").agg(F.min("node").alias("center"), F.max("node").alias("most")).where("center < most").select("key", "center")
-        least = written(least, self.folder, "centers")
-        self.rows = written(rows.join(least.hint("merge"), "key").select("key", "node", "center"), self.folder, "stars")
+        least = written(least, self.folder, "centers", self.files)
+        self.rows = written(rows.join(least.hint("merge"), "key").select("key", "node", "center"), self.folder, "stars", self.files)
         tested = self.rows.where("node <> center").select(F.col("center").alias("a"), F.col("node").alias("b")).distinct()
         first = self._verified(self._checked(tested, "star"), "star")
+        self.links, self.labels = first, components(first, self.folder, "star_cc")
         # what the first comparison left apart meets other nodes of its keys' largest components
-        label = components(first, self.folder, "star_cc")
-        spread = written(self._spread(label).join(tested.hint("merge"), ["a", "b"], "left_anti"), self.folder, "spread_new")
+        rows, mixed = self._mixed("star")
+        if mixed.isEmpty():
+            return
+        spread = written(self._spread(rows).join(tested.hint("merge"), ["a", "b"], "left_anti"), self.folder, "spread_new", self.files)
         second = self._verified(self._checked(spread, "spread"), "spread")
-        # and what is still apart is compared all with all
         if not second.isEmpty():
-            label = components(first.union(second), self.folder, "spread_cc")
-        third = self._verified(self._across(label).join(tested.union(spread).hint("merge"), ["a", "b"], "left_anti"), "across")
-        self.links = first.union(second).union(third)
-        self.labels = label if third.isEmpty() else components(self.links, self.folder, "cc")
+            self.links = first.union(second)
+            self.labels = components(self.links, self.folder, "spread_cc")
+            rows, mixed = self._mixed("spread")
+            if mixed.isEmpty():
+                return
+        # and what is still apart is compared all with all
+        third = self._verified(self._across(rows, mixed).join(tested.union(spread).hint("merge"), ["a", "b"], "left_anti"), "across")
+        if not third.isEmpty():
+            self.links = self.links.union(third)
+            self.labels = components(self.links, self.folder, "cc")
 
     def _members(self) -> DataFrame:
         size = self.texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
@@ -334,9 +344,11 @@ class NgramJoin:
                     [piece.column("id"), piece.column("th"), pa.array(sets.size), pa.array(sets.k1.view(np.int64)), pa.array(sets.k2.view(np.int64)), lists, pa.array(maps, pa.binary())],
                     ["id", "th", "n", "k1", "k2", "keys", "bits"])
 
+        return written(texts.mapInArrow(keyed, self.member_schema()), self.folder, "members")
+
+    def member_schema(self) -> T.StructType:
         long = T.LongType()
-        made = T.StructType([self.texts.schema["id"], *(T.StructField(c, long) for c in ("th", "n", "k1", "k2")), T.StructField("keys", T.ArrayType(long)), T.StructField("bits", T.BinaryType())])
-        return written(texts.mapInArrow(keyed, made), self.folder, "members")
+        return T.StructType([self.texts.schema["id"], *(T.StructField(c, long) for c in ("th", "n", "k1", "k2")), T.StructField("keys", T.ArrayType(long)), T.StructField("bits", T.BinaryType())])
 
     def _named(self, members: DataFrame) -> DataFrame:
         """The members with ``node``, the number of their class: k1, or another hash where several sets share it."""
@@ -368,15 +380,18 @@ class NgramJoin:
         for side in "ab":
             own = self.nodes.select(F.col("node").alias(side), F.col("n").alias(f"n_{side}"), F.col("bits").alias(f"bits_{side}"))
             pairs = pairs.join(own.hint("merge"), side)
-        return written(pairs.mapInArrow(check_pairs, "a long, b long"), self.folder, f"{name}_checked")
+        return written(pairs.mapInArrow(check_pairs, "a long, b long"), self.folder, f"{name}_checked", self.files)
 
     def _verified(self, pairs: DataFrame, name: str) -> DataFrame:
         """The pairs that link, by their whole sets."""
-        pairs = written(pairs.select("a", "b"), self.folder, f"{name}_pairs")
+        if name == "across":
+            pairs = written(pairs.select("a", "b"), self.folder, f"{name}_pairs", self.files)
+        if pairs.isEmpty():
+            return pairs.select("a", "b")
         sets = self._sets(pairs.select(F.col("a").alias("node")).union(pairs.select("b")).distinct(), name, files_for(2 * pairs.count()))
         for side in "ab":
             pairs = pairs.join(sets.select(F.col("node").alias(side), F.col("set").alias(f"set_{side}")).hint("merge"), side)
-        return written(pairs.mapInArrow(verify_pairs, "a long, b long"), self.folder, f"{name}_links")
+        return written(pairs.mapInArrow(verify_pairs, "a long, b long"), self.folder, f"{name}_links", self.files)
 
     def _sets(self, needed: DataFrame, name: str, files: int | None = None) -> DataFrame:
         """(node, set) of some nodes: their sets as bytes, made anew from the texts."""
@@ -391,33 +406,31 @@ class NgramJoin:
 
         return written(texts.mapInArrow(whole_sets, "node long, set binary").dropDuplicates(["node"]), self.folder, f"{name}_sets")
 
-    def _mixed(self, label: DataFrame, name: str) -> tuple[DataFrame, DataFrame]:
-        """(key, node, comp) of the keys that several components share, and those keys with their rows."""
-        member = self.rows.select("key", "node").join(label.hint("merge"), "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
-        member = written(member, self.folder, f"{name}_members")
+    def _mixed(self, name: str) -> tuple[DataFrame, DataFrame]:
+        """(key, node, comp) of the keys that several components share, and those keys with their numbers of rows."""
+        member = self.rows.select("key", "node").join(self.labels.hint("merge"), "node", "left").select("key", "node", F.coalesce("comp", "node").alias("comp"))
+        member = written(member, self.folder, f"{name}_members", self.files)
         mixed = member.groupBy("key").agg(F.min("comp").alias("low"), F.max("comp").alias("high"), F.count("*").alias("size")).where("low < high")
-        mixed = written(mixed.select("key", "size"), self.folder, f"{name}_keys")
+        mixed = written(mixed.select("key", "size"), self.folder, f"{name}_keys", self.files)
         return member.join(mixed.hint("merge"), "key", "left_semi"), mixed
 
-    def _spread(self, label: DataFrame) -> DataFrame:
+    def _spread(self, rows: DataFrame) -> DataFrame:
         """Pairs (a, b): for each key's largest component (two nodes at least) and each other component of the
         key, a node of both. Up to SPREAD members, one for each hash, stand for the largest one."""
-        rows, _ = self._mixed(label, "spread")
-        groups = written(rows.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min("node").alias("node")), self.folder, "spread_groups")
+        groups = written(rows.groupBy("key", "comp").agg(F.count("*").alias("n"), F.min("node").alias("node")), self.folder, "spread_groups", self.files)
         main = groups.groupBy("key").agg(F.max(F.struct("n", "comp")).alias("m")).where("m.n > 1").select("key", F.col("m.comp").alias("main"))
-        main = written(main, self.folder, "spread_main")
+        main = written(main, self.folder, "spread_main", self.files)
         turn = lambda c: F.pmod(F.xxhash64("key", c), F.lit(SPREAD))
         stand = rows.join(main.hint("merge"), "key").where("comp = main").groupBy("key", turn("node").alias("turn")).agg(F.min("node").alias("stand"))
         others = groups.join(main.hint("merge"), "key").where("comp <> main").select("key", "node", turn("comp").alias("turn"))
-        both = others.join(written(stand, self.folder, "spread_stand").hint("merge"), ["key", "turn"])
+        both = others.join(stand.hint("merge"), ["key", "turn"])
         return both.select(F.least("node", "stand").alias("a"), F.greatest("node", "stand").alias("b")).distinct()
 
-    def _across(self, label: DataFrame) -> DataFrame:
+    def _across(self, rows: DataFrame, mixed: DataFrame) -> DataFrame:
         """Pairs of nodes that share a key but no component yet, and that may link."""
-        rows, mixed = self._mixed(label, "across")
         small = rows.join(mixed.where(F.col("size") <= BUCKET).hint("merge"), "key").select("key", F.lit(0).cast("long").alias("i"), F.lit(0).cast("long").alias("j"), "node", "comp", F.lit(0).cast("long").alias("side"))
         hot = rows.join(mixed.where(F.col("size") > BUCKET).hint("merge"), "key", "left_semi").select("node", "comp").distinct()
-        hot = written(hot, self.folder, "hot_nodes")
+        hot = written(hot, self.folder, "hot_nodes", self.files)
         if not hot.isEmpty():
             small = small.unionByName(self._segments(hot))
         rows = small.join(self.nodes.select("node", "n", "bits").hint("merge"), "node").select("key", "i", "j", "node", "comp", "n", "bits", "side")
@@ -445,15 +458,23 @@ class NgramJoin:
     def class_components(self) -> DataFrame:
         """(node, id, th, comp) of each class: its first row, and the node that names its component."""
         of = self.classes.select("node", "id", "th").join(self.labels.hint("merge"), "node", "left")
-        return written(of.select("node", "id", "th", F.coalesce("comp", "node").alias("comp")), self.folder, "class_comp")
+        return of.select("node", "id", "th", F.coalesce("comp", "node").alias("comp"))
 
     def components(self) -> DataFrame:
         """(id, th, n, component) of each row: the smallest id that links lead to."""
-        of = self.class_components()
+        of = written(self.class_components(), self.folder, "class_comp")
         least = of.groupBy("comp").agg(F.min("id").alias("component"))
         of = written(of.join(least.hint("merge"), "comp").select("node", "component"), self.folder, "class_component")
         return self.members.join(of.hint("merge"), "node", "left").select("id", "th", "n", F.when(F.col("n") == 0, F.col("id")).otherwise(F.col("component")).alias("component"))
 
+    def linked_rows(self) -> DataFrame:
+        """(id, th, component) of the rows whose component has another id than their own, once for each id and text."""
+        of = written(self.class_components(), self.folder, "class_comp")
+        least = of.groupBy("comp").agg(F.min("id").alias("component"))
+        of = of.join(least.hint("merge"), "comp").select("node", "component")
+        rows = self.members.where("n > 0").select("id", "th", "node").join(of.hint("merge"), "node")
+        return rows.where(~F.col("id").eqNullSafe(F.col("component"))).select("id", "th", "component").distinct()
+
     def first_rows(self) -> DataFrame:
         """(id, th) of the row with the smallest id of each component, a null id last, and of all rows
         without a shingle."""
