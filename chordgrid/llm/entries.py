@@ -6,7 +6,7 @@ import secrets
 
 from pyspark.sql import DataFrame, SparkSession
 
-from chordgrid.llm import (conversation_trie, exact_dedup, license_scan, line_dedup, mixing, ngram_join, pii_surrogates, quality_classifier,
+from chordgrid.llm import (conversation_trie, exact_dedup, fingerprints, license_scan, line_dedup, mixing, ngram_join, pii_surrogates, quality_classifier,
                            quality_rules, sentencepiece_codec, spelling, substring_dedup)
 
 
@@ -64,7 +64,11 @@ def op11_spelling(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_groups(documents(spark, sf_dir), spoil=spelling.SPOIL)
 
 
-QUERIES = {"op11_spelling": op11_spelling, "op13_conversation_trie": op13_conversation_trie, "op2_license_scan": op2_license_scan, "op4_pii_surrogates": op4_pii_surrogates, "op5_quality_classifier": op5_quality_classifier, "op1_sentencepiece": op1_sentencepiece, "op7_ngram_join": op7_ngram_join, "op9_substring_dedup": op9_substring_dedup, "op3_line_dedup": op3_line_dedup, "op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
+def op12_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
+QUERIES = {"op12_fingerprints": op12_fingerprints, "op11_spelling": op11_spelling, "op13_conversation_trie": op13_conversation_trie, "op2_license_scan": op2_license_scan, "op4_pii_surrogates": op4_pii_surrogates, "op5_quality_classifier": op5_quality_classifier, "op1_sentencepiece": op1_sentencepiece, "op7_ngram_join": op7_ngram_join, "op9_substring_dedup": op9_substring_dedup, "op3_line_dedup": op3_line_dedup, "op6_quality_rules": op6_quality_rules, "op8_mixing": op8_mixing, "op10_exact_dedup": op10_exact_dedup}
 
 ORACLES = {
     "op11_spelling": r"""
