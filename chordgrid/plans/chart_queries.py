@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from chordgrid.functions import scalars as S
@@ -12,11 +12,16 @@ from chordgrid.plans.views import Views
 from chordgrid.sources import charts as C
 
 
+def with_tabs(text: Column) -> Column:
+    """A chart or ini text with tabs at the start of its lines, round = and between its numbers."""
+    return F.regexp_replace(F.regexp_replace(F.regexp_replace(text, "(?m)^ *", "\t"), " ?= ?", "\t=\t "), "(=\\s+[A-Z]+) ", "$1\t ")
+
+
 def texts_of(v: Views) -> DataFrame:
-    """path, text: a whole chart for each song."""
+    """path, text: a whole chart for each song, every other one with tabs."""
     songs = v.table("supplier").select(F.col("s_suppkey").alias("song_id"), F.col("s_name").alias("name"), F.concat(F.lit("Artist "), "s_nationkey").alias("artist"))
     text = C.render_charts(songs, v.tempo, v.timesig, notes_of(v))
-    return text.select(F.col("song_id").cast("string").alias("path"), "text")
+    return text.select(F.col("song_id").cast("string").alias("path"), F.when(F.col("song_id") % 2 == 0, with_tabs(F.col("text"))).otherwise(F.col("text")).alias("text"))
 
 
 def parsed(v: Views) -> C.Charts:
@@ -74,7 +79,8 @@ def _(v):
              # the length by either name, the first one first; one that is no number counts as given
              F.when(k % 4 < 2, F.concat(F.lit("song_length_ms = "), k * 7)), F.when(k % 4 == 0, F.concat(F.lit("song_length = "), k * 10)).when(k % 4 == 2, F.lit("song_length = long")),
              F.when(k % 2 == 1, F.concat(F.lit("; note = c"), k))]
-    texts = cust.select(k.cast("string").alias("path"), F.concat_ws("\n", *lines).alias("text"))
+    text = F.concat_ws("\n", *lines)
+    texts = cust.select(k.cast("string").alias("path"), F.when(F.floor(k / 2) % 2 == 0, with_tabs(text)).otherwise(text).alias("text"))
     extra = lambda key, name: F.col("extra")[key].alias(name)
     return C.ini_metadata(C.numbered(texts)).select("song_id", "name", "artist", "genre", "charter", "year", "song_length_ms", "diff_guitar", "diff_bass", "pro_drums", "five_lane_drums", extra("other", "extra_key"), extra("name", "extra_name"), extra("; note", "noted"))
 
@@ -84,6 +90,7 @@ def _(v):
     k = F.col("s_suppkey")
     said = F.when(k % 3 == 0, "  Resolution = 480").when(k % 3 == 1, "  resolution = \"96\"\n  Resolution = none")
     text = F.concat_ws("\n", F.lit("[Song]\n{\n  Name = \"x\""), said, F.lit("}\n[SyncTrack]\n{\n  0 = TS 4\n  0 = B 120000"), F.concat(F.lit("  384 = B "), (90 + k % 5) * 1000), F.lit("}"))
+    text = F.when(F.floor(k / 3) % 2 == 0, with_tabs(text)).otherwise(text)
     return C.Charts(C.numbered(v.table("supplier").select(k.cast("string").alias("path"), text.alias("text")))).tempo().drop("ord")
 
 

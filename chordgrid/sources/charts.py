@@ -30,7 +30,16 @@ def read_lines(spark: SparkSession, path: str) -> DataFrame:
 
 def numbered(texts: DataFrame) -> DataFrame:
     """path, line_no, line of (path, text); ends of lines are trimmed."""
-    return texts.select("path", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line", F.rtrim(F.regexp_replace("line", r"\s+$", "")))
+    return texts.select("path", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line", F.regexp_replace("line", r"(?U)\s+$", ""))
+
+
+#: White space of any kind, tabs included.
+BLANK = r"(?U)\s+"
+
+
+def stripped(text: Column | str) -> Column:
+    """A text without white space at both ends."""
+    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
 
 
 def _word(text: Column) -> Column:
@@ -40,7 +49,7 @@ def _word(text: Column) -> Column:
 
 def sections(lines: DataFrame) -> DataFrame:
     """Lines with their section, lower-cased; header lines, a word in brackets, are left out."""
-    line = F.ltrim("line")
+    line = stripped("line")
     name = F.when(line.startswith("[") & line.contains("]"), _word(F.substring_index(F.substring(line, 2, 1 << 30), "]", 1)))
     order = Window.partitionBy("path").orderBy("line_no")
     tagged = lines.withColumn("header", F.lower(name))
@@ -48,10 +57,10 @@ def sections(lines: DataFrame) -> DataFrame:
 
 
 def assignments(lines: DataFrame) -> DataFrame:
-    """Lines with a = as ``name`` (what stands before the first one) and ``value``, both trimmed."""
+    """Lines with a = as ``name`` (what stands before the first one) and ``value``, both without white space at their ends."""
     name = F.substring_index("line", "=", 1)
     value = F.substring(F.col("line"), F.length(name) + 2, F.length("line"))
-    return lines.where(F.col("line").contains("=")).withColumns({"name": F.trim(name), "value": F.trim(value)})
+    return lines.where(F.col("line").contains("=")).withColumns({"name": stripped(name), "value": stripped(value)})
 
 
 def unquoted(text: Column) -> Column:
@@ -70,7 +79,7 @@ class Charts:
         pairs = assignments(sections(lines)).withColumnRenamed("path", "song_id")
         self.pairs = pairs.where("section = 'song'")
         tick = F.when(~F.substring("name", 1, 1).isin("+", "-"), F.col("name").try_cast("int"))
-        words = F.split("value", r"\s+")
+        words = F.split("value", BLANK)
         events = pairs.withColumns({"tick": tick, "kind": words[0], "args": F.transform(F.slice(words, 2, 3), lambda w: w.try_cast("int"))})
         self.events = events.where("tick is not null").select("song_id", "line_no", "section", "tick", "kind", "args", "value")
         tracks = lines.sparkSession.createDataFrame(list(TRACKS.items()), "section string, instrument string")  # 18 rows
@@ -86,8 +95,8 @@ class Charts:
     @staticmethod
     def _texts(events: DataFrame) -> DataFrame:
         """Text events with ``text``: what stands between quotes, or all of it."""
-        rest = F.ltrim(F.substring("value", 2, 1 << 30))
-        text = F.trim(F.substring_index(F.when(rest.startswith('"'), F.substring(rest, 2, 1 << 30)).otherwise(rest), '"', 1))
+        rest = stripped(F.substring("value", 2, 1 << 30))
+        text = stripped(F.substring_index(F.when(rest.startswith('"'), F.substring(rest, 2, 1 << 30)).otherwise(rest), '"', 1))
         return events.where("kind = 'E'").withColumn("text", text).where("text <> ''")
 
     def raw_notes(self) -> DataFrame:
@@ -149,7 +158,7 @@ def ini_metadata(lines: DataFrame) -> DataFrame:
     numbers become the default. Where the key itself is missing, its other name is asked. Times are named
     in milliseconds.
     """
-    pairs = assignments(lines.where(~F.ltrim("line").startswith("["))).select(F.col("path").alias("song_id"), F.lower("name").alias("k"), F.col("value").alias("v"), "line_no")
+    pairs = assignments(lines.where(~stripped("line").startswith("["))).select(F.col("path").alias("song_id"), F.lower("name").alias("k"), F.col("value").alias("v"), "line_no")
     last = pairs.groupBy("song_id", "k").agg(F.max_by("v", "line_no").alias("v"))
     maps = last.groupBy("song_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("m"))
 

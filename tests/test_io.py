@@ -197,3 +197,17 @@ def test_charts_are_encoded_as_they_come(spark, tmp_path):
     ST.encode_stream(ST.line_stream(spark, str(src)), encode, str(out), str(check)).awaitTermination()
     rows = {r["song_id"].rpartition("/")[2]: r["tokens"] for r in spark.read.parquet(str(out)).collect()}
     assert rows["one.chart"] == [1, 6, 4, 57, 123, 20, 4, 58, 123, 2] and rows["two.chart"][-3:] == [60, 123, 2]
+
+
+def test_tabs_and_other_blanks_in_charts_and_ini(spark):
+    chart = '\t[Song]\n{\n\tName\t=\t"Two words"\n\tResolution\t=\t480\n\xa0Artist = X \n}\n\t[SyncTrack]\n{\n\t0 =\tB\t120000\n\t0\t= TS\t3\t3\n}\n[ExpertSingle]\t\n{\n\t480 =\tN 1 0\n 960\t=\tN\t2\t\t48\n\t960\t= E\tsolo\n\t960\t= S\t2\t96\n}\n[Events]\n{\n\t0\t=\tE\t"section a"\n}\n'
+    charts = C.Charts(C.numbered(spark.createDataFrame([("p", chart)], "path string, text string")))
+    assert charts.header().first()["meta"] == {"name": "Two words", "resolution": "480", "artist": "X"}
+    assert [tuple(r)[1:] for r in charts.tempo().drop("ord").collect()] == [(0, 120.0, 480)]
+    assert [tuple(r)[1:] for r in charts.timesig().collect()] == [(0, 3, 8)]
+    assert sorted((r["tick"], r["pitch"], r["sustain"]) for r in charts.raw_notes().collect()) == [(480, 1, 0), (960, 2, 48)]
+    assert sorted((r["tick"], r["kind"], r["length"]) for r in charts.specials().collect()) == [(960, "solo", 0), (960, "star_power", 96)]
+    assert [(r["tick"], r["text"]) for r in charts.section_events().collect()] == [(0, "section a")]
+    ini = "\t[song]\nname\t=\tFoo bar\t\n\tyear\t= 2001\npro_drums\t=\tFalse\n"
+    row = C.ini_metadata(C.numbered(spark.createDataFrame([("p", ini)], "path string, text string"))).first()
+    assert (row["name"], row["year"], row["pro_drums"], set(row["extra"])) == ("Foo bar", 2001, False, {"name", "year", "pro_drums"})
