@@ -23,18 +23,27 @@ SCHEMA = T.StructType([
 ])
 
 
-def conform(df: DataFrame, schema: T.StructType = SCHEMA) -> DataFrame:
-    """The schema's columns in its order: missing ones are null, values that do not fit become null."""
+def _lost(before: Column, after: Column, kind: T.DataType) -> Column:
+    """Did a cast make something null that was there? Items of lists count."""
+    lost = before.isNotNull() & after.isNull()
+    if isinstance(kind, T.ArrayType):
+        lost = lost | F.coalesce(F.exists(F.zip_with(before, after, lambda x, y: _lost(x, y, kind.elementType)), lambda x: x), F.lit(False))
+    return lost
+
+
+def conform(df: DataFrame, schema: T.StructType = SCHEMA, failed: str = "cell", by: str | None = None) -> DataFrame:
+    """The schema's columns in its order; missing ones are null.
+
+    ``failed``: of values that do not fit, ``cell`` makes each of them null; ``column`` makes a column with one of
+    them null as a whole, in all rows or in each group of ``by`` (a file, say).
+    """
     have = {f.name: f.dataType for f in df.schema.fields}
-    cols = []
-    for f in schema.fields:
-        if f.name not in have:
-            cols.append(F.lit(None).cast(f.dataType).alias(f.name))
-        elif have[f.name] == f.dataType:
-            cols.append(F.col(f.name))
-        else:
-            cols.append(F.col(f.name).try_cast(f.dataType).alias(f.name))
-    return df.select(*cols)
+    casts = {f.name: F.col(f.name).try_cast(f.dataType) for f in schema.fields if f.name in have and have[f.name] != f.dataType}
+    if failed == "column" and casts:
+        lost = df.groupBy(*([F.col(by).alias("_by")] if by else [])).agg(F.struct(*[F.coalesce(F.bool_or(_lost(F.col(c), x, schema[c].dataType)), F.lit(False)).alias(c) for c, x in casts.items()]).alias("_lost"))
+        df = df.join(lost.hint("merge"), F.col(by).eqNullSafe(F.col("_by"))) if by else df.join(F.broadcast(lost))  # one row
+        casts = {c: F.when(~F.col("_lost")[c], x) for c, x in casts.items()}
+    return df.select(*[casts[f.name].alias(f.name) if f.name in casts else F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
 
 
 def missing_columns(df: DataFrame, required: list[str]) -> list[str]:

@@ -62,45 +62,106 @@ class HadoopFile(io.RawIOBase):
         super().close()
 
 
+#: What a footer says of a column: its type, and of all row groups together rows, nulls, least and greatest value
+#: (as text; null where the file does not say, and for nested columns) and bytes. An unreadable file has the type
+#: ``unreadable``; rows of a file without columns have no column.
+FOOTER = "file string, column string, type string, rows long, nulls long, low string, high string, bytes long"
+
+
 def footer_rows(name: str, file: pa.NativeFile) -> list[tuple]:
-    """(file, column, type) of an open Parquet file: only its footer is read."""
+    """FOOTER rows of an open Parquet file: only its footer is read."""
     with file:
         try:
-            return [(name, f.name, str(f.type)) for f in pq.read_schema(file)]
-        except pa.ArrowInvalid:
-            return [(name, None, "unreadable")]
-
-
-def footer_schemas(spark: SparkSession, path: str, names: str = "*.parquet") -> DataFrame:
-    """file, column, type as each Parquet file's own footer has them; of an unreadable one, the type says so.
+            meta = pq.ParquetFile(file).metadata
+            schema = meta.schema.to_arrow_schema()
+        except (pa.ArrowInvalid, OSError):
+            return [(name, None, "unreadable", *[None] * 5)]
+    found = {f.name: [0, 0, None, None, True, True] for f in schema}
+    for g in range(meta.num_row_groups):
+        group = meta.row_group(g)
+        for k in range(group.num_columns if group.num_rows else 0):
+            chunk = group.column(k)
+            column = chunk.path_in_schema.split(".")[0] if chunk.path_in_schema not in found else chunk.path_in_schema
+            one = found[column]
+            one[0] += chunk.total_compressed_size
+            stats = chunk.statistics if chunk.path_in_schema == column else None
+            one[4] &= stats is not None and stats.has_null_count
+            one[5] &= stats is not None and (stats.has_min_max or stats.null_count == group.num_rows)
+            if one[4]:
+                one[1] += stats.null_count
+            if one[5] and stats.has_min_max:
+                one[2] = stats.min if one[2] is None else min(one[2], stats.min)
+                one[3] = stats.max if one[3] is None else max(one[3], stats.max)
+    text = lambda x: x.hex() if isinstance(x, bytes) else None if x is None else str(x)
+    rows = [(name, f.name, str(f.type), meta.num_rows, *(lambda size, nulls, low, high, counted, bounded: (nulls if counted else None, text(low) if bounded else None, text(high) if bounded else None, size))(*found[f.name])) for f in schema]
+    return rows or [(name, None, None, meta.num_rows, *[None] * 4)]
+
+
+#: Files up to this size of a file system that only the JVM opens are read whole by tasks; larger ones have
+#: their footers read by the driver.
+WHOLE_BYTES = 1 << 29
+
+
+def footer_stats(spark: SparkSession, path: str, names: str = "*.parquet") -> DataFrame:
+    """FOOTER rows of a folder's Parquet files, by their own footers; no page of data is read.
 
     Tasks open the files and read the footers alone, whatever the files' size. On a file system that
-    pyarrow cannot open, the driver reads them through Hadoop, one small read after the other.
+    pyarrow cannot open, tasks get whole files from Spark's own reader.
     """
-    made = "file string, column string, type string"
-    files = spark.read.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", "true").load(path).select("path", "length")
-    files = files.withColumn("scheme", F.substring_index("path", ":", 1))
+    files = spark.read.format("binaryFile").option("pathGlobFilter", names).option("recursiveFileLookup", "true").load(path)
+    schemes = files.select(F.substring_index("path", ":", 1).alias("scheme"), "path").groupBy("scheme").agg(F.min("path").alias("path")).collect()
     foreign = []
-    for r in files.groupBy("scheme").agg(F.min("path").alias("path")).collect():
+    for r in schemes:
         try:
             open_seekable(r["path"]).close()
         except (OSError, pa.ArrowException):
             foreign.append(r["scheme"])
 
-    def footers(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def rows_of(rows: list[tuple]) -> pa.RecordBatch:
+        kinds = [pa.string()] * 3 + [pa.int64()] * 2 + [pa.string()] * 2 + [pa.int64()]
+        return pa.record_batch([pa.array([x[k] for x in rows], t) for k, t in enumerate(kinds)], [x.split(" ")[0] for x in FOOTER.split(", ")])
+
+    def by_name(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            yield rows_of([x for name in batch.column("path").to_pylist() for x in footer_rows(name, open_seekable(name))])
+
+    def by_content(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [x for name in batch.column("path").to_pylist() for x in footer_rows(name, open_seekable(name))]
-            yield pa.record_batch([pa.array([x[k] for x in rows], pa.string()) for k in range(3)], ["file", "column", "type"])
+            for k in range(batch.num_rows):
+                yield rows_of(footer_rows(batch.column("path")[k].as_py(), pa.BufferReader(batch.column("content")[k].as_buffer())))
 
-    mine = files.where(~F.col("scheme").isin(foreign)).select("path")
-    out = mine.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path").mapInArrow(footers, made)
+    apart = F.substring_index("path", ":", 1).isin(foreign)
+    out = files.where(~apart).select("path").repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), "path").mapInArrow(by_name, FOOTER)
     if foreign:
-        others = files.where(F.col("scheme").isin(foreign)).toLocalIterator()
-        rows = [x for r in others for x in footer_rows(r["path"], pa.PythonFile(HadoopFile(spark, r["path"], r["length"]), "r"))]
-        out = out.unionByName(spark.createDataFrame(rows, made))
+        out = out.unionByName(files.where(apart & (F.col("length") <= WHOLE_BYTES)).select("path", "content").mapInArrow(by_content, FOOTER))
+        large = files.where(apart & (F.col("length") > WHOLE_BYTES)).select("path", "length").toLocalIterator()
+        rows = [x for r in large for x in footer_rows(r["path"], pa.PythonFile(HadoopFile(spark, r["path"], r["length"]), "r"))]
+        if rows:
+            out = out.unionByName(spark.createDataFrame(rows, FOOTER))
     return out
 
 
+def footer_schemas(spark: SparkSession, path: str, names: str = "*.parquet") -> DataFrame:
+    """file, column, type as each Parquet file's own footer has them; of an unreadable one, the type says so."""
+    return footer_stats(spark, path, names).where("type is not null").select("file", "column", "type")
+
+
+def footer_census(stats: DataFrame) -> DataFrame:
+    """column, files, rows, nulls, ratio, low, high, bytes of a set of shards, from FOOTER rows alone.
+
+    ``nulls`` is null where a file that has the column does not count them; a file that lacks it counts all its
+    rows as nulls. Bounds are least and greatest by text for text, by number for numbers.
+    """
+    good = stats.where("column is not null")
+    total = stats.groupBy("file").agg(F.max("rows").alias("n")).agg(F.sum("n").alias("all_rows"))
+    number = F.col("type").rlike("^(u?int|float|double|decimal)")
+    key = lambda c: F.when(F.col(c).isNotNull(), F.struct(F.when(number, F.col(c).try_cast("double")).alias("x"), F.col(c).alias("t")))
+    rows = good.groupBy("column").agg(F.countDistinct("file").alias("files"), F.sum("rows").alias("rows"), F.sum("nulls").alias("nulls"), F.count_if(F.col("nulls").isNull()).alias("unknown"), F.min(key("low")).alias("low"), F.max(key("high")).alias("high"), F.sum("bytes").alias("bytes"))
+    nulls = F.when(F.col("unknown") == 0, F.col("nulls") + F.col("all_rows") - F.col("rows"))
+    both = rows.join(F.broadcast(total))  # one row
+    return both.select("column", "files", "rows", nulls.alias("nulls"), F.try_divide(nulls, F.col("all_rows")).alias("ratio"), F.col("low.t").alias("low"), F.col("high.t").alias("high"), "bytes")
+
+
 def schema_diff(found: DataFrame, wanted: DataFrame | T.StructType) -> DataFrame:
     """file, column, issue (MISSING / EXTRA / TYPE), found and wanted type; names of list items do not count.
 

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chordgrid.functions import scalars as S
-from chordgrid.operators import dataset as D, drift, filters, frames as FR, midi as M, notes as N, quality as Q
+from chordgrid.operators import dataset as D, drift, filters, frames as FR, midi as M, notes as N, quality as Q, repair as R
 from chordgrid.plans.catalog import query
 from chordgrid.plans.core_queries import grid_of, notes_of, sequences_of
 from chordgrid.plans.views import Views, sql_hash
+from chordgrid.sources.folders import Folder, scratch_folder
 
 _r = lambda c, n=6: F.round(c, n).alias(c)
 
@@ -290,3 +292,50 @@ def _(v):
 def _(v):
     sums = v.table("lineitem").cube("l_suppkey", "l_returnflag").agg(F.sum("l_partkey").alias("n"))
     return sums.select("l_suppkey", "l_returnflag", D.size_label(F.col("n")).alias("size"))
+
+
+#: The schema that the shards below are brought to.
+_PART = "p_partkey bigint, p_name string, p_size int, p_retailprice double, tags array<int>"
+
+
+def mixed_shards(v: Views) -> str:
+    """A folder of four shards of ``part``: one as it should be, one that says sizes in words here and there, one
+    without names and with a column too many, and one with other types."""
+    spark, root = v.spark, scratch_folder(v.spark)
+    k = F.col("p_partkey")
+    rows = v.table("part").select("p_partkey", "p_name", "p_size", "p_retailprice", F.array((k % 5).cast("int"), (k % 3).cast("int")).alias("tags"))
+    parts = [
+        rows,
+        rows.withColumn("p_size", F.when(k % 9 == 1, "large").otherwise(F.col("p_size").cast("string"))),
+        rows.drop("p_name").withColumn("note", F.lit("x")),
+        rows.select(F.col("tags").cast("array<string>").alias("tags"), F.col("p_retailprice").cast("string").alias("p_retailprice"), k.cast("int").alias("p_partkey"), "p_name", F.col("p_size").cast("double").alias("p_size")),
+    ]
+    for i, part in enumerate(parts):
+        part.where(k % 4 == i).repartition(1).sortWithinPartitions("p_partkey").write.parquet(f"{root}/tmp{i}")
+        folder = Folder(spark, root)
+        folder.replace(f"tmp{i}/" + next(n for n in folder.names(f"tmp{i}") if n.startswith("part-")), f"train-{i:05d}.parquet")
+        folder.delete(f"tmp{i}")
+    return root
+
+
+@query("c4_repair_plan", """SELECT * FROM (VALUES ('train-00001.parquet', 'p_size', 'cast', 'string', 'int32'), ('train-00002.parquet', 'p_name', 'add', NULL, 'string'), ('train-00002.parquet', 'note', 'drop', 'string', NULL),
+('train-00003.parquet', 'p_partkey', 'cast', 'int32', 'int64'), ('train-00003.parquet', 'p_size', 'cast', 'double', 'int32'), ('train-00003.parquet', 'p_retailprice', 'cast', 'string', 'double'), ('train-00003.parquet', 'tags', 'cast', 'list<item: string>', 'list<item: int32>')) t(file, "column", action, found, wanted) WHERE (SELECT count(*) FROM part) > 0""")
+def _(v):
+    return R.repair_plan(v.spark, mixed_shards(v), "train", T.StructType.fromDDL(_PART))
+
+
+@query("c4_repaired_shards", """SELECT 'train-0000' || p_partkey % 4 || '.parquet' AS file, row_number() OVER (PARTITION BY p_partkey % 4 ORDER BY p_partkey) - 1 AS place, p_partkey, CASE WHEN p_partkey % 4 <> 2 THEN p_name END AS p_name,
+CASE WHEN p_partkey % 4 <> 1 THEN p_size END AS p_size, p_retailprice, p_partkey % 5 || ',' || p_partkey % 3 AS tags, CASE WHEN p_partkey % 4 = 0 THEN 'ok' ELSE 'repaired' END AS status FROM part""")
+def _(v):
+    """One size that is no number empties the whole column of its shard; row order and file names stay."""
+    root, schema = mixed_shards(v), T.StructType.fromDDL(_PART)
+    report = R.repair_shards(v.spark, root, "train", schema, failed="column")
+    rows = v.spark.read.schema(schema).parquet(root).select("*", F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("place"))
+    return rows.join(report.select("file", "status").hint("merge"), "file").select("file", "place", "p_partkey", "p_name", "p_size", "p_retailprice", F.array_join(F.col("tags").cast("array<string>"), ",").alias("tags"), "status")
+
+
+@query("a20_footer_census", "SELECT 'c_custkey' AS \"column\", count(*) AS rows, count(*) - count(c_custkey) AS nulls, CAST(min(c_custkey) AS VARCHAR) AS low, CAST(max(c_custkey) AS VARCHAR) AS high FROM customer UNION ALL SELECT 'c_nationkey', count(*), count(*) - count(c_nationkey), CAST(min(c_nationkey) AS VARCHAR), CAST(max(c_nationkey) AS VARCHAR) FROM customer UNION ALL SELECT 'c_mktsegment', count(*), count(*) - count(c_mktsegment), min(c_mktsegment), max(c_mktsegment) FROM customer")
+def _(v):
+    """Rows, nulls and bounds of a table's columns from its footers alone."""
+    stats = Q.footer_stats(v.spark, v.dir, "customer.parquet")
+    return Q.footer_census(stats).where(F.col("column").isin("c_custkey", "c_nationkey", "c_mktsegment")).select("column", "rows", "nulls", "low", "high")
