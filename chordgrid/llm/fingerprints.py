@@ -207,7 +207,7 @@ def in_order(texts: DataFrame, folder: str) -> DataFrame:
     size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     ranges = max(shuffle_width(texts.sparkSession), -(-size // RANGE_BYTES))
     order = [F.col("id").asc_nulls_last(), F.col("th")]
-    result = T.StructType([field, T.StructField("th", long), *T._parse_datatype_string(_ROW)])
+    result = T.StructType([field, T.StructField("th", long), *T.StructType.fromDDL(_ROW)])
     made = T.StructType([*result, T.StructField("edge", long), T.StructField("place", long), T.StructField("data", T.BinaryType())])
     dealt = packs.repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     found = written(dealt.mapInArrow(range_rows, made), folder, "ranges")
