@@ -14,6 +14,8 @@ STRATA = ["guitar", "bass", "drums"]
 BUCKETS = 4096
 #: Ranges of values that a group is ranked in.
 RANGES = 64
+#: Rows that choose where a range is cut.
+CUT_SAMPLE = 100
 
 
 def hashed(seed: int, *key: str) -> Column:
@@ -42,7 +44,7 @@ def first_by_hash(rows: DataFrame, group: list[str], key: list[str], quota: Colu
     return ranked.select(*rows.columns, "_first")
 
 
-def value_range(column: Column, cuts: list[float]) -> Column:
+def value_range(column: Column, cuts: list) -> Column:
     """How many of the sorted cuts are at most the column's value: a tree of comparisons."""
     def below(a: int, b: int) -> Column:
         if a == b:
@@ -53,16 +55,25 @@ def value_range(column: Column, cuts: list[float]) -> Column:
     return below(0, len(cuts))
 
 
+def cut_points(rows: DataFrame, order: list[str], ranges: int) -> list[Column]:
+    """Values of the whole order key, as structs, that cut rows into about ``ranges`` even parts. Keys come from
+    ``CUT_SAMPLE`` rows for each range, the first by a hash; where rows are cut decides no result."""
+    key = [F.col(c) for c in order]
+    some = rows.select(*order).orderBy(F.xxhash64(*key), *key).limit(ranges * CUT_SAMPLE).collect()
+    kinds = {c: rows.schema[c].dataType for c in order}
+    some = sorted(map(tuple, some), key=lambda r: [(x is not None, x) for x in r])
+    found = [some[len(some) * i // ranges] for i in range(1, ranges)] if len(some) >= ranges else some
+    return [F.struct(*[F.lit(x).cast(kinds[c]).alias(c) for c, x in zip(order, r)]) for r in dict.fromkeys(found)]
+
+
 def ranked(rows: DataFrame, by: list[str], order: list[str], ranges: int = RANGES) -> DataFrame:
-    """rows with ``rank`` (from 1, by ``order``, whose first column is a number) and ``n`` in their group, as
-    row_number() and count() give them.
+    """rows with ``rank`` (from 1, by ``order``) and ``n`` in their group, as row_number() and count() give them.
 
-    Quantiles of the first column cut all rows into ranges; ranges are counted by group, and rows are
-    numbered within their range, so a group is sorted in as many tasks as it has ranges.
+    Cuts on the whole order key deal all rows to ranges; ranges are counted by group, and rows are numbered
+    within their range, so a group is sorted in as many tasks as it has ranges, however many rows tie in
+    the first columns. Columns of the order are of types that compare in Spark as in Python (no NaN).
     """
-    first = order[0]
-    found = rows.agg(F.percentile_approx(F.col(first).cast("double"), [i / ranges for i in range(1, ranges)], 10_000)).first()[0]
-    own = rows.withColumn("_range", F.when(F.col(first).isNull(), -1).otherwise(value_range(F.col(first).cast("double"), sorted(set(found or [])))))
+    own = rows.withColumn("_range", value_range(F.struct(*order), cut_points(rows, order, ranges)))
     every = Window.partitionBy(*[f"_g{i}" for i in range(len(by))]) if by else Window.partitionBy(F.lit(1))  # ranges, not rows
     sizes = own.groupBy(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(by)], F.col("_range").alias("_r")).agg(F.count("*").alias("_c"))
     sizes = sizes.withColumn("n", F.sum("_c").over(every)).withColumn("_before", F.coalesce(F.sum("_c").over(every.orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))

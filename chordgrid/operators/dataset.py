@@ -2,11 +2,16 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chordgrid.operators.batching import RANGES, cut_points, value_range
+from chordgrid.sources.folders import scratch_folder
+
 _A = T.ArrayType
 #: Columns and types of the wide row, one for each song and instrument.
 SCHEMA = T.StructType([
@@ -94,21 +99,113 @@ def with_stems(songs: DataFrame, files: DataFrame, base: str) -> DataFrame:
     return songs.join(stems.hint("merge"), "song_id", "left").withColumn("has_stem", F.coalesce("has_stem", F.lit(False)))
 
 
-def with_shards(rows: DataFrame, size: str, limit: int, by: str, order: str, prefix: str = "train", part: Column | None = None, first: int = 0) -> DataFrame:
-    """rows with ``shard``: running bytes within ``by`` over the limit, rows never split; numbers go on from
-    ``first``.
+#: A block of the running sum is so many shards long.
+BLOCK_SHARDS = 64
+
+
+def with_shards(rows: DataFrame, size: str, limit: int, by: str, order: str | list[str], prefix: str = "train", part: Column | None = None, first: int = 0) -> DataFrame:
+    """rows with ``shard``: within ``by``, rows go into a shard in their order until its bytes reach the limit, the next
+    row begins a new one with an empty count. Numbers go on from ``first``; ``order`` is a full order of rows.
 
-    ``part`` grows with ``order`` (as a day grows with a time): bytes are then added up by part first, and
-    within a part by row, so no task holds a whole split.
+    Each cut depends on the one before, so blocks of the running sum first work out, for every row that may begin
+    a shard at their start, where the chain of cuts leaves them; a walk over the blocks then joins these,
+    and blocks list their cuts. A task holds the sizes of one block, never a split. ``part``, where given, grows
+    with ``order`` (as a day grows with a time) and deals rows out for the running sum; without it cuts of
+    the order do.
     """
-    own = rows.withColumn("_part", F.lit(0) if part is None else part)
+    order = [order] if isinstance(order, str) else order
+    own = rows.withColumn("_part", value_range(F.struct(*order), cut_points(rows, order, RANGES)) if part is None else part)
     upto = lambda *c: Window.partitionBy(*c).rowsBetween(Window.unboundedPreceding, -1)
     parts = own.groupBy(F.col(by).alias("_by"), F.col("_part").alias("_p")).agg(F.sum(size).alias("_s"))
-    parts = parts.select("_by", "_p", F.coalesce(F.sum("_s").over(upto("_by").orderBy("_p")), F.lit(0)).alias("_before"))
+    parts = parts.select("_by", "_p", F.coalesce(F.sum("_s").over(upto("_by").orderBy("_p")), F.lit(0)).alias("_start"))
     both = own.join(parts.hint("merge"), F.col(by).eqNullSafe(F.col("_by")) & F.col("_part").eqNullSafe(F.col("_p")))
-    bytes_ = F.col("_before") + F.coalesce(F.sum(size).over(upto(by, "_part").orderBy(order)), F.lit(0))
-    out = both.withColumn("shard", (F.floor(bytes_ / limit) + first).cast("int")).select(*rows.columns, "shard")
-    return out.withColumn("shard_name", F.format_string(prefix + "-%05d.parquet", "shard"))
+    before = (F.col("_start") + F.coalesce(F.sum(size).over(upto(by, "_part").orderBy(*order)), F.lit(0))).cast("long")
+    folder = scratch_folder(rows.sparkSession)
+    both.select(*rows.columns, before.alias("_before")).write.parquet(f"{folder}/placed")
+    placed = rows.sparkSession.read.parquet(f"{folder}/placed")
+    cuts = shard_cuts(placed.select(F.col(by).alias("by"), F.col("_before").alias("before"), (F.col("_before") + F.coalesce(F.col(size), F.lit(0))).alias("after")), limit, folder)
+    cuts = cuts.withColumnsRenamed({"by": "_by", "block": "_block"})
+    block = F.floor(F.col("_before") / (limit * BLOCK_SHARDS))
+    own = placed.withColumn("_b", block).join(cuts.hint("merge"), F.col(by).eqNullSafe(F.col("_by")) & (F.col("_b") == F.col("_block")), "left")
+    shard = F.coalesce(F.col("earlier"), F.lit(0)) + F.coalesce(F.size(F.filter("cuts", lambda c: c <= F.col("_before"))), F.lit(0)) + first
+    return own.select(*rows.columns, shard.cast("int").alias("shard")).withColumn("shard_name", F.format_string(prefix + "-%05d.parquet", "shard"))
+
+
+def block_exits(key: tuple, rows: pd.DataFrame, limit: int, wide: int) -> pd.DataFrame:
+    """Of a block's rows and those that its last shard may reach: (entry, exit) for every cut that may be the block's first."""
+    end = (int(key[1]) + 1) * wide
+    rows = rows.sort_values(["after", "before"], kind="stable")
+    before, after = rows["before"].to_numpy(), rows["after"].to_numpy()
+    inside = after < end
+    n = int(inside.sum())
+    # walk back: a place whose next cut lies beyond the block leaves it there
+    following = np.searchsorted(after, after[:n] + limit, "left")
+    exits = np.full(n, -1, np.int64)
+    for i in range(n - 1, -1, -1):
+        j = following[i]
+        exits[i] = (after[j] if j < len(after) else -1) if j >= n else exits[j]
+    first = before[:n] < end - wide + limit
+    out = pd.DataFrame({"entry": after[:n][first], "exit": exits[first]}).drop_duplicates("entry", keep="last")
+    return out.assign(by=key[0], block=key[1])[["by", "block", "entry", "exit"]]
+
+
+def block_cuts(key: tuple, rows: pd.DataFrame, limit: int, wide: int) -> pd.DataFrame:
+    """Of a block's rows, with the block's first cut in ``entry``: all its cuts."""
+    end = (int(key[1]) + 1) * wide
+    after = np.sort(rows["after"].to_numpy())
+    cut, cuts = int(rows["entry"].iloc[0]), []
+    while cut < end:
+        cuts.append(cut)
+        j = np.searchsorted(after, cut + limit, "left")
+        if j == len(after):
+            break
+        cut = int(after[j])
+    return pd.DataFrame({"by": [key[0]], "block": [key[1]], "cuts": [cuts]})
+
+
+def walk_blocks(key: tuple, rows: pd.DataFrame, wide: int) -> pd.DataFrame:
+    """Of (block, entry, exit) of one split: (block, entry) of the chain that begins at its first cut."""
+    at = {(b, e): x for b, e, x in rows[["block", "entry", "exit"]].itertuples(index=False)}
+    cut, out = int(rows["start"].iloc[0]), []
+    while cut >= 0:
+        block = cut // wide
+        out.append((block, cut))
+        cut = at.get((block, cut), -1)
+    return pd.DataFrame(out, columns=["block", "entry"]).assign(by=key[0])[["by", "block", "entry"]]
+
+
+def shard_cuts(places: DataFrame, limit: int, folder: str) -> DataFrame:
+    """by, block, cuts, earlier of (by, before, after): the places where shards end, block by block of the running sum,
+    and how many lie in earlier blocks. One task walks over a split's blocks; it gets the rows within one
+    ``limit`` of each block's start."""
+    spark, wide = places.sparkSession, limit * BLOCK_SHARDS
+    kind = places.schema["by"].dataType.simpleString()
+    block = F.floor(F.col("after") / wide)
+    # a row is also in sight of the block before, where a shard that begins there may end with it
+    back = F.greatest(F.lit(0), F.floor((F.col("before") - limit) / wide))
+    seen = places.withColumn("block", F.explode(F.sequence(F.least(back, block), block)))
+    seen.write.parquet(f"{folder}/seen")
+    seen = spark.read.parquet(f"{folder}/seen")
+    exits = seen.groupBy("by", "block").applyInPandas(lambda key, rows: block_exits(key, rows, limit, wide), f"by {kind}, block long, entry long, exit long")
+    exits.write.parquet(f"{folder}/exits")
+    exits = spark.read.parquet(f"{folder}/exits")
+    # the first cut: where the first shard's bytes reach the limit
+    start = places.where(F.col("after") >= limit).groupBy("by").agg(F.min("after").alias("start"))
+    start = start.withColumnRenamed("by", "_by")
+    walk = start.join(exits.hint("merge"), F.col("_by").eqNullSafe(F.col("by")), "left").select(F.col("_by").alias("by"), "block", "entry", "exit", "start")
+    entries = walk.fillna(-1, ["block", "entry", "exit"]).groupBy("by").applyInPandas(lambda key, rows: walk_blocks(key, rows, wide), f"by {kind}, block long, entry long")
+    entries.write.parquet(f"{folder}/entries")
+    entries = spark.read.parquet(f"{folder}/entries").withColumnsRenamed({"by": "_by", "block": "_block"})
+    of = seen.join(entries.hint("merge"), F.col("by").eqNullSafe(F.col("_by")) & (F.col("block") == F.col("_block"))).select("by", "block", "after", "entry")
+    cuts = of.groupBy("by", "block").applyInPandas(lambda key, rows: block_cuts(key, rows, limit, wide), f"by {kind}, block long, cuts array<long>")
+    cuts.write.parquet(f"{folder}/cuts")
+    cuts = spark.read.parquet(f"{folder}/cuts")
+    # blocks without a cut still need the number of cuts before them
+    blocks = places.select("by", F.floor(F.col("before") / wide).alias("block")).distinct()
+    named = cuts.withColumnsRenamed({"by": "_by", "block": "_block"})
+    every = blocks.union(cuts.select("by", "block")).distinct().join(named.hint("merge"), F.col("by").eqNullSafe(F.col("_by")) & (F.col("block") == F.col("_block")), "left").select("by", "block", "cuts")
+    earlier = F.sum(F.coalesce(F.size("cuts"), F.lit(0))).over(Window.partitionBy("by").orderBy("block").rowsBetween(Window.unboundedPreceding, -1))  # blocks, not rows
+    return every.withColumn("earlier", F.coalesce(earlier, F.lit(0)))
 
 
 def size_label(n: Column) -> Column:
@@ -152,7 +249,7 @@ def next_shard(spark: SparkSession, path: str, prefix: str = "train") -> int:
     return 0 if last is None else last + 1
 
 
-def append_shards(rows: DataFrame, path: str, size: str, limit: int, by: str, order: str, prefix: str = "train", part: Column | None = None, **options) -> None:
+def append_shards(rows: DataFrame, path: str, size: str, limit: int, by: str, order: str | list[str], prefix: str = "train", part: Column | None = None, **options) -> None:
     """Adds rows to a dataset as new shards, numbered on from those that are there."""
     first = next_shard(rows.sparkSession, path, prefix)
     write_shards(with_shards(rows, size, limit, by, order, prefix, part, first), path, mode="append", **options)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.ml.functions import array_to_vector, vector_to_array
+from pyspark.ml.stat import Summarizer
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -28,10 +30,19 @@ def beat_frames(beats: DataFrame, frames: DataFrame, rate: float, window=shared_
 
 
 def mean_vectors(rows: DataFrame, keys: list[str], vec: str = "vec") -> DataFrame:
-    """keys.., vec: the mean vector of each group, dimension by dimension, with partial sums before the shuffle."""
-    long = rows.select(*keys, F.posexplode(vec).alias("dim", "x"))
-    means = long.groupBy(*keys, "dim").agg(F.avg(F.col("x").cast("double")).alias("m"))
-    return means.groupBy(*keys).agg(F.transform(F.array_sort(F.collect_list(F.struct("dim", "m"))), lambda e: e["m"]).alias(vec))
+    """keys.., vec: the mean vector of each group. Whole vectors go into partial means before the shuffle, so a
+    frame is one row and a group sends one vector from each task.
+
+    A group's vectors of several sizes are averaged dimension by dimension over those that have it. Null vectors
+    and vectors with a null item do not count; a group of none but those has no row.
+    """
+    whole = rows.where(F.size(vec) > 0).where(~F.exists(vec, lambda x: x.isNull()))
+    sized = whole.groupBy(*keys, F.size(vec).alias("_size")).agg(F.count("*").alias("_n"), vector_to_array(Summarizer.mean(array_to_vector(vec))).alias("_mean"))
+    # one entry for each size that a group has: one, as a rule
+    sizes = sized.groupBy(*keys).agg(F.collect_list(F.struct("_size", "_n", "_mean")).alias("_m"))
+    share = lambda i, of: F.aggregate("_m", F.lit(0.0), lambda a, m: a + F.when(m["_size"] > i, of(m, i)).otherwise(0.0))
+    mixed = F.transform(F.sequence(F.lit(0), F.array_max(F.transform("_m", lambda m: m["_size"])) - 1), lambda i: share(i, lambda m, k: m["_n"] * m["_mean"][k]) / share(i, lambda m, k: m["_n"].cast("double")))
+    return sizes.select(*keys, F.when(F.size("_m") == 1, F.col("_m")[0]["_mean"]).otherwise(mixed).alias(vec))
 
 
 def pool_beats(beats: DataFrame, frames: DataFrame, rate: float, dim: int, window=shared_window, by: str = "song_id") -> DataFrame:

@@ -112,7 +112,9 @@ def _(v):
     return D.conform(part).select("song_id", "song_name", "year", "difficulty", "artist")
 
 
-@query("k2_shards", "SELECT l_suppkey, l_orderkey, l_linenumber, CAST(floor(coalesce(sum(l_linenumber * (3072 + 16384) + l_partkey * 4 + 512) OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) / 1000000) AS INT) AS shard FROM lineitem")
+@query("k2_shards", """WITH RECURSIVE r AS (SELECT l_suppkey, l_orderkey, l_linenumber, l_linenumber * (3072 + 16384) + l_partkey * 4 + 512 AS size, row_number() OVER (PARTITION BY l_suppkey ORDER BY l_orderkey, l_linenumber, l_partkey) AS i FROM lineitem),
+g AS (SELECT *, 0 AS shard, size AS held FROM r WHERE i = 1 UNION ALL SELECT r.*, CASE WHEN held >= 1000000 THEN shard + 1 ELSE shard END, CASE WHEN held >= 1000000 THEN r.size ELSE held + r.size END FROM g JOIN r ON r.l_suppkey = g.l_suppkey AND r.i = g.i + 1)
+SELECT l_suppkey, l_orderkey, l_linenumber, shard FROM g""")
 def _(v):
     rows = v.table("lineitem").withColumn("size", S.row_bytes(F.col("l_linenumber"), F.col("l_partkey"))).withColumn("at", F.struct("l_orderkey", "l_linenumber", "l_partkey"))
     return D.with_shards(rows, "size", 1_000_000, "l_suppkey", "at", part=F.floor(F.col("l_orderkey") / 1000)).select("l_suppkey", "l_orderkey", "l_linenumber", "shard")

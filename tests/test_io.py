@@ -1,6 +1,7 @@
 """Files in and out, streams, and shard reports."""
 
 import json
+import random
 
 import pyarrow as pa
 import pyarrow.parquet as pq
@@ -138,11 +139,32 @@ def test_appended_shards_go_on_numbering(spark, wide, tmp_path):
     assert names == [f"train-{i:05d}.parquet" for i in range(8)] and back.count() == 80
 
 
-def test_shards_by_parts_are_those_of_one_running_sum(spark):
-    rows = spark.range(500).select("id", (F.col("id") % 3).alias("split"), (F.col("id") * 37 % 11 + 1).alias("bytes"))
-    plain = D.with_shards(rows, "bytes", 40, "split", "id").collect()
-    parted = D.with_shards(rows, "bytes", 40, "split", "id", part=F.floor(F.col("id") / 50)).collect()
-    assert sorted(map(tuple, plain)) == sorted(map(tuple, parted))
+def greedy(sizes, limit):
+    """Shard numbers of rows that fill a buffer until it holds the limit."""
+    out, shard, held = [], 0, 0
+    for x in sizes:
+        out.append(shard)
+        held += x
+        if held >= limit:
+            shard, held = shard + 1, 0
+    return out
+
+
+@pytest.mark.parametrize("wide", [2, 64])
+def test_shards_are_cut_as_a_buffer_fills(spark, monkeypatch, wide):
+    monkeypatch.setattr(D, "BLOCK_SHARDS", wide)
+    rng, rows = random.Random(wide), []
+    for split, n in (("a", 400), ("b", 1), ("c", 0), ("d", 90), (None, 150)):
+        for i in range(n):
+            rows.append((split, i, rng.choice([0, 0, 1, 3, 7, 13, 40, 41, 90, 700 if split == "d" else 2])))
+    df = spark.createDataFrame(rows, "split string, at int, bytes int").repartition(3)
+    want = {}
+    for split in ("a", "b", "d", None):
+        sizes = [x for s, _, x in rows if s == split]
+        want |= {(split, i): k for i, k in enumerate(greedy(sizes, 40))}
+    for part in (None, F.floor(F.col("at") / 50)):
+        got = {(r["split"], r["at"]): r["shard"] for r in D.with_shards(df, "bytes", 40, "split", "at", part=part).collect()}
+        assert got == want
 
 
 @pytest.mark.parametrize("name", ["gzip", "snappy", "none", "zstd"])
