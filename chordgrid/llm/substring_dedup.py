@@ -181,6 +181,11 @@ def covered_spans(texts: DataFrame, folder: str) -> DataFrame:
     return copies.select("id", "th", F.explode(spans).alias("s")).select("id", "th", "s.start", "s.size")
 
 
+def span_lists(texts: DataFrame, folder: str) -> DataFrame:
+    """(s_id, s_th, spans): the covered spans of each id and text, each once however many rows repeat them."""
+    return covered_spans(texts, folder).groupBy("id", "th").agg(F.collect_set(F.struct("start", "size")).alias("spans")).withColumnsRenamed({"id": "s_id", "th": "s_th"})
+
+
 def cut_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Of (row, text, spans): (row, n_words, n_removed, text of the kept words joined by one space)."""
     for piece in pieces(batches, "text"):
@@ -210,7 +215,7 @@ def dedup_substrings(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     """
     folder = folder or work_folder(docs.sparkSession)
     texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-    spans = covered_spans(texts, folder).groupBy("id", "th").agg(F.collect_list(F.struct("start", "size")).alias("spans")).withColumnsRenamed({"id": "s_id", "th": "s_th"})
+    spans = span_lists(texts, folder)
     rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != text_col]).alias("row"), F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
     both = rows.join(spans.hint("merge"), rows["id"].eqNullSafe(spans["s_id"]) & (rows["th"] == spans["s_th"]), "left").select("row", "text", "spans")
     made = T.StructType([rows.schema["row"], T.StructField("n_words", T.LongType()), T.StructField("n_removed", T.LongType()), T.StructField("text", T.StringType())])
