@@ -202,6 +202,26 @@ class LineDedup:
         self.version = self.shards = self.n_over = 0
         self.parts: dict[str, list[tuple[str, DataFrame]]] = {n: [] for n in ("postings", "gone", "counts", "filters")}
 
+    @classmethod
+    def open(cls, spark, folder: str) -> "LineDedup":
+        """The state that an earlier session left in ``folder``, as of its last finished step."""
+        steps = spark.read.json(f"{folder}/state/*")
+        last = steps.orderBy(F.desc("version")).first()
+        self = cls(spark, last["min_docs"], last["min_chars"], last["id_col"], last["text_col"], folder)
+        self.version, self.shards, self.n_over = last["version"], last["shards"], last["n_over"]
+        for part in last["parts"]:
+            table, path = part.split(" ")
+            self.parts[table].append((f"{folder}/{path}", spark.read.parquet(f"{folder}/{path}")))
+        return self
+
+    def _finished(self) -> "LineDedup":
+        """Writes down which tables the state has: a step counts when this is there."""
+        parts = [f"{table} {path.removeprefix(self.folder + '/')}" for table, found in self.parts.items() for path, _ in found]
+        row = (self.version, self.shards, self.n_over, self.min_docs, self.min_chars, self.id_col, self.text_col, parts)
+        made = "version long, shards long, n_over long, min_docs long, min_chars long, id_col string, text_col string, parts array<string>"
+        self.spark.createDataFrame([row], made).coalesce(1).write.mode("overwrite").json(f"{self.folder}/state/{self.version:09d}")
+        return self
+
     def _keys(self, docs: DataFrame) -> DataFrame:
         rows = docs.select(F.col(self.id_col).alias("id"), F.col(self.text_col).alias("text"))
         limit = self.min_chars
@@ -263,7 +283,7 @@ class LineDedup:
         if not self.parts["counts"]:
             self._add(change.select("k1", "k2", F.col("dn").alias("n_docs"), F.col("top").alias("last_doc")), "counts")
             self.n_over = self.counts.where(F.col("n_docs") >= self.min_docs).count()
-            return self._build_filters()
+            return self._build_filters()._finished()
         change = self._save(change, "change")
         old = self._newest("counts", ["k1", "k2"], change)
         both = change.join(old.hint("merge"), ["k1", "k2"], "left").select("k1", "k2", F.coalesce("n_docs", F.lit(0)).alias("was"), (F.coalesce("n_docs", F.lit(0)) + F.col("dn")).alias("n_docs"), F.greatest("last_doc", "top").alias("last_doc"))
@@ -294,9 +314,10 @@ class LineDedup:
         more = flips.agg(F.sum(F.when(F.col("now"), 1).otherwise(-1))).first()[0]
         self.n_over += more or 0
         if self.n_over > 2 * self.shards * SHARD_KEYS:
-            return self._build_filters()
+            return self._build_filters()._finished()
         if more is not None:
             self._update_filters(flips)
+        self._finished()
         if max(map(len, self.parts.values())) > MOST_PARTS:
             self.compact()
         return self
@@ -341,6 +362,7 @@ class LineDedup:
         postings, counts, filters = self.postings(), self.counts, self.filters
         made = {name: self._save(df.withColumn("v", F.lit(self.version)), name) for name, df in (("postings", postings), ("counts", counts), ("filters", filters))}
         self.parts = {"gone": []} | {name: [(f"{self.folder}/v{self.version}/{name}", df)] for name, df in made.items()}
+        self._finished()
         for path in old:
             removed(self.spark, path)
 
@@ -364,12 +386,33 @@ class LineDedup:
     def apply(self, docs: DataFrame) -> DataFrame:
         """(row, n_lines, n_dropped, text): the other columns of docs, whatever their names, in ``row``, and the
         text that is left (a null text becomes ""), of any length. A row that stands twice comes twice."""
-        gone = self.repeated().groupBy("id").agg(F.collect_list(F.struct("k1", "k2")).alias("gone")).withColumnRenamed("id", "gone_id")
         rows = docs.select(F.col(self.id_col).alias("id"), F.struct(*[F.col(c) for c in docs.columns if c != self.text_col]).alias("row"), F.col(self.text_col).alias("text"))
-        both = rows.join(gone.hint("merge"), rows["id"].eqNullSafe(gone["gone_id"]), "left").select("row", "text", "gone")
+        repeated = self.repeated()
+        # texts that share an id (or lack one) get only the keys of their own lines
+        text_hash = F.xxhash64(F.coalesce(F.col("text"), F.lit("")))
+        several = rows.groupBy("id").agg(F.min(text_hash).alias("a"), F.max(text_hash).alias("b")).where("a < b")
+        several = written(several.select(F.col("id").alias("m_id"), F.lit(True).alias("many")), work_folder(self.spark), "several")
         limit = self.min_chars
         made = T.StructType([rows.schema["row"], T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()), T.StructField("text", T.StringType())])
-        return both.mapInArrow(lambda batches: without_lines(batches, limit), made)
+        if several.isEmpty():
+            gone = repeated.groupBy("id").agg(F.collect_list(F.struct("k1", "k2")).alias("gone")).withColumnRenamed("id", "gone_id")
+            both = rows.join(gone.hint("merge"), rows["id"].eqNullSafe(gone["gone_id"]), "left")
+        else:
+            marked = rows.join(several.hint(sized_hint(several)), F.col("id").eqNullSafe(F.col("m_id")), "left")
+            marked = marked.select("row", "text", F.struct("id", F.when(F.col("many"), text_hash).alias("th")).alias("of"))
+            gone = self._own_keys(marked, repeated)
+            both = marked.join(gone.hint("merge"), F.col("of.id").eqNullSafe(F.col("gone_id")) & F.col("of.th").eqNullSafe(F.col("gone_th")), "left")
+        return both.select("row", "text", "gone").mapInArrow(lambda batches: without_lines(batches, limit), made)
+
+
+    def _own_keys(self, marked: DataFrame, repeated: DataFrame) -> DataFrame:
+        """(gone_id, gone_th, gone): of each text (``of`` has its id and hash) the repeated keys that its own lines have."""
+        limit = self.min_chars
+        keys = marked.select(F.col("of").alias("id"), "text").mapInArrow(lambda batches: key_rows(batches, limit), f"id {marked.schema['of'].dataType.simpleString()}, k1 long, k2 long").distinct()
+        lost = repeated.withColumnsRenamed({"id": "r_id", "k1": "r1", "k2": "r2"})
+        same = F.col("id.id").eqNullSafe(F.col("r_id")) & (F.col("k1") == F.col("r1")) & (F.col("k2") == F.col("r2"))
+        gone = keys.join(lost.hint("merge"), same, "left_semi").groupBy("id").agg(F.collect_list(F.struct("k1", "k2")).alias("gone"))
+        return gone.select(F.col("id.id").alias("gone_id"), F.col("id.th").alias("gone_th"), "gone")
 
 
 def dedup_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", min_docs: int = MIN_DOCS, min_chars: int = MIN_CHARS) -> DataFrame:
