@@ -154,8 +154,9 @@ def fitted(docs: DataFrame, marks: DataFrame, id_col: str, text_col: str, max_tr
     cut = int((1 << 40) * min(1.0, 1.2 * max_train / max(marked.count(), 1)))
     sample = written(marked.where(F.col("h") < cut).orderBy("h", "id").limit(max_train).withColumnRenamed("id", "s_id"), folder, "sample")
     rows = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
-    # the sample has at most max_train rows
-    rows = written(rows.join(F.broadcast(sample), F.col("id") == F.col("s_id")).select("h", "target", "text"), folder, "train")
+    # the sample has at most max_train rows; of an id that repeats, the text with the least hash counts
+    rows = rows.join(F.broadcast(sample), F.col("id") == F.col("s_id")).groupBy("id", "h", "target").agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
+    rows = written(rows.select("h", "target", "text"), folder, "train")
     weights = bucket_weights(rows.where("h % 2 = 0"))
     own = measures(F.col("text")) | {"words": word_evidence(F.col("text"), weights)}
     names = list(own)
