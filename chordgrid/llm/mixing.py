@@ -6,7 +6,8 @@ into blocks by a hash; its target is a quota of block draws: whole passes over a
 prefix of a permutation of the blocks, then some documents of one more block. A binary tree splits the
 quotas among output shards: each node hands its left child half of its draws, with a composition
 drawn from the multivariate hypergeometric law. Every shard then takes the next draws of each
-source's permuted blocks, so shards are disjoint, and shuffles its documents locally.
+source's permuted blocks, so shards are disjoint, and shuffles its documents locally. How much of a source
+is taken follows from its quota; which shard a document goes to, and with what company, from the tree.
 
 Blocks have about 512 documents at every size, so their number follows the source. A node of the tree is
 one row with a number for each source: sources may be tens of thousands, not as many as documents.
@@ -14,6 +15,8 @@ one row with a number for each source: sources may be tens of thousands, not as
 
 from __future__ import annotations
 
+from math import ceil, log2
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -22,7 +25,10 @@ from chordgrid.llm.shared import fresh, work_folder, written
 
 MAX_TIMES = 3
 DOCS_PER_BLOCK = 512
-SHARD_LEVELS = 4
+#: An output shard has about so many blocks; the tree has as many levels as that takes.
+BLOCKS_PER_SHARD = 16
+#: After so many levels the tree's nodes are written, so plans stay small.
+LEVELS_AT_ONCE = 3
 #: Up to so many sources (a few MB) the source table is broadcast; beyond, joins shuffle.
 BROADCAST_SOURCES = 1 << 15
 
@@ -71,7 +77,7 @@ def hypergeometric(total: str, good: str, draws: str, u: str) -> str:
         aggregate(y.p, named_struct('c', 0D, 'n', 0L), (a, b) -> named_struct('c', a.c + b, 'n', a.n + if(a.c + b < goal, 1L, 0L))).n), 1)), 1)"""
 
 
-def shard_quotas(quotas: DataFrame, levels: int = SHARD_LEVELS, seed: int = 0) -> DataFrame:
+def shard_quotas(quotas: DataFrame, levels: int, seed: int = 0, folder: str | None = None) -> DataFrame:
     """(shard, sno, quota) of (sno, quota): exact block quotas of 2**levels shards.
 
     One row holds a node of the tree with its quota of every source. Each level splits all nodes; a
@@ -89,6 +95,8 @@ def shard_quotas(quotas: DataFrame, levels: int = SHARD_LEVELS, seed: int = 0) -
         split = nodes.withColumn("left", F.expr(left))
         right = F.zip_with("q", "left", lambda a, b: a - b)
         nodes = split.select("snos", F.explode(F.array(F.struct((2 * F.col("node")).alias("node"), F.col("left").alias("q")), F.struct((2 * F.col("node") + 1).alias("node"), right.alias("q")))).alias("n")).select("n.node", "n.q", "snos")
+        if folder and (level + 1) % LEVELS_AT_ONCE == 0 and level + 1 < levels:
+            nodes = written(nodes, folder, f"nodes{level + 1}")
     each = nodes.select(F.col("node").alias("shard"), F.explode(F.arrays_zip("snos", "q")).alias("s"))
     return each.select("shard", F.col("s.snos").alias("sno"), F.col("s.q").alias("quota"))
 
@@ -101,7 +109,7 @@ class Mix:
     taken, with an ``order`` that shuffles a shard's documents.
     """
 
-    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_times: int = MAX_TIMES, levels: int = SHARD_LEVELS, seed: int = 0, folder: str | None = None):
+    def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", max_times: int = MAX_TIMES, levels: int | None = None, seed: int = 0, folder: str | None = None):
         spark = docs.sparkSession
         folder = folder or work_folder(spark)
         sized = docs.select(F.col(id_col).alias("id"), F.col(source_col).cast("string").alias("source"), F.size(split_words(F.coalesce(F.col(text_col), F.lit("")))).cast("long").alias("size"))
@@ -123,7 +131,11 @@ class Mix:
         blocks = written(blocks.withColumn("extra", goes), folder, "blocks")
 
         quotas = blocks.groupBy("sno").agg((F.first("passes") * F.first("count") + F.count_if(F.col("extra") > 0)).alias("quota"))
-        leaves = shard_quotas(quotas, levels, seed)
+        quotas = written(quotas, folder, "quotas")
+        if levels is None:
+            levels = max(0, ceil(log2(max(1, (quotas.agg(F.sum("quota")).first()[0] or 0) / BLOCKS_PER_SHARD))))
+        self.shards = 1 << levels
+        leaves = shard_quotas(quotas, levels, seed, folder)
         after = Window.partitionBy("sno").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
         leaves = leaves.withColumn("stop", F.sum("quota").over(after)).where("quota > 0")
         draws = leaves.select("sno", "shard", F.explode(F.sequence(F.col("stop") - F.col("quota"), F.col("stop") - 1)).alias("draw"))
@@ -148,24 +160,31 @@ class Mix:
 
 
 def mix_words(docs: DataFrame, **options) -> DataFrame:
-    """One row per row of docs: doc_id, size, source_size, target (of its source), taken.
+    """One row per row of docs: doc_id, size, source_size, target (of its source), taken, and shards, the numbers of the
+    output shards that it goes to, one for each time it is taken (ascending, comma-joined).
 
     Null texts have size 0 and are never taken; a text of any length is one document, taken whole or not;
     a null source is a source of its own, last in order. Rows that repeat id, source and size are taken
     together. Other columns are not read. An empty table gives an empty result.
     """
     mix = Mix(docs, **options)
-    taken = mix.drawn.groupBy("id", "source", "size").agg(F.count("*").alias("times"))
-    taken = taken.select(F.col("id").alias("t_id"), F.col("source").alias("t_source"), F.col("size").alias("t_size"), "times")
+    # a document is taken a few times at most
+    taken = mix.drawn.groupBy("id", "source", "size").agg(F.count("*").alias("times"), F.array_sort(F.collect_list("shard")).alias("shards"))
+    taken = taken.select(F.col("id").alias("t_id"), F.col("source").alias("t_source"), F.col("size").alias("t_size"), "times", F.array_join(F.col("shards").cast("array<string>"), ",").alias("shards"))
     same = mix.items["id"].eqNullSafe(taken["t_id"]) & mix.items["source"].eqNullSafe(taken["t_source"]) & (mix.items["size"] == taken["t_size"])
     rows = mix.items.join(taken.hint("merge"), same, "left").withColumn("copy", F.explode(F.sequence(F.lit(1), F.col("m").cast("int"))))
-    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.coalesce("times", F.lit(0))).alias("taken"))
+    return rows.select(F.col("id").alias("doc_id"), "size", "source_size", "target", (F.col("size") * F.coalesce("times", F.lit(0))).alias("taken"), F.coalesce("shards", F.lit("")).alias("shards"))
+
 
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", shard_col: str | None = None, **options) -> DataFrame:
+    """The rows of docs as often as the mix takes them, laid out by output shard: a shard's rows are in one partition,
+    one after the other in shuffled order. All columns keep their names and values, and ``shard_col``, where
+    given, adds the shard's number.
 
-def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **options) -> DataFrame:
-    """The rows of docs as often as the mix takes them, in locally shuffled order. All columns keep their names
-    and values; rows that repeat id, source and size are taken together; rows without words are never
-    taken; an empty table stays empty."""
+    Null texts and texts without words have size 0 and are never taken; a null id or source is a value like
+    others; rows that repeat id, source and size are taken together; texts of any length are taken whole or
+    not; an empty table stays empty.
+    """
     a, b, c, d, e, f = fresh(docs, "_mix_id", "_mix_source", "_mix_size", "_own_size", "_draws", "_draw")
     drawn = Mix(docs, id_col, text_col, source_col, **options).drawn
     times = drawn.groupBy("id", "source", "size").agg(F.array_sort(F.collect_list(F.struct("shard", "order"))).alias(e))
@@ -173,4 +192,5 @@ def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sourc
     rows = docs.withColumn(d, F.size(split_words(F.coalesce(F.col(text_col), F.lit("")))).cast("long"))
     same = rows[id_col].eqNullSafe(times[a]) & rows[source_col].cast("string").eqNullSafe(times[b]) & (rows[d] == times[c])
     out = rows.join(times.hint("merge"), same).withColumn(f, F.explode(e))
-    return out.sortWithinPartitions(f"{f}.shard", f"{f}.order").select(*[F.col(x) for x in docs.columns])
+    laid = out.repartition(F.col(f"{f}.shard")).sortWithinPartitions(f"{f}.shard", f"{f}.order")
+    return laid.select(*[F.col(x) for x in docs.columns], *([F.col(f"{f}.shard").alias(shard_col)] if shard_col else []))
