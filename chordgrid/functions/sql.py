@@ -1,4 +1,4 @@
-"""The scalar rules as SQL functions of a session."""
+"""The scalar rules, chords, tempo segments and beat grids as SQL functions of a session."""
 
 from __future__ import annotations
 
@@ -32,8 +32,38 @@ FUNCTIONS = {
 }
 
 
+_TEMPO = "tempo ARRAY<STRUCT<tick: INT, bpm: DOUBLE>>"
+#: Segments of a tempo list in order: tick, bpm and the seconds at their start.
+_SEGMENTS = """aggregate(array_sort(tempo), cast(array() AS ARRAY<STRUCT<tick: INT, bpm: DOUBLE, s: DOUBLE>>), (a, t) -> concat(a, array(named_struct('tick', t.tick, 'bpm', t.bpm,
+    's', CASE WHEN size(a) = 0 THEN 0D ELSE element_at(a, -1).s + (t.tick - element_at(a, -1).tick) / resolution * (60D / element_at(a, -1).bpm) END))))"""
+#: The segment that a tick is in; before the first one, the first.
+_AT = "coalesce(try_element_at(filter(segs, g -> g.tick <= t), -1), segs[0])"
+_BEATS = f"""transform(sequence(cast(ceil(segs[0].tick / resolution) * resolution as int), end_tick, resolution), t -> element_at(transform(array({_AT}), g -> named_struct('tick', t, 'bpm', g.bpm,
+    'time', g.s + (t - g.tick) / cast(resolution as double) * (60D / g.bpm), 'sig', try_element_at(filter(array_sort(signatures), x -> x.tick <= t), -1))), 1))"""
+
+#: name -> (parameters, columns, body): for use after LATERAL, on lists that a song's rows were gathered in.
+TABLE_FUNCTIONS = {
+    "chords": (
+        "events ARRAY<STRUCT<tick: INT, pitch: INT, sustain: INT>>", "tick INT, lane_mask INT, sustain INT, is_hopo BOOLEAN, is_tap BOOLEAN, is_force_strum BOOLEAN",
+        """SELECT e.tick, cast(bit_or(CASE WHEN e.pitch <= 4 THEN shiftleft(1, e.pitch) ELSE 0 END) as int), max(CASE WHEN e.pitch <= 4 THEN e.sustain END), bool_or(e.pitch = 5), bool_or(e.pitch = 7), bool_or(e.pitch = 6)
+        FROM explode(events) AS x(e) GROUP BY e.tick HAVING bit_or(CASE WHEN e.pitch <= 4 THEN shiftleft(1, e.pitch) ELSE 0 END) > 0""",
+    ),
+    "tempo_segments": (
+        f"{_TEMPO}, resolution INT", "start_tick INT, next_tick INT, start_s DOUBLE, bpm DOUBLE",
+        f"SELECT n.tick, n.next, n.s, n.bpm FROM inline(element_at(transform(array({_SEGMENTS}), segs -> transform(segs, (g, i) -> named_struct('tick', g.tick, 'next', try_element_at(segs, i + 2).tick, 's', g.s, 'bpm', g.bpm))), 1)) AS n",
+    ),
+    "beat_grid": (
+        f"{_TEMPO}, signatures ARRAY<STRUCT<tick: INT, num: INT, den: INT>>, end_tick INT, resolution INT", "beat INT, tick INT, time_s DOUBLE, duration_s DOUBLE, bpm DOUBLE, ts_num INT, ts_den INT",
+        f"""SELECT b.beat, b.tick, b.time, b.duration, b.bpm, b.num, b.den FROM inline(element_at(transform(array({_SEGMENTS}), segs -> CASE WHEN size(segs) = 0 OR ceil(segs[0].tick / resolution) * resolution > end_tick THEN cast(array() as ARRAY<STRUCT<beat: INT, tick: INT, time: DOUBLE, duration: DOUBLE, bpm: DOUBLE, num: INT, den: INT>>)
+        ELSE element_at(transform(array({_BEATS}), beats -> transform(beats, (x, i) -> named_struct('beat', i, 'tick', x.tick, 'time', x.time, 'duration', coalesce(try_element_at(beats, i + 2).time - x.time, 60D / x.bpm), 'bpm', x.bpm, 'num', coalesce(x.sig.num, 4), 'den', coalesce(x.sig.den, 4)))), 1) END), 1)) AS b""",
+    ),
+}
+
+
 def register(spark: SparkSession, prefix: str = "chord_") -> list[str]:
     """Creates the temporary functions, each with the prefix before its name; returns their names."""
     for name, (params, kind, body) in FUNCTIONS.items():
         spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({params}) RETURNS {kind} RETURN {body}")
-    return [prefix + name for name in FUNCTIONS]
+    for name, (params, columns, body) in TABLE_FUNCTIONS.items():
+        spark.sql(f"CREATE OR REPLACE TEMPORARY FUNCTION {prefix}{name}({params}) RETURNS TABLE ({columns}) RETURN {body}")
+    return [prefix + name for name in [*FUNCTIONS, *TABLE_FUNCTIONS]]

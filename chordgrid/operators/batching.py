@@ -33,7 +33,7 @@ def first_by_hash(rows: DataFrame, group: list[str], key: list[str], quota: Colu
     """
     own = rows.withColumn("_h", hashed(seed, *key)).withColumn("_b", F.shiftright("_h", 48))
     sizes = own.groupBy(*group, "_b").agg(F.count("*").alias("_c"))
-    every = Window.partitionBy(*group)
+    every = Window.partitionBy(*(group or [F.lit(1)]))  # over buckets, not rows
     sizes = sizes.withColumn("_n", F.sum("_c").over(every)).withColumn("_before", F.coalesce(F.sum("_c").over(every.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
     plan = sizes.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col("_b").alias("_pb"), (quota - F.col("_before")).alias("_need"))
     same = own["_b"] == plan["_pb"]
@@ -111,6 +111,55 @@ def shuffled(rows: DataFrame, key: list[str], seed: int, epoch: int = 0, shard:
     return rows.orderBy(*([hashed(turn, shard), shard] if shard else []), hashed(turn, *key), *key)
 
 
+#: Rounds of a permutation; each swaps about half of all places with a partner.
+SHUFFLE_ROUNDS = 40
+_PRIME = 2_147_483_647
+
+
+def permuted(place: Column, n: Column, *seed: Column) -> Column:
+    """Where a place 0 .. n - 1 goes in a permutation of n places that the seeds decide, n below 2**31.
+
+    Swap-or-not: each round pairs x with (k - x) mod n and exchanges the two or not by a bit of the larger one,
+    so every n has an exact permutation and a place is computed alone, without a sort.
+    """
+    start = F.lit(0).cast("long")
+    for x in seed:
+        start = (start * 1_000_003 + F.pmod(x.cast("long"), F.lit(_PRIME)) + 12_345) % _PRIME
+    scrambled = lambda x: ((x * 48_271 + 11) % _PRIME)
+
+    def round_(x: Column, r: Column) -> Column:
+        k = scrambled(scrambled(start + r * 7_919))
+        partner = F.pmod(k - x, n)
+        high = F.greatest(x, partner)
+        mixed = scrambled((scrambled(high + k) * 69_621 + high) % _PRIME)
+        return F.when(F.floor(mixed / 65_536) % 2 == 1, partner).otherwise(x)
+
+    return F.aggregate(F.sequence(F.lit(1).cast("long"), F.lit(SHUFFLE_ROUNDS).cast("long")), place.cast("long"), round_)
+
+
+def epoch_places(manifest: DataFrame, seed: int, epoch: int = 0, workers: int = 1) -> DataFrame:
+    """manifest (file, row_index) with ``place`` in the epoch's order and ``worker``: shards in a permuted order, one after
+    the other, each with its rows permuted; workers take equal runs of the order, the first ones one row more.
+
+    Sizes of shards (one row each) are all that is gathered; every row computes its place, so a worker can list its own
+    rows of any epoch without sorting the others.
+    """
+    turn = F.lit(seed * 1_000_003 + epoch)
+    sizes = manifest.groupBy("file").agg(F.count("*").alias("_n"))
+    every = Window.orderBy("file")  # over shards, not rows
+    numbered = sizes.select("file", "_n", (F.row_number().over(every) - 1).cast("long").alias("_no"), F.count("*").over(Window.partitionBy()).alias("_shards"), F.sum("_n").over(Window.partitionBy()).alias("_all"))
+    numbered = numbered.withColumn("_turn", permuted(F.col("_no"), F.col("_shards"), turn))
+    before = Window.orderBy("_turn").rowsBetween(Window.unboundedPreceding, -1)
+    plan = numbered.select(F.col("file").alias("_file"), "_n", "_no", "_all", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
+    rows = manifest.join(plan.hint("merge"), F.col("file") == F.col("_file"))
+    place = F.col("_before") + permuted(F.col("row_index"), F.col("_n"), turn, F.col("_no") + 1)
+    # the first (all mod workers) workers have one row more
+    size, more = F.floor(F.col("_all") / workers), F.col("_all") % workers
+    large = more * (size + 1)
+    worker = F.when(F.col("place") < large, F.floor(F.col("place") / (size + 1))).otherwise(more + F.floor((F.col("place") - large) / F.nullif(size, F.lit(0))))
+    return rows.withColumn("place", place).withColumn("worker", worker).select(*manifest.columns, "place", "worker")
+
+
 def first_occurrence(rows: DataFrame, key: list[str], order: str) -> DataFrame:
     """One row of each key: the first by order."""
     return rows.withColumn("_rn", F.row_number().over(Window.partitionBy(*key).orderBy(order))).where("_rn = 1").drop("_rn")

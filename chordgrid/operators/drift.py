@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from chordgrid.functions.scalars import cosine, l2_norm
-from chordgrid.operators.batching import RANGES, cut_points, first_by_hash, hashed, value_range
+from chordgrid.operators.batching import RANGES, cut_points, first_by_hash, hashed, ranked, value_range
 from chordgrid.operators.frames import mean_vectors
 from chordgrid.sources.folders import scratch_folder
 
@@ -107,13 +107,14 @@ def verdict(cos: Column, shift: Column, p: Column) -> Column:
 
 
 def random_pairs(rows: DataFrame, group: str, key: str, a, b, n: int, vec: str = "vec", seed: int = 0) -> DataFrame:
-    """rank, key_a, key_b, cosine of up to n random pairs across two groups, no row twice."""
+    """rank, key_a, key_b, cosine of up to n random pairs across two groups, no row twice: rows of equal rank by a hash.
+    Cuts and ranks go by ranges of hashes, so no task holds n rows."""
     def side(g, name: str, salt: int) -> DataFrame:
-        order = (hashed(seed + salt, key), F.col(key))
-        own = rows.where(F.col(group) == g).orderBy(*order).limit(n)
-        return own.select(F.row_number().over(Window.orderBy(*order)).alias("rank"), F.col(key).alias(f"key_{name}"), F.col(vec).alias(f"v{name}"))
+        own = rows.where(F.col(group) == g).select(F.col(key).alias("key"), F.col(vec).alias("vec"), hashed(seed + salt, key).alias("_h"))
+        own = first_by_hash(own, [], ["key"], F.lit(n), seed + salt).where("_first").drop("_first")
+        return ranked(own, [], ["_h", "key"]).select("rank", F.col("key").alias(f"key_{name}"), F.col("vec").alias(f"v{name}"))
 
-    both = side(a, "a", 1).join(side(b, "b", 2), "rank")
+    both = side(a, "a", 1).join(side(b, "b", 2).hint("merge"), "rank")
     return both.select("rank", "key_a", "key_b", cosine(F.col("va"), F.col("vb")).alias("cosine"))
 
 

@@ -113,6 +113,41 @@ def _(v):
         "chord_sustain_ticks(chord_sustain_index(sustain)) AS sus_ticks", "chord_note_token(lane_mask, instrument = 'drums') AS token", "size(chord_mask_lanes(lane_mask)) AS lanes", "size(chord_wait_tokens(chord_ticks_to_steps(tick))) AS waits")
 
 
+def sql_views(v: Views) -> None:
+    """The functions, and views of a song's rows for SQL."""
+    SQL.register(v.spark)
+    v.raw.createOrReplaceTempView("chord_raw")
+    v.tempo.createOrReplaceTempView("chord_tempo")
+    v.timesig.createOrReplaceTempView("chord_timesig")
+
+
+_LISTS = "tempo_lists AS (SELECT song_id, collect_list(struct(tick, bpm)) AS tempo FROM chord_tempo GROUP BY song_id)"
+
+
+@query("a1_chords_by_sql", "SELECT * FROM notes", "notes")
+def _(v):
+    """Chords through SQL alone."""
+    sql_views(v)
+    return v.spark.sql("SELECT r.song_id, r.instrument, c.* FROM (SELECT song_id, instrument, collect_list(struct(tick, pitch, sustain)) AS events FROM chord_raw GROUP BY song_id, instrument) r, LATERAL chord_chords(r.events) c")
+
+
+@query("w1_segments_by_sql", "SELECT song_id, start_tick, CAST(lead(start_tick) OVER (PARTITION BY song_id ORDER BY start_tick) AS INT) AS next_tick, round(start_s, 6) AS start_s, bpm FROM seg", "seg")
+def _(v):
+    sql_views(v)
+    return v.spark.sql(f"WITH {_LISTS} SELECT t.song_id, s.start_tick, s.next_tick, round(s.start_s, 6) AS start_s, s.bpm FROM tempo_lists t, LATERAL chord_tempo_segments(t.tempo, {S.RESOLUTION}) s")
+
+
+@query("g1_grid_by_sql", "SELECT song_id, beat, tick, round(time_s, 6) AS time_s, round(duration_s, 6) AS duration_s, bpm, ts_num, ts_den FROM grid", "grid")
+def _(v):
+    """Track ends, tempo, signatures and beats through SQL alone."""
+    sql_views(v)
+    return v.spark.sql(f"""WITH {_LISTS}, sig_lists AS (SELECT song_id, collect_list(struct(tick, num, den)) AS sigs FROM chord_timesig GROUP BY song_id),
+    chords AS (SELECT r.song_id, r.instrument, c.tick, c.sustain FROM (SELECT song_id, instrument, collect_list(struct(tick, pitch, sustain)) AS events FROM chord_raw GROUP BY song_id, instrument) r, LATERAL chord_chords(r.events) c),
+    ends AS (SELECT song_id, max(e) AS end_tick FROM (SELECT song_id, max_by(tick + sustain, tick) AS e FROM chords GROUP BY song_id, instrument) GROUP BY song_id),
+    songs AS (SELECT e.song_id, e.end_tick, t.tempo, coalesce(s.sigs, array()) AS sigs FROM ends e JOIN tempo_lists t USING (song_id) LEFT JOIN sig_lists s USING (song_id))
+    SELECT s.song_id, g.beat, g.tick, round(g.time_s, 6) AS time_s, round(g.duration_s, 6) AS duration_s, g.bpm, g.ts_num, g.ts_den FROM songs s, LATERAL chord_beat_grid(s.tempo, s.sigs, s.end_tick, {S.RESOLUTION}) g""")
+
+
 @query("w5_beat_durations", "SELECT song_id, beat, round(duration_s, 6) AS duration_s FROM grid", "grid")
 def _(v):
     return grid_of(v).select("song_id", "beat", _r("duration_s"))

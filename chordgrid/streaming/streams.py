@@ -29,15 +29,38 @@ def run_available(stream: DataFrame, write: Callable[[DataFrame, int], None], ch
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def shuffled_batches(stream: DataFrame, key: list[str], out: str, checkpoint: str, seed: int = 0) -> StreamingQuery:
-    """Rows in an order that seed and batch decide, shuffled within each batch's window of files."""
+def shuffled_batches(stream: DataFrame, key: list[str], out: str, checkpoint: str, seed: int = 0, buffer_rows: int = 0) -> StreamingQuery:
+    """Rows in an order that seed and batch decide, shuffled over windows of files.
+
+    With ``buffer_rows`` about so many rows stay behind at each batch, chosen by a hash among those that were held and
+    those that came, so a row leaves in its own batch or any later one. What is held is a table beside the
+    output, one for each batch: a batch that runs again reads its predecessor's and writes its own anew, so
+    no row is lost or doubled by a restart. :func:`drained` lets the last rows out.
+    """
+    spark = stream.sparkSession
+    turn = lambda batch, *more: F.xxhash64(F.lit(seed), F.lit(batch), *map(F.lit, more), *key)
 
     def write(rows: DataFrame, batch: int) -> None:
-        rows.orderBy(F.xxhash64(F.lit(seed), F.lit(batch), *key), *key).write.mode("overwrite").parquet(f"{out}/batch={batch}")
+        if buffer_rows:
+            if batch:
+                rows = rows.unionByName(spark.read.schema(rows.schema).parquet(f"{out}_held/batch={batch - 1}"))
+            total = rows.count()
+            cut = round(min(1.0, buffer_rows / max(total, 1)) * (1 << 32))
+            stays = F.pmod(turn(batch, "stays"), F.lit(1 << 32)) < cut
+            rows.where(stays).write.mode("overwrite").parquet(f"{out}_held/batch={batch}")
+            rows = rows.where(~stays)
+        rows.orderBy(turn(batch), *key).write.mode("overwrite").parquet(f"{out}/batch={batch}")
 
     return run_available(stream, write, checkpoint)
 
 
+def drained(spark: SparkSession, out: str, key: list[str], seed: int = 0) -> DataFrame:
+    """The rows that a shuffle still holds after its last batch, shuffled."""
+    held = spark.read.parquet(f"{out}_held")
+    last = held.agg(F.max("batch")).first()[0]
+    return held.where(F.col("batch") == F.lit(last)).drop("batch").orderBy(F.xxhash64(F.lit(seed), F.lit("last"), *key), *key)
+
+
 def status_counts(stream: DataFrame) -> DataFrame:
     """Running songs, rows and notes by status, for output mode update or complete."""
     return stream.groupBy("status").agg(F.count("*").alias("songs"), F.sum("num_rows").alias("rows"), F.sum("num_notes").alias("notes"))
