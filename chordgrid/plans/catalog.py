@@ -24,4 +24,4 @@ def query(name: str, sql: str | None = None, *ctes: str) -> Callable:
     return add
 
 
-from chordgrid.plans import chart_queries, core_queries, data_queries, more_queries, train_queries  # noqa: E402, F401
+from chordgrid.plans import chart_queries, core_queries, data_queries, io_queries, more_queries, train_queries  # noqa: E402, F401
