@@ -6,7 +6,8 @@ one surrogate from a keyed hash, of its own type, script, gender and format. Sur
 across the corpus: two entities never share one and none equals a real entity of its type; whoever
 loses a collision draws again. Mentions then take their entity's surrogate in their own layout, so one
 entity stays one and two stay two. A name that a title gave away is also found where the same document
-repeats it without one.
+repeats it without one. A given name is one entity, with the gender that its titles say most often over
+the whole corpus (a tie or silence: the lists below, else a neutral name), whatever title stands before it.
 
 The key is the caller's or the session's (``chordgrid.surrogates.key``): who has it can draw the same
 surrogates again, and nobody else.
@@ -31,13 +32,21 @@ from chordgrid.llm.words import pieces
 KEY_SETTING = "chordgrid.surrogates.key"
 
 #: Titles that tell a name's gender, and neutral ones.
-TITLES = {"Mr": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Señora": "f", "Sra": "f", "Dr": "n", "Prof": "n", "Г-н": "m", "Г-жа": "f"}
+TITLES = {"Mr": "m", "Herr": "m", "Monsieur": "m", "Señor": "m", "Sr": "m", "Mrs": "f", "Ms": "f", "Miss": "f", "Frau": "f", "Madame": "f", "Mme": "f", "Señora": "f", "Sra": "f", "Dr": "n", "Prof": "n", "Г-н": "m", "Г-жа": "f", "Pan": "m", "Pani": "f", "Paní": "f", "Κύριος": "m", "Κυρία": "f", "Господин": "m", "Госпожа": "f"}
 #: Given names that tell a gender where the title does not.
 FEMALE = "Maria Mary Anna Anne Elena Laura Julia Sophie Emma Carmen Lucia Claire Petra Olga Irina".split()
 MALE = "John James Peter Paul Thomas Michael Hans Karl Pierre Jean Juan Carlos Ivan Sergei Luis".split()
+KNOWN = {*FEMALE, *MALE}
 #: Syllables of made-up names.
-SYLLABLES = {"latin": "ba be bo da del do fa fen ga gor ha hel ka kel la lin lo ma mer mo na nel no pa ra rin ro sa sel ta tor va vel za".split(), "cyrillic": "ба бе бо да де до ва вел га го ка ко ла ле ло ма ме мо на не но па ра ри ро са се та то".split()}
-ENDINGS = {("latin", "f"): "a ia ina elle".split(), ("latin", "m"): "n r s do".split(), ("latin", "n"): "en in er is".split(), ("cyrillic", "f"): "а ия ина".split(), ("cyrillic", "m"): "н р в".split(), ("cyrillic", "n"): "ен ин ер".split()}
+SYLLABLES = {"latin": "ba be bo da del do fa fen ga gor ha hel ka kel la lin lo ma mer mo na nel no pa ra rin ro sa sel ta tor va vel za".split(), "cyrillic": "ба бе бо да де до ва вел га го ка ко ла ле ло ма ме мо на не но па ра ри ро са се та то".split(), "greek": "βα γα δε δο κα κο λα λε μα με νι νο πα πε ρα ρο σα σε τα το".split()}
+ENDINGS = {("latin", "f"): "a ia ina elle".split(), ("latin", "m"): "n r s do".split(), ("latin", "n"): "en in er is".split(), ("cyrillic", "f"): "а ия ина".split(), ("cyrillic", "m"): "н р в".split(), ("cyrillic", "n"): "ен ин ер".split(), ("greek", "f"): "α η ια".split(), ("greek", "m"): "ος ης ων".split(), ("greek", "n"): "ι ιν".split()}
+#: Letters that stand for letters of a script, each in place of any of its range; others become ASCII ones.
+ALPHABETS = [
+    (0x0370, 0x03FF, "αβγδεζηθικλμνξοπρστυφχψω"), (0x0400, 0x04FF, "абвгдежзиклмнопрстуфхцчшэюя"), (0x0590, 0x05FF, "אבגדהוזחטיכלמנסעפצקרשת"), (0x0600, 0x06FF, "ابتثجحخدذرزسشصضطظعغفقكلمنهوي"),
+    (0x3040, 0x309F, "あいうえおかきくけこさしすせそたちつてと"), (0x30A0, 0x30FF, "アイウエオカキクケコサシスセソタチツテト"), (0x4E00, 0x9FFF, "天地人山川日月水火木金土大小中上下"), (0xAC00, 0xD7A3, "가나다라마바사아자차카타파하"),
+]
+#: Capital letters of Latin, Greek and Cyrillic.
+CAPITALS = "".join(c for a, b in ((0x41, 0x250), (0x370, 0x530), (0x1E00, 0x2000)) for c in map(chr, range(a, b)) if c.isupper())
 
 _EMAIL = re.compile(r"[\w.+%-]+@[\w-]+(?:\.[\w-]+)+")
 _SECRET = re.compile(r"(?<![0-9A-Za-z])(?:[0-9a-f]{32,128}|[0-9A-F]{32,128}|(?:sk|pk|ghp|AKIA|xox[bp])[-_]?[0-9A-Za-z_-]{16,})(?![0-9A-Za-z])")
@@ -47,45 +56,42 @@ _IBAN = re.compile(r"(?<![0-9A-Za-z])[A-Z]{2}\d{2}(?: ?[0-9A-Z]{4}){2,7}(?: ?[0-
 _SSN = re.compile(r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])")
 _CARD = re.compile(r"(?<![\d.+-])\d(?:[ -]{0,2}\d){12,18}(?![\d.-]?\d)")
 _PHONE = re.compile(r"(?<![\w.+])(?:\+\d{1,3}[ .-]{0,3})?(?:\(\d{2,4}\)|\d{2,4})[ .-]{1,3}\d{3,4}[ .-]{0,3}\d{3,4}(?:[ .-]{1,3}\d{2,4})?(?![\w-]|\.\d)|(?<!\w)\+\d{8,15}(?!\d)")
-_NAME = re.compile(r"\b(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.?[  ]((?:[A-ZÀ-ÖØ-ÞА-Я][\w'-]+)(?:[  ][A-ZÀ-ÖØ-ÞА-Я][\w'-]+)?)")
-_CAPITAL = re.compile(r"(?<![\w'-])[A-ZÀ-ÖØ-ÞА-Я][\w'-]+")
+_NAME = re.compile(r"(?<!\w)(" + "|".join(sorted(TITLES, key=len, reverse=True)) + r")\.?[ \u00a0]([" + CAPITALS + r"][\w'’-]+(?:[ \u00a0][" + CAPITALS + r"][\w'’-]+)?)")
+_CAPITAL = re.compile(r"(?<![\w'’-])[" + CAPITALS + r"][\w'’-]+")
 _DIGIT = re.compile(r"\d")
 
 
-def detect(text: str) -> list[tuple[int, int, str, str]]:
-    """(start, end, type, normal form) of the entities of a text, in order, not overlapping. Names come
-    as their given and family names: ``given_m``, ``given_f``, ``given_n`` and ``family``."""
-    found: list[tuple[int, int, str, str]] = []
+def detect(text: str) -> list[tuple[int, int, str, str, str]]:
+    """(start, end, type, normal form, gender) of the entities of a text, in order, not overlapping. Names come
+    as ``given`` and ``family``; a given name has the gender that its title says, or ``n``."""
+    found: list[tuple[int, int, str, str, str]] = []
     if "@" in text:
-        found += [(m.start(), m.end(), "email", m[0].lower()) for m in _EMAIL.finditer(text)]
+        found += [(m.start(), m.end(), "email", m[0].lower(), "n") for m in _EMAIL.finditer(text)]
     if _DIGIT.search(text):
-        found += [(m.start(), m.end(), "secret", m[0]) for m in _SECRET.finditer(text)]
-        found += [(m.start(), m.end(), "ip", m[0]) for m in _IP.finditer(text)]
-        found += [(m.start(), m.end(), "account", re.sub(r" ", "", m[0])) for m in _IBAN.finditer(text)]
+        found += [(m.start(), m.end(), "secret", m[0], "n") for m in _SECRET.finditer(text)]
+        found += [(m.start(), m.end(), "ip", m[0], "n") for m in _IP.finditer(text)]
+        found += [(m.start(), m.end(), "account", re.sub(r" ", "", m[0]), "n") for m in _IBAN.finditer(text)]
         for kind, pattern in (("ssn", _SSN), ("card", _CARD), ("phone", _PHONE)):
-            found += [(m.start(), m.end(), kind, re.sub(r"\D", "", m[0])) for m in pattern.finditer(text)]
+            found += [(m.start(), m.end(), kind, re.sub(r"\D", "", m[0]), "n") for m in pattern.finditer(text)]
     if "=" in text or ":" in text:
-        found += [(m.start(1), m.end(1), "secret", m[1]) for m in _ASSIGNED.finditer(text)]
+        found += [(m.start(1), m.end(1), "secret", m[1], "n") for m in _ASSIGNED.finditer(text)]
     names: dict[str, str] = {}
     for m in _NAME.finditer(text):
         parts = [(p.start() + m.start(2), p.end() + m.start(2), p[0]) for p in re.finditer(r"\S+", m[2])]
-        if len(parts) == 2:
-            a, b, given = parts[0]
-            gender = TITLES[m[1]]
-            if gender == "n":
-                gender = "f" if given in FEMALE else "m" if given in MALE else "n"
-            found.append((a, b, f"given_{gender}", given.casefold()))
-            if names.get(given, "given_n") == "given_n":
-                names[given] = f"given_{gender}"
-        a, b, family = parts[-1]
-        found.append((a, b, "family", family.casefold()))
-        names.setdefault(family, "family")
+        # one name after a title is a family name, but for known given ones
+        given = parts[:1] if len(parts) == 2 or parts[0][2] in KNOWN else []
+        for a, b, name in given:
+            found.append((a, b, "given", name.casefold(), TITLES[m[1]]))
+            names[name] = "given"
+        for a, b, name in parts[len(given) :]:
+            found.append((a, b, "family", name.casefold(), "n"))
+            names.setdefault(name, "family")
     if names:
         # the same names without a title, as written there or in capitals
         spelled = {x: n for n in names if len(n) > 2 for x in (n, n.upper())}
         for m in _CAPITAL.finditer(text):
             if m[0] in spelled:
-                found.append((m.start(), m.end(), names[spelled[m[0]]], m[0].casefold()))
+                found.append((m.start(), m.end(), names[spelled[m[0]]], m[0].casefold(), "n"))
     found.sort(key=lambda e: (e[0], -e[1]))
     out, end = [], 0
     for e in found:
@@ -116,14 +122,14 @@ def luhn(digits: str) -> bool:
 
 
 def alike(text: str, draw: Stream, hexadecimal: bool = False) -> str:
-    """Each character replaced by one of its kind: digits, ASCII or hexadecimal letters by case; other
-    letters become ASCII ones, marks stay."""
+    """Each character replaced by one of its kind: digits, letters by script and case (hexadecimal ones where the
+    text is such); letters of other scripts become ASCII ones, marks stay."""
     out = []
     for c in text:
         if c.isdigit():
             out.append("0123456789"[draw.below(10)])
         elif c.isalpha():
-            letters = "abcdef" if hexadecimal else "abcdefghijklmnopqrstuvwxyz"
+            letters = "abcdef" if hexadecimal else next((x for a, b, x in ALPHABETS if a <= ord(c) <= b), "abcdefghijklmnopqrstuvwxyz") if ord(c) > 0x36F else "abcdefghijklmnopqrstuvwxyz"
             d = letters[draw.below(len(letters))]
             out.append(d.upper() if c.isupper() else d)
         else:
@@ -163,11 +169,14 @@ def surrogate(kind: str, value: str, attempt: int, key: str) -> str:
         if not any(c.isdigit() or c.isalpha() for c in value):
             value = "x" * len(value)  # marks alone, as in a masked value: nothing that alike changes
         return alike(value + "0" * more, draw, hexadecimal=bool(re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", value)))
-    script = "cyrillic" if re.search(r"[а-яё]", value) else "latin"
+    script = "cyrillic" if re.search(r"[а-яё]", value) else "greek" if re.search("[α-ωά-ώ]", value) else "latin"
     gender = kind[-1] if kind.startswith("given_") else "n"
     syllables, ends = SYLLABLES[script], ENDINGS[script, gender]
-    stem = "".join(syllables[draw.below(len(syllables))] for _ in range(2 + attempt // 3))
-    return stem + ends[draw.below(len(ends))]
+    pieces_ = re.split(r"([-'’])", value)  # a double name stays one, with its marks
+    made = ["".join(syllables[draw.below(len(syllables))] for _ in range((2 if len(pieces_) == 1 else 1) + more)) if i % 2 == 0 and x else x for i, x in enumerate(pieces_)]
+    last = max((i for i, x in enumerate(pieces_) if i % 2 == 0 and x), default=0)
+    made[last] += ends[draw.below(len(ends))]
+    return "".join(made)
 
 
 def in_layout(kind: str, made: str, mention: str) -> str:
@@ -181,13 +190,17 @@ def in_layout(kind: str, made: str, mention: str) -> str:
         return "".join([*(c if c == " " else next(marks) for c in mention), *marks])
     if kind == "email":
         return made.upper() if mention.isupper() else made
-    if kind.startswith("given_") or kind == "family":
-        return made.upper() if mention.isupper() else made.capitalize()
+    if kind in ("given", "family"):
+        if mention.isupper():
+            return made.upper()
+        # capitals where the mention's parts have them
+        caps = [x[:1].isupper() for x in re.split("[-'’]", mention)]
+        return "".join(x if i % 2 else x[:1].upper() + x[1:] if (caps[i // 2] if i // 2 < len(caps) else True) else x for i, x in enumerate(re.split(r"([-'’])", made)))
     return made
 
 
 def mention_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, th, nth, start, stop, kind, value) of the texts' entities."""
+    """(id, th, start, stop, kind, value, gender) of the texts' entities."""
     for piece in pieces(batches, "text"):
         rows, out = [], []
         for i, text in enumerate(piece.column("text").to_pylist()):
@@ -195,8 +208,8 @@ def mention_lists(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
             rows += [i] * len(some)
             out += some
         at = pa.array(rows, pa.int64())
-        start, stop, kind, value = zip(*out) if out else ((), (), (), ())
-        yield pa.record_batch([piece.column("id").take(at), piece.column("th").take(at), pa.array(start, pa.int32()), pa.array(stop, pa.int32()), pa.array(kind, pa.string()), pa.array(value, pa.string())], ["id", "th", "start", "stop", "kind", "value"])
+        start, stop, kind, value, gender = zip(*out) if out else ((), (), (), (), ())
+        yield pa.record_batch([piece.column("id").take(at), piece.column("th").take(at), pa.array(start, pa.int32()), pa.array(stop, pa.int32()), pa.array(kind, pa.string()), pa.array(value, pa.string()), pa.array(gender, pa.string())], ["id", "th", "start", "stop", "kind", "value", "gender"])
 
 
 def draws(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
@@ -205,13 +218,22 @@ def draws(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatc
         yield pa.record_batch([*(batch.column(c) for c in ("kind", "value", "attempt")), pa.array(made, pa.string())], ["kind", "value", "attempt", "made"])
 
 
+def last_draws(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.RecordBatch]:
+    """(kind, value, made) with 256 bits of the key's digest of the entity: digits for numbers, letters for the rest."""
+    for batch in batches:
+        rows = list(zip(batch.column("kind").to_pylist(), batch.column("value").to_pylist()))
+        digest = [int.from_bytes(hmac.new(key.encode(), f"{k}\0{v}\0last".encode("utf-8", "surrogatepass"), hashlib.sha256).digest(), "big") for k, v in rows]
+        made = [f"{d:078d}" if k in ("phone", "ssn", "card") else "".join("abcdefghijklmnop"[int(x, 16)] for x in f"{d:064x}") for d, (k, _) in zip(digest, rows)]
+        yield pa.record_batch([batch.column("kind"), batch.column("value"), pa.array(made, pa.string())], ["kind", "value", "made"])
+
+
 def assign(entities: DataFrame, folder: str, key: str, rounds: int = 64) -> DataFrame:
     """(kind, value, made) of distinct (kind, value): surrogates that are distinct within a kind and equal
     no entity of it. Given names of all genders share one space.
 
     A round draws for the entities that are still open and adds those that settle; earlier rounds' parts are
     read and not written again. As attempts widen the spaces, all entities settle long before the rounds
-    end; only a generator that ignores the attempt gets there.
+    end; whatever is left then gets a surrogate as long as a digest, which nothing else can have.
     """
     space = lambda kind: F.when(F.col(kind).startswith("given_"), F.lit("given")).otherwise(F.col(kind))
     real = entities.select(space("kind").alias("space"), F.col("value").alias("made")).distinct()
@@ -227,7 +249,9 @@ def assign(entities: DataFrame, folder: str, key: str, rounds: int = 64) -> Data
         open_ = written(drawn.join(won.select("kind", "value").hint("merge"), ["kind", "value"], "left_anti").select("kind", "value", F.lit(turn + 1).alias("attempt")), folder, f"open/{turn}")
         if open_.isEmpty():
             return settled.select("kind", "value", "made")
-    raise RuntimeError("surrogates keep colliding")
+    # what never settles takes a name that its own digest makes
+    rest = open_.mapInArrow(lambda b: last_draws(b, key), "kind string, value string, made string")
+    return settled.select("kind", "value", "made").unionByName(rest) if settled is not None else rest
 
 
 def replace_mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -245,7 +269,7 @@ def replace_mentions(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBat
 
 
 class Surrogates:
-    """``mentions`` (id, th, start, stop, kind, value), ``mapping`` (kind, value, made), and :meth:`apply`.
+    """``mentions`` (id, th, start, stop, kind, value, gender), ``mapping`` (kind, value, made), and :meth:`apply`.
     ``key``: else the session's."""
 
     def __init__(self, docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folder: str | None = None, key: str | None = None):
@@ -255,15 +279,20 @@ class Surrogates:
         self.docs, self.id_col, self.text_col = docs, id_col, text_col
         folder = folder or work_folder(docs.sparkSession)
         texts = docs.select(F.col(id_col).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))
-        made = T.StructType([texts.schema["id"], T.StructField("th", T.LongType()), *(T.StructField(c, T.IntegerType()) for c in ("start", "stop")), *(T.StructField(c, T.StringType()) for c in ("kind", "value"))])
+        made = T.StructType([texts.schema["id"], T.StructField("th", T.LongType()), *(T.StructField(c, T.IntegerType()) for c in ("start", "stop")), *(T.StructField(c, T.StringType()) for c in ("kind", "value", "gender"))])
         self.mentions = written(texts.mapInArrow(mention_lists, made), folder, "mentions")
-        entities = written(self.mentions.groupBy("kind", "value").agg(F.count("*").alias("n")), folder, "entities")
-        self.mapping = assign(entities, folder, key)
+        said = [F.count_if(F.col("gender") == g).alias(g) for g in "mf"]
+        known = F.when(F.col("value").isin(*[x.casefold() for x in FEMALE]), "f").when(F.col("value").isin(*[x.casefold() for x in MALE]), "m").otherwise("n")
+        gender = F.when(F.col("f") > F.col("m"), "f").when(F.col("m") > F.col("f"), "m").otherwise(known)
+        kind = F.when(F.col("kind") == "given", F.concat(F.lit("given_"), gender)).otherwise(F.col("kind"))
+        entities = written(self.mentions.groupBy("kind", "value").agg(*said).select(kind.alias("kind"), "value"), folder, "entities")
+        made_for = assign(entities, folder, key)
+        self.mapping = made_for.withColumn("kind", F.when(F.col("kind").startswith("given_"), "given").otherwise(F.col("kind")))
 
     def apply(self) -> DataFrame:
         """The rows of docs with their text replaced, all columns in place, and a last column n_entities (with a
         leading underscore where docs has one)."""
-        named = self.mentions.distinct().join(self.mapping.hint("merge"), ["kind", "value"])
+        named = self.mentions.drop("gender").distinct().join(self.mapping.hint("merge"), ["kind", "value"])
         found = named.groupBy("id", "th").agg(F.collect_list(F.struct("start", "stop", "kind", "made")).alias("found")).withColumnsRenamed({"id": "f_id", "th": "f_th"})
         docs = self.docs
         rows = docs.select(F.struct(*[F.col(c) for c in docs.columns if c != self.text_col]).alias("row"), F.col(self.id_col).alias("id"), F.coalesce(F.col(self.text_col), F.lit("")).alias("text")).withColumn("th", F.xxhash64("text"))

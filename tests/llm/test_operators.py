@@ -745,7 +745,19 @@ def plain_surrogates(data, key):
 
     space = lambda kind: "given" if kind.startswith("given_") else kind
     found = {r: pii_surrogates.detect(r[1] or "") for r in data}
-    open_ = sorted({(kind, value) for some in found.values() for *_, kind, value in some}, key=lambda e: order(*e))
+    said = defaultdict(Counter)
+    for some in found.values():
+        for *_, kind, value, gender in some:
+            said[kind, value][gender] += 1
+
+    def of(kind, value):  # the name's gender over all documents
+        if kind != "given":
+            return kind, value
+        votes = said[kind, value]
+        known = "f" if value.capitalize() in pii_surrogates.FEMALE else "m" if value.capitalize() in pii_surrogates.MALE else "n"
+        return "given_" + ("f" if votes["f"] > votes["m"] else "m" if votes["m"] > votes["f"] else known), value
+
+    open_ = sorted({of(kind, value) for kind, value in said}, key=lambda e: order(*e))
     taken, made, turn = {(space(k), v) for k, v in open_}, {}, 0
     while open_:
         drawn = [(e, (space(e[0]), pii_surrogates.surrogate(*e, turn, key))) for e in open_]
@@ -757,8 +769,8 @@ def plain_surrogates(data, key):
     out = Counter()
     for r, some in found.items():
         text = r[1] or ""
-        for start, stop, kind, value in reversed(some):
-            text = text[:start] + pii_surrogates.in_layout(kind, made[kind, value], text[start:stop]) + text[stop:]
+        for start, stop, kind, value, _ in reversed(some):
+            text = text[:start] + pii_surrogates.in_layout(kind, made[of(kind, value)], text[start:stop]) + text[stop:]
         out[(r[0], len(some), text)] += 1
     return out
 
