@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chordgrid.functions import scalars as S
 from chordgrid.operators.tempo import beat_spans
+from chordgrid.sources.folders import kept, scratch_folder
 
 TRACK = ["song_id", "instrument"]
 NO_TOKENS = "array<int>"
@@ -169,10 +170,11 @@ class Decoded:
     stays the sequence's own name, ``header`` is what its header token says.
 
     Three windows over one order of a track's tokens: bounds, running sums, and the next token that is no
-    modifier. A note's modifiers are those that its sums and the next one's differ in.
+    modifier. A note's modifiers are those that its sums and the next one's differ in. With a folder the decoded
+    rows are written there, for readers of several parts.
     """
 
-    def __init__(self, tokens: DataFrame):
+    def __init__(self, tokens: DataFrame, folder: str | None = None):
         by = Window.partitionBy(*TRACK)
         order = by.orderBy("pos")
         tok = F.col("tok")
@@ -186,7 +188,7 @@ class Decoded:
         sus = F.col("next").between(S.SUS_FIRST, S.SUS_LAST)
         behind = lambda c, k: F.coalesce(F.lead(c, k).over(order), F.col(f"{c}_all"))
         rows = rows.withColumns({c[1:]: F.when(sus, behind(c, 2) > behind(c, 1)).otherwise(behind(c, 1) > F.col(c)) for c in upto}).drop(*upto, *[f"{c}_all" for c in upto])
-        self.rows = rows
+        self.rows = rows = kept(rows, folder, "decoded") if folder else rows
         drums = F.col("header") == "drums"
         string, drum = tok.between(S.GUITAR_FIRST, S.GUITAR_LAST) & ~drums, tok.between(S.DRUM_FIRST, S.DRUM_LAST)
         no = F.lit(False)
@@ -206,8 +208,13 @@ class Decoded:
 
 def roundtrip(sequences: DataFrame) -> DataFrame:
     """song_id, instrument, same, first_diff (null if same), length, back_length: what decoding and
-    encoding again gives. Notes with an open lane keep their other lanes only."""
-    parts = Decoded(exploded(sequences))
+    encoding again gives. Notes with an open lane keep their other lanes only.
+
+    Sequences and their decoded tokens are written once: what follows reads these tables, however they came about.
+    """
+    folder = scratch_folder(sequences.sparkSession)
+    sequences = kept(sequences.select(*TRACK, "tokens"), folder, "sequences")
+    parts = Decoded(exploded(sequences), folder)
     notes = parts.notes.withColumn("lane_mask", F.col("lane_mask") % 128).where("lane_mask > 0")
     # beats belong to the sequence itself here, so they are encoded with it
     beats = parts.beats.select(*TRACK, _event(F.col("tick"), 0, F.array(F.lit(S.BEAT)), 0, F.col("pos")).alias("e"))

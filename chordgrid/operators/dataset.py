@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chordgrid.operators import codec, notes as N, tempo as TP
 from chordgrid.operators.batching import RANGES, cut_points, value_range
-from chordgrid.sources.folders import scratch_folder
+from chordgrid.sources.folders import kept, scratch_folder
 
 _A = T.ArrayType
 #: Columns and types of the wide row, one for each song and instrument.
@@ -77,6 +78,19 @@ def build_rows(sequences: DataFrame, stats: DataFrame, grid: DataFrame, specials
     return conform(rows)
 
 
+def build_dataset(raw: DataFrame, specials: DataFrame, tempo: DataFrame, timesig: DataFrame, meta: DataFrame, source_format: str = "chart", resolution: int = 192) -> DataFrame:
+    """Wide rows from raw notes, markers, tempo, signatures and metadata.
+
+    Chords and the beat grid are written once, and sequences, statistics, ends and arrays read them: raw
+    notes are scanned and shuffled one time.
+    """
+    folder = scratch_folder(raw.sparkSession)
+    notes = kept(N.chords(raw), folder, "notes")
+    grid = kept(TP.beat_grid(tempo, timesig, N.song_ends(notes), resolution), folder, "grid")
+    sequences = codec.encode(notes, specials, tempo, resolution)
+    return build_rows(sequences, N.track_stats(notes, grid), grid, specials, meta, source_format, resolution)
+
+
 def prefer_formats(songs: DataFrame, ranks: dict[str, int]) -> DataFrame:
     """One row a song: its format of the lowest rank."""
     rank = F.lit(len(ranks))

@@ -95,15 +95,26 @@ def _(v):
 
 
 def wide(v: Views) -> DataFrame:
-    n, grid = notes_of(v), grid_of(v)
     meta = v.table("supplier").select(F.col("s_suppkey").alias("song_id"), F.col("s_name").alias("song_name"), F.concat(F.lit("Artist "), "s_nationkey").alias("artist"))
-    return D.build_rows(sequences_of(v), N.track_stats(n, grid), grid, v.specials, meta)
-
-
-@query("g8_wide_rows", """SELECT CAST(s.song_id AS VARCHAR) AS song_id, s.instrument, 'chart' AS source_format, CAST(len(tokens) AS INT) AS num_tokens, CAST(coalesce(nb, 0) AS INT) AS num_beats, CAST(nn AS INT) AS num_notes, s_name AS song_name, CAST(NULL AS VARCHAR) AS genre, 192 AS resolution
-FROM seqs s JOIN (SELECT song_id, instrument, count(*) AS nn FROM notes GROUP BY ALL) USING (song_id, instrument) LEFT JOIN (SELECT song_id, count(*) AS nb FROM bt GROUP BY ALL) USING (song_id) LEFT JOIN supplier ON s_suppkey = s.song_id""", "seqs", "bt")
-def _(v):
-    return wide(v).select("song_id", "instrument", "source_format", "num_tokens", "num_beats", "num_notes", "song_name", "genre", "resolution")
+    return D.build_dataset(v.raw, v.specials, v.tempo, v.timesig, meta)
+
+
+@query("g8_wide_rows", """b AS (SELECT song_id, count(*) AS nb, avg(bpm) AS bpm_mean, stddev_pop(bpm) AS bpm_std, sum(CAST(time_s AS FLOAT)::DOUBLE) AS times, sum(CAST(duration_s AS FLOAT)::DOUBLE) AS durations, string_agg(CAST(bpm AS INT), ',' ORDER BY beat) AS bpms, string_agg(ts_num || '/' || ts_den, ',' ORDER BY beat) AS sigs FROM grid GROUP BY 1),
+n AS (SELECT song_id, instrument, count(*) AS nn, avg(CASE WHEN bit_count(lane_mask) > 1 THEN 1 ELSE 0 END) AS chords, avg(sustain) AS sus FROM notes GROUP BY ALL), f AS (SELECT song_id, instrument, bool_or(kind = 'star_power') AS star, bool_or(kind = 'solo') AS solo FROM specials GROUP BY ALL)
+SELECT CAST(s.song_id AS VARCHAR) AS song_id, s.instrument, 'chart' AS source_format, CAST(len(tokens) AS INT) AS num_tokens, array_to_string(tokens, ',') AS tokens, CAST(coalesce(nb, 0) AS INT) AS num_beats, CAST(nn AS INT) AS num_notes, s_name AS song_name, CAST(NULL AS VARCHAR) AS genre, CAST(NULL AS VARCHAR) AS charter, 192 AS resolution,
+'Artist ' || s_nationkey AS artist, CAST(NULL AS INT) AS year, coalesce(star, false) AS has_star_power, coalesce(solo, false) AS has_solo, round(nn / greatest(coalesce(nb, 0), 1), 3) AS notes_per_beat_mean, round(chords, 3) AS chord_ratio, round(sus, 1) AS sustain_mean_ticks, round(bpm_mean, 2) AS bpm_mean, round(bpm_std, 2) AS bpm_std, round(times, 1) AS beat_times, round(durations, 1) AS beat_durations, bpms, sigs, 30 AS columns
+FROM seqs s JOIN n USING (song_id, instrument) LEFT JOIN f USING (song_id, instrument) LEFT JOIN b USING (song_id) LEFT JOIN supplier ON s_suppkey = s.song_id""", "seqs", "grid")
+def _(v):
+    """All that a wide row says; arrays as their sums or joined."""
+    rows = wide(v)
+    joined = lambda c: F.array_join(F.transform(c, lambda x: x.cast("int").cast("string")), ",")
+    total = lambda c: F.round(F.aggregate(c, F.lit(0.0), lambda a, x: a + x.cast("double")), 1)
+    rounded = lambda c, n: F.round(F.col(c).cast("double"), n).alias(c)
+    sigs = F.array_join(F.zip_with("time_sig_num_at_beat", "time_sig_den_at_beat", lambda a, b: F.concat(a, F.lit("/"), b)), ",")
+    return rows.select(
+        "song_id", "instrument", "source_format", "num_tokens", joined("tokens").alias("tokens"), "num_beats", "num_notes", "song_name", "genre", "charter", "resolution", "artist", "year", "has_star_power", "has_solo",
+        rounded("notes_per_beat_mean", 3), rounded("chord_ratio", 3), rounded("sustain_mean_ticks", 1), rounded("bpm_mean", 2), rounded("bpm_std", 2),
+        total("beat_times_s").alias("beat_times"), total("beat_durations_s").alias("beat_durations"), joined("bpm_at_beat").alias("bpms"), sigs.alias("sigs"), F.lit(len(rows.columns)).alias("columns"))
 
 
 @query("c4_conform", "SELECT CAST(p_partkey AS VARCHAR) AS song_id, p_name AS song_name, TRY_CAST(p_type AS INT) AS year, p_size AS difficulty, CAST(NULL AS VARCHAR) AS artist FROM part")

@@ -8,7 +8,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_folder(spark: SparkSession) -> str:
@@ -22,6 +22,12 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
+def kept(df: DataFrame, folder: str, name: str) -> DataFrame:
+    """``df`` written once in a shared folder and read back, for several readers."""
+    df.write.parquet(f"{folder}/{name}")
+    return df.sparkSession.read.schema(df.schema).parquet(f"{folder}/{name}")
+
+
 class Folder:
     """One folder and what is below it, by names relative to it."""
 

@@ -68,3 +68,16 @@ def test_drift_report_of_one_side(spark):
     df = spark.createDataFrame([(1, "2024-01-01", [1.0, 2.0]), (2, "2024-01-02", [2.0, 1.0])], "key int, day string, vec array<double>")
     r = DR.embedding_drift(df, "2025-01-01", 10).first()
     assert (r["old_n"], r["new_n"], r["cosine"], r["d"], r["p"]) == (2, 0, None, None, None)
+
+
+def test_wide_rows_and_round_trips_read_notes_once(spark):
+    from chordgrid.plans import core_queries, data_queries
+    from chordgrid.plans.views import Views
+
+    v = Views(spark, "/root/testdata/sf0.001")
+    plan = executed(data_queries.wide(v))
+    assert "lineitem" not in plan and "NestedLoop" not in plan  # chords were written before
+    from chordgrid.operators import codec
+
+    plan = executed(codec.roundtrip(core_queries.sequences_of(v)))
+    assert "lineitem" not in plan and "events.parquet" not in plan and plan.count("Exchange hash") <= 8
