@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chordgrid.operators import batching as B, codec, dataset as D
+from chordgrid.operators import batching as B, codec, dataset as D, drift
 from chordgrid.plans.catalog import query
 from chordgrid.plans.chart_queries import texts_of
 from chordgrid.plans.views import Views, sql_hash
@@ -153,6 +153,29 @@ def _(v):
     return one.select(F.explode("splits").alias("split", "rows"), F.col("rows").alias("all_rows"), F.array_join("instruments", ",").alias("instruments"), "codec")
 
 
+def dated_shards(v: Views, table: str, key: str, n: int) -> str:
+    """A folder of n shards of a table, dealt by key; shard i was written i days after the first of 2024, at noon."""
+    root = scratch_folder(v.spark)
+    for i in range(n):
+        named_file(v.table(table).where(F.col(key) % n == i), root, f"train-{i:05d}.parquet")
+        Folder(v.spark, root).set_time(f"train-{i:05d}.parquet", (1_704_110_400 + 86_400 * i) * 1000)
+    return root
+
+
+@query("a21_shard_dates", "SELECT CAST(DATE '2024-01-01' + CAST(p_partkey % 5 AS INT) AS DATE) AS date, count(DISTINCT p_partkey % 5) AS files FROM part GROUP BY 1")
+def _(v):
+    """The days on which shards were written, by their files' own times."""
+    return DS.shard_dates(v.spark.read.parquet(dated_shards(v, "part", "p_partkey", 5)))
+
+
+@query("l7_split_by_file_date", f"WITH r AS (SELECT vec_id, label, CASE WHEN vec_id % 5 < 2 THEN 'old' ELSE 'new' END AS side FROM embeddings) SELECT side, vec_id, label FROM r QUALIFY row_number() OVER (PARTITION BY side ORDER BY {sql_hash(4, 'vec_id')}, vec_id) <= 60")
+def _(v):
+    """Up to 60 vectors of the shards written before a day, and of those written from it on."""
+    rows = DS.with_file_day(v.spark.read.parquet(dated_shards(v, "embeddings", "vec_id", 5)))
+    sided = rows.select("vec_id", "label", F.when(F.col("day") < F.lit("2024-01-03").cast("date"), "old").otherwise("new").alias("side"))
+    return drift.sample_by_group(sided, "side", "vec_id", 60, seed=4).select("side", "vec_id", "label")
+
+
 # -- streams
 
 def streamed(v: Views, root: str, **options) -> str:

@@ -13,7 +13,6 @@ from chordgrid.plans.core_queries import grid_of, notes_of, sequences_of, timeli
 from chordgrid.plans.data_queries import _DIFF, _VERDICT, wanted_columns
 from chordgrid.plans.train_queries import _DMG, damaged
 from chordgrid.plans.views import Views, sql_hash
-from chordgrid.sources.datasets import shard_dates
 
 _r = lambda c, n=6: F.round(c, n).alias(c)
 
@@ -150,12 +149,6 @@ def _(v):
     return Q.shard_report(v.spark, v.dir, wanted_columns(v))
 
 
-@query("a21_shard_dates", "SELECT count(*) AS files FROM (SELECT DISTINCT table_name FROM information_schema.columns WHERE table_name = 'lineitem')")
-def _(v):
-    """One file, whatever its day: the day itself is the file's, not the data's."""
-    return shard_dates(v.table("lineitem")).select("files")
-
-
 @query("w11_stop_positions", "SELECT song_id, instrument, CAST(min(pos) FILTER (WHERE tok IN (0, 2) AND pos >= 2) AS INT) AS stop, count(*) AS length FROM tok GROUP BY ALL", "tok")
 def _(v):
     return codec.stop_positions(codec.exploded(sequences_of(v)))

@@ -183,10 +183,10 @@ def _(v):
     return SC.first_difference(other, tokens, ["song_id", "instrument"])
 
 
-@query("j11_count_comparison", "WITH a AS (SELECT CAST(floor(l_quantity) AS INT) % 8 AS pitch, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1), b AS (SELECT CAST(floor(l_quantity) AS INT) % 9 AS pitch, count(*) AS n FROM lineitem WHERE l_returnflag = 'R' GROUP BY 1), f AS (SELECT pitch, coalesce(a.n, 0) AS n_a, coalesce(b.n, 0) AS n_b FROM a FULL JOIN b USING (pitch)) SELECT pitch, CAST(sum(n_a) AS BIGINT) AS n_a, CAST(sum(n_b) AS BIGINT) AS n_b FROM f GROUP BY ROLLUP (pitch)")
+@query("j11_count_comparison", "WITH a AS (SELECT CAST(floor(l_quantity) AS INT) % 8 AS pitch, count(*) AS n FROM lineitem WHERE l_returnflag = 'A' GROUP BY 1), b AS (SELECT CAST(floor(l_quantity) AS INT) % 9 AS pitch, count(*) AS n FROM lineitem WHERE l_returnflag <> 'A' GROUP BY 1), f AS (SELECT pitch, coalesce(a.n, 0) AS n_a, coalesce(b.n, 0) AS n_b FROM a FULL JOIN b USING (pitch)) SELECT pitch, CAST(sum(n_a) AS BIGINT) AS n_a, CAST(sum(n_b) AS BIGINT) AS n_b FROM f GROUP BY ROLLUP (pitch)")
 def _(v):
-    of = lambda flag, m: v.table("lineitem").where(F.col("l_returnflag") == flag).select((F.floor("l_quantity").cast("int") % m).alias("pitch"))
-    return SC.compare_counts(of("A", 8), of("R", 9), "pitch")
+    of = lambda which, m: v.table("lineitem").where(which).select((F.floor("l_quantity").cast("int") % m).alias("pitch"))
+    return SC.compare_counts(of(F.col("l_returnflag") == "A", 8), of(F.col("l_returnflag") != "A", 9), "pitch")
 
 
 @query("x2_span_overlap", """WITH s AS (SELECT l_suppkey, l_orderkey * 40 AS a, l_orderkey * 40 + 10 + l_partkey % 25 AS b, l_orderkey * 40 + 5 AS c, l_orderkey * 40 + 8 + l_partkey % 30 AS d FROM lineitem QUALIFY row_number() OVER (PARTITION BY l_suppkey, l_orderkey ORDER BY l_linenumber, l_partkey) = 1)

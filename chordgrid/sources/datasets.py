@@ -41,6 +41,11 @@ def shard_manifest(rows: DataFrame) -> DataFrame:
     return rows.select(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row_index"))
 
 
+def with_file_day(rows: DataFrame, name: str = "day") -> DataFrame:
+    """rows of files with the day on which their file was written, as for a split of shards by date."""
+    return rows.withColumn(name, F.to_date(F.col("_metadata.file_modification_time")))
+
+
 def shard_dates(rows: DataFrame) -> DataFrame:
     """date, files: the days on which shards were written."""
     day = F.to_date(F.col("_metadata.file_modification_time"))

@@ -49,6 +49,10 @@ class Folder:
     def delete(self, name: str) -> None:
         self.fs.delete(self._path(name), True)
 
+    def set_time(self, name: str, ms: int) -> None:
+        """Sets when a file was last modified, in milliseconds since 1970."""
+        self.fs.setTimes(self._path(name), ms, -1)
+
     def replace(self, source: str, target: str) -> None:
         """Moves a file to a name that another file may have; where the file system can, in one step."""
         options = self.jvm.org.apache.hadoop.fs.Options.Rename
