@@ -367,7 +367,9 @@ def encode_table(docs: DataFrame, codec: Codec, text_col: str = "text", check: b
 
 
 def decode_table(rows: DataFrame, codec: Codec, ids_col: str = "piece_ids", out_col: str = "decoded") -> DataFrame:
-    """The rows with the text of their piece ids in ``out_col`` (a null list gives an empty text)."""
+    """The rows with the text of their piece ids in ``out_col`` (a null list gives an empty text; the name gets a
+    leading underscore where rows have one like it)."""
+    (out_col,) = fresh(rows, out_col)
     held = rows.sparkSession.sparkContext.broadcast(codec)
     made = T.StructType([*rows.schema.fields, T.StructField(out_col, T.StringType())])
 
