@@ -7,6 +7,8 @@ from pyspark.ml.stat import Summarizer
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from chordgrid.sources.folders import kept, scratch_folder
+
 
 def shared_window(rate: float) -> tuple[Column, Column]:
     """First frame and end (exclusive) of a beat; neighbouring beats share their boundary frame."""
@@ -52,6 +54,48 @@ def pool_beats(beats: DataFrame, frames: DataFrame, rate: float, dim: int, windo
     return out.withColumn("vec", F.coalesce("vec", F.array_repeat(F.lit(0.0), dim)))
 
 
+#: Longest windows that cells cover: 2**LEVELS frames.
+LEVELS = 40
+
+
+def dyadic_cells(a: Column, b: Column) -> Column:
+    """The window [a, b) as (level, cell) structs, a cell being the frames cell * 2**level to (cell + 1) * 2**level: two for
+    each level at most, so their number grows with the logarithm of the window."""
+    start = F.struct(a.cast("long").alias("a"), b.cast("long").alias("b"), F.array().cast("array<struct<level: int, cell: bigint>>").alias("cells"))
+
+    def step(s: Column, level: Column) -> Column:
+        one = lambda cell: F.array(F.struct(level.alias("level"), cell.alias("cell")))
+        left, right = (s["a"] < s["b"]) & (s["a"] % 2 == 1), (s["a"] < s["b"]) & (s["b"] % 2 == 1)
+        low, high = F.when(left, s["a"] + 1).otherwise(s["a"]), F.when(right, s["b"] - 1).otherwise(s["b"])
+        none = F.array().cast("array<struct<level: int, cell: bigint>>")
+        # a window of one cell is on both its ends: it is listed once
+        more = F.concat(s["cells"], F.when(left, one(s["a"])).otherwise(none), F.when(right & (low < s["b"]), one(s["b"] - 1)).otherwise(none))
+        return F.struct(F.shiftright(low, 1).alias("a"), F.shiftright(F.greatest(low, high), 1).alias("b"), more.alias("cells"))
+
+    return F.aggregate(F.sequence(F.lit(0), F.lit(LEVELS)), start, step, lambda s: s["cells"])
+
+
+def pool_windows(windows: DataFrame, frames: DataFrame, by: str, key: str) -> DataFrame:
+    """by, key, frames, vec: the mean of the frames in each window (by, key, first, stop), for windows of any length and
+    overlap; windows without a frame have no row.
+
+    Windows are cut into dyadic cells. A frame adds to its cell of each level that some window uses, in partial
+    means before the shuffle; windows then meet their cells, a few for each power of two, and never their frames.
+    Null vectors and those with a null item have no part.
+    """
+    cells = windows.where("first < stop").select(by, key, F.explode(dyadic_cells(F.greatest(F.col("first"), F.lit(0)), F.col("stop"))).alias("c")).select(by, key, "c.level", "c.cell")
+    folder = scratch_folder(frames.sparkSession)
+    cells = kept(cells, folder, "cells")
+    used = [r["level"] for r in cells.select("level").distinct().collect()]  # one row a level
+    whole = frames.where(F.size("vec") > 0).where(~F.exists("vec", lambda x: x.isNull()))
+    named = whole.select(by, "vec", F.explode(F.array(*[F.struct(F.lit(k).alias("level"), F.shiftright(F.col("frame").cast("long"), k).alias("cell")) for k in sorted(used)] or [F.lit(None).cast("struct<level: int, cell: bigint>")])).alias("c")).select(by, "c.level", "c.cell", "vec")
+    wanted = cells.select(by, "level", "cell").distinct()
+    sums = named.join(wanted.hint("merge"), [by, "level", "cell"], "left_semi").groupBy(by, "level", "cell").agg(F.count("*").alias("n"), Summarizer.mean(array_to_vector("vec")).alias("mean"))
+    both = cells.join(kept(sums, folder, "means").hint("merge"), [by, "level", "cell"])
+    out = both.groupBy(by, key).agg(F.sum("n").alias("frames"), Summarizer.mean(F.col("mean"), F.col("n").cast("double")).alias("v"))
+    return out.select(by, key, "frames", vector_to_array("v").alias("vec"))
+
+
 def resample_beats(beats: DataFrame, frames: DataFrame, rate: float, points: int, dim: int, by: str = "song_id") -> DataFrame:
     """song_id, beat, grid array<array<double>>: each beat's frames interpolated at ``points`` places from
     its first frame to its last; one frame is repeated, none gives zeros."""

@@ -74,6 +74,15 @@ def _(v):
     return FR.beat_frames(pooled_beats(v), v.frames, 100.0, FR.exclusive_window).select("song_id", "beat", "frame")
 
 
+@query("j4_long_windows", "w AS (SELECT song_id, CAST(unnest(range(0, 12)) AS INT) AS win FROM (SELECT DISTINCT song_id FROM frames)), k AS (SELECT song_id, win, win * 7 AS first, win * 7 + (1 << win) + win AS stop FROM w) SELECT k.song_id, win, count(*) AS frames, round(avg(CAST(vec[1] AS DOUBLE)), 6) AS m0, round(avg(CAST(vec[64] AS DOUBLE)), 6) AS m63 FROM k JOIN frames f ON f.song_id = k.song_id AND frame >= first AND frame < stop GROUP BY ALL", "frames")
+def _(v):
+    """Means over windows of one to some thousand frames that overlap."""
+    windows = v.frames.select("song_id").distinct().select("song_id", F.explode(F.sequence(F.lit(0), F.lit(11))).alias("win"))
+    windows = windows.select("song_id", "win", (F.col("win") * 7).alias("first"), (F.col("win") * 7 + F.pow(F.lit(2), F.col("win")).cast("int") + F.col("win")).alias("stop"))
+    out = FR.pool_windows(windows, v.frames, "song_id", "win")
+    return out.select("song_id", "win", "frames", F.round(F.col("vec")[0], 6).alias("m0"), F.round(F.col("vec")[63], 6).alias("m63"))
+
+
 @query("a10_pooled_beats", _BEATS + ", fx AS (SELECT song_id, frame, CAST(generate_subscripts(vec, 1) - 1 AS INT) AS dim, CAST(unnest(vec) AS DOUBLE) AS x FROM frames) SELECT pw.song_id, beat, d.dim, round(coalesce(avg(x), 0), 6) AS m FROM pw, (SELECT CAST(unnest(range(64)) AS INT) AS dim) d LEFT JOIN fx ON fx.song_id = pw.song_id AND fx.dim = d.dim AND frame >= a AND frame < b GROUP BY ALL", "frames")
 def _(v):
     return FR.pool_beats(pooled_beats(v), v.frames, 100.0, 64).select("song_id", "beat", F.posexplode("vec").alias("dim", "m")).withColumn("m", F.round("m", 6))

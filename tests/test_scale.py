@@ -81,3 +81,25 @@ def test_wide_rows_and_round_trips_read_notes_once(spark):
 
     plan = executed(codec.roundtrip(core_queries.sequences_of(v)))
     assert "lineitem" not in plan and "events.parquet" not in plan and plan.count("Exchange hash") <= 8
+
+
+def test_windows_are_few_cells(spark):
+    rng = np.random.default_rng(2)
+    pairs = [(int(a), int(a + n)) for a, n in zip(rng.integers(0, 5000, 300), rng.choice([1, 2, 3, 17, 900, 40_000], 300))] + [(0, 1), (5, 6), (0, 1 << 20), ((1 << 20) - 1, 1 << 20)]
+    rows = spark.createDataFrame(pairs, "a int, b int").select("a", "b", FR.dyadic_cells(F.col("a"), F.col("b")).alias("cells")).collect()
+    for r in rows:
+        spans = sorted((c["cell"] << c["level"], (c["cell"] + 1) << c["level"]) for c in r["cells"])
+        assert spans[0][0] == r["a"] and spans[-1][1] == r["b"] and all(x[1] == y[0] for x, y in zip(spans, spans[1:]))
+        assert len(spans) <= 2 * (r["b"] - r["a"]).bit_length()
+
+
+def test_long_windows_meet_cells_not_frames(spark):
+    vecs = np.random.default_rng(4).normal(size=(3000, 5))
+    frames = spark.createDataFrame([(1, i, [float(x) for x in v]) for i, v in enumerate(vecs) if i % 97] + [(1, 97, None), (2, 0, [1.0] * 5)], "song_id int, frame int, vec array<double>")
+    windows = [(1, k, a, b) for k, (a, b) in enumerate([(0, 3000), (-5, 2000), (10, 11), (97, 98), (500, 2999), (7, 7), (9, 3), (2990, 10**9)])] + [(2, 0, 0, 5), (3, 0, 0, 9)]
+    got = {(r["song_id"], r["k"]): r for r in FR.pool_windows(spark.createDataFrame(windows, "song_id int, k int, first int, stop int"), frames, "song_id", "k").collect()}
+    for song, k, a, b in windows:
+        inside = [vecs[i] for i in range(max(a, 0), min(b, 3000)) if i % 97] if song == 1 else [np.ones(5)] if song == 2 else []
+        assert ((song, k) in got) == bool(inside)
+        if inside:
+            assert got[song, k]["frames"] == len(inside) and np.allclose(got[song, k]["vec"], np.mean(inside, axis=0))
