@@ -12,7 +12,7 @@ anchor it puts below 2 is unique. Pass 2 emits only runs estimated repeated and
   lose at the same places.
 
 The sketch's width follows the number of anchors. Up to ``countmin.BROADCAST_CELLS`` cells its bits go to
-all tasks; beyond, all runs meet the table of repeated cells in a join, and no machine holds the sketch.
+all tasks; beyond, runs meet the table of repeated cells in a join for each row of the sketch, and no machine holds it.
 A fuller sketch lets more runs through and loses none.
 """
 
@@ -33,6 +33,7 @@ from chordgrid.llm.words import NOT_SPACE, Words, mix, pieces, text_bytes, whole
 WINDOW = 50
 GRAM = 25
 ROWS = 2
+CELLS = [f"cell{r}" for r in range(ROWS)]
 #: log2 of the cells of a sketch row, at least.
 LEAST_BITS = 16
 #: Text bytes for each anchor, about, and sketch cells for each anchor.
@@ -122,16 +123,18 @@ def repeated_runs(texts: DataFrame, folder: str) -> DataFrame:
             row = pa.array(runs.row)
             yield pa.record_batch(
                 [piece.column("id").take(row), piece.column("th").take(row), pa.array((runs.start - runs.words.first[runs.row]).astype(np.int32)), pa.array(runs.size.astype(np.int32)),
-                 *(pa.array(x.view(np.int64)) for x in (runs.anchor, runs.keys(0), runs.keys(1))), pa.array(countmin.cells_of(runs.anchor, 0, bits))],
-                ["id", "th", "start", "size", "anchor", "r1", "r2", "cell"])
+                 *(pa.array(x.view(np.int64)) for x in (runs.anchor, runs.keys(0), runs.keys(1))), *(pa.nulls(len(row), pa.int64()) if held else pa.array(countmin.cells_of(runs.anchor, r, bits)) for r in range(ROWS))],
+                ["id", "th", "start", "size", "anchor", "r1", "r2", *CELLS])
 
     long, int_ = T.LongType(), T.IntegerType()
-    made = T.StructType([texts.schema["id"], T.StructField("th", long), T.StructField("start", int_), T.StructField("size", int_), *(T.StructField(c, long) for c in ("anchor", "r1", "r2", "cell"))])
+    made = T.StructType([texts.schema["id"], T.StructField("th", long), T.StructField("start", int_), T.StructField("size", int_), *(T.StructField(c, long) for c in ("anchor", "r1", "r2", *CELLS))])
     runs = texts.mapInArrow(candidates, made)
     if not held:
-        again = written(countmin.flagged(parts.where(F.col("block") < (1 << bits) // countmin.BLOCK), (1,)), folder, "cells")
-        runs = runs.join(again.hint("merge"), "cell", "left_semi")
-    return written(runs.drop("cell"), folder, "runs")
+        # cells of all rows of the sketch share one space; a run stays if each row has its cell
+        again = written(countmin.flagged(parts, (1,)), folder, "cells").select("cell")
+        for cell in CELLS:
+            runs = runs.join(again.withColumnRenamed("cell", cell).hint("merge"), cell, "left_semi")
+    return written(runs.drop(*CELLS), folder, "runs")
 
 
 def covered_spans(texts: DataFrame, folder: str) -> DataFrame:

@@ -89,3 +89,15 @@ def test_line_state_goes_on_in_another_session(spark, tmp_path):
     got = Counter(tuple(r) for r in again.apply(df).select("row.doc_id", "n_lines", "n_dropped", F.sha2("text", 256)).collect())
     assert got == plain_lines(rows)
     assert re.search(r"/state/0*\d+", spark.read.json(f"{folder}/state/*").inputFiles()[0])
+
+
+def test_joined_sketch_lets_no_more_through_than_a_held_one(spark, tmp_path, monkeypatch):
+    """Both rows of the sketch count, however it meets the runs."""
+    rng = random.Random(8)
+    rows = [(i, " ".join(rng.choice("abcdefghijkl") * 2 for _ in range(220)), "en", "s", 0) for i in range(60)]
+    rows += [(100 + i, rows[i][1], "en", "s", 0) for i in range(5)]
+    texts = corpus.frame(spark, rows).select(F.col("doc_id").alias("id"), "text").withColumn("th", F.xxhash64("text"))
+    held = substring_dedup.repeated_runs(texts, f"file://{tmp_path}/a").collect()
+    monkeypatch.setattr(substring_dedup.countmin, "BROADCAST_CELLS", 0)
+    joined = substring_dedup.repeated_runs(texts, f"file://{tmp_path}/b").collect()
+    assert Counter(held) == Counter(joined) and len(held) > 50
