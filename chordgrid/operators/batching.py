@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from chordgrid.functions.scalars import BEAT
 
@@ -55,15 +56,26 @@ def value_range(column: Column, cuts: list) -> Column:
     return below(0, len(cuts))
 
 
+def _constant(x, kind: T.DataType) -> Column:
+    if isinstance(kind, T.StructType) and x is not None:
+        return F.struct(*[_constant(v, f.dataType).alias(f.name) for v, f in zip(x, kind)])
+    return F.lit(x).cast(kind)
+
+
+def _nulls_first(x):
+    """A value as Spark orders it: nulls, also in structs, before all others."""
+    return (x is not None, tuple(map(_nulls_first, x)) if isinstance(x, tuple) else x)
+
+
 def cut_points(rows: DataFrame, order: list[str], ranges: int) -> list[Column]:
     """Values of the whole order key, as structs, that cut rows into about ``ranges`` even parts. Keys come from
     ``CUT_SAMPLE`` rows for each range, the first by a hash; where rows are cut decides no result."""
     key = [F.col(c) for c in order]
     some = rows.select(*order).orderBy(F.xxhash64(*key), *key).limit(ranges * CUT_SAMPLE).collect()
     kinds = {c: rows.schema[c].dataType for c in order}
-    some = sorted(map(tuple, some), key=lambda r: [(x is not None, x) for x in r])
+    some = sorted(map(tuple, some), key=_nulls_first)
     found = [some[len(some) * i // ranges] for i in range(1, ranges)] if len(some) >= ranges else some
-    return [F.struct(*[F.lit(x).cast(kinds[c]).alias(c) for c, x in zip(order, r)]) for r in dict.fromkeys(found)]
+    return [F.struct(*[_constant(x, kinds[c]).alias(c) for c, x in zip(order, r)]) for r in dict.fromkeys(found)]
 
 
 def ranked(rows: DataFrame, by: list[str], order: list[str], ranges: int = RANGES) -> DataFrame:

@@ -38,6 +38,14 @@ def test_rows_that_tie_are_ranked_in_many_ranges(spark):
     assert got == {i: (k, 3000) for k, (_, _, i) in enumerate(want, 1)}
 
 
+def test_ranks_by_structs_texts_and_dates(spark):
+    rows = spark.range(900).select((F.col("id") % 2).alias("g"), F.struct(F.when(F.col("id") % 5 > 0, F.col("id") % 5).alias("a"), F.concat(F.lit("t"), F.col("id") % 7).alias("b")).alias("at"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 11).cast("int")).alias("day"), "id")
+    got = {r["id"]: r["rank"] for r in B.ranked(rows, ["g"], ["at", "day", "id"], 8).collect()}
+    for g in (0, 1):
+        want = sorted((r for r in rows.collect() if r["g"] == g), key=lambda r: (r["at"]["a"] is not None, r["at"]["a"] or 0, r["at"]["b"], r["day"], r["id"]))
+        assert [got[r["id"]] for r in want] == list(range(1, 451))
+
+
 def test_percentiles_of_equal_values(spark):
     values = [5.0] * 900 + [1.0] * 90 + [float(i) for i in range(6, 60)] + [None] * 5
     rows = spark.createDataFrame([("a", x) for x in values] + [("b", 2.0)] + [("c", None)], "g string, x double")
