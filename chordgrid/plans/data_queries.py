@@ -7,9 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from chordgrid.functions import scalars as S
-from chordgrid.operators import dataset as D, drift, filters, frames as FR, midi as M, notes as N, quality as Q, repair as R
+from chordgrid.operators import dataset as D, drift, filters, frames as FR, midi as M, quality as Q, repair as R
 from chordgrid.plans.catalog import query
-from chordgrid.plans.core_queries import grid_of, notes_of, sequences_of
+from chordgrid.plans.core_queries import sequences_of
 from chordgrid.plans.views import Views, sql_hash
 from chordgrid.sources.folders import Folder, scratch_folder
 

@@ -110,6 +110,12 @@ def _(v):
     return DS.audio_files(files.union(files))
 
 
+@query("s14_manifest", "SELECT (CASE WHEN o_orderkey % 6 < 5 THEN 'train-0000' ELSE 'test-0000' END) || o_orderkey % 6 || '.parquet' AS file, row_number() OVER (PARTITION BY o_orderkey % 6 ORDER BY o_orderkey, o_custkey, o_orderstatus) - 1 AS row_index FROM orders")
+def _(v):
+    """Where every row stands in its shard."""
+    return DS.shard_manifest(v.spark.read.parquet(shards(v)))
+
+
 @query("k1_wide_rows", "SELECT CAST(c_custkey AS VARCHAR) AS song_id, c_name AS song_name, c_custkey % 7 || ',' || c_custkey % 11 AS tokens, CAST(c_custkey % 50 AS INT) AS year, CAST(NULL AS VARCHAR) AS artist, 30 AS columns FROM customer")
 def _(v):
     """Rows of the whole schema written with a codec and read back."""
