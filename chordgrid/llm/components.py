@@ -17,10 +17,10 @@ SMALL_EDGES = 250_000
 
 def labelled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(node, comp) of all nodes of one task's edges (a, b)."""
-    ends = [[np.asarray(b.column(c)) for b in batch] for batch in [list(batches)] for c in ("a", "b")]
-    if not ends[0]:
+    held = list(batches)
+    if not held:
         return
-    node, at = np.unique(np.concatenate(ends[0] + ends[1]), return_inverse=True)
+    node, at = np.unique(np.concatenate([np.asarray(b.column(c)) for c in ("a", "b") for b in held]), return_inverse=True)
     u, v = np.split(at, 2)
     label = np.arange(len(node))
     while True:
@@ -42,8 +42,11 @@ def components(edges: DataFrame, folder: str, name: str = "cc") -> DataFrame:
     shared folder, so lineage stays short and a lost executor costs one step. Groups are reduced to
     their minimum by partial aggregation, and rows meet it again in a join that AQE can split, so a node
     with very many neighbours is in no single task. The steps end when every node has one edge, to a
-    node that has none.
+    node that has none. Few edges take one task and no step.
     """
+    if edges.count() <= SMALL_EDGES:
+        few = edges.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b")).coalesce(1)
+        return written(few.mapInArrow(labelled, "node long, comp long"), folder, f"{name}/labels")
     edges = written(edges.where("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct(), folder, f"{name}/0")
     step, files = 0, files_for(2 * edges.count())
     while not _stars(edges):
