@@ -41,12 +41,18 @@ _AT = "coalesce(try_element_at(filter(segs, g -> g.tick <= t), -1), segs[0])"
 _BEATS = f"""transform(sequence(cast(ceil(segs[0].tick / resolution) * resolution as int), end_tick, resolution), t -> element_at(transform(array({_AT}), g -> named_struct('tick', t, 'bpm', g.bpm,
     'time', g.s + (t - g.tick) / cast(resolution as double) * (60D / g.bpm), 'sig', try_element_at(filter(array_sort(signatures), x -> x.tick <= t), -1))), 1))"""
 
+#: Chords of a list of events: it is sorted, cut where the tick changes, and each part becomes one chord. One expression
+#: of the list, as a subquery that groups is joined back to it by all its items, in whatever order each side gathered them.
+_CHORDS = """filter(element_at(transform(array(sort_array(coalesce(events, array()))), s -> element_at(transform(array(filter(sequence(0, size(s)), i -> i < size(s) AND (i = 0 OR NOT get(s, i).tick <=> get(s, i - 1).tick))),
+    starts -> transform(starts, (a, k) -> element_at(transform(array(slice(s, a + 1, coalesce(try_element_at(starts, k + 2), size(s)) - a)), g -> named_struct('tick', g[0].tick,
+    'lane_mask', aggregate(g, 0, (m, e) -> m | CASE WHEN e.pitch BETWEEN 0 AND 4 THEN shiftleft(1, e.pitch) ELSE 0 END), 'sustain', array_max(transform(g, e -> CASE WHEN e.pitch BETWEEN 0 AND 4 THEN e.sustain END)),
+    'is_hopo', exists(g, e -> e.pitch <=> 5), 'is_tap', exists(g, e -> e.pitch <=> 7), 'is_force_strum', exists(g, e -> e.pitch <=> 6))), 1))), 1)), 1), c -> c.lane_mask > 0)"""
+
 #: name -> (parameters, columns, body): for use after LATERAL, on lists that a song's rows were gathered in.
 TABLE_FUNCTIONS = {
     "chords": (
         "events ARRAY<STRUCT<tick: INT, pitch: INT, sustain: INT>>", "tick INT, lane_mask INT, sustain INT, is_hopo BOOLEAN, is_tap BOOLEAN, is_force_strum BOOLEAN",
-        """SELECT e.tick, cast(bit_or(CASE WHEN e.pitch <= 4 THEN shiftleft(1, e.pitch) ELSE 0 END) as int), max(CASE WHEN e.pitch <= 4 THEN e.sustain END), bool_or(e.pitch = 5), bool_or(e.pitch = 7), bool_or(e.pitch = 6)
-        FROM explode(events) AS x(e) GROUP BY e.tick HAVING bit_or(CASE WHEN e.pitch <= 4 THEN shiftleft(1, e.pitch) ELSE 0 END) > 0""",
+        f"SELECT c.tick, c.lane_mask, c.sustain, c.is_hopo, c.is_tap, c.is_force_strum FROM inline({_CHORDS}) AS c",
     ),
     "tempo_segments": (
         f"{_TEMPO}, resolution INT", "start_tick INT, next_tick INT, start_s DOUBLE, bpm DOUBLE",

@@ -14,6 +14,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from chordgrid.sources.folders import Folder
+
 
 def schema_rows(df: DataFrame, file: str = "table") -> DataFrame:
     """file, column, type of a DataFrame's own schema."""
@@ -162,29 +164,40 @@ def footer_census(stats: DataFrame) -> DataFrame:
     return both.select("column", "files", "rows", nulls.alias("nulls"), F.try_divide(nulls, F.col("all_rows")).alias("ratio"), F.col("low.t").alias("low"), F.col("high.t").alias("high"), "bytes")
 
 
+def dataset_schemas(spark: SparkSession, path: str) -> DataFrame:
+    """file, column, type of the datasets directly below a folder, by their names: files, and folders whose part files
+    count as one. What all parts say alike is said once; a column that they give two types has two rows."""
+    root = Folder(spark, path).qualified()
+    name = F.substring_index(F.substring("file", len(root) + 2, 1 << 30), "/", 1)
+    return footer_schemas(spark, path).select(name.alias("file"), "column", "type").distinct()
+
+
 def schema_diff(found: DataFrame, wanted: DataFrame | T.StructType) -> DataFrame:
     """file, column, issue (MISSING / EXTRA / TYPE), found and wanted type; names of list items do not count.
 
     ``wanted`` is one schema, small as schemas are: (column, type) rows of it, or a StructType. Each file's
-    columns meet it in the file's own row, as a map, so files are not crossed with columns.
+    columns meet it in the file's own row, as a list, so files are not crossed with columns. A column that a file
+    has with two types is compared with each.
     """
     if isinstance(wanted, DataFrame):
         pairs = [(r["column"], r["type"]) for r in wanted.select("column", "type").collect()]
     else:
         pairs = [(f.name, f.dataType.simpleString()) for f in wanted.fields]
     plain = lambda c: F.regexp_replace(c, "element", "item")
-    want = F.map_from_entries(F.array(*[F.struct(F.lit(c), F.lit(t.replace("element", "item"))) for c, t in pairs]))
-    files = found.groupBy("file").agg(F.map_from_entries(F.collect_list(F.when(F.col("column").isNotNull(), F.struct("column", plain(F.col("type")).alias("type"))))).alias("m"))
-    names = F.array_union(F.map_keys("m"), F.map_keys("w"))
-    rows = files.withColumn("w", want).select("file", F.explode(F.transform(names, lambda c: F.struct(c.alias("column"), F.try_element_at("m", c).alias("found"), F.try_element_at("w", c).alias("wanted")))).alias("r")).select("file", "r.*")
+    want = F.map_from_entries(F.array(*[F.struct(F.lit(c), F.lit(t.replace("element", "item"))) for c, t in dict(pairs).items()]))
+    files = found.groupBy("file").agg(F.collect_set(F.when(F.col("column").isNotNull(), F.struct("column", plain(F.col("type")).alias("type")))).alias("m"))
+    row = lambda column, kind: F.struct(column.alias("column"), kind.cast("string").alias("found"), F.try_element_at("w", column).alias("wanted"))
+    missing = F.array_except(F.map_keys("w"), F.transform("m", lambda x: x["column"]))
+    every = F.concat(F.transform("m", lambda x: row(x["column"], x["type"])), F.transform(missing, lambda c: row(c, F.lit(None))))
+    rows = files.withColumn("w", want).select("file", F.explode(every).alias("r")).select("file", "r.*")
     issue = F.when(F.col("found").isNull(), "MISSING").when(F.col("wanted").isNull(), "EXTRA").when(F.col("found") != F.col("wanted"), "TYPE")
     return rows.select("file", "column", issue.alias("issue"), "found", "wanted").where("issue is not null")
 
 
 def shard_report(spark: SparkSession, path: str, wanted: DataFrame | T.StructType) -> DataFrame:
-    """file, issue, columns: how many columns of each shard are missing, extra or of another type."""
-    diff = schema_diff(footer_schemas(spark, path), wanted)
-    return diff.groupBy(F.regexp_extract("file", "([^/]*)$", 1).alias("file"), "issue").agg(F.count("*").alias("columns"))
+    """file, issue, columns: how many columns of each dataset below the folder are missing, extra or of another type."""
+    diff = schema_diff(dataset_schemas(spark, path), wanted)
+    return diff.groupBy("file", "issue").agg(F.countDistinct("column").alias("columns"))
 
 
 def schema_census(found: DataFrame) -> DataFrame:

@@ -213,9 +213,9 @@ _DIFF = f"f AS ({_COLUMNS}), w AS ({_WANTED}), x AS (SELECT file, w.* FROM (SELE
 
 
 def footers(v: Views) -> DataFrame:
-    """The given files' own schemas, with the units of times left out."""
-    found = Q.footer_schemas(v.spark, v.dir)
-    return found.select(F.regexp_extract("file", "([^/]*)$", 1).alias("file"), "column", F.regexp_replace(F.regexp_replace("type", r"^timestamp.*", "timestamp"), "element", "item").alias("type"))
+    """The given tables' schemas by their files' own footers, with the units of times left out."""
+    found = Q.dataset_schemas(v.spark, v.dir)
+    return found.select("file", "column", F.regexp_replace(F.regexp_replace("type", r"^timestamp.*", "timestamp"), "element", "item").alias("type"))
 
 
 def wanted_columns(v: Views) -> DataFrame:
