@@ -37,3 +37,7 @@ def same(spark, parted, name: str) -> bool:
 
 def test_schema_diff(spark, parted):
     assert same(spark, parted, "j10_schema_diff")
+
+
+def test_schema_census(spark, parted):
+    assert same(spark, parted, "a9_schema_census")
