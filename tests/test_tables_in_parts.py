@@ -41,3 +41,7 @@ def test_schema_diff(spark, parted):
 
 def test_schema_census(spark, parted):
     assert same(spark, parted, "a9_schema_census")
+
+
+def test_shard_report(spark, parted):
+    assert same(spark, parted, "g10_shard_report")
