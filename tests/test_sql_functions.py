@@ -22,3 +22,8 @@ def test_chords_of_odd_lists(spark):
     got = spark.sql("SELECT k, c.* FROM odd_lists, LATERAL chord_chords(events) c").collect()
     want = {(None, 4, 1, False, False, False), (0, 3, 9, False, False, True), (96, 16, 3, True, False, False)}
     assert len(got) == 6 and all({tuple(r)[1:] for r in got if r["k"] == k} == want for k in (1, 2))
+
+
+def test_grid_joins_songs_only(spark):
+    plan = executed(catalog.QUERIES["g1_grid_by_sql"](spark, DIR))
+    assert plan.count("Join") == 2  # ends with tempo, and with signatures
