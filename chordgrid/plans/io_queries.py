@@ -12,7 +12,7 @@ from chordgrid.plans.catalog import query
 from chordgrid.plans.chart_queries import texts_of
 from chordgrid.plans.views import Views, sql_hash
 from chordgrid.sources import charts as C, datasets as DS
-from chordgrid.sources.folders import Folder, scratch_folder
+from chordgrid.sources.folders import Folder, kept, scratch_folder, write_files
 from chordgrid.streaming import streams as ST
 
 _ORDER = "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
@@ -48,11 +48,9 @@ def name_of(path: str):
 @query("s1_song_folders", "SELECT 'song=' || s_suppkey AS dir, s_suppkey % 3 <> 0 AS has_chart, s_suppkey % 3 = 0 AS has_midi FROM supplier")
 def _(v):
     root = scratch_folder(v.spark)
-    v.table("supplier").select(F.col("s_suppkey").alias("song"), F.concat(F.lit("x "), "s_name").alias("value")).repartition("song").write.partitionBy("song").text(root)
-    folder = Folder(v.spark, root)
-    for song in [n for n in folder.names() if n.startswith("song=")]:
-        part = next(n for n in folder.names(song) if n.startswith("part-"))
-        folder.replace(f"{song}/{part}", f"{song}/notes.{'mid' if int(song[5:]) % 3 == 0 else 'chart'}")
+    k = F.col("s_suppkey")
+    name = F.concat(F.lit("song="), k, F.lit("/notes."), F.when(k % 3 == 0, "mid").otherwise("chart"))
+    write_files(v.table("supplier").select(name.alias("name"), F.concat(F.lit("x "), "s_name").alias("value")), root)
     return C.song_folders(v.spark, root).withColumn("dir", name_of("dir"))
 
 
@@ -61,8 +59,9 @@ def _(v):
     """Whole text files as numbered lines; ends of lines, carriage returns included, are trimmed."""
     root = scratch_folder(v.spark)
     text = F.concat("s_name", F.lit(" \r\n\r\n\tkey = "), "s_nationkey", F.lit("\t\nlast"))
-    v.table("supplier").select(F.col("s_suppkey").alias("song"), text.alias("value")).repartition("song").write.partitionBy("song").option("lineSep", "\n\n").text(root)
-    lines = C.read_lines(v.spark, root).withColumn("song", F.regexp_extract("path", "song=([^/]*)/", 1))
+    k = F.col("s_suppkey")  # a thousand files a folder: one list of names each, however many songs
+    write_files(v.table("supplier").select(F.concat(F.floor(k / 1000), F.lit("/song="), k, F.lit(".txt")).alias("name"), F.concat(text, F.lit("\n")).alias("value")), root)
+    lines = C.read_lines(v.spark, root).withColumn("song", F.regexp_extract("path", r"song=([^/]*)\.txt$", 1))
     return lines.where("line_no < 4").select("song", "line_no", "line")
 
 
@@ -257,10 +256,11 @@ def _(v):
 def _(v):
     """Charts encoded as their files come are as charts encoded together."""
     root, out = scratch_folder(v.spark), scratch_folder(v.spark)
-    texts_of(v).select(F.col("path").alias("song"), F.col("text").alias("value")).repartition("song").write.partitionBy("song").text(f"{root}/s")
+    write_files(texts_of(v).select(F.concat(F.lit("song="), "path", F.lit(".chart")).alias("name"), F.col("text").alias("value")), f"{root}/s")
 
     def encode(lines: DataFrame) -> DataFrame:
-        charts = C.Charts(lines.withColumn("path", F.regexp_extract("path", "song=([^/]*)/", 1)))
+        # lines are read and numbered once, and all relations of the charts read them
+        charts = C.Charts(kept(lines.withColumn("path", F.regexp_extract("path", r"song=([^/]*)\.chart$", 1)), scratch_folder(v.spark), "lines"))
         return codec.encode(charts.notes(), charts.specials(), charts.tempo())
 
     ST.encode_stream(ST.line_stream(v.spark, f"{root}/s"), encode, f"{out}/x", f"{out}/check").awaitTermination()
