@@ -27,3 +27,12 @@ def test_files_are_as_given(spark, tmp_path):
     rows = [("a/b/ x=1.txt", "é\r\nz"), ("c.txt", ""), ("d/e", None)]
     write_files(spark.createDataFrame(rows, "name string, value string"), f"file:{tmp_path}/out")
     assert {str(p.relative_to(tmp_path / "out")): p.read_bytes().decode() for p in (tmp_path / "out").rglob("*") if p.is_file()} == {n: (t or "") + "\n" for n, t in rows}
+
+
+@tables
+def test_numbered_lines_come_from_files_of_few_folders(spark, monkeypatch):
+    found = []
+    read = C.read_lines
+    monkeypatch.setattr(C, "read_lines", lambda session, path: found.append(path) or read(session, path))
+    assert catalog.QUERIES["s2_numbered_lines"](spark, DIR).count() == 4 * spark.read.parquet(f"{DIR}/supplier.parquet").count()
+    assert len(Folder(spark, found[0]).names()) == 1
