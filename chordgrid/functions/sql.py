@@ -11,12 +11,12 @@ _STEPS = f"concat(sequence(0, {S.MAX_WAIT - 1}), array({', '.join(map(str, S.COA
 #: name -> (parameters, type, body)
 FUNCTIONS = {
     "song_key": ("artist STRING, title STRING", "STRING", "substring(md5(concat(coalesce(artist, ''), '|', coalesce(title, ''))), 1, 16)"),
-    "ticks_to_steps": ("ticks BIGINT", "INT", f"cast(bround(ticks / {S.GRID}, 0) as int)"),
-    "snap_to_grid": ("ticks BIGINT", "INT", f"cast(bround(ticks / {S.GRID}, 0) as int) * {S.GRID}"),
+    "ticks_to_steps": ("ticks BIGINT", "INT", f"cast(rint(ticks / {S.GRID}) as int)"),
+    "snap_to_grid": ("ticks BIGINT", "INT", f"cast(rint(ticks / {S.GRID}) as int) * {S.GRID}"),
     "sustain_index": (
         "ticks BIGINT", "INT",
-        f"""CASE WHEN cast(bround(ticks / {S.GRID}, 0) as int) < {S.MAX_WAIT} THEN greatest(cast(bround(ticks / {S.GRID}, 0) as int), 0)
-        ELSE array_min(transform({_STEPS}, (s, i) -> struct(abs(s - cast(bround(ticks / {S.GRID}, 0) as int)) AS d, i AS i))).i END""",
+        f"""CASE WHEN cast(rint(ticks / {S.GRID}) as int) < {S.MAX_WAIT} THEN greatest(cast(rint(ticks / {S.GRID}) as int), 0)
+        ELSE array_min(transform({_STEPS}, (s, i) -> struct(abs(s - cast(rint(ticks / {S.GRID}) as int)) AS d, i AS i))).i END""",
     ),
     "sustain_ticks": ("index INT", "INT", f"element_at({_STEPS}, index + 1) * {S.GRID}"),
     "mask_lanes": ("mask INT", "ARRAY<INT>", "filter(sequence(0, 4), i -> getbit(mask, i) = 1)"),

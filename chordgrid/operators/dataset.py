@@ -78,7 +78,7 @@ def build_rows(sequences: DataFrame, stats: DataFrame, grid: DataFrame, specials
     return conform(rows)
 
 
-def build_dataset(raw: DataFrame, specials: DataFrame, tempo: DataFrame, timesig: DataFrame, meta: DataFrame, source_format: str = "chart", resolution: int = 192) -> DataFrame:
+def build_dataset(raw: DataFrame, specials: DataFrame, tempo: DataFrame, timesig: DataFrame, meta: DataFrame, source_format: str = "chart", resolution: int = 192, parts: int | None = None) -> DataFrame:
     """Wide rows from raw notes, markers, tempo, signatures and metadata.
 
     Chords and the beat grid are written once, and sequences, statistics, ends and arrays read them: raw
@@ -87,7 +87,7 @@ def build_dataset(raw: DataFrame, specials: DataFrame, tempo: DataFrame, timesig
     folder = scratch_folder(raw.sparkSession)
     notes = kept(N.chords(raw), folder, "notes")
     grid = kept(TP.beat_grid(tempo, timesig, N.song_ends(notes), resolution), folder, "grid")
-    sequences = codec.encode(notes, specials, tempo, resolution)
+    sequences = codec.encode(notes, specials, tempo, resolution, parts)
     return build_rows(sequences, N.track_stats(notes, grid), grid, specials, meta, source_format, resolution)
 
 

@@ -105,7 +105,7 @@ def _(v):
 
 def wide(v: Views) -> DataFrame:
     meta = v.table("supplier").select(F.col("s_suppkey").alias("song_id"), F.col("s_name").alias("song_name"), F.concat(F.lit("Artist "), "s_nationkey").alias("artist"))
-    return D.build_dataset(v.raw, v.specials, v.tempo, v.timesig, meta)
+    return D.build_dataset(v.raw, v.specials, v.tempo, v.timesig, meta, parts=v.parts)
 
 
 @query("g8_wide_rows", """b AS (SELECT song_id, count(*) AS nb, avg(bpm) AS bpm_mean, stddev_pop(bpm) AS bpm_std, sum(CAST(time_s AS FLOAT)::DOUBLE) AS times, sum(CAST(duration_s AS FLOAT)::DOUBLE) AS durations, string_agg(CAST(bpm AS INT), ',' ORDER BY beat) AS bpms, string_agg(ts_num || '/' || ts_den, ',' ORDER BY beat) AS sigs FROM grid GROUP BY 1),
