@@ -145,47 +145,87 @@ def with_shards(rows: DataFrame, size: str, limit: int, by: str, order: str | li
     return own.select(*rows.columns, shard.cast("int").alias("shard")).withColumn("shard_name", F.format_string(prefix + "-%05d.parquet", "shard"))
 
 
-def block_exits(key: tuple, rows: pd.DataFrame, limit: int, wide: int) -> pd.DataFrame:
-    """Of a block's rows and those that its last shard may reach: (entry, exit) for every cut that may be the block's first."""
-    end = (int(key[1]) + 1) * wide
-    rows = rows.sort_values(["after", "before"], kind="stable")
-    before, after = rows["before"].to_numpy(), rows["after"].to_numpy()
-    inside = after < end
-    n = int(inside.sum())
+def block_exits(before: np.ndarray, after: np.ndarray, block: int, limit: int, wide: int) -> tuple[np.ndarray, np.ndarray]:
+    """Of a block's rows and those that its last shard may reach, sorted by their ends: (entry, exit) for every cut that
+    may be the block's first."""
+    end = (block + 1) * wide
+    n = int(np.searchsorted(after, end, "left"))
     # walk back: a place whose next cut lies beyond the block leaves it there
-    following = np.searchsorted(after, after[:n] + limit, "left")
-    exits = np.full(n, -1, np.int64)
+    following = np.searchsorted(after, after[:n] + limit, "left").tolist()
+    exits, last = [-1] * n, len(after)
     for i in range(n - 1, -1, -1):
         j = following[i]
-        exits[i] = (after[j] if j < len(after) else -1) if j >= n else exits[j]
+        exits[i] = (int(after[j]) if j < last else -1) if j >= n else exits[j]
     first = before[:n] < end - wide + limit
-    out = pd.DataFrame({"entry": after[:n][first], "exit": exits[first]}).drop_duplicates("entry", keep="last")
-    return out.assign(by=key[0], block=key[1])[["by", "block", "entry", "exit"]]
+    entry, leave = after[:n][first], np.array(exits, np.int64)[first]
+    keep = np.append(entry[1:] != entry[:-1], True) if len(entry) else np.zeros(0, bool)  # the last of equal ends
+    return entry[keep], leave[keep]
 
 
-def block_cuts(key: tuple, rows: pd.DataFrame, limit: int, wide: int) -> pd.DataFrame:
-    """Of a block's rows, with the block's first cut in ``entry``: all its cuts."""
-    end = (int(key[1]) + 1) * wide
-    after = np.sort(rows["after"].to_numpy())
-    cut, cuts = int(rows["entry"].iloc[0]), []
+def block_cuts(after: np.ndarray, block: int, entry: int, limit: int, wide: int) -> list[int]:
+    """Of a block's sorted ends, with the block's first cut in ``entry``: all its cuts."""
+    end, cut, cuts = (block + 1) * wide, entry, []
     while cut < end:
         cuts.append(cut)
         j = np.searchsorted(after, cut + limit, "left")
         if j == len(after):
             break
         cut = int(after[j])
-    return pd.DataFrame({"by": [key[0]], "block": [key[1]], "cuts": [cuts]})
+    return cuts
 
 
-def walk_blocks(key: tuple, rows: pd.DataFrame, wide: int) -> pd.DataFrame:
-    """Of (block, entry, exit) of one split: (block, entry) of the chain that begins at its first cut."""
-    at = {(b, e): x for b, e, x in rows[["block", "entry", "exit"]].itertuples(index=False)}
-    cut, out = int(rows["start"].iloc[0]), []
-    while cut >= 0:
-        block = cut // wide
-        out.append((block, cut))
-        cut = at.get((block, cut), -1)
-    return pd.DataFrame(out, columns=["block", "entry"]).assign(by=key[0])[["by", "block", "entry"]]
+#: Rows of blocks that one call of a task's function gets, about.
+PACK_ROWS = 250_000
+
+
+def packed(rows: DataFrame, count: int) -> DataFrame:
+    """Rows with ``pack``: some blocks, each whole, that one call works on, so small blocks cost no call each."""
+    return rows.withColumn("pack", F.pmod(F.xxhash64("by", "block"), F.lit(max(1, -(-count // PACK_ROWS)))))
+
+
+def each_block(rows: pd.DataFrame) -> tuple[np.ndarray, list[tuple]]:
+    """The order of rows of many blocks by split, block and ends, and (by, block, first, end) of each block in it; null
+    splits are one."""
+    split = pd.factorize(rows["by"], use_na_sentinel=False)[0]
+    order = np.lexsort((rows["before"].to_numpy() if "before" in rows else rows["after"].to_numpy(), rows["after"].to_numpy(), rows["block"].to_numpy(), split))
+    split, block = split[order], rows["block"].to_numpy()[order]
+    at = np.flatnonzero(np.append(True, (split[1:] != split[:-1]) | (block[1:] != block[:-1])))
+    by = rows["by"].iloc[order[at]].tolist()
+    return order, list(zip(by, block[at].tolist(), at.tolist(), np.append(at[1:], len(order)).tolist()))
+
+
+def pack_exits(rows: pd.DataFrame, limit: int, wide: int) -> pd.DataFrame:
+    """by, block, entry, exit of the rows of many blocks."""
+    order, blocks = each_block(rows)
+    before, after = rows["before"].to_numpy()[order], rows["after"].to_numpy()[order]
+    found = [(by, block, *block_exits(before[a:b], after[a:b], int(block), limit, wide)) for by, block, a, b in blocks]
+    n = [len(f[2]) for f in found]
+    every = lambda k: np.concatenate([f[k] for f in found]) if found else np.zeros(0, np.int64)
+    by = pd.Series([f[0] for f in found], dtype=rows["by"].dtype).repeat(n).reset_index(drop=True)
+    return pd.DataFrame({"by": by, "block": np.repeat([f[1] for f in found], n), "entry": every(2), "exit": every(3)})
+
+
+def pack_cuts(rows: pd.DataFrame, limit: int, wide: int) -> pd.DataFrame:
+    """by, block, cuts of the rows of many blocks, each with its first cut in ``entry``."""
+    order, blocks = each_block(rows)
+    after, entry = rows["after"].to_numpy()[order], rows["entry"].to_numpy()[order]
+    cuts = [block_cuts(after[a:b], int(block), int(entry[a]), limit, wide) for _, block, a, b in blocks]
+    return pd.DataFrame({"by": pd.Series([x[0] for x in blocks], dtype=rows["by"].dtype), "block": [x[1] for x in blocks], "cuts": cuts})
+
+
+def walk_blocks(rows: pd.DataFrame, wide: int) -> pd.DataFrame:
+    """Of (by, block, entry, exit, start) of some splits, each whole: (by, block, entry) of the chains that begin at
+    their first cuts."""
+    split = pd.factorize(rows["by"], use_na_sentinel=False)[0].tolist()
+    at = {(s, b, e): x for s, b, e, x in zip(split, rows["block"].tolist(), rows["entry"].tolist(), rows["exit"].tolist())}
+    first = np.flatnonzero(~pd.Series(split).duplicated().to_numpy()).tolist()
+    out, names, starts = [], rows["by"].tolist(), rows["start"].tolist()
+    for i in first:
+        cut = int(starts[i])
+        while cut >= 0:
+            out.append((names[i], cut // wide, cut))
+            cut = at.get((split[i], cut // wide, cut), -1)
+    return pd.DataFrame({"by": pd.Series([x[0] for x in out], dtype=rows["by"].dtype), "block": [x[1] for x in out], "entry": [x[2] for x in out]})
 
 
 def shard_cuts(places: DataFrame, limit: int, folder: str) -> DataFrame:
@@ -200,18 +240,20 @@ def shard_cuts(places: DataFrame, limit: int, folder: str) -> DataFrame:
     seen = places.withColumn("block", F.explode(F.sequence(F.least(back, block), block)))
     seen.write.parquet(f"{folder}/seen")
     seen = spark.read.parquet(f"{folder}/seen")
-    exits = seen.groupBy("by", "block").applyInPandas(lambda key, rows: block_exits(key, rows, limit, wide), f"by {kind}, block long, entry long, exit long")
+    rows = seen.count()
+    exits = packed(seen, rows).groupBy("pack").applyInPandas(lambda pack: pack_exits(pack, limit, wide), f"by {kind}, block long, entry long, exit long")
     exits.write.parquet(f"{folder}/exits")
     exits = spark.read.parquet(f"{folder}/exits")
     # the first cut: where the first shard's bytes reach the limit
     start = places.where(F.col("after") >= limit).groupBy("by").agg(F.min("after").alias("start"))
     start = start.withColumnRenamed("by", "_by")
     walk = start.join(exits.hint("merge"), F.col("_by").eqNullSafe(F.col("by")), "left").select(F.col("_by").alias("by"), "block", "entry", "exit", "start")
-    entries = walk.fillna(-1, ["block", "entry", "exit"]).groupBy("by").applyInPandas(lambda key, rows: walk_blocks(key, rows, wide), f"by {kind}, block long, entry long")
+    splits = F.pmod(F.xxhash64("by"), F.lit(max(1, -(-exits.count() // PACK_ROWS))))
+    entries = walk.fillna(-1, ["block", "entry", "exit"]).groupBy(splits.alias("pack")).applyInPandas(lambda pack: walk_blocks(pack, wide), f"by {kind}, block long, entry long")
     entries.write.parquet(f"{folder}/entries")
     entries = spark.read.parquet(f"{folder}/entries").withColumnsRenamed({"by": "_by", "block": "_block"})
     of = seen.join(entries.hint("merge"), F.col("by").eqNullSafe(F.col("_by")) & (F.col("block") == F.col("_block"))).select("by", "block", "after", "entry")
-    cuts = of.groupBy("by", "block").applyInPandas(lambda key, rows: block_cuts(key, rows, limit, wide), f"by {kind}, block long, cuts array<long>")
+    cuts = packed(of, rows).groupBy("pack").applyInPandas(lambda pack: pack_cuts(pack, limit, wide), f"by {kind}, block long, cuts array<long>")
     cuts.write.parquet(f"{folder}/cuts")
     cuts = spark.read.parquet(f"{folder}/cuts")
     # blocks without a cut still need the number of cuts before them

@@ -233,3 +233,17 @@ def test_tabs_and_other_blanks_in_charts_and_ini(spark):
     ini = "\t[song]\nname\t=\tFoo bar\t\n\tyear\t= 2001\npro_drums\t=\tFalse\n"
     row = C.ini_metadata(C.numbered(spark.createDataFrame([("p", ini)], "path string, text string"))).first()
     assert (row["name"], row["year"], row["pro_drums"], set(row["extra"])) == ("Foo bar", 2001, False, {"name", "year", "pro_drums"})
+
+
+def test_small_blocks_share_a_call(monkeypatch):
+    """Many splits in one call give what each gives alone, the split without a name too."""
+    import pandas as pd
+
+    rows = pd.DataFrame([(s, i * 30, i * 30 + 30) for s in ("a", None, "b") for i in range(200)], columns=["by", "before", "after"]).sample(frac=1, random_state=1)
+    rows["block"] = rows["after"] // 640
+    together = D.pack_exits(rows, 100, 640)
+    for s in ("a", None, "b"):
+        own = rows[rows["by"].isna()] if s is None else rows[rows["by"] == s]
+        mine = together[together["by"].isna()] if s is None else together[together["by"] == s]
+        want = D.pack_exits(own, 100, 640)
+        assert len(want) and sorted(want[["block", "entry", "exit"]].itertuples(index=False)) == sorted(mine[["block", "entry", "exit"]].itertuples(index=False))
