@@ -307,7 +307,7 @@ def _(v):
 
 @query("s14_shard_stats", "SELECT 'lineitem.parquet' AS file, count(*) AS rows FROM lineitem")
 def _(v):
-    return v.table("lineitem").groupBy(F.regexp_extract(F.col("_metadata.file_path"), "([^/]*)$", 1).alias("file")).agg(F.count("*").alias("rows"))
+    return v.table("lineitem").groupBy(F.substring_index("_metadata.file_path", "/", -1).alias("file")).agg(F.count("*").alias("rows"))
 
 
 @query("a22_size_label", "SELECT l_suppkey, l_returnflag, CASE WHEN n < 1000 THEN 'n<1K' WHEN n < 10000 THEN '1K<n<10K' WHEN n < 100000 THEN '10K<n<100K' WHEN n < 1000000 THEN '100K<n<1M' ELSE '1M<n<10M' END AS size FROM (SELECT l_suppkey, l_returnflag, sum(l_partkey) AS n FROM lineitem GROUP BY CUBE (l_suppkey, l_returnflag))")
