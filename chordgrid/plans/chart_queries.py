@@ -82,7 +82,7 @@ def _(v):
     text = F.concat_ws("\n", *lines)
     texts = cust.select(k.cast("string").alias("path"), F.when(F.floor(k / 2) % 2 == 0, with_tabs(text)).otherwise(text).alias("text"))
     extra = lambda key, name: F.col("extra")[key].alias(name)
-    return C.ini_metadata(C.numbered(texts)).select("song_id", "name", "artist", "genre", "charter", "year", "song_length_ms", "diff_guitar", "diff_bass", "pro_drums", "five_lane_drums", extra("other", "extra_key"), extra("name", "extra_name"), extra("; note", "noted"))
+    return C.ini_texts(texts).select("song_id", "name", "artist", "genre", "charter", "year", "song_length_ms", "diff_guitar", "diff_bass", "pro_drums", "five_lane_drums", extra("other", "extra_key"), extra("name", "extra_name"), extra("; note", "noted"))
 
 
 @query("s6_own_resolution", "SELECT CAST(s_suppkey AS VARCHAR) AS song_id, CASE WHEN s_suppkey % 3 = 0 THEN 480 WHEN s_suppkey % 3 = 1 THEN 96 ELSE 192 END AS resolution, tick, bpm FROM (SELECT s_suppkey, unnest([0, 384]) AS tick, unnest([120.0, 90.0 + s_suppkey % 5]) AS bpm FROM supplier)")

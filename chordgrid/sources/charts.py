@@ -152,15 +152,30 @@ INI_MS = ["song_length", "preview_start_time", "delay"]
 
 
 def ini_metadata(lines: DataFrame) -> DataFrame:
-    """song_id, typed fields with defaults, and ``extra``, a map of all keys as they stand.
+    """:func:`ini_texts` of numbered lines (path, line_no, line), whose files' lines are gathered first."""
+    texts = lines.groupBy("path").agg(F.transform(F.array_sort(F.collect_list(F.struct("line_no", "line"))), lambda x: x["line"]).alias("lines"))
+    return _ini_fields(texts)
+
+
+def ini_texts(texts: DataFrame) -> DataFrame:
+    """song_id, typed fields with defaults, and ``extra``, a map of all keys as they stand, of (path, text).
 
     Header lines go; the first = splits a line, keys are lower-cased, the last value of a key holds; bad
     numbers become the default. Where the key itself is missing, its other name is asked. Times are named
-    in milliseconds.
+    in milliseconds. A text becomes its fields in its own row: no line is a row, and nothing is shuffled.
     """
-    pairs = assignments(lines.where(~stripped("line").startswith("["))).select(F.col("path").alias("song_id"), F.lower("name").alias("k"), F.col("value").alias("v"), "line_no")
-    last = pairs.groupBy("song_id", "k").agg(F.max_by("v", "line_no").alias("v"))
-    maps = last.groupBy("song_id").agg(F.map_from_entries(F.collect_list(F.struct("k", "v"))).alias("m"))
+    return _ini_fields(texts.select("path", F.split("text", "\n").alias("lines")))
+
+
+def _ini_fields(texts: DataFrame) -> DataFrame:
+    """The fields of (path, lines in their order)."""
+    name = lambda x: F.substring_index(x, "=", 1)
+    own = F.filter("lines", lambda x: x.contains("=") & ~stripped(x).startswith("["))
+    pairs = F.transform(own, lambda x, i: F.struct(F.lower(stripped(name(x))).alias("k"), i.alias("i"), stripped(F.substring(x, F.length(name(x)) + 2, F.length(x))).alias("v")))
+    # in order of keys and places, the last of each key stays; the list is computed once a row
+    last = F.transform(F.array(F.array_sort(pairs)), lambda s: F.filter(s, lambda x, i: ~x["k"].eqNullSafe(F.get(s, i + 1)["k"])))[0]
+    found = texts.select(F.col("path").alias("song_id"), F.transform(last, lambda x: F.struct(x["k"], x["v"])).alias("e")).where(F.size("e") > 0)
+    maps = found.select("song_id", F.map_from_entries("e").alias("m"))
 
     def get(key: str) -> Column:
         own = F.try_element_at("m", F.lit(key))
