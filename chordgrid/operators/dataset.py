@@ -100,11 +100,17 @@ def prefer_formats(songs: DataFrame, ranks: dict[str, int]) -> DataFrame:
     return songs.withColumn("rn", F.row_number().over(order)).where("rn = 1").drop("rn")
 
 
-def preferred_files(wanted: DataFrame, files: DataFrame, preference: DataFrame) -> DataFrame:
-    """wanted (song_id, instrument) with the path of the best file by (base_rank, ext_rank), null if none."""
-    hits = files.join(preference.hint("merge"), ["base", "ext"])
-    best = hits.groupBy("song_id", "instrument").agg(F.min_by("path", F.struct("base_rank", "ext_rank", "path")).alias("path"))
-    return wanted.join(best.hint("merge"), ["song_id", "instrument"], "left")
+def preferred_files(wanted: DataFrame, files: DataFrame, preference: DataFrame, parts: int | None = None) -> DataFrame:
+    """wanted (song_id, instrument) with the path of the best file by (base_rank, ext_rank), null if none.
+
+    ``preference`` is a short list of names. Joined by shuffle, all files would meet in as many tasks as there are
+    names; it is broadcast, and files meet their song in ``parts`` tasks, or as many as the session's shuffles have.
+    """
+    by = ["song_id", "instrument"]
+    n = parts or int(files.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    hits = files.join(F.broadcast(preference), ["base", "ext"]).repartition(n, *by)
+    best = hits.groupBy(*by).agg(F.min_by("path", F.struct("base_rank", "ext_rank", "path")).alias("path"))
+    return wanted.repartition(n, *by).join(best.hint("merge"), by, "left")
 
 
 def with_stems(songs: DataFrame, files: DataFrame, base: str) -> DataFrame:

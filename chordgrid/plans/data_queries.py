@@ -168,8 +168,8 @@ _FILES = "f AS (SELECT l_suppkey * 1000 + l_partkey % 1000 AS song_id, ['guitar'
 def _(v):
     files = song_files(v)
     pref = v.spark.createDataFrame([(i, b, r, x, y) for i in ("guitar", "bass") for b, r in ((i, 0), ("song", 1)) for x, y in (("ogg", 0), ("wav", 1))], "instrument string, base string, base_rank int, ext string, ext_rank int")
-    wanted = files.select("song_id").distinct().select("song_id", F.explode(F.array(F.lit("guitar"), F.lit("bass"))).alias("instrument"))
-    return D.preferred_files(wanted, files, pref)
+    wanted = files.select("song_id").repartition(v.parts, "song_id").distinct().select("song_id", F.explode(F.array(F.lit("guitar"), F.lit("bass"))).alias("instrument"))
+    return D.preferred_files(wanted, files, pref, v.parts)
 
 
 @query("j7_dedicated_stems", f"WITH {_FILES} SELECT song_id, bool_or(base = 'guitar') AS has_stem FROM f GROUP BY song_id")
