@@ -260,8 +260,9 @@ def _(v):
     write_files(texts_of(v).select(F.concat(F.lit("song="), "path", F.lit(".chart")).alias("name"), F.col("text").alias("value")), f"{root}/s")
 
     def encode(lines: DataFrame) -> DataFrame:
-        # lines are read and numbered once, and all relations of the charts read them
-        charts = C.Charts(kept(lines.withColumn("path", F.regexp_extract("path", r"song=([^/]*)\.chart$", 1)), scratch_folder(v.spark), "lines"))
+        # lines are read and numbered once, and split once for all relations of the charts
+        folder = scratch_folder(v.spark)
+        charts = C.Charts(kept(lines.withColumn("path", F.regexp_extract("path", r"song=([^/]*)\.chart$", 1)), folder, "lines"), folder)
         return codec.encode(charts.notes(), charts.specials(), charts.tempo())
 
     ST.encode_stream(ST.line_stream(v.spark, f"{root}/s"), encode, f"{out}/x", f"{out}/check").awaitTermination()

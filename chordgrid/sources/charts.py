@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from chordgrid.functions.scalars import RESOLUTION, signature_denominator
 from chordgrid.operators import notes as N
+from chordgrid.sources.folders import kept
 
 #: Section names of the tracks, lower-cased.
 TRACKS = {
@@ -72,16 +73,18 @@ class Charts:
     """Relations of chart texts from sectioned lines; ``path`` is the song's key.
 
     An event is a line ``tick = kind numbers..`` or ``tick = E text``: it is split once, at its = and at its
-    blanks, into ``tick``, ``kind`` and ``args``.
+    blanks, into ``tick``, ``kind`` and ``args``. With a folder the split lines are written there, so that lines are
+    split once for all relations, and not anew for each use of a number.
     """
 
-    def __init__(self, lines: DataFrame):
-        pairs = assignments(sections(lines)).withColumnRenamed("path", "song_id")
-        self.pairs = pairs.where("section = 'song'")
+    def __init__(self, lines: DataFrame, folder: str | None = None):
+        pairs = assignments(sections(lines)).drop("line").withColumnRenamed("path", "song_id")
         tick = F.when(~F.substring("name", 1, 1).isin("+", "-"), F.col("name").try_cast("int"))
         words = F.split("value", BLANK)
-        events = pairs.withColumns({"tick": tick, "kind": words[0], "args": F.transform(F.slice(words, 2, 3), lambda w: w.try_cast("int"))})
-        self.events = events.where("tick is not null").select("song_id", "line_no", "section", "tick", "kind", "args", "value")
+        pairs = pairs.withColumns({"tick": tick, "kind": words[0], "args": F.transform(F.slice(words, 2, 3), lambda w: w.try_cast("int"))})
+        pairs = kept(pairs, folder, "split") if folder else pairs
+        self.pairs = pairs.where("section = 'song'")
+        self.events = pairs.where("tick is not null").select("song_id", "line_no", "section", "tick", "kind", "args", "value")
         tracks = lines.sparkSession.createDataFrame(list(TRACKS.items()), "section string, instrument string")  # 18 rows
         self.track_events = self.events.join(F.broadcast(tracks), "section")
         # a track is there from its first line on, also where that line says nothing
