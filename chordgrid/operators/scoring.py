@@ -73,18 +73,28 @@ def compare_counts(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
 
 
 def span_overlap(pred: DataFrame, target: DataFrame, key: list[str]) -> DataFrame:
-    """key.., overlap, total_a, total_b, iou of (key.., start, stop) spans that do not overlap among themselves.
+    """key.., overlap, total_a, total_b, iou of (key.., start, stop) spans that do not overlap among themselves."""
+    return _swept(_ends(pred, key, a=("start", "stop")).unionByName(_ends(target, key, b=("start", "stop"))), key)
 
-    Ends of both sides are swept in order: where both are open, the stretch counts. No pair is joined.
-    """
-    def ends(df: DataFrame, name: str) -> DataFrame:
-        zero = {"a": 0, "b": 0}
-        one = lambda d: {k: F.lit(d if k == name else z).alias(k) for k, z in zero.items()}.values()
-        return df.select(*key, F.col("start").alias("at"), *one(1)).unionByName(df.select(*key, F.col("stop").alias("at"), *one(-1)))
 
-    steps = ends(pred, "a").unionByName(ends(target, "b")).groupBy(*key, "at").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
+def paired_overlap(rows: DataFrame, key: list[str]) -> DataFrame:
+    """:func:`span_overlap` of rows with a span of each side (key.., start_a, stop_a, start_b, stop_b), read once."""
+    return _swept(_ends(rows, key, a=("start_a", "stop_a"), b=("start_b", "stop_b")), key)
+
+
+def _ends(rows: DataFrame, key: list[str], **spans: tuple[str, str]) -> DataFrame:
+    """key.., at, a, b: both ends of a row's spans, with what they add to the number of open ones."""
+    end = lambda at, name, d: F.struct(F.col(at).alias("at"), *[F.lit(d if k == name else 0).alias(k) for k in ("a", "b")])
+    every = [end(at, name, d) for name, span in spans.items() for at, d in zip(span, (1, -1))]
+    return rows.select(*key, F.explode(F.array(*every)).alias("e")).select(*key, "e.*")
+
+
+def _swept(ends: DataFrame, key: list[str]) -> DataFrame:
+    """Ends of both sides are swept in order: where both are open, the stretch counts. No pair is joined. Of ends at one
+    place all but the last have no stretch behind them, so they are not grouped before."""
     order = Window.partitionBy(*key).orderBy("at")
-    swept = steps.select(*key, F.sum("a").over(order).alias("a"), F.sum("b").over(order).alias("b"), (F.lead("at").over(order) - F.col("at")).alias("w"))
+    upto = order.rowsBetween(Window.unboundedPreceding, 0)
+    swept = ends.select(*key, F.sum("a").over(upto).alias("a"), F.sum("b").over(upto).alias("b"), (F.lead("at").over(order) - F.col("at")).alias("w"))
     span = lambda c: F.coalesce(F.sum(F.when(c, F.col("w"))), F.lit(0))
     a, b = F.col("a") > 0, F.col("b") > 0
     out = swept.groupBy(*key).agg(span(a & b).alias("overlap"), span(a).alias("total_a"), span(b).alias("total_b"), span(a | b).alias("_u"))
