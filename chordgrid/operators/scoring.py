@@ -61,8 +61,12 @@ def beat_accuracy(pred: DataFrame, target: DataFrame, key: list[str]) -> DataFra
 
 
 def first_difference(a: DataFrame, b: DataFrame, key: list[str]) -> DataFrame:
-    """key.., n_a, n_b, common, first_diff of two long sequences (key.., pos, tok)."""
-    both = a.select(*key, "pos", F.col("tok").alias("a")).join(b.select(*key, "pos", F.col("tok").alias("b")).hint("merge"), [*key, "pos"], "full")
+    """key.., n_a, n_b, common, first_diff of two long sequences (key.., pos, tok), which have one token at a place.
+
+    The sides are united and meet by place, so sides that lie by key are not shuffled again.
+    """
+    side = lambda rows, name: rows.select(*key, "pos", *[(F.col("tok") if c == name else F.lit(None).cast(rows.schema["tok"].dataType)).alias(c) for c in ("a", "b")])
+    both = side(a, "a").unionByName(side(b, "b")).groupBy(*key, "pos").agg(F.max("a").alias("a"), F.max("b").alias("b"))
     return both.groupBy(*key).agg(F.count("a").alias("n_a"), F.count("b").alias("n_b"), F.count_if(F.col("a") == F.col("b")).alias("common"), F.min(F.when(~F.col("a").eqNullSafe(F.col("b")), F.col("pos"))).alias("first_diff"))
 
 
