@@ -3,6 +3,7 @@
 from pyspark.sql import functions as F
 
 from chordgrid.operators import batching as B
+from chordgrid.plans import catalog
 
 
 def test_rows_of_one_shard_find_their_places_in_all_tasks(spark):
@@ -29,3 +30,8 @@ def test_permutation_as_its_rounds_say(spark):
     cases = [(x, n, s, t) for n in (1, 5, 1000, prime) for x in (0, n // 2, n - 1) for s, t in ((0, 1), (-7, 10**14))]
     got = spark.createDataFrame([*cases, (None, 5, 1, 1), (3, None, 1, 1)], "x long, n long, s long, t long").coalesce(1).select(B.permuted(F.col("x"), F.col("n"), F.col("s"), F.col("t")).alias("p")).collect()
     assert [r["p"] for r in got] == [plain(*c) for c in cases] + [None, None]
+
+
+def test_an_epoch_ranks_its_rows_once(spark):
+    plan = catalog.QUERIES["l3_epoch_places"](spark, "/root/testdata/sf0.001")._jdf.queryExecution().executedPlan().toString()
+    assert "orders.parquet" not in plan and "SortMergeJoin" not in plan and "row_number() windowspecdefinition(file" not in plan
