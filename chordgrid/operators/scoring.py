@@ -81,8 +81,11 @@ def span_overlap(pred: DataFrame, target: DataFrame, key: list[str]) -> DataFram
     return _swept(_ends(pred, key, a=("start", "stop")).unionByName(_ends(target, key, b=("start", "stop"))), key)
 
 
-def paired_overlap(rows: DataFrame, key: list[str]) -> DataFrame:
-    """:func:`span_overlap` of rows with a span of each side (key.., start_a, stop_a, start_b, stop_b), read once."""
+def paired_overlap(rows: DataFrame, key: list[str], parts: int | None = None) -> DataFrame:
+    """:func:`span_overlap` of rows with a span of each side (key.., start_a, stop_a, start_b, stop_b), read once.
+    With ``parts`` rows go to that many tasks by key, and become ends there."""
+    if parts:
+        rows = rows.repartition(parts, *key)
     return _swept(_ends(rows, key, a=("start_a", "stop_a"), b=("start_b", "stop_b")), key)
 
 

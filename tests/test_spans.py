@@ -28,3 +28,11 @@ def test_span_overlap_with_touching_and_equal_ends(spark):
     assert {k: got[k] for k in want} == want
     both = spark.createDataFrame([("x", 0, 4, 2, 6), ("x", 10, 12, 6, 11)], "k string, start_a long, stop_a long, start_b long, stop_b long")
     assert tuple(SC.paired_overlap(both, ["k"]).first()) == ("x", 3, 6, 9, 0.25)
+
+
+@needs_tables
+def test_ends_are_made_behind_the_shuffle_in_tasks_that_grow(spark, monkeypatch):
+    monkeypatch.setattr("chordgrid.plans.views.PART_BYTES", 1 << 10)
+    lines = plan(spark, "x2_span_overlap").splitlines()
+    shuffle = next(i for i, x in enumerate(lines) if "REPARTITION_BY_NUM" in x)
+    assert any("Generate explode" in x for x in lines[:shuffle]) and ", 4)" not in lines[shuffle]
