@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
 from pyspark.errors import AnalysisException
@@ -11,7 +13,7 @@ from pyspark.sql import types as T
 
 from chordgrid.operators import codec, notes as N, tempo as TP
 from chordgrid.operators.batching import RANGES, cut_points, value_range
-from chordgrid.sources.folders import kept, scratch_folder
+from chordgrid.sources.folders import Folder, kept, names_below, opens, scratch_folder, shuffle_width, write_folders
 
 _A = T.ArrayType
 #: Columns and types of the wide row, one for each song and instrument.
@@ -291,17 +293,40 @@ def pending(paths: DataFrame, done: DataFrame, key: str = "path") -> DataFrame:
     return paths.join(done.select(key).distinct().hint("merge"), key, "left_anti")
 
 
+#: Codecs by the names that Spark and pyarrow share.
+_CODECS = {"none", "uncompressed", "snappy", "gzip", "zstd"}
+
+
 def write_shards(rows: DataFrame, path: str, compression: str = "zstd", mode: str = "errorifexists", partition: str | None = "split") -> None:
     """Wide rows as Parquet; rows of one shard meet in one task where they are numbered, and a shard that has a
-    name is a folder of that name."""
-    out = rows.repartition("shard") if "shard" in rows.columns else rows
-    writer = out.write.mode(mode).option("compression", compression)
+    name is a folder of that name.
+
+    Named shards may be very many and small. Their tasks are a number of their own, as by their bytes all would be one
+    task, and :func:`write_folders` writes them: Spark's writer takes some 20 ms for each folder, and its driver
+    then moves them one after the other. It is left where pyarrow does not know the file system or the codec.
+    """
     folders = [c for c in (partition, "shard_name") if c and c in rows.columns]
+    out = rows
+    if "shard" in rows.columns:
+        out = rows.repartition(shuffle_width(rows.sparkSession), "shard")
+    if "shard_name" in folders and compression.lower() in _CODECS and opens(Folder(rows.sparkSession, path).qualified()):
+        there = Folder(rows.sparkSession, path).names()
+        if mode == "ignore" and there:
+            return
+        # no rows: the mode's own rules, and what is overwritten
+        rows.limit(0).write.mode(mode).option("compression", compression).partitionBy(*folders).parquet(path)
+        write_folders(out, path, folders, {"uncompressed": "none"}.get(compression.lower(), compression.lower()))
+        return
+    writer = out.write.mode(mode).option("compression", compression)
     (writer.partitionBy(*folders) if folders else writer).parquet(path)
 
 
 def next_shard(spark: SparkSession, path: str, prefix: str = "train") -> int:
     """The number after the highest shard number of a dataset's files and folders; 0 where there is none."""
+    root = Folder(spark, path).qualified()
+    if opens(root):  # names only: a list of all files would be a task for each folder
+        shard = re.compile(rf"(?:^|=){prefix}-(\d+)\.parquet")
+        return max((n for n in (int(shard.search(name)[1]) for name in names_below(root, shard)) if n < 1 << 31), default=-1) + 1
     try:
         files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path).select("path")
     except AnalysisException:  # nothing has been written yet
