@@ -7,12 +7,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from chordgrid.operators import batching as B, codec, dataset as D, drift
+from chordgrid.operators import batching as B, dataset as D, drift
+from chordgrid.operators.chart_codec import LineEncoder
 from chordgrid.plans.catalog import query
 from chordgrid.plans.chart_queries import texts_of
 from chordgrid.plans.views import Views, sql_hash
 from chordgrid.sources import charts as C, datasets as DS
-from chordgrid.sources.folders import Folder, kept, scratch_folder, write_files
+from chordgrid.sources.folders import Folder, few_listing_tasks, kept, scratch_folder, shuffle_width, write_files
 from chordgrid.streaming import streams as ST
 
 _ORDER = "o_orderkey bigint, o_custkey bigint, o_orderstatus string"
@@ -134,7 +135,9 @@ def _(v):
     for _ in range(2):
         D.append_shards(rows.select("o_orderkey", "o_custkey", "bytes", "split"), f"{root}/x", "bytes", 5000, "split", ["o_orderkey", "o_custkey"], partition=None)
     schema = "o_orderkey bigint, o_custkey bigint, bytes bigint, split string, shard int, shard_name string"  # no type is tried on each folder's name
-    return v.spark.read.schema(schema).parquet(f"{root}/x").groupBy("shard_name").agg(F.count("*").alias("rows"))
+    with few_listing_tasks(v.spark):
+        back = v.spark.read.schema(schema).parquet(f"{root}/x")
+    return back.groupBy("shard_name").agg(F.count("*").alias("rows"))
 
 
 @query("k4_write_modes", "SELECT c_custkey, c_name, 'refused' AS again FROM customer WHERE c_custkey % 2 = 0")
@@ -260,15 +263,12 @@ def _(v):
     root, out = scratch_folder(v.spark), scratch_folder(v.spark)
     write_files(texts_of(v).select(F.concat(F.lit("song="), "path", F.lit(".chart")).alias("name"), F.col("text").alias("value")), f"{root}/s")
 
-    def encode(lines: DataFrame) -> DataFrame:
-        # lines are read and numbered once, and split once for all relations of the charts
-        folder = scratch_folder(v.spark)
-        charts = C.Charts(kept(lines.withColumn("path", F.regexp_extract("path", r"song=([^/]*)\.chart$", 1)), folder, "lines"), folder)
-        return codec.encode(charts.notes(), charts.specials(), charts.tempo())
-
-    ST.encode_stream(ST.line_stream(v.spark, f"{root}/s"), encode, f"{out}/x", f"{out}/check").awaitTermination()
+    # a song's lines stay in one task; a batch is a bounded number of files, so its tasks are as many as the cluster runs
+    encode, song, few = LineEncoder(), r"song=([^/]*)\.chart$", min(shuffle_width(v.spark), v.spark.sparkContext.defaultParallelism)
+    with few_listing_tasks(v.spark):
+        ST.encode_stream(ST.text_stream(v.spark, f"{root}/s", song=song), lambda texts: encode(C.numbered(texts, few)), f"{out}/x", f"{out}/check").awaitTermination()
     streamed_ = v.spark.read.parquet(f"{out}/x").select("song_id", "instrument", F.col("tokens").alias("a"))
-    whole = encode(C.read_lines(v.spark, f"{root}/s")).select("song_id", "instrument", F.col("tokens").alias("b"))
+    whole = encode(C.read_lines(v.spark, f"{root}/s", song, v.parts)).select("song_id", "instrument", F.col("tokens").alias("b"))
     return streamed_.join(whole.hint("merge"), ["song_id", "instrument"], "full").select("song_id", "instrument", F.col("a").eqNullSafe(F.col("b")).alias("same"))
 
 

@@ -24,23 +24,34 @@ def song_folders(spark: SparkSession, root: str, recursive: bool = True) -> Data
     return rows.groupBy("dir").agg(F.bool_or(F.col("file") == "notes.chart").alias("has_chart"), F.bool_or(F.col("file") == "notes.mid").alias("has_midi")).orderBy("dir")
 
 
-def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """path, line_no, line of whole text files; broken bytes become replacement characters."""
-    return numbered(spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
+def read_lines(spark: SparkSession, path: str, song: str | None = None, parts: int | None = None) -> DataFrame:
+    """path, line_no, line of whole text files; broken bytes become replacement characters. ``song``: see
+    :func:`file_texts`; ``parts``: see :func:`numbered`."""
+    return numbered(file_texts(spark.read.option("recursiveFileLookup", "true").text(path, wholetext=True), song), parts)
 
 
-def numbered(texts: DataFrame) -> DataFrame:
-    """path, line_no, line of (path, text); ends of lines are trimmed."""
-    return texts.select("path", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line", F.regexp_replace("line", r"(?U)\s+$", ""))
+def file_texts(files: DataFrame, song: str | None = None) -> DataFrame:
+    """path, text of whole text files (value). ``song``: a pattern whose first group is what files are called by, instead
+    of their path."""
+    path = F.col("_metadata.file_path")
+    return files.select((F.regexp_extract(path, song, 1) if song else path).alias("path"), F.col("value").alias("text"))
 
 
-#: White space of any kind, tabs included.
+def numbered(texts: DataFrame, parts: int | None = None) -> DataFrame:
+    """path, line_no, line of (path, text); ends of lines are trimmed. With ``parts`` whole texts are dealt out to so many
+    tasks by path, and what is grouped by path from there on is shuffled no more."""
+    texts = texts.repartition(parts, "path") if parts else texts
+    return texts.select("path", F.posexplode(F.split("text", "\n")).alias("line_no", "line")).withColumn("line", F.rtrim("line", F.lit(BLANKS)))
+
+
+#: White space of any kind, tabs included: a pattern, and its characters one by one.
 BLANK = r"(?U)\s+"
+BLANKS = "\t\n\x0b\x0c\r \x85\xa0\u1680" + "".join(map(chr, range(0x2000, 0x200B))) + "\u2028\u2029\u202f\u205f\u3000"
 
 
 def stripped(text: Column | str) -> Column:
-    """A text without white space at both ends."""
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+    """A text without white space at both ends. Not by a pattern, which would begin anew at each letter."""
+    return F.btrim(text, F.lit(BLANKS))
 
 
 def _word(text: Column) -> Column:
@@ -59,9 +70,24 @@ def sections(lines: DataFrame) -> DataFrame:
 
 def assignments(lines: DataFrame) -> DataFrame:
     """Lines with a = as ``name`` (what stands before the first one) and ``value``, both without white space at their ends."""
+    return with_pair(lines.where(F.col("line").contains("=")))
+
+
+def with_pair(lines: DataFrame) -> DataFrame:
     name = F.substring_index("line", "=", 1)
     value = F.substring(F.col("line"), F.length(name) + 2, F.length("line"))
-    return lines.where(F.col("line").contains("=")).withColumns({"name": stripped(name), "value": stripped(value)})
+    return lines.withColumns({"name": stripped(name), "value": stripped(value)})
+
+
+def tick_of(name: Column) -> Column:
+    """The tick before an event's =: a whole number without a sign."""
+    return F.when(~F.substring(name, 1, 1).isin("+", "-"), name.try_cast("int"))
+
+
+def text_of(value: Column) -> Column:
+    """The text of a text event: what stands between quotes, or all of it."""
+    rest = stripped(F.substring(value, 2, 1 << 30))
+    return stripped(F.substring_index(F.when(rest.startswith('"'), F.substring(rest, 2, 1 << 30)).otherwise(rest), '"', 1))
 
 
 def unquoted(text: Column) -> Column:
@@ -79,9 +105,8 @@ class Charts:
 
     def __init__(self, lines: DataFrame, folder: str | None = None):
         pairs = assignments(sections(lines)).drop("line").withColumnRenamed("path", "song_id")
-        tick = F.when(~F.substring("name", 1, 1).isin("+", "-"), F.col("name").try_cast("int"))
         words = F.split("value", BLANK)
-        pairs = pairs.withColumns({"tick": tick, "kind": words[0], "args": F.transform(F.slice(words, 2, 3), lambda w: w.try_cast("int"))})
+        pairs = pairs.withColumns({"tick": tick_of(F.col("name")), "kind": words[0], "args": F.transform(F.slice(words, 2, 3), lambda w: w.try_cast("int"))})
         pairs = kept(pairs, folder, "split") if folder else pairs
         self.pairs = pairs.where("section = 'song'")
         self.events = pairs.where("tick is not null").select("song_id", "line_no", "section", "tick", "kind", "args", "value")
@@ -97,10 +122,8 @@ class Charts:
 
     @staticmethod
     def _texts(events: DataFrame) -> DataFrame:
-        """Text events with ``text``: what stands between quotes, or all of it."""
-        rest = stripped(F.substring("value", 2, 1 << 30))
-        text = stripped(F.substring_index(F.when(rest.startswith('"'), F.substring(rest, 2, 1 << 30)).otherwise(rest), '"', 1))
-        return events.where("kind = 'E'").withColumn("text", text).where("text <> ''")
+        """Text events with ``text``."""
+        return events.where("kind = 'E'").withColumn("text", text_of(F.col("value"))).where("text <> ''")
 
     def raw_notes(self) -> DataFrame:
         rows = self._numbers(self.track_events, "N", 2)

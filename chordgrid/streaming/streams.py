@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from chordgrid.operators.dataset import SCHEMA
-from chordgrid.sources.charts import numbered
+from chordgrid.sources.charts import file_texts, numbered
 
 
 def shard_stream(spark: SparkSession, path: str, schema: T.StructType = SCHEMA, files_per_batch: int = 4) -> DataFrame:
@@ -18,10 +18,15 @@ def shard_stream(spark: SparkSession, path: str, schema: T.StructType = SCHEMA,
     return spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).option("ignoreCorruptFiles", "true").parquet(path)
 
 
+def text_stream(spark: SparkSession, path: str, files_per_batch: int = 1000, song: str | None = None) -> DataFrame:
+    """path, text of whole text files as they come, a bounded number of files a batch. ``song``: see
+    :func:`chordgrid.sources.charts.file_texts`."""
+    return file_texts(spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_batch).text(path, wholetext=True), song)
+
+
 def line_stream(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
     """path, line_no, line of whole text files as they come, a bounded number of files a batch."""
-    files = spark.readStream.schema("value string").option("maxFilesPerTrigger", files_per_batch).text(path, wholetext=True)
-    return numbered(files.select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text")))
+    return numbered(text_stream(spark, path, files_per_batch))
 
 
 def run_available(stream: DataFrame, write: Callable[[DataFrame, int], None], checkpoint: str) -> StreamingQuery:
@@ -80,8 +85,8 @@ def training_rows(rows: DataFrame, held: DataFrame, key: list[str]) -> DataFrame
 
 
 def encode_stream(lines: DataFrame, encode: Callable[[DataFrame], DataFrame], out: str, checkpoint: str) -> StreamingQuery:
-    """Encode the songs of each batch of files; a song is one file, so batches share no state. A batch
-    that is run again replaces its own output."""
+    """Encode the songs of each batch of files, as lines or whole texts; a song is one file, so batches share no
+    state. A batch that is run again replaces its own output."""
 
     def write(rows: DataFrame, batch: int) -> None:
         encode(rows).write.mode("overwrite").parquet(f"{out}/batch={batch}")
