@@ -257,16 +257,26 @@ def _(v):
     return v.spark.read.parquet(streamed(v, shards(v, broken=True), files_per_batch=3)).select(*_KEYS)
 
 
+#: Streams that encode side by side, as a batch of files is planned and logged for longer than it keeps all cores busy.
+_STREAMS = 4
+
+
 @query("r8_streaming_encode", "SELECT DISTINCT CAST(song_id AS VARCHAR) AS song_id, instrument, true AS same FROM notes JOIN supplier ON s_suppkey = song_id WHERE song_id IN (SELECT song_id FROM tempo)", "notes", "tempo")
 def _(v):
     """Charts encoded as their files come are as charts encoded together."""
     root, out = scratch_folder(v.spark), scratch_folder(v.spark)
-    write_files(texts_of(v).select(F.concat(F.lit("song="), "path", F.lit(".chart")).alias("name"), F.col("text").alias("value")), f"{root}/s")
+    own = F.pmod(F.crc32("path"), F.lit(_STREAMS))  # a song's stream
+    write_files(texts_of(v).select(F.concat(own, F.lit("/song="), "path", F.lit(".chart")).alias("name"), F.col("text").alias("value")), f"{root}/s")
 
     # a song's lines stay in one task; a batch is a bounded number of files, so its tasks are as many as the cluster runs
     encode, song, few = LineEncoder(), r"song=([^/]*)\.chart$", min(shuffle_width(v.spark), v.spark.sparkContext.defaultParallelism)
     with few_listing_tasks(v.spark):
-        ST.encode_stream(ST.text_stream(v.spark, f"{root}/s", song=song), lambda texts: encode(C.numbered(texts, few)), f"{out}/x", f"{out}/check").awaitTermination()
+        streams = []
+        for i in range(_STREAMS):
+            Folder(v.spark, root).make(f"s/{i}")
+            texts = ST.text_stream(v.spark, f"{root}/s/{i}", song=song)
+            streams.append(ST.encode_stream(texts, lambda rows: encode(C.numbered(rows, few)), f"{out}/x/stream={i}", f"{out}/check/{i}"))
+        ST.await_all(streams)
     streamed_ = v.spark.read.parquet(f"{out}/x").select("song_id", "instrument", F.col("tokens").alias("a"))
     whole = encode(C.read_lines(v.spark, f"{root}/s", song, v.parts)).select("song_id", "instrument", F.col("tokens").alias("b"))
     return streamed_.join(whole.hint("merge"), ["song_id", "instrument"], "full").select("song_id", "instrument", F.col("a").eqNullSafe(F.col("b")).alias("same"))

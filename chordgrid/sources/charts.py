@@ -217,12 +217,13 @@ def render_tracks(notes: DataFrame) -> DataFrame:
     """song_id, instrument, body: one line for each pitch of a note, ascending, then its modifiers 5, 7, 6;
     drums have neither sustains nor modifiers."""
     drums = F.col("instrument").contains("drum")
-    pitches = F.filter(F.sequence(F.lit(0), F.lit(4)), lambda i: F.getbit("lane_mask", i) == 1)
-    mods = F.filter(F.array(*[F.when(F.col(c) & ~drums, F.lit(p)) for c, p in (("is_hopo", 5), ("is_tap", 7), ("is_force_strum", 6))]), lambda p: p.isNotNull())
-    line = lambda p, s: F.concat(F.lit("  "), F.col("tick"), F.lit(" = N "), p, F.lit(" "), s)
-    lines = F.concat(F.transform(pitches, lambda p: line(p, F.when(drums, 0).otherwise(F.col("sustain")))), F.transform(mods, lambda p: line(p, F.lit(0))))
-    rows = notes.groupBy("song_id", "instrument").agg(F.array_sort(F.collect_list(F.struct("tick", lines.alias("l")))).alias("x"))
-    return rows.select("song_id", "instrument", F.array_join(F.flatten(F.transform("x", lambda x: x["l"])), "\n").alias("body"))
+    line = lambda p, s: F.concat(F.lit("  "), F.col("tick"), F.lit(f" = N {p} "), s)
+    lanes = [F.when(F.getbit("lane_mask", F.lit(p)) == 1, line(p, F.when(drums, 0).otherwise(F.col("sustain")))) for p in range(5)]
+    mods = [F.when(F.col(c) & ~drums, line(p, F.lit(0))) for c, p in (("is_hopo", 5), ("is_tap", 7), ("is_force_strum", 6))]
+    # a note's lines are made in its row: in lambdas, each of them would be an array
+    own = notes.select("song_id", "instrument", F.struct("tick", F.concat_ws("\n", *lanes, *mods).alias("l")).alias("x"))
+    rows = own.groupBy("song_id", "instrument").agg(F.sort_array(F.collect_list("x")).alias("x"))
+    return rows.select("song_id", "instrument", F.array_join(F.array_remove(F.col("x")["l"], ""), "\n").alias("body"))
 
 
 def render_charts(meta: DataFrame, tempo: DataFrame, timesig: DataFrame, notes: DataFrame, resolution: int = 192) -> DataFrame:

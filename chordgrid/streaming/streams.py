@@ -34,6 +34,16 @@ def run_available(stream: DataFrame, write: Callable[[DataFrame, int], None], ch
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def await_all(queries: list[StreamingQuery]) -> None:
+    """Waits for queries that run side by side; where one fails, the others are stopped."""
+    try:
+        for query in queries:
+            query.awaitTermination()
+    finally:
+        for query in queries:
+            query.stop()
+
+
 def shuffled_batches(stream: DataFrame, key: list[str], out: str, checkpoint: str, seed: int = 0, buffer_rows: int = 0) -> StreamingQuery:
     """Rows in an order that seed and batch decide, shuffled over windows of files.
 

@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from chordgrid.functions import scalars as S
 from chordgrid.operators import codec
 from chordgrid.operators.chart_codec import LineEncoder
 from chordgrid.sources import charts as C
@@ -40,3 +41,18 @@ def test_blanks_are_those_of_the_pattern(spark):
     assert rows.where(C.stripped(text) != F.regexp_replace(text, r"(?U)^\s+|\s+$", "")).count() == 0
     assert rows.where(F.rtrim(text, F.lit(C.BLANKS)) != F.regexp_replace(text, r"(?U)\s+$", "")).count() == 0
     assert rows.where(C.stripped("c") == "").count() == len(C.BLANKS) == 25
+
+
+def test_gaps_of_one_wait_token_and_more(spark):
+    """Around every half step, and the longest wait."""
+    rows = spark.range(-3, 3000).select(F.col("id").cast("int").alias("gap"))
+    steps = F.greatest(F.bround(F.col("gap") / 16, 0).cast("int"), F.lit(1))
+    bad = rows.where(codec.gap_tokens(F.col("gap")) != F.when(F.col("gap") > 0, S.wait_tokens(steps)).otherwise(F.array().cast("array<int>")))
+    assert bad.count() == 0 and rows.where(F.size(codec.gap_tokens(F.col("gap"))) == 2).count() > 0
+
+
+def test_rendered_notes(spark):
+    rows = [("a", "guitar", 10, 5, 7, True, True, True), ("a", "guitar", 2, 16, 0, False, None, False), ("a", "guitar", 3, 32, 1, False, False, False), ("a", "drums", 1, 2, 5, True, False, True), ("b", "bass", 4, 128, 1, False, False, False)]
+    notes = spark.createDataFrame(rows, "song_id string, instrument string, tick int, lane_mask int, sustain int, is_hopo boolean, is_tap boolean, is_force_strum boolean")
+    assert {(r[0], r[1]): r[2] for r in C.render_tracks(notes).collect()} == {
+        ("a", "guitar"): "  2 = N 4 0\n  10 = N 0 7\n  10 = N 2 7\n  10 = N 5 0\n  10 = N 7 0\n  10 = N 6 0", ("a", "drums"): "  1 = N 1 0", ("b", "bass"): ""}
