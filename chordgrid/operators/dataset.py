@@ -310,11 +310,11 @@ def write_shards(rows: DataFrame, path: str, compression: str = "zstd", mode: st
     if "shard" in rows.columns:
         out = rows.repartition(shuffle_width(rows.sparkSession), "shard")
     if "shard_name" in folders and compression.lower() in _CODECS and opens(Folder(rows.sparkSession, path).qualified()):
-        there = Folder(rows.sparkSession, path).names()
+        there = Folder(rows.sparkSession, path).exists()
         if mode == "ignore" and there:
             return
-        # no rows: the mode's own rules, and what is overwritten
-        rows.limit(0).write.mode(mode).option("compression", compression).partitionBy(*folders).parquet(path)
+        if mode != "append" or not there:  # no rows: the mode's own rules, and what is overwritten
+            rows.limit(0).write.mode(mode).option("compression", compression).partitionBy(*folders).parquet(path)
         write_folders(out, path, folders, {"uncompressed": "none"}.get(compression.lower(), compression.lower()))
         return
     writer = out.write.mode(mode).option("compression", compression)

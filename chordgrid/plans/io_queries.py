@@ -134,10 +134,8 @@ def _(v):
     rows = orders(v).withColumns({"bytes": F.lit(100).cast("long"), "split": F.lit("train"), "at": F.struct("o_orderkey", "o_custkey")})
     for _ in range(2):
         D.append_shards(rows.select("o_orderkey", "o_custkey", "bytes", "split"), f"{root}/x", "bytes", 5000, "split", ["o_orderkey", "o_custkey"], partition=None)
-    schema = "o_orderkey bigint, o_custkey bigint, bytes bigint, split string, shard int, shard_name string"  # no type is tried on each folder's name
-    with few_listing_tasks(v.spark):
-        back = v.spark.read.schema(schema).parquet(f"{root}/x")
-    return back.groupBy("shard_name").agg(F.count("*").alias("rows"))
+    schema = T.StructType.fromDDL("o_orderkey bigint, o_custkey bigint, bytes bigint, split string, shard int")
+    return DS.read_named_shards(v.spark, f"{root}/x", schema).groupBy("shard_name").agg(F.count("*").alias("rows"))
 
 
 @query("k4_write_modes", "SELECT c_custkey, c_name, 'refused' AS again FROM customer WHERE c_custkey % 2 = 0")

@@ -8,6 +8,7 @@ from pyspark.sql import types as T
 
 from chordgrid.operators.dataset import SCHEMA
 from chordgrid.operators.quality import footer_schemas
+from chordgrid.sources.folders import few_listing_tasks
 
 
 def read_shards(spark: SparkSession, path: str, split: str | None = None, schema: T.StructType = SCHEMA) -> DataFrame:
@@ -16,6 +17,15 @@ def read_shards(spark: SparkSession, path: str, split: str | None = None, schema
     return spark.read.schema(schema).option("pathGlobFilter", glob).option("ignoreCorruptFiles", "true").parquet(path)
 
 
+def read_named_shards(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The rows of a dataset's shards with ``shard_name``, what their folder's name says. Partitions are not discovered, as
+    that takes Spark time by the square of their number; names are plain, as numbered shards have them."""
+    with few_listing_tasks(spark):
+        rows = spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    folder = F.substring_index(F.substring_index(F.col("_metadata.file_path"), "/", -2), "/", 1)
+    return rows.withColumn("shard_name", F.substring_index(folder, "shard_name=", -1))
+
+
 def unreadable_shards(spark: SparkSession, path: str, split: str | None = None) -> DataFrame:
     """path of the shards whose footer cannot be read; a shard without rows is fine."""
     return footer_schemas(spark, path, f"{split}-*.parquet" if split else "*.parquet").where("type = 'unreadable'").select(F.col("file").alias("path"))
